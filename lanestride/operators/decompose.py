@@ -10,6 +10,7 @@ import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from lanestride.functions.columns import pairs, pairs_map, pick, to_float, to_int
 
@@ -198,13 +199,13 @@ def _inflate(data: bytes | None) -> bytes | None:
         return None
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def inflate(column: pd.Series) -> pd.Series:
     """zlib or gzip bytes, NULL when damaged.  Spark has no inflate function."""
     return column.map(_inflate)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def deflate_urlsafe(column: pd.Series) -> pd.Series:
     """Text to gzip + URL-safe base64 without padding: the inverse used to build payloads."""
     import base64

@@ -73,6 +73,28 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(F.col("event_type").alias("code"), F.expr(f"{_micros()} div 1000000").alias("ts"))
 
 
+ORDER_LINES = """o_orderkey AS l_orderkey, CAST(o_orderkey % 7 + 1 AS INT) AS l_linenumber, o_custkey AS l_partkey, o_orderkey % 100 + 1 AS l_suppkey,
+ CAST(CAST(floor(o_totalprice) AS BIGINT) % 50 + 1 AS INT) AS l_quantity, CAST(o_orderkey % 11 AS DOUBLE) AS l_discount, CAST(o_custkey % 9 AS DOUBLE) AS l_tax,
+ o_orderstatus AS l_returnflag, o_orderstatus AS l_linestatus"""
+
+
+def order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders under short names: the unique key and a few small numbers to build raw text from."""
+    return table(spark, sf, "orders").selectExpr(*[e.strip() for e in _split_top(ORDER_LINES)])
+
+
+def _split_top(text: str) -> list[str]:
+    """Split a select list at commas outside parentheses."""
+    out, depth = [""], 0
+    for ch in text:
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 0:
+            out.append("")
+        else:
+            out[-1] += ch
+    return out
+
+
 SEARCH_SQL = """
 concat(
  '1:', l_orderkey * 8 + l_linenumber, ':2:Part ', l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN ' Layout' ELSE ' remake' END,
@@ -88,7 +110,7 @@ concat(
 
 def search_responses(spark: SparkSession, sf: str) -> DataFrame:
     """One raw search response per order line."""
-    return table(spark, sf, "lineitem").select(
+    return order_lines(spark, sf).select(
         F.expr("l_orderkey * 8 + l_linenumber").alias("request_id"), F.col("l_linestatus").alias("source"),
         F.col("l_linenumber").alias("page"), F.expr(SEARCH_SQL).alias("raw"))
 
@@ -104,7 +126,7 @@ ELSE concat('1:', l_orderkey * 8 + l_linenumber, ':2:', CASE WHEN l_partkey % 2
 
 
 def download_responses(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").select(
+    return order_lines(spark, sf).select(
         F.expr("l_orderkey * 8 + l_linenumber").alias("request_id"), F.col("l_linestatus").alias("source"),
         F.col("l_linenumber").alias("page"), F.expr(DOWNLOAD_SQL).alias("raw"))
 
@@ -113,7 +135,7 @@ def level_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Decoded level text per order line: three objects, one without an id, one blank section."""
     text = ("concat('kS1,0;1,', l_partkey % 100, ',2,', l_quantity, ',3,', l_linenumber, ',6,90; ;1,0,2,5,3,5;"
             "1,', l_suppkey, ',2,x,3,', l_tax, ',32,2.5;1,8,1,', l_linenumber, ',2,', l_discount, ';odd')")
-    return table(spark, sf, "lineitem").select(F.expr("l_orderkey * 8 + l_linenumber").alias("level_id"), F.expr(text).alias("decoded"))
+    return order_lines(spark, sf).select(F.expr("l_orderkey * 8 + l_linenumber").alias("level_id"), F.expr(text).alias("decoded"))
 
 
 def chunk_corpus(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lanestride.dims import DEFAULT as LEX
 from lanestride.operators import analytics as A, emit as E, grammar as G, objects as O, quality as Q, vocabulary as V
 from lanestride.plans import bindings as B
-from lanestride.plans.oracle import DIFFS, LANES, MECH, SOLID, VOCAB, q, sql
+from lanestride.plans.oracle import MECH, SOLID, VOCAB, q, sql
+from lanestride.session import stage
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -30,7 +31,7 @@ def emitted(spark: SparkSession, sf: str, limits: E.Limits = E.Limits()) -> Data
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    play = gameplay(spark, sf)
+    play = stage(gameplay(spark, sf))
     return E.stats_records(B.objects(spark, sf), play, E.emit_tokens(play, B.levels(spark, sf)))
 
 
@@ -101,7 +102,7 @@ def _records(play: DataFrame) -> DataFrame:
 
 
 def roundtrip(s: SparkSession, d: str) -> DataFrame:
-    play = gameplay(s, d)
+    play = stage(gameplay(s, d))
     return G.roundtrip_check(E.emit_tokens(play, B.levels(s, d)), _records(play))
 
 
@@ -203,7 +204,7 @@ register("unknown_tokens", with_tc(f"SELECT token, count FROM tc WHERE token NOT
   (SELECT round(sum(unknown_object_count) / sum(object_count_raw), 6) FROM stats) AS unknown_object_rate,
   (SELECT round(-sum(count / t * log2(count / t)), 6) FROM tc, (SELECT sum(count) AS t FROM tc)) AS token_entropy, (SELECT count(*) FROM tc) AS vocab_observed, CAST(0 AS BIGINT) AS unknown_token_count,
   (SELECT string_agg(difficulty || '=' || n, ' ' ORDER BY difficulty) FROM (SELECT difficulty, count(*) AS n FROM acc GROUP BY 1)) AS difficulty_counts,
-  (SELECT string_agg(reason || '=' || n, ' ' ORDER BY reason) FROM (SELECT reason, count(*) AS n FROM stats WHERE reason <> '' GROUP BY 1)) AS rejection_reasons,
+  (SELECT coalesce(string_agg(reason || '=' || n, ' ' ORDER BY reason), '') FROM (SELECT reason, count(*) AS n FROM stats WHERE reason <> '' GROUP BY 1)) AS rejection_reasons,
   (SELECT string_agg(token || '=' || count, ' ' ORDER BY count DESC, token) FROM (SELECT * FROM tc ORDER BY count DESC, token LIMIT 25)) AS top_tokens,
   (SELECT string_agg(token || '=' || count, ' ' ORDER BY count, token) FROM (SELECT * FROM tc ORDER BY count, token LIMIT 25)) AS rarest_tokens,
   (SELECT string_agg(object_id || '=' || c, ' ' ORDER BY c DESC, object_id) FROM (SELECT object_id, sum(count) AS c FROM unk GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25)) AS top_unknown_object_ids,
@@ -212,7 +213,7 @@ register("unknown_tokens", with_tc(f"SELECT token, count FROM tc WHERE token NOT
   (SELECT coalesce(string_agg(token || '=' || count, ' ' ORDER BY count DESC, token), '') FROM tc WHERE token IN ({q(LEX.orbs)})) AS orb_frequency
  FROM ({LEN.format('acc')}) x""")
 def dataset_report(s: SparkSession, d: str) -> DataFrame:
-    st = stats(s, d)
+    st = stage(stats(s, d))
     out = A.dataset_report(st.where("accepted"), st)
     for name, key in (("difficulty_counts", "key"), ("rejection_reasons", "key")):
         out = out.withColumn(name, F.expr(f"array_join(transform(map_entries({name}), e -> concat(e.key, '=', e.value)), ' ')"))
@@ -223,7 +224,6 @@ def dataset_report(s: SparkSession, d: str) -> DataFrame:
 
 
 # -- quality ------------------------------------------------------------------
-SOLIDO = lambda o: f"{o}.token IN ({SOLID})"
 LANE_NEXT = f"""CASE WHEN o.token IN ({SOLID}) THEN CASE WHEN o.y_lane <= a.lane AND o.y_lane + 1 >= a.lane THEN greatest(a.lane, o.y_lane + 1)
    WHEN o.y_lane < a.lane THEN greatest(1, o.y_lane + 1) ELSE a.lane END
    WHEN o.token IN ({q(LEX.orbs)}) THEN greatest(greatest(1, a.lane - 2), least(least(15, a.lane + 2), o.y_lane))

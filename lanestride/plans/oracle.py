@@ -6,7 +6,7 @@ SQL names the fragments it needs.
 from __future__ import annotations
 
 from lanestride.dims import DEFAULT as LEX
-from lanestride.plans.bindings import EPOCH_US, HOUR_US, LABELS, SOURCES
+from lanestride.plans.bindings import EPOCH_US, HOUR_US, LABELS, ORDER_LINES, SOURCES
 
 
 def q(values) -> str:
@@ -65,6 +65,7 @@ def grammar_sql(source: str, prefix: str) -> str:
 
 _label = lambda names, n: f"[{q(names)}][CAST(user_id % {n} AS INT) + 1]"
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
+    "ol": ((), f"ol AS (SELECT {ORDER_LINES} FROM orders)"),
     "omap": ((), f"omap(object_id, token) AS (VALUES {LEX.object_map_values()})"),
     "mech": ((), f"mech(token, rank, is_solid) AS (VALUES {LEX.mechanics_values()})"),
     "obj": ((), f"obj AS (SELECT user_id AS level_id, event_id AS seq, CAST(json_extract_string(props, '$.k') AS BIGINT) AS object_id, {X_HOURS} AS x, value AS y FROM events)"),
