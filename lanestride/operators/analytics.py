@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
 from lanestride.functions.columns import sql_text
-from lanestride.operators.grammar import grammar_errors
+from lanestride.operators.grammar import with_errors
 
 
 def token_counts(sequences: DataFrame) -> DataFrame:
@@ -83,8 +83,8 @@ def source_diversity(records: DataFrame, approximate: bool = False) -> DataFrame
 
 
 def grammar_validity(sequences: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
-    good = (F.size(grammar_errors("tokens", lexicon)) == 0).cast("double")
-    return sequences.where(F.size("tokens") > 0).agg(
+    good = (F.size("errors") == 0).cast("double")
+    return with_errors(sequences.where(F.size("tokens") > 0).select("tokens"), lexicon).agg(
         F.coalesce(F.round(F.avg(good), 6), F.lit(0.0)).alias("grammar_validity"))
 
 

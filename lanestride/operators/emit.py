@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
 from lanestride.functions.columns import sql_text
-from lanestride.operators.grammar import grammar_errors
+from lanestride.operators.grammar import with_errors
 from lanestride.operators.objects import LEVEL, difficulty_token, event_order, object_stats
 
 
@@ -30,23 +30,20 @@ def emit_tokens(gameplay: DataFrame, levels: DataFrame, lexicon: Lexicon = DEFAU
     """``(level_id, tokens, emit_error)`` for every row of ``levels``.
 
     A sequence holds at least one mark per step, so nothing past step
-    ``max_token_length`` can be emitted: rows beyond it are replaced by one
-    over-long marker before any per-level window, which bounds a level's group
-    by the cap times the cells of a step whatever the level's size.
+    ``max_token_length`` can be emitted: rows beyond it fold into one over-long
+    marker while steps are packed, which bounds a level's window by the cap and
+    a step's list by the cells of a step, whatever the level's size.
 
     Emission stops before a gap that would pass the cap or after the event that
     did; such a sequence has no closing marks and carries ``emit_error``.
     """
     cap = limits.max_token_length
-    cells = gameplay.select(LEVEL, "x_step", "token", "y_lane", "object_id", "width")
-    beyond = (cells.where(F.col("x_step") > cap).groupBy(LEVEL).agg(F.min("x_step").alias("x_step"))
-                   .withColumn("_late", F.lit(True)))
-    bounded = cells.where(F.col("x_step") <= cap).withColumn("_late", F.lit(False)).unionByName(
-        beyond, allowMissingColumns=True)
-    packed = F.array_sort(F.collect_list(F.when(
-        ~F.col("_late"), F.struct("rank", "y_lane", "object_id", "token", "width"))))
-    pieces = (event_order(bounded, lexicon).repartition(F.col(LEVEL)).groupBy(LEVEL, "x_step")
-              .agg(packed.alias("_events"), F.max("_late").alias("_late"))
+    late = F.col("x_step") > cap
+    cells = event_order(gameplay, lexicon).select(
+        LEVEL, F.when(late, F.lit(cap + 1)).otherwise(F.col("x_step")).cast("bigint").alias("x_step"), late.alias("_late"),
+        F.when(~late, F.struct("rank", "y_lane", "object_id", "token", "width")).alias("_event"))
+    pieces = (cells.groupBy(LEVEL, "x_step")
+              .agg(F.array_sort(F.collect_list("_event")).alias("_events"), F.max("_late").alias("_late"))
               .select(LEVEL, "x_step", "_late",
                       F.expr(f"flatten(transform(_events, e -> {_event_sql(lexicon)}))").alias("piece")))
     order = W.partitionBy(LEVEL).orderBy("x_step")
@@ -102,7 +99,7 @@ def rejection_reason(lexicon: Lexicon = DEFAULT, limits: Limits = Limits()) -> C
              .when(count < limits.min_tokens, "too_few_tokens")
              .when(~F.array_contains("tokens", lexicon.start) | ~F.array_contains("tokens", lexicon.end),
                    "missing_start_or_end")
-             .when(F.size(grammar_errors("tokens", lexicon)) > 0, "invalid_token_grammar")
+             .when(F.size("errors") > 0, "invalid_token_grammar")
              .when(F.col("unknown_object_ratio") > limits.max_unknown_ratio, "unknown_object_ratio_too_high")
              .when(F.col("emit_error").isNotNull(), F.col("emit_error"))
              .when(count > limits.max_token_length, "absurd_token_length")
@@ -115,7 +112,7 @@ def stats_records(objects: DataFrame, gameplay: DataFrame, emitted: DataFrame, l
 
     ``decode_failures`` (level_id, difficulty, source, reason, detail) yield a stats row and nothing else.
     """
-    joined = (emitted.join(object_stats(objects, lexicon), LEVEL, "left")
+    joined = (with_errors(emitted, lexicon).join(object_stats(objects, lexicon), LEVEL, "left")
                      .join(gameplay_counts(gameplay), LEVEL, "left")
                      .fillna(0, ["object_count_raw", "gameplay_source_object_count", "ignored_object_count",
                                  "unknown_object_count", "object_count_gameplay", "unique_x_steps"])

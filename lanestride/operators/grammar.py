@@ -16,98 +16,106 @@ KEY = "level_id"
 OBJECT_TYPE = "struct<token:string,x_step:bigint,y_lane:bigint,width:bigint>"
 
 
+SOLID, MECH, LANE, WIDTH, STEP, DIFF, ALIGN, START, END, OTHER = 1, 2, 3, 4, 5, 6, 7, 8, 9, 0
+
+
 def kind_sql(token: str, lexicon: Lexicon) -> str:
-    """Token class: S solid, M other mechanic, Y lane, W width, + step, D difficulty, A align, B start, E end, ? other."""
+    """Token class as a small integer, the most frequent classes first."""
     plain = tuple(t for t in lexicon.mechanics if t not in lexicon.solids)
     text = lambda ts: ", ".join(sql_text(t) for t in ts)
-    return (f"CASE WHEN {token} = {sql_text(lexicon.step)} THEN '+' "
-            f"WHEN {token} IN ({text(lexicon.lane_tokens)}) THEN 'Y' "
-            f"WHEN {token} IN ({text(lexicon.solids)}) THEN 'S' "
-            f"WHEN {token} IN ({text(plain)}) THEN 'M' "
-            f"WHEN {token} IN ({text(lexicon.width_tokens)}) THEN 'W' "
-            f"WHEN {token} = {sql_text(lexicon.end)} THEN 'E' "
-            f"WHEN {token} = {sql_text(lexicon.start)} THEN 'B' "
-            f"WHEN {token} = {sql_text(lexicon.align)} THEN 'A' "
-            f"WHEN {token} IN ({text(lexicon.difficulties)}) THEN 'D' ELSE '?' END")
+    return (f"CASE WHEN {token} = {sql_text(lexicon.step)} THEN {STEP} "
+            f"WHEN {token} IN ({text(lexicon.lane_tokens)}) THEN {LANE} "
+            f"WHEN {token} IN ({text(lexicon.width_tokens)}) THEN {WIDTH} "
+            f"WHEN {token} IN ({text(lexicon.solids)}) THEN {SOLID} "
+            f"WHEN {token} IN ({text(plain)}) THEN {MECH} "
+            f"WHEN {token} = {sql_text(lexicon.end)} THEN {END} "
+            f"WHEN {token} = {sql_text(lexicon.start)} THEN {START} "
+            f"WHEN {token} = {sql_text(lexicon.align)} THEN {ALIGN} "
+            f"WHEN {token} IN ({text(lexicon.difficulties)}) THEN {DIFF} ELSE {OTHER} END")
 
 
-def _tagged_sql(tokens: str, lexicon: Lexicon) -> str:
-    return f"transform({tokens}, t -> struct(t AS t, {kind_sql('t', lexicon)} AS k))"
+def _bind(value: str, name: str, body: str) -> str:
+    """SQL ``let name = value in body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _body_sql(tagged: str) -> str:
-    """Tokens after the prefix and before the first end mark."""
-    prefix = (f"1 + CASE WHEN get({tagged}, 1).k = 'D' THEN 1 + int(coalesce(get({tagged}, 2).k = 'A', false)) "
-              f"ELSE int(coalesce(get({tagged}, 1).k = 'A', false)) END")
-    rest = f"slice({tagged}, 1 + {prefix}, greatest(0, size({tagged}) - ({prefix})))"
-    return (f"element_at(transform(array({rest}), r -> CASE WHEN array_position(transform(r, e -> e.k), 'E') > 0 "
-            f"THEN slice(r, 1, int(array_position(transform(r, e -> e.k), 'E')) - 1) ELSE r END), 1)")
+def tagged(tokens: str, lexicon: Lexicon = DEFAULT) -> Column:
+    """The sequence as ``(k kinds, p prefix length, e position of the first end mark or the size)``.
 
+    Computed once per row; every rule below reads the integer kinds.
+    """
+    prefix = (f"1 + CASE WHEN get(k, 1) = {DIFF} THEN 1 + int(coalesce(get(k, 2) = {ALIGN}, false)) "
+              f"ELSE int(coalesce(get(k, 1) = {ALIGN}, false)) END")
+    rest = "slice(k, 1 + p, greatest(0, size(k) - p))"
+    end = f"int(array_position({rest}, {END}))"
+    parts = _bind(prefix, "p", f"named_struct('k', k, 'p', p, 'e', {_bind(end, 'f', 'CASE WHEN f > 0 THEN p + f - 1 ELSE size(k) END')})")
+    return F.expr(_bind(f"transform({tokens}, t -> {kind_sql('t', lexicon)})", "k", parts))
 
-def _bind(value: str, name: str, body: str) -> str:
-    """SQL ``let name = value in body``."""
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
+def errors_of(tokens: str, tag: str) -> Column:
+    """Ordered errors of a tagged sequence: start, end, by position, after-end.
 
-def grammar_errors(tokens: str, lexicon: Lexicon = DEFAULT) -> Column:
-    """Ordered error list of one token array: start, end, by position, after-end."""
-    k = lambda d: f"coalesce(get(b, i + {d}).k, '-')" if d >= 0 else f"coalesce(get(b, i - {-d}).k, '-')"
-    is_mech = lambda d: f"{k(d)} IN ('S', 'M')"
+    Neighbours before the body's first position do not count; those after the
+    end mark never decide anything, since the end mark itself breaks a rule.
+    """
+    k = lambda d: f"coalesce(get({tag}.k, i + {d}), -1)"
+    back = lambda d: f"CASE WHEN i - {d} >= {tag}.p THEN get({tag}.k, i - {d}) ELSE -1 END"
+    name = f"get({tokens}, i)"
     error = (
-        "CASE "
-        f"WHEN e.k IN ('S', 'M') AND {k(1)} <> 'Y' THEN concat('missing_y_after:', e.t) "
-        f"WHEN e.k = 'S' AND {k(2)} <> 'W' THEN concat('missing_width_after:', e.t) "
-        f"WHEN e.k = 'M' AND {k(2)} = 'W' THEN concat('unexpected_width_after:', e.t) "
-        f"WHEN e.k = 'Y' AND NOT ({is_mech(-1)}) THEN concat('orphan_y_token:', e.t) "
-        f"WHEN e.k = 'W' AND NOT ({k(-1)} = 'Y' AND {is_mech(-2)}) THEN concat('orphan_width_token:', e.t) "
-        "WHEN e.k = 'B' THEN 'unexpected_start' "
-        "WHEN e.k IN ('D', 'A') THEN concat('unexpected_prefix_token:', e.t) "
-        "WHEN e.k = '?' THEN concat('unknown_token:', e.t) END")
-    body_errors = _bind(_body_sql("g"), "b", f"filter(transform(b, (e, i) -> {error}), x -> x IS NOT NULL)")
-    prefix = f"1 + CASE WHEN get(g, 1).k = 'D' THEN 1 + int(coalesce(get(g, 2).k = 'A', false)) ELSE int(coalesce(get(g, 1).k = 'A', false)) END"
-    tail = f"array_position(transform(slice(g, 1 + {prefix}, greatest(0, size(g) - ({prefix}))), e -> e.k), 'E')"
-    checks = (
-        "concat("
-        "CASE WHEN g[0].k <> 'B' THEN array('missing_start') ELSE array() END, "
-        "CASE WHEN element_at(g, -1).k <> 'E' THEN array('missing_end') ELSE array() END, "
-        f"{body_errors}, "
-        f"CASE WHEN {tail} > 0 AND {prefix} + {tail} < size(g) THEN array('tokens_after_end') ELSE array() END)")
-    return F.expr(f"CASE WHEN coalesce(size({tokens}), 0) <= 0 THEN array('empty_sequence') "
-                  f"ELSE {_bind(_tagged_sql(tokens, lexicon), 'g', checks)} END")
-
-
-def reconstructed_objects(tokens: str, lexicon: Lexicon = DEFAULT) -> Column:
-    """Objects of one token array in order.
+        f"CASE x WHEN {STEP} THEN NULL "
+        f"WHEN {LANE} THEN CASE WHEN {back(1)} IN ({SOLID}, {MECH}) THEN NULL ELSE concat('orphan_y_token:', {name}) END "
+        f"WHEN {WIDTH} THEN CASE WHEN {back(1)} = {LANE} AND {back(2)} IN ({SOLID}, {MECH}) THEN NULL ELSE concat('orphan_width_token:', {name}) END "
+        f"WHEN {SOLID} THEN CASE WHEN {k(1)} <> {LANE} THEN concat('missing_y_after:', {name}) "
+        f"WHEN {k(2)} <> {WIDTH} THEN concat('missing_width_after:', {name}) END "
+        f"WHEN {MECH} THEN CASE WHEN {k(1)} <> {LANE} THEN concat('missing_y_after:', {name}) "
+        f"WHEN {k(2)} = {WIDTH} THEN concat('unexpected_width_after:', {name}) END "
+        f"WHEN {START} THEN 'unexpected_start' "
+        f"WHEN {OTHER} THEN concat('unknown_token:', {name}) ELSE concat('unexpected_prefix_token:', {name}) END")
+    body = (f"filter(transform({tag}.k, (x, i) -> CASE WHEN i < {tag}.p OR i >= {tag}.e THEN NULL ELSE {error} END), m -> m IS NOT NULL)")
+    return F.expr(
+        f"CASE WHEN coalesce(size({tokens}), 0) <= 0 THEN array('empty_sequence') ELSE concat("
+        f"CASE WHEN {tag}.k[0] <> {START} THEN array('missing_start') ELSE array() END, "
+        f"CASE WHEN element_at({tag}.k, -1) <> {END} THEN array('missing_end') ELSE array() END, {body}, "
+        f"CASE WHEN {tag}.e < size({tokens}) - 1 THEN array('tokens_after_end') ELSE array() END) END")
+
+
+def objects_of(tokens: str, tag: str) -> Column:
+    """Objects of a tagged sequence in order.
 
     The body is cut at its step marks; the index of a cut is the step of every
     object in it.  A rule never reaches over a step mark, so each piece is
     handled alone and the whole scan is linear.
     """
-    item = (f"CASE WHEN e.k IN ('S', 'M') AND get(s, i + 1).k = 'Y' AND (e.k = 'M' OR get(s, i + 2).k = 'W') "
-            f"THEN CAST(struct(e.t, c, bigint(substring(get(s, i + 1).t, 2)), "
-            f"CASE WHEN e.k = 'S' THEN bigint(substring(get(s, i + 2).t, 7)) ELSE 1 END) AS {OBJECT_TYPE}) END")
-    pieces = (f"flatten(transform(sequence(0, size(m)), c -> {_bind(_piece(), 's', f'filter(transform(s, (e, i) -> {item}), o -> o IS NOT NULL)')}))")
-    marks = "filter(transform(b, (e, i) -> CASE WHEN e.k = '+' THEN i END), x -> x IS NOT NULL)"
-    whole = _bind(_tagged_sql(tokens, lexicon), "g", _bind(_body_sql("g"), "b", _bind(marks, "m", pieces)))
+    item = (f"CASE WHEN x IN ({SOLID}, {MECH}) AND get({tag}.k, o + 1) = {LANE} AND (x = {MECH} OR get({tag}.k, o + 2) = {WIDTH}) "
+            f"THEN CAST(struct(get({tokens}, o), c, bigint(substring(get({tokens}, o + 1), 2)), "
+            f"CASE WHEN x = {SOLID} THEN bigint(substring(get({tokens}, o + 2), 7)) ELSE 1 END) AS {OBJECT_TYPE}) END")
+    low = f"CASE WHEN c = 0 THEN {tag}.p ELSE m[c - 1] + 1 END"
+    high = f"CASE WHEN c = size(m) THEN {tag}.e ELSE m[c] END"
+    piece = (f"transform(slice({tag}.k, 1 + a, greatest(0, {high} - a)), (x, i) -> {_bind('a + i', 'o', item)})")
+    found = f"filter({_bind(low, 'a', piece)}, o -> o IS NOT NULL)"
+    marks = f"filter(transform({tag}.k, (x, i) -> CASE WHEN x = {STEP} AND i >= {tag}.p AND i < {tag}.e THEN i END), x -> x IS NOT NULL)"
+    whole = _bind(marks, "m", f"flatten(transform(sequence(0, size(m)), c -> {found}))")
     return F.expr(f"CASE WHEN coalesce(size({tokens}), 0) <= 0 THEN CAST(array() AS array<{OBJECT_TYPE}>) ELSE {whole} END")
 
 
-def _piece() -> str:
-    low = "CASE WHEN c = 0 THEN 0 ELSE m[c - 1] + 1 END"
-    high = "CASE WHEN c = size(m) THEN size(b) ELSE m[c] END"
-    return f"slice(b, 1 + {low}, {high} - {low})"
+def with_objects(sequences: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """Add ``kinds``, ``objects`` and ``errors`` arrays next to ``tokens``; the sequence is tagged once."""
+    return (sequences.withColumn("_tag", tagged("tokens", lexicon))
+                     .withColumn("objects", objects_of("tokens", "_tag"))
+                     .withColumn("errors", errors_of("tokens", "_tag"))
+                     .withColumn("kinds", F.col("_tag.k")).drop("_tag"))
 
 
-def with_objects(sequences: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
-    """Add ``objects`` (array) and ``errors`` (array) next to ``tokens``."""
-    return (sequences.withColumn("objects", reconstructed_objects("tokens", lexicon))
-                     .withColumn("errors", grammar_errors("tokens", lexicon)))
+def with_errors(sequences: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """Add the ordered ``errors`` array."""
+    return sequences.withColumn("_tag", tagged("tokens", lexicon)).withColumn("errors", errors_of("tokens", "_tag")).drop("_tag")
 
 
 def reconstruct(sequences: DataFrame, lexicon: Lexicon = DEFAULT, key: str = KEY) -> DataFrame:
     """Object rows ``(key, sequence, token, x_step, y_lane, width)``."""
-    return (sequences.select(key, F.posexplode(reconstructed_objects("tokens", lexicon)).alias("sequence", "_o"))
-                     .select(key, F.col("sequence").cast("bigint").alias("sequence"), "_o.*"))
+    rows = sequences.select(key, "tokens").withColumn("_tag", tagged("tokens", lexicon))
+    return (rows.select(key, F.posexplode(objects_of("tokens", "_tag")).alias("sequence", "_o"))
+                .select(key, F.col("sequence").cast("bigint").alias("sequence"), "_o.*"))
 
 
 # -- comparison with the placed objects --------------------------------------
@@ -185,10 +193,11 @@ def illegal_transitions(sequences: DataFrame, lexicon: Lexicon = DEFAULT, min_ge
     position ``min_generated``.  After a sequence has ended nothing may follow.
     A lane mark counts as a solid's when the token before it is a solid.
     """
-    kind = {"B": "start", "D": "difficulty", "A": "align", "S": "solid", "M": "mechanic", "+": "step", "W": "width", "E": "end"}
-    names = " ".join(f"WHEN {sql_text(k)} THEN {sql_text(v)}" for k, v in kind.items())
-    lane = ("WHEN 'Y' THEN CASE WHEN coalesce(get(g, i - 1).k, '-') = 'S' THEN 'solid_lane' ELSE 'lane' END")
-    kinds = _bind(_tagged_sql("tokens", lexicon), "g", f"transform(g, (e, i) -> CASE e.k {names} {lane} ELSE 'other' END)")
+    kind = {START: "start", DIFF: "difficulty", ALIGN: "align", SOLID: "solid", MECH: "mechanic", STEP: "step", WIDTH: "width", END: "end"}
+    names = " ".join(f"WHEN {k} THEN {sql_text(v)}" for k, v in kind.items())
+    lane = f"WHEN {LANE} THEN CASE WHEN coalesce(get(g, i - 1), -1) = {SOLID} THEN 'solid_lane' ELSE 'lane' END"
+    codes = f"transform(tokens, t -> {kind_sql('t', lexicon)})"
+    kinds = _bind(codes, "g", f"transform(g, (e, i) -> CASE e {names} {lane} ELSE 'other' END)")
     allowed = [tuple(v.strip("'") for v in pair.split(", ")) for pair in lexicon.transition_values()[1:-1].split("), (")]
     legal = " OR ".join(f"(a = {sql_text(x)} AND b = {sql_text(y)})" for x, y in allowed)
     last_step = max_consecutive_steps
@@ -208,9 +217,9 @@ def close_sequence(tokens: str, lexicon: Lexicon = DEFAULT) -> Column:
     q = sql_text
     last = f"element_at({tokens}, -1)"
     here = kind_sql(last, lexicon)
-    filler = (f"CASE {here} WHEN 'S' THEN array({q('Y0')}, {q('WIDTH_1')}) WHEN 'M' THEN array({q('Y0')}) "
-              f"WHEN 'Y' THEN CASE WHEN {open_solid_sql(tokens, lexicon)} THEN array({q('WIDTH_1')}) ELSE array() END "
-              f"WHEN 'D' THEN array({q(lexicon.align)}) ELSE array() END")
+    filler = (f"CASE {here} WHEN {SOLID} THEN array({q('Y0')}, {q('WIDTH_1')}) WHEN {MECH} THEN array({q('Y0')}) "
+              f"WHEN {LANE} THEN CASE WHEN {open_solid_sql(tokens, lexicon)} THEN array({q('WIDTH_1')}) ELSE array() END "
+              f"WHEN {DIFF} THEN array({q(lexicon.align)}) ELSE array() END")
     step = f"CASE WHEN {last} = {q(lexicon.step)} THEN array() ELSE array({q(lexicon.step)}) END"
     empty = f"array({q(lexicon.start)}, 'DIFF_NA', {q(lexicon.align)}, {q(lexicon.step)}, {q(lexicon.end)})"
     return F.expr(f"CASE WHEN coalesce(size({tokens}), 0) <= 0 THEN {empty} ELSE "
@@ -220,8 +229,8 @@ def close_sequence(tokens: str, lexicon: Lexicon = DEFAULT) -> Column:
 def open_solid_sql(tokens: str, lexicon: Lexicon) -> str:
     """Whether the nearest earlier mechanic, not crossing a step or prefix mark, is a solid."""
     before = f"reverse(slice({tokens}, 1, size({tokens}) - 1))"
-    seen = f"filter(transform({before}, t -> {kind_sql('t', lexicon)}), k -> k IN ('S', 'M', '+', 'B', 'A', 'D'))"
-    return f"coalesce(get({seen}, 0), '-') = 'S'"
+    seen = f"filter(transform({before}, t -> {kind_sql('t', lexicon)}), k -> k IN ({SOLID}, {MECH}, {STEP}, {START}, {ALIGN}, {DIFF}))"
+    return f"coalesce(get({seen}, 0), -1) = {SOLID}"
 
 
 def unknown_tokens(tokens: str, known: tuple[str, ...]) -> Column:
@@ -235,8 +244,8 @@ def generation_validity(sequences: DataFrame, lexicon: Lexicon = DEFAULT, known:
     """Grammar errors plus one sorted ``unknown_token:`` error per token outside ``known``."""
     strange = unknown_tokens("tokens", known or lexicon.base_vocabulary)
     extra = F.expr("transform(array_sort(array_distinct(_strange)), t -> concat('unknown_token:', t))")
-    return (sequences.withColumn("_strange", strange)
-            .select(key, "tokens", "_strange", F.concat(grammar_errors("tokens", lexicon), extra).alias("errors"))
+    return (with_errors(sequences.withColumn("_strange", strange), lexicon)
+            .select(key, "tokens", "_strange", F.concat("errors", extra).alias("errors"))
             .select(key, (F.size("errors") == 0).alias("valid"), "errors",
                     F.size("_strange").cast("bigint").alias("invalid_token_count"),
                     F.round(F.size("_strange") / F.greatest(F.size("tokens"), F.lit(1)), 6).alias("invalid_token_rate")))

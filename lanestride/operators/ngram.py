@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, STYLE_BONUS, Lexicon, relation, style_values
 from lanestride.functions.columns import sql_text
-from lanestride.operators.spread import attach, order_statistic
+from lanestride.operators.spread import order_statistic
 
 KEY = "level_id"
 
@@ -60,14 +60,14 @@ def ngram_counts(windows: DataFrame, n: int) -> DataFrame:
     """``(order, context, target, count, context_total)`` for every context length 0..n.
 
     Full-length examples are counted first, so shorter contexts expand the
-    combined counts and not the corpus.
+    combined counts and not the corpus.  After counting, a context holds at most
+    one row per vocabulary item, which bounds every later group.
     """
     full = windows.groupBy("context", "target").agg(F.count(F.lit(1)).alias("count"))
     counts = (full.select(F.explode(F.expr(_suffixes(n))).alias("c"), "target", "count")
                   .groupBy("c.order", "c.context", "target").agg(F.sum("count").alias("count")))
-    totals = counts.groupBy("order", "context").agg(F.sum("count").alias("context_total"),
-                                                    F.count(F.lit(1)).alias("_targets"))
-    return attach(counts, totals, ["order", "context"], "_targets", F.col("target")).drop("_targets")
+    totals = counts.groupBy("order", "context").agg(F.sum("count").alias("context_total"))
+    return counts.join(totals, ["order", "context"]).select("order", "context", "target", "count", "context_total")
 
 
 def ngram_probabilities(counts: DataFrame, vocab_size: int, alpha: float = 1.0) -> DataFrame:
@@ -109,9 +109,8 @@ def reweight(probabilities: DataFrame, temperature: float = 1.0, top_k: int = 0,
         best = W.partitionBy(*group).orderBy(F.desc("_w"), F.asc("target"))
         rows = rows.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= top_k).drop("_r")
         return rows.withColumn("weight", F.col("_w") / F.sum("_w").over(W.partitionBy(*group))).drop("_w")
-    totals = rows.groupBy(*group).agg(F.sum("_w").alias("_t"), F.count(F.lit(1)).alias("_n"))
-    return (attach(rows, totals, list(group), "_n", F.col("target"))
-            .withColumn("weight", F.col("_w") / F.col("_t")).drop("_w", "_t", "_n"))
+    totals = rows.groupBy(*group).agg(F.sum("_w").alias("_t"))
+    return rows.join(totals, list(group)).withColumn("weight", F.col("_w") / F.col("_t")).drop("_w", "_t")
 
 
 def style_weights(counts: DataFrame, styles: list[str], lexicon: Lexicon = DEFAULT) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
 from lanestride.functions.columns import sql_text
-from lanestride.operators.grammar import KEY, max_repetition, with_objects
+from lanestride.operators.grammar import KEY, MECH, SOLID, STEP, max_repetition, with_objects
 
 CONTROL_GAP = 8
 
@@ -99,10 +99,11 @@ def lane_path(objects: str, lexicon: Lexicon = DEFAULT) -> Column:
 def quality_report(sequences: DataFrame, lexicon: Lexicon = DEFAULT, key: str = KEY,
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """All quality columns of each sequence; ``keep`` passes other columns through."""
-    has = lambda group: F.expr(f"size(filter(tokens, t -> {lexicon.is_in('t', group)}))")
+    among = lambda group: F.expr(f"size(filter(_mechanics, t -> {lexicon.is_in('t', group)}))")
     base = (with_objects(sequences, lexicon)
             .withColumn("object_count", F.size("objects").cast("bigint"))
-            .withColumn("step_count", F.expr(f"size(filter(tokens, t -> t = {sql_text(lexicon.step)}))").cast("bigint"))
+            .withColumn("step_count", F.expr(f"size(filter(kinds, k -> k = {STEP}))").cast("bigint"))
+            .withColumn("_mechanics", F.expr(f"filter(tokens, (t, i) -> kinds[i] IN ({SOLID}, {MECH}))"))
             .withColumn("duplicate_positions", duplicate_positions("objects", lexicon))
             .withColumn("max_objects_per_step", max_objects_per_step("objects"))
             .withColumn("control_spam", control_spam("objects", lexicon))
@@ -117,9 +118,9 @@ def quality_report(sequences: DataFrame, lexicon: Lexicon = DEFAULT, key: str =
              - F.size("errors") * 18.0 - c("duplicate_positions") * 5.0
              - F.greatest(F.lit(0), c("max_objects_per_step") - 3) * 6.0
              - c("control_spam") * 8.0 - c("_path.gaps") * 4.0 - c("_path.jumps") * 7.0 - c("_path.hits") * 9.0
-             + balance * 24.0 + capped(c("diversity")) * 30.0 + capped(has("mechanics") / c("_n")) * 18.0
+             + balance * 24.0 + capped(c("diversity")) * 30.0 + capped(F.size("_mechanics") / c("_n")) * 18.0
              + capped(c("step_count") / c("_n")) * 10.0
-             + F.least(has("orbs"), F.lit(12)) * 0.8 + F.least(has("portals"), F.lit(4)) * 0.8
+             + F.least(among("orbs"), F.lit(12)) * 0.8 + F.least(among("portals"), F.lit(4)) * 0.8
              - F.when(c("object_count") == 0, 80.0).otherwise(0.0)
              - F.when(c("step_count") < 12, 30.0).otherwise(0.0))
     return base.select(

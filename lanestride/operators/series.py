@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.functions.columns import half_even
-from lanestride.operators.spread import attach, count_up, halo, islands, neighbours, ordered_index
+from lanestride.operators.spread import attach_dense, count_up, halo, islands, neighbours, ordered_index
 
 S = "series"
 
@@ -39,7 +39,7 @@ def rms_by_time(points: DataFrame, width: float, spacing: float | None = None) -
 def minmax_normalise(energy: DataFrame) -> DataFrame:
     facts = energy.groupBy(S).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-9))
-    return (attach(energy, facts, S, "_n", F.col("idx"))
+    return (attach_dense(energy, facts, S, "_n", "idx")
             .withColumn("value", (F.col("value") - F.col("_lo")) / span).drop("_n", "_lo", "_hi"))
 
 
@@ -61,10 +61,10 @@ def onset_candidates(energy: DataFrame, floor: float = 0.08, factor: float = 1.1
              .withColumn("delta", F.greatest(F.lit(0.0), F.col("value") - F.lag("value").over(w)))
              .withColumn("_prior", F.lag("idx").over(w))
              .where(F.col("_own") & F.col("_prior").isNotNull()).select(S, "idx", "t", "delta"))
-    facts = rises.groupBy(S).agg(F.count(F.lit(1)).alias("_n"), F.avg("delta").alias("_m"), F.stddev_pop("delta").alias("_d"))
+    facts = rises.groupBy(S).agg((F.count(F.lit(1)) + 1).alias("_n"), F.avg("delta").alias("_m"), F.stddev_pop("delta").alias("_d"))
     threshold = F.greatest(F.lit(floor), F.col("_m") + F.col("_d") * factor)
-    return (attach(rises, facts, S, "_n", F.col("idx"))
-            .where((F.col("_n") + 1 >= min_points) & (F.col("delta") >= threshold)).select(S, "idx", "t", "delta"))
+    return (attach_dense(rises, facts, S, "_n", "idx")
+            .where((F.col("_n") >= min_points) & (F.col("delta") >= threshold)).select(S, "idx", "t", "delta"))
 
 
 def _walk_gap(gap: float, keys: list[str], place: str):
@@ -195,7 +195,7 @@ def sections(energy: DataFrame, lengths: DataFrame, count: int = 12) -> DataFram
     guess = F.floor(F.col("t") / F.col("_w"))
     index = (F.when(F.col("t") < guess * F.col("_w"), guess - 1)
               .when(F.col("t") >= (guess + 1) * F.col("_w"), guess + 1).otherwise(guess))
-    placed = (attach(energy, facts, S, "points", F.col("idx"))
+    placed = (attach_dense(energy, facts, S, "points", "idx")
               .withColumn("section", F.least(index, F.col("_c") - 1)).where(F.col("t") < F.col("duration")))
     means = placed.groupBy(S, "section").agg(F.avg("value").alias("_e"))
     grid = facts.withColumn("section", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_c").cast("bigint") - 1)))

@@ -46,6 +46,18 @@ def attach(rows: DataFrame, facts: DataFrame, key: str | Sequence[str], weight:
         *[c for c in rows.columns], *[F.col("_fact")[c].alias(c) for c in carried])
 
 
+def attach_dense(rows: DataFrame, facts: DataFrame, key: str, count: str, index: str, chunk: int = INDEX_CHUNK) -> DataFrame:
+    """Join per-key ``facts`` onto rows that carry a dense 0-based ``index``.
+
+    A key with ``count`` rows has exactly ceil(count / chunk) index chunks, so the
+    facts are repeated once per chunk and the join runs on (key, chunk): a hot
+    key is cut evenly and nothing needs to be broadcast.
+    """
+    last = F.floor((F.col(count) - 1) / chunk).cast("bigint")
+    per_chunk = facts.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return (rows.withColumn("_at", F.floor(F.col(index) / chunk).cast("bigint")).join(per_chunk, [key, "_at"]).drop("_at"))
+
+
 def halo(rows: DataFrame, index: str, before: int, after: int, chunk: int = INDEX_CHUNK,
          only: Column | None = None) -> DataFrame:
     """Add ``_chunk``/``_own`` so windows by (key, ``_chunk``) see their neighbours.

@@ -86,10 +86,10 @@ register("reconstruct", sql("SELECT level_id, sequence, token, CAST(x_step AS BI
 register("reconstruct_emitted", sql("SELECT level_id, sequence, token, CAST(x_step AS BIGINT) AS x_step, y_lane, width FROM sobj", "sgram"))(
     lambda s, d: G.reconstruct(emitted(s, d)))
 register("grammar_errors", sql("SELECT level_id, count(err) AS n_errors, coalesce(string_agg(err, ' ' ORDER BY pos), '') AS errors FROM dirty LEFT JOIN derr USING (level_id) GROUP BY 1", "dgram"))(
-    lambda s, d: B.dirty(s, d).select("level_id", G.grammar_errors("tokens").alias("e")).select("level_id", F.size("e").cast("bigint").alias("n_errors"), text("e").alias("errors")))
+    lambda s, d: G.with_errors(B.dirty(s, d)).select("level_id", F.size("errors").cast("bigint").alias("n_errors"), text("errors").alias("errors")))
 register("grammar_errors_words", sql("""SELECT level_id, 1 + CASE WHEN tokens[-1] <> 'END' THEN 1 ELSE 0 END + len(tokens) - 1 AS n_errors, tokens[2] AS second FROM words WHERE len(tokens) > 0
     UNION ALL SELECT level_id, 1, NULL FROM words WHERE len(tokens) = 0""", "words"))(
-    lambda s, d: B.words(s, d).select("level_id", F.size(G.grammar_errors("tokens")).cast("bigint").alias("n_errors"), F.get("tokens", F.lit(1)).alias("second")))
+    lambda s, d: G.with_errors(B.words(s, d)).select("level_id", F.size("errors").cast("bigint").alias("n_errors"), F.get("tokens", F.lit(1)).alias("second")))
 
 
 def _records(play: DataFrame) -> DataFrame:
