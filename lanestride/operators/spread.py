@@ -35,8 +35,10 @@ def attach(rows: DataFrame, facts: DataFrame, key: str | Sequence[str], weight:
     keys = [key] if isinstance(key, str) else list(key)
     carried = [c for c in facts.columns if c not in keys]
     hot = facts.where(F.col(weight) > hot_rows).select(*keys, F.struct(*carried).alias("_hot"))
-    cold = facts.where(F.col(weight) <= hot_rows).select(
-        *keys, F.lit(0).cast("bigint").alias("_salt"), F.struct(*carried).alias("_cold"))
+    # Always 0, but not a literal: a literal would be folded out of the join keys
+    # and the spread rows would hash on the key alone.
+    zero = F.floor(F.col(weight) / F.lit(hot_rows + 1)).cast("bigint")
+    cold = facts.where(F.col(weight) <= hot_rows).select(*keys, zero.alias("_salt"), F.struct(*carried).alias("_cold"))
     tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), F.xxhash64(spread)).otherwise(F.lit(0)).cast("bigint"))
     joined = tagged.join(cold, [*keys, "_salt"], "left").withColumn("_fact", F.coalesce("_hot", "_cold"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lanestride.dims import DEFAULT
 from lanestride.functions.columns import sql_text
+from lanestride.sources.readers import balanced
 
 LABELS = ["easy", "Normal", " HARD ", "Insane Demon", "EXTREME_DEMON", "auto", "harder", "easy demon", "???"]
 SOURCES = ["", "recent", "featured", "awarded", "trending"]
@@ -20,13 +21,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return balanced(table(spark, sf, "documents"), "doc_id")
+
+
 def _micros() -> str:
     return "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
 
 
 def objects(spark: SparkSession, sf: str) -> DataFrame:
     """Events as placed objects: one level per user."""
-    return table(spark, sf, "events").select(
+    return balanced(table(spark, sf, "events"), "event_id").select(
         F.col("user_id").alias("level_id"), F.col("event_id").alias("seq"),
         F.expr("try_cast(get_json_object(props, '$.k') AS BIGINT)").alias("object_id"),
         F.expr(f"({_micros()} - {EPOCH_US}) / {float(HOUR_US)}D").alias("x"), F.col("value").alias("y"))
@@ -40,7 +45,7 @@ def levels(spark: SparkSession, sf: str) -> DataFrame:
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as plain word sequences."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("level_id"), "source", F.expr("filter(split(text, ' '), w -> w <> '')").alias("tokens"))
 
 
@@ -53,7 +58,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
               f"w -> element_at({DEFAULT.vocabulary_array_sql()}, int((ascii(w) * 7 + length(w)) % {len(DEFAULT.base_vocabulary)}) + 1))")
     head = "CASE WHEN doc_id % 3 < 2 THEN array('START', 'DIFF_HARD', 'ALIGN_UNKNOWN') ELSE array() END"
     tail = "CASE WHEN doc_id % 3 = 0 THEN array('END') ELSE array() END"
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("level_id"), "source", F.expr(f"concat({head}, {mapped}, {tail})").alias("tokens"))
 
 

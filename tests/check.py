@@ -56,7 +56,7 @@ def main() -> None:
     from lanestride.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf), 0
     for name in names:
