@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
 from lanestride.functions.columns import half_even, sql_in, sql_text
-from lanestride.operators.spread import attach, halo, order_statistic
+from lanestride.operators.spread import INDEX_CHUNK, attach, halo, order_statistic
 
 LEVEL = "level_id"
 
@@ -65,7 +65,7 @@ def first_per_cell(quantized: DataFrame) -> DataFrame:
     return quantized.groupBy(LEVEL, "token", "y_lane", "x_step").agg(F.min("seq").alias("seq"), *keep)
 
 
-def merge_runs(quantized: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
+def merge_runs(quantized: DataFrame, lexicon: Lexicon = DEFAULT, chunk_steps: int = INDEX_CHUNK) -> DataFrame:
     """Gameplay rows: other tokens unique per cell, solids merged into runs.
 
     A run is a maximal stretch of consecutive steps of one (token, lane).  It
@@ -76,7 +76,7 @@ def merge_runs(quantized: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
     """
     reach = lexicon.max_width - 1
     solid = F.expr(lexicon.is_in("token", "solids"))
-    cells = halo(first_per_cell(quantized), "x_step", 1, reach, only=solid)
+    cells = halo(first_per_cell(quantized), "x_step", 1, reach, chunk_steps, only=solid)
     chunk = [LEVEL, "token", "y_lane", "_chunk"]
     ranked = cells.withColumn(
         "_run", F.when(solid, F.col("x_step") - F.row_number().over(W.partitionBy(*chunk).orderBy("x_step")))

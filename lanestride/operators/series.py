@@ -162,7 +162,7 @@ def tempo(onsets: DataFrame, energy: DataFrame, spacing: float = 0.1, low: float
     medians = between.groupBy(S).agg(F.percentile("gap", F.lit(0.5)).alias("_g"))
     lagged = best_lag(energy, spacing)
     return lagged.join(medians, S, "left").select(
-        S, fold_octave(F.coalesce(60.0 / F.greatest(F.col("_g"), F.lit(1e-9)), F.col("bpm"))).alias("bpm"))
+        S, fold_octave(F.when(F.col("_g").isNotNull(), 60.0 / F.greatest(F.col("_g"), F.lit(1e-9))).otherwise(F.col("bpm"))).alias("bpm"))
 
 
 def durations(energy: DataFrame, spacing: float = 0.1) -> DataFrame:

@@ -30,18 +30,32 @@ def balanced(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(cores, *keys) if size < cores * SMALL_SPLIT else rows
 
 
-def read_records(spark: SparkSession, path: str, schema: StructType, keep_rejects: bool = False) -> DataFrame:
-    """JSON lines.  Blank lines and lines that are not objects are dropped, or kept under ``_corrupt_record``."""
+def _parse(text: DataFrame, schema: StructType, keep_rejects: bool) -> DataFrame:
+    """JSON objects in ``value``; anything else is a reject with its text under ``_corrupt_record``."""
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return rows if keep_rejects else rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    parsed = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    bad = ~F.startswith(F.ltrim(F.col("value")), F.lit("{")) | F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
+    rows = text.where(F.trim("value") != "").withColumn("_r", parsed)
+    if not keep_rejects:
+        return rows.where(~bad).select(*[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields])
+    return rows.select(*[F.when(~bad, F.col(f"_r.{f.name}")).alias(f.name) for f in schema.fields],
+                       F.when(bad, F.col("value")).alias(CORRUPT))
+
+
+def read_records(spark: SparkSession, path: str, schema: StructType, keep_rejects: bool = False) -> DataFrame:
+    """JSON lines.  Blank lines are skipped; lines that are not objects of the schema are dropped,
+    or kept as rows of NULLs with their text under ``_corrupt_record``."""
+    return _parse(spark.read.text(path), schema, keep_rejects)
 
 
 def parse_records(rows: DataFrame, column: str, schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The same rule for JSON text already in a column."""
-    parsed = F.from_json(column, schema, {"mode": "PERMISSIVE"})
-    return (rows.where((F.trim(column) != "") & F.startswith(F.ltrim(F.col(column)), F.lit("{")) & F.get_json_object(column, "$").isNotNull())
-                .select(*keep, parsed.alias("_r")).select(*keep, "_r.*"))
+    fields = StructType.fromDDL(schema)
+    wide = StructType([*fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_json(column, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    good = F.startswith(F.ltrim(F.col(column)), F.lit("{")) & F.col("_r").isNotNull() & F.col(f"_r.{CORRUPT}").isNull()
+    return (rows.withColumn("_r", parsed).where(good)
+                .select(*keep, *[F.col(f"_r.{f.name}").alias(f.name) for f in fields]))
 
 
 def read_ids_text(spark: SparkSession, path: str, name: str = "level_id") -> DataFrame:
@@ -60,9 +74,7 @@ def tail_records(spark: SparkSession, path: str, schema: StructType, files_per_t
 
 def read_document(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A whole-file JSON document; a damaged one yields no row, so callers ``coalesce`` a default."""
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = spark.read.schema(wide).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return _parse(spark.read.text(path, wholetext=True), schema, False)
 
 
 def read_level_files(spark: SparkSession, path: str, pattern: str = "*.gmd") -> DataFrame:
