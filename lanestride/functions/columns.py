@@ -33,22 +33,22 @@ def to_float(column: Column | str, default: float | None = 0.0) -> Column:
 
 
 def pairs(column: str, delimiter: str) -> Column:
-    """Alternating ``k<d>v<d>k<d>v`` text as an array of ``(k, v)`` structs.
+    """Alternating ``k<d>v<d>k<d>v`` text as parallel arrays ``(k, v)``, last pair first; an odd tail is dropped.
 
-    The split is bound once with a one-element ``transform`` so that the text is
-    scanned once however many pairs it holds.
+    The text is split once.  Storing the pairs in reverse makes a plain
+    ``array_position`` find the last duplicate of a key.
     """
     parts = f"split({column}, {sql_text(chr(92) + 'Q' + delimiter + chr(92) + 'E')})"
+    back = "sequence(size(p) div 2 - 1, 0, -1)"
     return F.expr(
         f"element_at(transform(array({parts}), p -> CASE WHEN size(p) < 2 "
-        f"THEN CAST(array() AS array<struct<k:string,v:string>>) "
-        f"ELSE transform(sequence(0, size(p) div 2 - 1), i -> struct(p[2 * i] AS k, p[2 * i + 1] AS v)) END), 1)"
-    )
+        f"THEN named_struct('k', CAST(array() AS array<string>), 'v', CAST(array() AS array<string>)) "
+        f"ELSE named_struct('k', transform({back}, i -> p[2 * i]), 'v', transform({back}, i -> p[2 * i + 1])) END), 1)")
 
 
 def pick(pairs_column: str, key: str) -> Column:
     """Value of the last pair with this key, NULL when absent."""
-    return F.expr(f"try_element_at(filter({pairs_column}, p -> p.k = {sql_text(key)}), -1).v")
+    return F.expr(f"get({pairs_column}.v, int(array_position({pairs_column}.k, {sql_text(key)})) - 1)")
 
 
 def pairs_map(pairs_column: str) -> Column:
@@ -57,16 +57,5 @@ def pairs_map(pairs_column: str) -> Column:
     Written without relying on ``spark.sql.mapKeyDedupPolicy`` so the result is
     the same on every session.
     """
-    return F.expr(
-        f"map_from_entries(transform(array_distinct(transform({pairs_column}, p -> p.k)), "
-        f"key -> struct(key, element_at(filter({pairs_column}, p -> p.k = key), -1).v)))"
-    )
-
-
-def distinct_concat(*arrays: Column | str) -> Column:
-    """Keep-first distinct over the concatenation of arrays."""
-    return F.array_distinct(F.concat(*arrays))
-
-
-def one_row_total(column: Column) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0))
+    keys = f"array_distinct({pairs_column}.k)"
+    return F.expr(f"map_from_arrays({keys}, transform({keys}, x -> get({pairs_column}.v, int(array_position({pairs_column}.k, x)) - 1)))")

@@ -174,15 +174,14 @@ def neighbours(points: DataFrame, probes: DataFrame, keys: Sequence[str], place:
             *keys, place, cell, F.lit(None).cast(pts.select(carried.alias("c")).schema[0].dataType).alias("_p"),
             F.lit(1).alias("_probe")))
     cells = both.groupBy(*keys, "_cell").agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-    over = W.partitionBy(*keys).orderBy("_cell")
-    edges = cells.select(*keys, "_cell",
-                         F.last("_hi", True).over(over.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
-                         F.first("_lo", True).over(over.rowsBetween(1, W.unboundedFollowing)).alias("_after"))
+    # Both directions are running frames; one that reaches to the end would be quadratic.
+    earlier = lambda order: W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    edges = cells.select(*keys, "_cell", F.last("_hi", True).over(earlier(F.asc("_cell"))).alias("_before"),
+                         F.last("_lo", True).over(earlier(F.desc("_cell"))).alias("_after"))
     inside = W.partitionBy(*keys, "_cell")
-    found = (both.withColumn("_l", F.last("_p", True).over(
-                    inside.orderBy(place, "_probe").rowsBetween(W.unboundedPreceding, W.currentRow)))
-                 .withColumn("_r", F.first("_p", True).over(
-                    inside.orderBy(F.asc(place), F.desc("_probe")).rowsBetween(W.currentRow, W.unboundedFollowing)))
+    running = lambda order: inside.orderBy(order, "_probe").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = (both.withColumn("_l", F.last("_p", True).over(running(F.asc(place))))
+                 .withColumn("_r", F.last("_p", True).over(running(F.desc(place))))
                  .where("_probe = 1").join(edges, [*keys, "_cell"])
                  .withColumn("_l", F.coalesce("_l", "_before")).withColumn("_r", F.coalesce("_r", "_after")))
     out = [F.col("_l.at").alias("prev_at"), F.col("_r.at").alias("next_at")]

@@ -85,7 +85,7 @@ ORDER_LINES = """o_orderkey AS l_orderkey, CAST(o_orderkey % 7 + 1 AS INT) AS l_
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Orders under short names: the unique key and a few small numbers to build raw text from."""
-    return table(spark, sf, "orders").selectExpr(*[e.strip() for e in _split_top(ORDER_LINES)])
+    return balanced(table(spark, sf, "orders"), "o_orderkey").selectExpr(*[e.strip() for e in _split_top(ORDER_LINES)])
 
 
 def _split_top(text: str) -> list[str]:

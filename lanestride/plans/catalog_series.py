@@ -53,9 +53,10 @@ TRAIN = NG.replace("FROM win,", "FROM (SELECT * FROM win WHERE level_id % 5 <> 0
 
 @register("sequence_loss", more("dirty") + TRAIN + """, ev AS (SELECT row_number() OVER () AS id, context, target FROM win WHERE level_id % 5 = 0),
  tot AS (SELECT DISTINCT "order", context, context_total FROM ngp),
- pick AS (SELECT id, ev.target, max(o) AS o FROM ev, (SELECT unnest([0, 1, 2, 3]) AS o) x JOIN tot t ON t."order" = o AND t.context = ev.context[4 - o:3] GROUP BY 1, 2),
- pr AS (SELECT (coalesce(n.count, 0) + 1) / (t.context_total + 67) AS p FROM pick JOIN ev USING (id) JOIN tot t ON t."order" = o AND t.context = ev.context[4 - o:3]
-   LEFT JOIN ng n ON n."order" = o AND n.context = ev.context[4 - o:3] AND n.target = ev.target)
+ evx AS (SELECT id, target, o, context[4 - o:3] AS c FROM ev, (SELECT unnest([0, 1, 2, 3]) AS o)),
+ pick AS (SELECT id, max(o) AS o FROM evx JOIN tot t ON t."order" = evx.o AND t.context = evx.c GROUP BY 1),
+ pr AS (SELECT (coalesce(n.count, 0) + 1) / (t.context_total + 67) AS p FROM pick JOIN evx USING (id, o) JOIN tot t ON t."order" = evx.o AND t.context = evx.c
+   LEFT JOIN ng n ON n."order" = evx.o AND n.context = evx.c AND n.target = evx.target)
  SELECT count(*) AS examples, round(avg(-ln(greatest(p, 1e-12))), 6) AS loss, round(exp(avg(-ln(greatest(p, 1e-12)))), 6) AS perplexity FROM pr""")
 def sequence_loss(s: SparkSession, d: str) -> DataFrame:
     rows = windows(s, d)
