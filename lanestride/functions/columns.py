@@ -3,13 +3,25 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def unnest(rows: DataFrame, *keep: str, **array: Column) -> DataFrame:
+    """One row per element of the array named by the keyword, with its position ``pos``.
+
+    The outer form plus a NULL test gives the same rows as a plain explode, but
+    keeps the optimizer from inferring a ``size(array) > 0`` filter, which it
+    would push below the projection that builds the array and so build it twice.
+    """
+    (name, value), = array.items()
+    out = rows.select(*keep, F.posexplode_outer(value).alias("pos", name))
+    return out.where(F.col(name).isNotNull())
+
+
 def sql_in(column: str, values: Iterable[str | int]) -> str:
     return f"{column} IN (" + ", ".join(sql_text(v) if isinstance(v, str) else str(v) for v in values) + ")"
 
@@ -38,7 +50,10 @@ def pairs(column: str, delimiter: str) -> Column:
     The text is split once.  Storing the pairs in reverse makes a plain
     ``array_position`` find the last duplicate of a key.
     """
-    parts = f"split({column}, {sql_text(chr(92) + 'Q' + delimiter + chr(92) + 'E')})"
+    # A delimiter without regex meaning takes the literal split path.
+    plain = not set(delimiter) & set("\\^$.|?*+()[]{}")
+    pattern = delimiter if plain else chr(92) + "Q" + delimiter + chr(92) + "E"
+    parts = f"split({column}, {sql_text(pattern)})"
     back = "sequence(size(p) div 2 - 1, 0, -1)"
     return F.expr(
         f"element_at(transform(array({parts}), p -> CASE WHEN size(p) < 2 "

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import (DEFAULT, DIFFICULTY_DENSITY, STYLE_BIAS, STYLE_DENSITY, STYLE_RATE, Lexicon,
                              relation, style_values)
-from lanestride.functions.columns import half_even, sql_text
+from lanestride.functions.columns import half_even, sql_text, unnest
 from lanestride.operators.grammar import KEY, with_objects
 from lanestride.operators.series import S, nearest_value
 from lanestride.operators.spread import count_up, neighbours
@@ -99,7 +99,7 @@ def sync_counts(sequences: DataFrame, beats: DataFrame, onsets: DataFrame, lexic
     counted = (with_objects(sequences, lexicon)
                .select(key, S, F.expr(f"filter(objects, o -> NOT ({floor}))").alias("_o"),
                        F.expr(f"size(filter(tokens, t -> t = {sql_text(lexicon.step)}))").alias("limit")))
-    per_step = (counted.select(key, S, "limit", F.explode("_o").alias("o"))
+    per_step = (unnest(counted, key, S, "limit", o=c("_o"))
                        .groupBy(key, S, "limit", c("o.x_step").alias("step")).agg(F.count(F.lit(1)).alias("_n")))
     probes = per_step.select(S, "step").distinct()
     beat_near = neighbours(beats, probes, [S], "step", width).select(S, "step", c("prev_at").alias("_bp"), c("next_at").alias("_bn"))

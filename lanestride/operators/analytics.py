@@ -4,12 +4,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
-from lanestride.functions.columns import sql_text
+from lanestride.functions.columns import sql_text, unnest
 from lanestride.operators.grammar import with_errors
 
 
 def token_counts(sequences: DataFrame) -> DataFrame:
-    return sequences.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    return unnest(sequences, token=F.col("tokens")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_tokens(counts: DataFrame, k: int = 25, value: str = "token") -> DataFrame:

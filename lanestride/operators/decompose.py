@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from lanestride.functions.columns import pairs, pairs_map, pick, to_float, to_int
+from lanestride.functions.columns import pairs, pairs_map, pick, to_float, to_int, unnest
 
 # Field codes of the response format and their labels.
 DIFFICULTY_LABELS = {0: "NA", 10: "EASY", 20: "NORMAL", 30: "HARD", 40: "HARDER", 50: "INSANE"}
@@ -74,14 +74,14 @@ def explode_search(responses: DataFrame) -> DataFrame:
     """One row per level of a search response: input columns, ``pos``, ``raw_level``, pairs ``p``."""
     rest = [c for c in responses.columns if c != "raw"]
     rows = (responses.where(~is_empty()).withColumn("_s", section("raw", 0))
-            .select(*rest, F.posexplode(F.filter(F.split("_s", r"\|"), lambda x: x != "")).alias("pos", "raw_level")))
+            .transform(lambda r: unnest(r, *rest, raw_level=F.filter(F.split("_s", r"\|"), lambda x: x != ""))))
     return rows.withColumn("p", pairs("raw_level", ":"))
 
 
 def creators(responses: DataFrame, index: int = 1) -> DataFrame:
     """``(request_id, player_id, username, account_id)``; the last entry per id wins."""
     entries = (responses.where(~is_empty()).withColumn("_s", section("raw", index))
-               .select("request_id", F.posexplode(F.split("_s", r"\|")).alias("pos", "c"))
+               .transform(lambda r: unnest(r, "request_id", c=F.split("_s", r"\|")))
                .where((F.col("c") != "") & ~F.col("c").startswith("~")).withColumn("f", F.split("c", ":"))
                .where(F.size("f") >= 3).select("request_id", "pos", to_int(F.col("f")[0]).alias("player_id"),
                                                F.col("f")[1].alias("username"), to_int(F.col("f")[2]).alias("account_id"))
@@ -94,7 +94,7 @@ def songs(responses: DataFrame, index: int = 2) -> DataFrame:
     """Song rows of a response: ``(request_id, pos, song_id, name, artist, size, download_url, raw_song, parsed)``."""
     rows = (responses.where(~is_empty()).withColumn("_s", F.trim(section("raw", index)))
             .where(~F.col("_s").isin("", "~"))
-            .select("request_id", F.posexplode(F.filter(F.split("_s", r":(?=~?1~\|~)"), lambda x: x != "")).alias("pos", "raw_song"))
+            .transform(lambda r: unnest(r, "request_id", raw_song=F.filter(F.split("_s", r":(?=~?1~\|~)"), lambda x: x != "")))
             .withColumn("_c", F.regexp_replace(F.regexp_replace(F.trim("raw_song"), "^~", ""), "~$", ""))
             .withColumn("p", pairs("_c", "~|~")).withColumn("song_id", num("p", "1")).where("song_id > 0"))
     text = lambda k: F.coalesce(pick("p", k), F.lit(""))
@@ -239,7 +239,7 @@ def explode_objects(decoded: DataFrame, text: str = "decoded", key: str = "level
 
     ``seq`` is the section index; objects without a positive id are dropped.
     """
-    parts = decoded.select(key, F.posexplode(F.split(text, ";")).alias("seq", "raw")).where("seq > 0 AND trim(raw) <> ''")
+    parts = unnest(decoded, key, raw=F.split(text, ";")).withColumnRenamed("pos", "seq").where("seq > 0 AND trim(raw) <> ''")
     rows = parts.withColumn("_raw", F.trim("raw")).withColumn("p", pairs("_raw", ","))
     f = lambda k, d=0.0: F.coalesce(to_float(F.nullif(pick("p", k), F.lit("")), None), F.lit(d))
     return rows.select(key, F.col("seq").cast("bigint").alias("seq"), num("p", "1").alias("object_id"), f("2").alias("x"), f("3").alias("y"),

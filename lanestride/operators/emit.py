@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
-from lanestride.functions.columns import sql_text
+from lanestride.functions.columns import sql_text, unnest
 from lanestride.operators.grammar import with_errors
 from lanestride.operators.objects import LEVEL, difficulty_token, event_order, object_stats
 
@@ -81,7 +81,7 @@ def _in(column: str, tokens: tuple[str, ...]) -> str:
 
 def token_rows(sequences: DataFrame, key: str = LEVEL) -> DataFrame:
     """Long form ``(key, pos, token)`` with 0-based positions."""
-    return sequences.select(key, F.posexplode("tokens").alias("pos", "token"))
+    return unnest(sequences, key, token=F.col("tokens"))
 
 
 def gameplay_counts(gameplay: DataFrame) -> DataFrame:

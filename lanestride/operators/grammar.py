@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
-from lanestride.functions.columns import sql_text
+from lanestride.functions.columns import sql_text, unnest
 
 KEY = "level_id"
 OBJECT_TYPE = "struct<token:string,x_step:bigint,y_lane:bigint,width:bigint>"
@@ -114,8 +114,8 @@ def with_errors(sequences: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
 def reconstruct(sequences: DataFrame, lexicon: Lexicon = DEFAULT, key: str = KEY) -> DataFrame:
     """Object rows ``(key, sequence, token, x_step, y_lane, width)``."""
     rows = sequences.select(key, "tokens").withColumn("_tag", tagged("tokens", lexicon))
-    return (rows.select(key, F.posexplode(objects_of("tokens", "_tag")).alias("sequence", "_o"))
-                .select(key, F.col("sequence").cast("bigint").alias("sequence"), "_o.*"))
+    return (unnest(rows, key, _o=objects_of("tokens", "_tag"))
+            .select(key, F.col("pos").cast("bigint").alias("sequence"), "_o.*"))
 
 
 # -- comparison with the placed objects --------------------------------------
@@ -178,9 +178,9 @@ def max_repetition(tokens: str) -> Column:
 
 def transition_counts(sequences: DataFrame) -> DataFrame:
     """Bigram counts over a corpus; pairs are made inside each row and combined map-side."""
-    pair = F.explode(F.expr("zip_with(slice(tokens, 1, greatest(0, size(tokens) - 1)), "
-                            "slice(tokens, 2, greatest(0, size(tokens) - 1)), (a, b) -> struct(a AS token, b AS next_token))"))
-    return (sequences.where(F.size("tokens") > 1).select(pair.alias("p"))
+    pair = F.expr("zip_with(slice(tokens, 1, greatest(0, size(tokens) - 1)), "
+                  "slice(tokens, 2, greatest(0, size(tokens) - 1)), (a, b) -> struct(a AS token, b AS next_token))")
+    return (unnest(sequences, p=pair)
                      .groupBy("p.token", "p.next_token").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -204,11 +204,10 @@ def illegal_transitions(sequences: DataFrame, lexicon: Lexicon = DEFAULT, min_ge
     run = f"forall(sequence(1, {last_step}), d -> coalesce(get(kinds, i - d), '-') = 'step')"
     bad = (f"transform(kinds, (b, i) -> CASE WHEN i = 0 THEN b <> 'start' ELSE {_bind('get(kinds, i - 1)', 'a', f'NOT ({legal})')} "
            f"OR (b = 'step' AND {run}) OR (b = 'end' AND i < {min_generated}) END)")
-    return (sequences.select(key, "tokens", F.expr(kinds).alias("kinds"))
-            .select(key, F.explode(F.expr(
+    return (unnest(sequences.select(key, "tokens", F.expr(kinds).alias("kinds")), key, r=F.expr(
                 f"filter(zip_with(zip_with({bad}, tokens, (x, t) -> struct(x AS bad, t AS token)), "
                 "sequence(0, greatest(0, size(tokens) - 1)), (s, p) -> struct(s.bad AS bad, s.token AS token, p AS pos, "
-                "get(tokens, p - 1) AS after)), r -> r.bad)")).alias("r"))
+                "get(tokens, p - 1) AS after)), r -> r.bad)"))
             .select(key, F.col("r.pos").cast("bigint").alias("pos"), F.col("r.after").alias("after"), F.col("r.token").alias("token")))
 
 

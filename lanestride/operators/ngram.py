@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, STYLE_BONUS, Lexicon, relation, style_values
-from lanestride.functions.columns import sql_text
+from lanestride.functions.columns import sql_text, unnest
 from lanestride.operators.spread import order_statistic
 
 KEY = "level_id"
@@ -22,7 +22,7 @@ def context_windows(sequences: DataFrame, n: int, ids: str = "ids", pad: int | s
     made = (f"CASE WHEN coalesce(size({ids}), 0) <= 0 THEN array() ELSE element_at(transform(array(concat({filler}, {ids})), "
             f"p -> transform(sequence(1, size({ids})), i -> {item})), 1) END")
     cols = [key] + ([order] if order and order != key else [])
-    rows = sequences.select(*cols, F.explode(F.expr(made)).alias("w")).select(*cols, "w.*")
+    rows = unnest(sequences, *cols, w=F.expr(made)).select(*cols, "w.*")
     if max_examples > 0:
         rows = rows.orderBy(order or key, "pos").limit(max_examples)
     return rows.withColumn("pos", F.col("pos").cast("bigint"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
+from lanestride.functions.columns import unnest
 from lanestride.operators.spread import attach, ordered_index
 
 FIRST_BLOCK = 64
@@ -11,9 +12,9 @@ FIRST_BLOCK = 64
 
 def observed_tokens(sequences: DataFrame, order: str) -> DataFrame:
     """Count and first sight ``(order, pos)`` per token, combined map-side."""
-    return (sequences.select(F.col(order).alias("_o"), F.posexplode("tokens").alias("_p", "token"))
+    return (unnest(sequences, order, token=F.col("tokens"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("count"),
-                                  F.min(F.struct("_o", "_p")).alias("first_seen")))
+                                  F.min(F.struct(F.col(order).alias("_o"), "pos")).alias("first_seen")))
 
 
 def number_new_tokens(fresh: DataFrame, start: Column, block: int = FIRST_BLOCK) -> DataFrame:
