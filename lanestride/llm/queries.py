@@ -5,13 +5,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanestride.llm import language, radix_dedup, simhash, url_filter
+from lanestride.llm import language, pii, quality, radix_dedup, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,11 +32,17 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_personal_data": op2_personal_data,
     "op3_radix_dedup": op3_radix_dedup,
     "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
     "op9_language": op9_language,
+    "op10_quality": op10_quality,
 }
 CHECK_SQL: dict[str, str] = {
     "op3_radix_dedup": radix_dedup.EXACT_SQL,
