@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanestride.llm import language, pii, quality, radix_dedup, simhash, url_filter
+from lanestride.llm import decontaminate, language, packing, pii, quality, radix_dedup, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_radix_dedup": op3_radix_dedup,
     "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
+    "op6_packing": op6_packing,
+    "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
