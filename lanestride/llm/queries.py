@@ -5,13 +5,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanestride.llm import decontaminate, language, packing, pii, quality, radix_dedup, simhash, url_filter
+from lanestride.llm import decontaminate, language, packing, pii, quality, radix_dedup, simhash, token_rollup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_rollup": op1_token_rollup,
     "op2_personal_data": op2_personal_data,
     "op3_radix_dedup": op3_radix_dedup,
     "op4_url_rules": op4_url_rules,
