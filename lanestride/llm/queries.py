@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanestride.llm import decontaminate, language, packing, pii, quality, radix_dedup, simhash, token_rollup, url_filter
+from lanestride.llm import decontaminate, language, packing, pii, quality, radix_dedup, simhash, substring_dedup, token_rollup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
