@@ -6,6 +6,8 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +25,10 @@ GENERATIONS = 8
 POPULATION = 6
 ELITES = 2  # solutions an island sends on
 OPEN_BELOW = 1008  # sequences filled less are packed again, together with those of other shards
-CACHE_UNITS = 400_000
+CACHE_UNITS = 600_000  # about 120 MB of a Python worker
+JOINED = 200  # new units tokenized as one string
 SEED = 5
 SOLID_GAP = re.compile(r"(?<=\S) (?=\S)")
-ODD_GAP = re.compile(r"\s\s|\A\s|\s\Z")
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -39,7 +41,10 @@ class Encoder:
 
     A space between two characters that are no white space always begins a new
     pre-token, so a text's ids are the ids of its units, cut at those spaces.
-    The cache of units is emptied when it is full; it changes no result.
+    A unit is known by its characters without the space before it; the first
+    unit of a text, which has none, by its characters after a space.  New units are tokenized together,
+    many to a string, and told apart by the bytes their tokens stand for.  A full
+    cache keeps what it has and changes no result.
     """
 
     def __init__(self, path: str, cache_units: int = CACHE_UNITS):
@@ -48,30 +53,82 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.encode_batch = getattr(self.model, "encode_batch_fast", self.model.encode_batch)
+        vocabulary = self.model.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():  # byte-level: a character of a token stands for a byte
+            self.sizes[number] = len(token)
         self.units: dict[str, bytes] = {}
         self.most = cache_units
 
-    def learn(self, units: set[str]) -> None:
-        if len(self.units) + len(units) > self.most:
-            self.units.clear()
-        todo = list(units)
-        for unit, coded in zip(todo, self.encode_batch(todo, add_special_tokens=False), strict=True):
-            self.units[unit] = np.array(coded.ids, "<u4").tobytes()
+    def ids(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each string)."""
+        found = [e.ids for e in self.encode_batch(strings, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.array([len(f) for f in found], np.int64)
+
+    def coded(self, keys: list[str]) -> dict[str, bytes]:
+        plain = [k for k in keys if solid(k)]
+        rest = [k for k in keys if not solid(k)]
+        out: dict[str, bytes] = {}
+        if plain:
+            ids, _ = self.ids([" " + " ".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)])
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(k.encode()) + 1 for k in plain])) + 1
+            out.update(cut(plain, ids, ends))
+        if rest:
+            ids, counts = self.ids([k[1:] if k[0] == " " else " " + k for k in rest])
+            out.update(cut(rest, ids, np.cumsum(counts)))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = []
         for text in texts:
-            parts = SOLID_GAP.split(text) if ODD_GAP.search(text) else text.split(" ") if text else []
-            split.append([parts[0] if parts else "", *[" " + p for p in parts[1:]]])
-        new = set().union(*split).difference(self.units) - {""}
-        if new:
-            self.learn(new)
-            missing = set().union(*split).difference(self.units) - {""}  # a full cache was emptied
-            if missing:
-                self.most = max(self.most, 2 * len(missing))
-                self.learn(missing)
-        get = self.units
-        return [b"".join([get[u] for u in parts if u]) for parts in split]
+            first, *more = text.split(" ")
+            split.append([" " + first, *more])
+        known = self.units
+        new = set().union(*split).difference(known)
+        odd = {k for k in new if not solid(k[1:] if k[:1] == " " else k)}
+        if odd:  # white space meets white space: cut at the other gaps only
+            for i, parts in enumerate(split):
+                if not odd.isdisjoint(parts):
+                    first, *more = SOLID_GAP.split(texts[i])
+                    split[i] = [" " + first, *more]
+            new = set().union(*split).difference(known)
+        more = self.coded(list(new))
+        if len(known) + len(more) <= self.most:
+            known.update(more)
+            return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        return [b"".join([known[k] if k in known else more[k] for k in parts]) for parts in split]
+
+
+def solid(key: str) -> bool:
+    """Neither end is white space."""
+    return key != "" and not key[0].isspace() and not key[-1].isspace()
+
+
+def cut(keys: list[str], ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[str, bytes]]:
+    data = ids.astype("<u4").tobytes()
+    at = 0
+    for key, end in zip(keys, (4 * ends).tolist(), strict=True):
+        yield key, data[at:end]
+        at = end
+
+
+@lru_cache(maxsize=4)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python process; later tasks find its units."""
+    return Encoder(path)
+
+
+def text_groups(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of rows with about ``limit`` characters; null is empty."""
+    low, size, texts = 0, 0, []
+    for i, text in enumerate(column):
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= limit:
+            yield low, texts
+            low, size, texts = i + 1, 0, []
+    if texts:
+        yield low, texts
 
 
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -84,12 +141,11 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
+            for low, texts in text_groups(batch.column(1)):
                 rows: list[tuple] = []
-                for key, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
+                for key, ids in zip(batch.column(0).slice(low, len(texts)).to_pylist(), encoder.encode(texts), strict=True):
                     ids += end
                     total = len(ids) // 4
                     start, piece, length = 0, 0, (total - 1) % capacity + 1

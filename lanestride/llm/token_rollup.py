@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanestride.llm.packing import Encoder, tokenizer_file
+from lanestride.llm.packing import encoder_of, text_groups, tokenizer_file
 from lanestride.llm.radix_dedup import normalised, radix_groups
 from lanestride.session import stage, stage_path
 
@@ -25,16 +25,14 @@ def token_counts(rows: DataFrame, counted: dict[str, str], tokenizer: str | None
     others = [c for c in rows.columns if c not in counted]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
-                counts = []
-                for i in range(len(counted)):
-                    texts = part.column(len(others) + i).to_pylist()
-                    ids = encoder.encode([t or "" for t in texts])
-                    counts.append(pa.array([None if t is None else len(b) // 4 for t, b in zip(texts, ids, strict=True)], pa.int64()))
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(others))], *counts], [*others, *counted.values()])
+            counts = []
+            for i in range(len(counted)):
+                column = batch.column(len(others) + i)
+                sizes = np.concatenate([np.zeros(0, np.int64), *[[len(b) // 4 for b in encoder.encode(texts)] for _, texts in text_groups(column)]]).astype(np.int64)
+                counts.append(pa.array(sizes, pa.int64(), mask=column.is_null().to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(others))], *counts], [*others, *counted.values()])
 
     fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*others).schema.fields], *[f"`{n}` long" for n in counted.values()]])
     return rows.select(*others, *counted).mapInArrow(run, fields)
