@@ -27,8 +27,22 @@ def sql_in(column: str, values: Iterable[str | int]) -> str:
 
 
 def half_even(column: Column | str) -> Column:
-    """Round to the nearest integer, halves to even, as a BIGINT."""
-    return F.bround(column, 0).cast("bigint")
+    """Round to the nearest integer, halves to even, as a BIGINT; values beyond its range are held to it, NaN gives NULL."""
+    value = F.bround(column, 0).cast("double")
+    held = F.greatest(F.lit(-9.2e18), F.least(F.lit(9.2e18), value))
+    return F.when(~F.isnan(value), held).cast("bigint")
+
+
+def finite(column: Column | str) -> Column:
+    """Neither NULL, NaN nor infinite."""
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
+    return F.coalesce(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), F.lit(False))
+
+
+def whole(column: Column | str) -> Column:
+    """The integer part as a BIGINT, held to its range; NULL if not finite."""
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
+    return F.when(finite(value), F.greatest(F.lit(-9.2e18), F.least(F.lit(9.2e18), value))).cast("bigint")
 
 
 def to_int(column: Column | str, default: int | None = 0) -> Column:

@@ -17,8 +17,11 @@ def _lookup(table: dict[str, float]) -> Column:
 
 
 def _style_sum(table: dict[str, float], styles: Column) -> Column:
+    """Sum over the styles that are not blank; none at all counts as ``flow``."""
     lookup = _lookup(table)
-    return F.aggregate(styles, F.lit(0.0), lambda a, s: a + F.coalesce(F.try_element_at(lookup, F.lower(F.trim(s))), F.lit(0.0)))
+    given = F.filter(F.coalesce(styles, F.array().cast("array<string>")), lambda s: F.trim(s) != "")
+    given = F.when(F.size(given) > 0, given).otherwise(F.array(F.lit("flow")))
+    return F.aggregate(given, F.lit(0.0), lambda a, s: a + F.coalesce(F.try_element_at(lookup, F.lower(F.trim(s))), F.lit(0.0)))
 
 
 def step_profile(reports: DataFrame, max_tokens: int = 360) -> DataFrame:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from lanestride.functions.columns import pairs, pairs_map, pick, to_float, to_int, unnest
+from lanestride.functions.columns import finite, pairs, pairs_map, pick, to_float, to_int, unnest
 
 # Field codes of the response format and their labels.
 DIFFICULTY_LABELS = {0: "NA", 10: "EASY", 20: "NORMAL", 30: "HARD", 40: "HARDER", 50: "INSANE"}
@@ -237,10 +237,10 @@ def validate_payload(decoded: DataFrame, column: str) -> DataFrame:
 def explode_objects(decoded: DataFrame, text: str = "decoded", key: str = "level_id") -> DataFrame:
     """Object rows of decoded level text: ``(key, seq, object_id, x, y, rotation, scale)``.
 
-    ``seq`` is the section index; objects without a positive id are dropped.
+    ``seq`` is the section index; objects without a positive id or with a coordinate that is not finite are dropped.
     """
     parts = unnest(decoded, key, raw=F.split(text, ";")).withColumnRenamed("pos", "seq").where("seq > 0 AND trim(raw) <> ''")
     rows = parts.withColumn("_raw", F.trim("raw")).withColumn("p", pairs("_raw", ","))
     f = lambda k, d=0.0: F.coalesce(to_float(F.nullif(pick("p", k), F.lit("")), None), F.lit(d))
     return rows.select(key, F.col("seq").cast("bigint").alias("seq"), num("p", "1").alias("object_id"), f("2").alias("x"), f("3").alias("y"),
-                       f("6").alias("rotation"), f("32", 1.0).alias("scale")).where("object_id > 0")
+                       f("6").alias("rotation"), f("32", 1.0).alias("scale")).where((F.col("object_id") > 0) & finite("x") & finite("y"))

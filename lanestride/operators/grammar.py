@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
 from lanestride.functions.columns import sql_text, unnest
+from lanestride.operators.spread import ordered_index
 
 KEY = "level_id"
 OBJECT_TYPE = "struct<token:string,x_step:bigint,y_lane:bigint,width:bigint>"
@@ -119,42 +120,40 @@ def reconstruct(sequences: DataFrame, lexicon: Lexicon = DEFAULT, key: str = KEY
 
 
 # -- comparison with the placed objects --------------------------------------
-def roundtrip_check(sequences: DataFrame, gameplay: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
-    """Compare reconstructed objects with gameplay arrays ``(level_id, expected)``.
+def gameplay_rows(gameplay: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """Gameplay objects with their dense position ``sequence`` in event order, one row each."""
+    from lanestride.operators.objects import event_order
+    order = ["x_step", "rank", "y_lane", "object_id", "token", "width"]
+    return ordered_index(event_order(gameplay, lexicon), [KEY], F.floor(F.col("x_step") / 256), order, "sequence").select(
+        KEY, "sequence", "token", "x_step", "y_lane", "width")
 
-    ``expected`` is an array of (token, x_step, y_lane, width) in order.  Both
-    sides are one row per level, so the join moves each record once.
-    """
-    solid = lexicon.is_in("e.token", "solids")
-    expected = gameplay.select(KEY, F.expr(
-        f"transform(expected, e -> CAST(struct(e.token, coalesce(e.x_step, 0), coalesce(e.y_lane, 0), "
-        f"CASE WHEN {solid} THEN coalesce(e.width, 1) ELSE 1 END) AS {OBJECT_TYPE}))").alias("_expected"))
-    joined = with_objects(sequences, lexicon).join(expected, KEY, "left")
-    differs = F.expr("array_position(zip_with(objects, _expected, (a, b) -> a = b), false) - 1")
-    reason = (F.when(F.size("errors") > 0, "invalid_grammar")
-               .when(F.col("_expected").isNull(), "missing_gameplay_record")
-               .when(F.size("objects") != F.size("_expected"), "object_count_mismatch")
-               .when(differs >= 0, "object_mismatch").otherwise(""))
-    return joined.withColumn("reason", reason).select(
-        KEY, (F.col("reason") == "").alias("valid"), "reason",
-        F.slice("errors", 1, 20).alias("grammar_errors"),
-        F.when(F.col("reason") == "object_mismatch", differs).otherwise(F.lit(-1)).cast("bigint").alias("mismatch_index"),
-        F.size("objects").cast("bigint").alias("reconstructed_object_count"),
-        F.when(F.col("_expected").isNull(), 0).otherwise(F.size("_expected")).cast("bigint").alias("expected_object_count"),
-        F.coalesce(F.expr("array_max(transform(objects, o -> o.x_step))"), F.lit(0)).cast("bigint").alias("max_x_step"))
-
-
-def gameplay_records(gameplay: DataFrame, lexicon: Lexicon = DEFAULT, max_steps: int = 12_000) -> DataFrame:
-    """Gameplay rows as one ordered array per level.
-
-    Only levels inside the emission cap have a token record to compare with, so
-    rows past ``max_steps`` are not packed; the group is bounded by the cap.
+
+def roundtrip_check(sequences: DataFrame, expected: DataFrame, recorded: DataFrame | None = None, lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """Compare reconstructed objects with gameplay rows ``(level_id, sequence, token, x_step, y_lane, width)``.
+
+    Both sides are rows and meet on (level, sequence), so a level of any length
+    spreads over the exchange.  ``recorded`` names the levels that have a
+    gameplay record; without it, those with a row do.
     """
-    from lanestride.operators.objects import event_order
-    near = event_order(gameplay.where(F.col("x_step") <= max_steps), lexicon)
-    packed = F.array_sort(F.collect_list(F.struct("x_step", "rank", "y_lane", "object_id", "token", "width")))
-    return near.groupBy(KEY).agg(packed.alias("_l")).select(
-        KEY, F.expr("transform(_l, o -> struct(o.token, o.x_step, o.y_lane, o.width))").alias("expected"))
+    solid = lexicon.is_in("token", "solids")
+    want = expected.select(KEY, F.col("sequence").cast("bigint").alias("sequence"), F.struct(
+        "token", F.coalesce("x_step", F.lit(0)).cast("bigint").alias("x_step"), F.coalesce("y_lane", F.lit(0)).cast("bigint").alias("y_lane"),
+        F.expr(f"CASE WHEN {solid} THEN coalesce(width, 1) ELSE 1 END").cast("bigint").alias("width")).alias("_want"))
+    got = reconstruct(sequences, lexicon).select(KEY, "sequence", F.struct(
+        "token", F.col("x_step").cast("bigint").alias("x_step"), F.col("y_lane").cast("bigint").alias("y_lane"), F.col("width").cast("bigint").alias("width")).alias("_got"))
+    both = got.join(want, [KEY, "sequence"], "full_outer").groupBy(KEY).agg(
+        F.count("_got").alias("_n"), F.count("_want").alias("_m"), F.max("_got.x_step").alias("_x"),
+        F.min(F.when(F.col("_got") != F.col("_want"), F.col("sequence"))).alias("_at"))
+    known = (expected if recorded is None else recorded).select(KEY).distinct().withColumn("_known", F.lit(True))
+    rows = with_errors(sequences.select(KEY, "tokens"), lexicon).join(both, KEY, "left").join(known, KEY, "left")
+    n, m = F.coalesce("_n", F.lit(0)).cast("bigint"), F.coalesce("_m", F.lit(0)).cast("bigint")
+    reason = (F.when(F.size("errors") > 0, "invalid_grammar").when(F.col("_known").isNull(), "missing_gameplay_record")
+               .when(n != m, "object_count_mismatch").when(F.col("_at").isNotNull(), "object_mismatch").otherwise(""))
+    return rows.withColumn("reason", reason).select(
+        KEY, (F.col("reason") == "").alias("valid"), "reason", F.slice("errors", 1, 20).alias("grammar_errors"),
+        F.when(F.col("reason") == "object_mismatch", F.col("_at")).otherwise(F.lit(-1)).cast("bigint").alias("mismatch_index"),
+        n.alias("reconstructed_object_count"), F.when(F.col("_known").isNull(), 0).otherwise(m).cast("bigint").alias("expected_object_count"),
+        F.coalesce("_x", F.lit(0)).cast("bigint").alias("max_x_step"))
 
 
 def roundtrip_summary(checks: DataFrame) -> DataFrame:
@@ -188,22 +187,27 @@ def illegal_transitions(sequences: DataFrame, lexicon: Lexicon = DEFAULT, min_ge
                         max_consecutive_steps: int = 6, key: str = KEY) -> DataFrame:
     """Positions whose token the generation rules do not allow.
 
-    A pair is looked up in a small allowed-bigram table; a step mark is also
-    illegal after ``max_consecutive_steps`` of them, an end mark before
-    position ``min_generated``.  After a sequence has ended nothing may follow.
-    A lane mark counts as a solid's when the token before it is a solid.
+    A pair is looked up in a small allowed-bigram table.  A lane mark is a
+    solid's if the nearest mechanic before it, with no step or prefix mark
+    between, is a solid.  A step mark is also illegal after
+    ``max_consecutive_steps`` of them, an end mark before position
+    ``min_generated``, except after a token of no class, which only an end may
+    follow.  After a sequence has ended nothing may follow.
     """
     kind = {START: "start", DIFF: "difficulty", ALIGN: "align", SOLID: "solid", MECH: "mechanic", STEP: "step", WIDTH: "width", END: "end"}
     names = " ".join(f"WHEN {k} THEN {sql_text(v)}" for k, v in kind.items())
-    lane = f"WHEN {LANE} THEN CASE WHEN coalesce(get(g, i - 1), -1) = {SOLID} THEN 'solid_lane' ELSE 'lane' END"
+    marks = "filter(transform(g, (e, i) -> CASE WHEN e IN ({}) THEN i END), i -> i IS NOT NULL)".format(f"{SOLID}, {MECH}, {STEP}, {START}, {ALIGN}, {DIFF}")
+    # the mark at or before each position, written out run by run
+    held = _bind(marks, "m", "concat(array_repeat(-1, coalesce(get(m, 0), size(g))), "
+                             "flatten(transform(m, (p, j) -> array_repeat(get(g, p), coalesce(get(m, j + 1), size(g)) - p))))")
+    lane = f"WHEN {LANE} THEN CASE WHEN get(h, i) = {SOLID} THEN 'solid_lane' ELSE 'lane' END"
     codes = f"transform(tokens, t -> {kind_sql('t', lexicon)})"
-    kinds = _bind(codes, "g", f"transform(g, (e, i) -> CASE e {names} {lane} ELSE 'other' END)")
-    allowed = [tuple(v.strip("'") for v in pair.split(", ")) for pair in lexicon.transition_values()[1:-1].split("), (")]
-    legal = " OR ".join(f"(a = {sql_text(x)} AND b = {sql_text(y)})" for x, y in allowed)
+    kinds = _bind(codes, "g", _bind(held, "h", f"transform(g, (e, i) -> CASE e {names} {lane} ELSE 'other' END)"))
+    legal = " OR ".join(f"(a = {sql_text(x)} AND b = {sql_text(y)})" for x, y in lexicon.transitions())
     last_step = max_consecutive_steps
     run = f"forall(sequence(1, {last_step}), d -> coalesce(get(kinds, i - d), '-') = 'step')"
     bad = (f"transform(kinds, (b, i) -> CASE WHEN i = 0 THEN b <> 'start' ELSE {_bind('get(kinds, i - 1)', 'a', f'NOT ({legal})')} "
-           f"OR (b = 'step' AND {run}) OR (b = 'end' AND i < {min_generated}) END)")
+           f"OR (b = 'step' AND {run}) OR (b = 'end' AND i < {min_generated} AND get(kinds, i - 1) <> 'other') END)")
     return (unnest(sequences.select(key, "tokens", F.expr(kinds).alias("kinds")), key, r=F.expr(
                 f"filter(zip_with(zip_with({bad}, tokens, (x, t) -> struct(x AS bad, t AS token)), "
                 "sequence(0, greatest(0, size(tokens) - 1)), (s, p) -> struct(s.bad AS bad, s.token AS token, p AS pos, "

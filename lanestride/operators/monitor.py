@@ -170,12 +170,13 @@ def is_recent(ts: Column, now: Column, seconds: int) -> Column:
 
 
 def last_n(log: DataFrame, n: int, order: str) -> DataFrame:
-    return log.orderBy(F.desc(order)).limit(max(n, 1))
+    """The newest rows; of equally new ones those with the greater remaining columns (as JSON text)."""
+    return log.orderBy(F.desc(order), F.desc(F.to_json(F.struct(*log.columns)))).limit(max(n, 1))
 
 
 def latest_record(log: DataFrame, order: str) -> DataFrame:
-    """The newest row, by one mergeable aggregate."""
-    return log.agg(F.max_by(F.struct(*log.columns), order).alias("_r")).where("_r IS NOT NULL").select("_r.*")
+    """The newest row, by one mergeable aggregate; ties as in ``last_n``."""
+    return log.agg(F.max_by(F.struct(*log.columns), F.struct(F.col(order), F.to_json(F.struct(*log.columns)))).alias("_r")).where("_r IS NOT NULL").select("_r.*")
 
 
 def telemetry(metrics: DataFrame, training: DataFrame, evaluation: DataFrame, steps_per_epoch: int = 10_000) -> DataFrame:

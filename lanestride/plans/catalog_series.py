@@ -155,8 +155,8 @@ def profile_inputs(s: SparkSession, d: str):
     return e, profile, beat_steps, onset_steps
 
 
-PROF = """prof0 AS (SELECT series, duration, bpm, greatest(8e-2, 60 / bpm / 2) AS step_seconds, [58e-2, 76e-2, 96e-2, 116e-2, 96e-2][CAST(series AS INT) + 1] + [8e-2, 22e-2, 34e-2, 0e0, 0e0][CAST(series AS INT) + 1] AS dens,
-   [3e-2, 8e-2, 1e-1, 0e0, 0e0][CAST(series AS INT) + 1] AS rate FROM dur JOIN tempo USING (series)),
+PROF = """prof0 AS (SELECT series, duration, bpm, greatest(8e-2, 60 / bpm / 2) AS step_seconds, [58e-2, 76e-2, 96e-2, 116e-2, 96e-2][CAST(series AS INT) + 1] + [8e-2, 22e-2, 34e-2, -4e-2, 0e0][CAST(series AS INT) + 1] AS dens,
+   [3e-2, 8e-2, 1e-1, -2e-2, 0e0][CAST(series AS INT) + 1] AS rate FROM dur JOIN tempo USING (series)),
  prof1 AS (SELECT *, CAST(greatest(24, floor(duration / step_seconds)) AS BIGINT) AS steps FROM prof0),
  prof2 AS (SELECT *, CAST(greatest(90, least(360, floor(steps * (165e-2 + dens * 45e-2)))) AS BIGINT) AS target_tokens FROM prof1),
  prof AS (SELECT *, CAST(greatest(36, least(target_tokens - 8, floor(target_tokens * 38e-2))) AS BIGINT) AS min_tokens, greatest(35e-2, least(175e-2, dens)) AS density FROM prof2),

@@ -92,18 +92,18 @@ register("grammar_errors_words", sql("""SELECT level_id, 1 + CASE WHEN tokens[-1
     lambda s, d: G.with_errors(B.words(s, d)).select("level_id", F.size("errors").cast("bigint").alias("n_errors"), F.get("tokens", F.lit(1)).alias("second")))
 
 
-def _records(play: DataFrame) -> DataFrame:
-    """Gameplay arrays; every seventh level loses its last object and every eleventh is missing, to exercise the reasons."""
-    rows = G.gameplay_records(play)
-    cut = F.expr("slice(expected, 1, greatest(0, size(expected) - 1))")
-    moved = F.expr("transform(expected, (e, i) -> CASE WHEN i = 3 THEN named_struct('token', e.token, 'x_step', e.x_step + 1, 'y_lane', e.y_lane, 'width', e.width) ELSE e END)")
-    return (rows.where("level_id % 11 <> 10").withColumn("expected", F.when(F.col("level_id") % 7 == 6, cut)
-            .when(F.col("level_id") % 5 == 4, moved).otherwise(F.col("expected"))))
+def _records(play: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Gameplay rows; every seventh level loses its last object and every eleventh is missing, to exercise the reasons."""
+    rows = G.gameplay_rows(play).where("level_id % 11 <> 10")
+    last = rows.groupBy("level_id").agg(F.max("sequence").alias("_last"))
+    kept = rows.join(last, "level_id").where("level_id % 7 <> 6 OR sequence < _last").drop("_last")
+    moved = F.expr("x_step + CASE WHEN level_id % 7 <> 6 AND level_id % 5 = 4 AND sequence = 3 THEN 1 ELSE 0 END")
+    return kept.withColumn("x_step", moved), last
 
 
 def roundtrip(s: SparkSession, d: str) -> DataFrame:
     play = stage(gameplay(s, d))
-    return G.roundtrip_check(E.emit_tokens(play, B.levels(s, d)), _records(play))
+    return G.roundtrip_check(E.emit_tokens(play, B.levels(s, d)), *_records(play))
 
 
 ROUND = """chk AS (SELECT s.level_id, (SELECT count(*) FROM sobj o WHERE o.level_id = s.level_id) AS n, coalesce((SELECT max(x_step) FROM sobj o WHERE o.level_id = s.level_id), 0) AS mx,
@@ -120,12 +120,13 @@ register("max_repetition", sql(REP.format("d"), "dgram"))(
     lambda s, d: B.dirty(s, d).where("size(tokens) > 0").select("level_id", G.max_repetition("tokens").alias("max_repetition")))
 register("transitions", sql("SELECT token, next_token, count(*) AS count FROM (SELECT t AS token, lead(t) OVER (PARTITION BY level_id ORDER BY pos) AS next_token FROM dk) WHERE next_token IS NOT NULL GROUP BY 1, 2", "dgram"))(
     lambda s, d: G.transition_counts(B.dirty(s, d)))
-LEGAL = " OR ".join(f"(a, b) = ({p})" for p in LEX.transition_values()[1:-1].split("), ("))
-register("illegal_transitions", sql("", "dgram").rstrip() + f""", kinds AS (SELECT level_id, pos, t, lag(t) OVER w AS after, CASE WHEN k = 'Y' THEN CASE WHEN coalesce(lag(k) OVER w, '') = 'S' THEN 'solid_lane' ELSE 'lane' END
-   WHEN k = 'B' THEN 'start' WHEN k = 'D' THEN 'difficulty' WHEN k = 'A' THEN 'align' WHEN k = 'S' THEN 'solid' WHEN k = 'M' THEN 'mechanic' WHEN k = '+' THEN 'step' WHEN k = 'W' THEN 'width' WHEN k = 'E' THEN 'end' ELSE 'other' END AS b
-   FROM da WINDOW w AS (PARTITION BY level_id ORDER BY pos)),
+LEGAL = " OR ".join(f"(a, b) = ({q(p)})" for p in LEX.transitions())
+register("illegal_transitions", sql("", "dgram").rstrip() + f""", heldk AS (SELECT level_id, pos, t, k, lag(t) OVER w AS after,
+   arg_max(k, CASE WHEN k IN ('S', 'M', '+', 'B', 'A', 'D') THEN pos END) OVER (PARTITION BY level_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS h FROM da WINDOW w AS (PARTITION BY level_id ORDER BY pos)),
+ kinds AS (SELECT level_id, pos, t, after, CASE WHEN k = 'Y' THEN CASE WHEN coalesce(h, '') = 'S' THEN 'solid_lane' ELSE 'lane' END
+   WHEN k = 'B' THEN 'start' WHEN k = 'D' THEN 'difficulty' WHEN k = 'A' THEN 'align' WHEN k = 'S' THEN 'solid' WHEN k = 'M' THEN 'mechanic' WHEN k = '+' THEN 'step' WHEN k = 'W' THEN 'width' WHEN k = 'E' THEN 'end' ELSE 'other' END AS b FROM heldk),
  runs_k AS (SELECT *, lag(b) OVER (PARTITION BY level_id ORDER BY pos) AS a, count(CASE WHEN b = 'step' THEN 1 END) OVER (PARTITION BY level_id ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS before FROM kinds)
- SELECT level_id, CAST(pos AS BIGINT) AS pos, after, t AS token FROM runs_k WHERE CASE WHEN pos = 0 THEN b <> 'start' ELSE NOT ({LEGAL}) OR (b = 'step' AND before = 2) OR (b = 'end' AND pos < 40) END""")(
+ SELECT level_id, CAST(pos AS BIGINT) AS pos, after, t AS token FROM runs_k WHERE CASE WHEN pos = 0 THEN b <> 'start' ELSE NOT ({LEGAL}) OR (b = 'step' AND before = 2) OR (b = 'end' AND pos < 40 AND a <> 'other') END""")(
     lambda s, d: G.illegal_transitions(B.dirty(s, d), min_generated=40, max_consecutive_steps=2))
 register("close_sequences", sql("", "dgram").rstrip() + """, tails AS (SELECT level_id, n, arg_max(t, pos) AS lastt, arg_max(k, pos) AS lastk FROM da GROUP BY 1, 2),
  prevm AS (SELECT level_id, arg_max(k, pos) AS pk FROM da WHERE pos < n - 1 AND k IN ('S', 'M', '+', 'B', 'A', 'D') GROUP BY 1)

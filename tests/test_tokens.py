@@ -189,12 +189,47 @@ def test_emit_reconstruct_round_trip(spark):
     o = spark.createDataFrame(rows, "level_id BIGINT, seq BIGINT, object_id BIGINT, x DOUBLE, y DOUBLE")
     lv = o.select("level_id").distinct().selectExpr("level_id", "'hard' AS difficulty", "'' AS source")
     play = O.gameplay_objects(o)
-    checks = G.roundtrip_check(E.emit_tokens(play, lv), G.gameplay_records(play)).collect()
+    checks = G.roundtrip_check(E.emit_tokens(play, lv), G.gameplay_rows(play)).collect()
     assert len(checks) == 20 and all(c.valid and c.expected_object_count > 0 for c in checks)
     shuffled = O.gameplay_objects(o.repartition(7, "x"))
     assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, play.collect()))
 
 
+def test_round_trip_has_no_step_limit(spark):
+    o = spark.createDataFrame([(1, 0, 1, 15.0, 15.0), (1, 1, 8, 15.0 + 30 * 20_000, 15.0), (2, 0, 1, 15.0, 15.0)],
+                              "level_id BIGINT, seq BIGINT, object_id BIGINT, x DOUBLE, y DOUBLE")
+    lv = o.select("level_id").distinct().selectExpr("level_id", "'hard' AS difficulty", "'' AS source")
+    play = O.gameplay_objects(o)
+    sequences = E.emit_tokens(play, lv, limits=E.Limits(max_token_length=50_000))
+    checks = {c.level_id: c for c in G.roundtrip_check(sequences, G.gameplay_rows(play)).collect()}
+    assert checks[1].valid and checks[1].expected_object_count == 2 and checks[1].max_x_step == 20_000
+    lost = G.gameplay_rows(play).where("sequence = 0 AND level_id = 1")
+    checks = {c.level_id: c.reason for c in G.roundtrip_check(sequences, lost).collect()}
+    assert checks == {1: "object_count_mismatch", 2: "missing_gameplay_record"}
+
+
+def test_lane_marks_belong_to_the_nearest_mechanic(spark):
+    head = "START DIFF_HARD ALIGN_UNKNOWN "
+    cases = {head + "BLOCK Y1 Y2 SPIKE": [(5, "Y2"), (6, "SPIKE")], head + "BLOCK Y1 WIDTH_1 Y2 WIDTH_2": [(6, "Y2")], "START zzz END": [(1, "zzz")],
+             head + "SPIKE Y1 WIDTH_1": [(5, "WIDTH_1")], "": [], "Y1 STEP": [(0, "Y1")]}
+    rows = spark.createDataFrame([(i, c.split()) for i, c in enumerate(cases)], "level_id BIGINT, tokens ARRAY<STRING>")
+    found = {}
+    for r in G.illegal_transitions(rows, min_generated=40).collect():
+        found.setdefault(r.level_id, []).append((r.pos, r.token))
+    assert [sorted(found.get(i, [])) for i in range(len(cases))] == list(cases.values())
+
+
+def test_numbers_out_of_range_do_not_stop_a_job(spark):
+    from lanestride.operators import layout as P
+    odd = spark.createDataFrame([(1e22,), (float("nan"),), (float("-inf"),), (45.0,)], "x DOUBLE")
+    steps = odd.select(O.quantize_step(F.col("x"), F.lit(15.0), 30.0).alias("s"), O.quantize_lane(F.col("x"), F.lit(0.0), 30.0, 16).alias("l")).collect()
+    assert steps[3].s == 1 and steps[0].l == 15 and steps[2].s == 0 and all(0 <= r.l <= 15 for r in steps)
+    texts = ["1,nan,2,3,3,4", "1,1e30,2,3,3,4", "1,5,2,nan,3,4", "1,inf,2,3,3,4", "1,5,2,3,3,4", "1,0.5,2,3,3,4"]
+    valid = spark.createDataFrame([(t,) for t in texts], "raw STRING")
+    assert [r.v for r in valid.select(P.valid_object_string("raw").alias("v")).collect()] == [False, True, False, False, True, False]
+    assert [r.raw for r in P.parse_reference_objects(valid).collect()] == [texts[1], texts[4], texts[5]]
+
+
 def test_floor_and_blocked_path(spark):
     head = "START DIFF_HARD ALIGN_UNKNOWN".split()
     floor = head + ["BLOCK", "Y0", "WIDTH_8"] + ["STEP"] * 16 + ["END"]
