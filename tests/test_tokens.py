@@ -105,50 +105,6 @@ def test_difficulty_labels(spark):
 
 
 # -- grammar -------------------------------------------------------------------
-def parse_loop(t):
-    """Sequential reading of one sequence, to compare the neighbour rules with."""
-    if not t:
-        return [], ["empty_sequence"]
-    errors = ([] if t[0] == "START" else ["missing_start"]) + ([] if t[-1] == "END" else ["missing_end"])
-    i = 1
-    i += i < len(t) and t[i] in LEX.difficulties
-    i += i < len(t) and t[i] == LEX.align
-    found, step = [], 0
-    while i < len(t):
-        tok = t[i]
-        nxt = t[i + 1] if i + 1 < len(t) else ""
-        after = t[i + 2] if i + 2 < len(t) else ""
-        if tok == "END":
-            return found, errors + (["tokens_after_end"] if i < len(t) - 1 else [])
-        if tok in LEX.mechanics:
-            if nxt not in LEX.lane_tokens:
-                errors.append("missing_y_after:" + tok)
-                i += 1
-            elif tok in LEX.solids and after not in LEX.width_tokens:
-                errors.append("missing_width_after:" + tok)
-                i += 2
-            else:
-                has = after in LEX.width_tokens
-                if has and tok not in LEX.solids:
-                    errors.append("unexpected_width_after:" + tok)
-                found.append((tok, step, int(nxt[1:]), int(after[6:]) if tok in LEX.solids else 1))
-                i += 3 if has else 2
-            continue
-        step += tok == "STEP"
-        if tok == "START":
-            errors.append("unexpected_start")
-        elif tok in LEX.difficulties or tok == LEX.align:
-            errors.append("unexpected_prefix_token:" + tok)
-        elif tok in LEX.lane_tokens:
-            errors.append("orphan_y_token:" + tok)
-        elif tok in LEX.width_tokens:
-            errors.append("orphan_width_token:" + tok)
-        elif tok != "STEP":
-            errors.append("unknown_token:" + tok)
-        i += 1
-    return found, errors
-
-
 def random_sequences(n, seed=5):
     rng = random.Random(seed)
     pool = ["START", "END", "STEP", "STEP", "ALIGN_UNKNOWN", "DIFF_HARD", "BLOCK", "BLOCK", "SPIKE", "ORB_BLUE", "PORTAL_SHIP", "PAD_BLUE",
@@ -160,12 +116,23 @@ def random_sequences(n, seed=5):
     return out
 
 
-def test_grammar_matches_loop(spark):
-    lists = random_sequences(3000)
-    for row in G.with_objects(seqs(spark, *lists)).collect():
-        want, errors = parse_loop(lists[row.level_id])
-        assert row.errors == errors, lists[row.level_id]
-        assert [tuple(o) for o in row.objects] == want, lists[row.level_id]
+def test_grammar_by_cases(spark):
+    head = "START DIFF_EASY ALIGN_UNKNOWN "
+    cases = {
+        "": (["empty_sequence"], []),
+        head + "SAW Y4 STEP PLATFORM Y2 WIDTH_3 STEP END": ([], [("SAW", 0, 4, 1), ("PLATFORM", 1, 2, 3)]),
+        head + "SAW STEP END": (["missing_y_after:SAW"], []),
+        head + "PLATFORM Y2 STEP END": (["missing_width_after:PLATFORM"], []),
+        head + "SAW Y1 WIDTH_2 STEP END": (["unexpected_width_after:SAW"], [("SAW", 0, 1, 1)]),
+        head + "STEP WIDTH_2 END": (["orphan_width_token:WIDTH_2"], []),
+        head + "START ALIGN_UNKNOWN huh END": (["unexpected_start", "unexpected_prefix_token:ALIGN_UNKNOWN", "unknown_token:huh"], []),
+        "SAW Y1": (["missing_start", "missing_end", "orphan_y_token:Y1"], []),
+        head + "END STEP END": (["tokens_after_end"], []),
+    }
+    rows = G.with_objects(seqs(spark, *[c.split() for c in cases])).collect()
+    for row in rows:
+        errors, objects = cases[" ".join(row.tokens)]
+        assert row.errors == errors and [tuple(o) for o in row.objects] == objects, row.tokens
 
 
 def test_legal_sequence(spark):
@@ -247,55 +214,42 @@ def test_lane_path_agrees_with_metrics(spark):
 
 
 # -- layouts -------------------------------------------------------------------
-def admit_loop(items):
-    """Admission by direct bookkeeping over whole-layout state."""
-    cells, count, last, seen, solid, out = set(), {}, {}, set(), set(), []
-    cat = lambda t: "p" if t in LEX.portals else "g" if t in LEX.gravity else "s" if t in LEX.speed else None
-    for seq, token, step, lane, width in sorted(items, key=lambda r: (r[2], r[0])):
-        if token in LEX.solids:
-            free = [d for d in range(width) if (step + d, lane) not in cells]
-            if step in solid or not free:
-                continue
-            width = min(width, len(free))
-            cells |= {(step + d, lane) for d in range(width)}
-            solid.add(step)
-        else:
-            c = cat(token)
-            if count.get(step, 0) >= 2:
-                continue
-            if c and c in last and step - last[c] < 8:
-                continue
-            if c:
-                last[c] = step
-            elif (step, lane) in cells:
-                continue
-            if (token, step, lane) in seen:
-                continue
-            if not c:
-                cells.add((step, lane))
-            seen.add((token, step, lane))
-            count[step] = count.get(step, 0) + 1
-        out.append((seq, width))
-    return sorted(out)
-
-
-def test_admission_matches_loop(spark):
+def admissible(item, before):
+    """Width granted to an object, or None, by what the rules say about the objects admitted before it."""
+    _, token, step, lane, width = item
+    kinds = [LEX.portals, LEX.gravity, LEX.speed]
+    kind = next((k for k in kinds if token in k), None)
+    solids = [o for o in before if o[1] in LEX.solids]
+    cells = {(o[2] + d, o[3]) for o in solids for d in range(o[4])} | {(o[2], o[3]) for o in before if o[1] in LEX.orbs + LEX.pads + LEX.hazards}
+    if token in LEX.solids:
+        free = sum((step + d, lane) not in cells for d in range(width))
+        return min(width, free) if free and all(o[2] != step for o in solids) else None
+    here = [o for o in before if o[2] == step and o not in solids]
+    apart = step - max((o[2] for o in before if o[1] in kind), default=-99) >= 8 if kind else (step, lane) not in cells
+    return width if len(here) < 2 and apart and all(o[1:4] != (token, step, lane) for o in here) else None
+
+
+@pytest.mark.parametrize("pauses", [0.1, 0.0])
+def test_every_admission_follows_from_the_earlier_ones(spark, pauses, monkeypatch):
     rng = random.Random(11)
     rows = []
-    for lv in range(30):
+    for lv in range(12):
         step = 0
-        for n in range(120):
-            step += rng.choice([0, 0, 0, 1, 1, 2, 9 if rng.random() < 0.1 else 0])
+        for n in range(300):
+            step += rng.choice([0, 0, 0, 1, 1, 2, 9 if rng.random() < pauses else 0])
             token = rng.choice(LEX.mechanics)
             rows.append((lv, n, token, step, rng.randrange(1, 9), rng.randrange(1, 9) if token in LEX.solids else 1))
     frame = spark.createDataFrame(rows, "level_id BIGINT, sequence BIGINT, token STRING, x_step BIGINT, y_lane BIGINT, width BIGINT")
-    clamped = P.clamp_by_class(P.place_objects(frame))
-    base, got = {}, {}
-    for r in clamped.collect():
-        base.setdefault(r.level_id, []).append((r.sequence, r.token, r.x_step, r.y_lane, r.width))
-    for r in P.admit_objects(clamped).collect():
-        got.setdefault(r.level_id, []).append((r.sequence, r.width))
-    assert {k: sorted(v) for k, v in got.items()} == {k: admit_loop(v) for k, v in base.items()}
+    clamped = P.clamp_by_class(P.place_objects(frame)).cache()
+    got = {(r.level_id, r.sequence): r.width for r in P.admit_objects(clamped).collect()}
+    before = {}
+    for r in sorted(clamped.collect(), key=lambda r: (r.x_step, r.sequence)):
+        earlier = before.setdefault(r.level_id, [])
+        item = (r.sequence, r.token, r.x_step, r.y_lane, r.width)
+        width = admissible(item, earlier)
+        assert got.get((r.level_id, r.sequence)) == width, (r, width)
+        if width:
+            earlier.append((*item[:4], width))
 
 
 def test_chunks_keep_foreign_ids(spark):
