@@ -42,9 +42,8 @@ def train_eval_split(records: DataFrame, fraction: float = 0.8, seed: int = 7, k
     callers evaluate on train when no eval row exists.
     """
     ranked = records.withColumn("_h", score if score is not None else F.xxhash64(F.lit(seed), F.col(key)))
-    grain = float(1 << 49) if score is None else 1024.0
     rank = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(fraction)).cast("bigint")) - 1
-    cut = order_statistic(ranked, [], "_h", rank, "_cut", grain=grain)
+    cut = order_statistic(ranked, [], "_h", rank, "_cut")
     return ranked.crossJoin(F.broadcast(cut.select("_cut"))).withColumn(
         "split", F.when(F.col("_h") <= F.col("_cut"), "train").otherwise("eval")).drop("_h", "_cut")
 

@@ -53,7 +53,7 @@ def quantize(mapped: DataFrame, facts: DataFrame | None = None, resolution: floa
              fraction: float = 0.05) -> DataFrame:
     """Add ``x_step`` and ``y_lane``; both axes use the same resolution."""
     facts = origins(mapped, fraction) if facts is None else facts
-    placed = attach(mapped, facts, LEVEL, "n", F.col("seq"))
+    placed = attach(mapped, facts, LEVEL)
     return (placed.withColumn("x_step", quantize_step(F.col("x"), F.col("x_origin"), resolution))
                   .withColumn("y_lane", quantize_lane(F.col("y"), F.col("y_origin"), resolution, lanes))
                   .drop("n", "x_origin", "y_origin"))

@@ -3,8 +3,8 @@
 A single level, series or code may hold a large share of all rows.  The
 operators therefore never window or collect over a raw key.  They use:
 
-* ``attach``        per-key facts joined onto rows; hot keys by a size-checked
-                    broadcast, the rest by an ordinary shuffle join;
+* ``attach``        per-key facts joined onto rows, in the one form whose hot
+                    partitions the engine splits by itself at run time;
 * ``halo``          fixed-width index chunks with a few copied neighbour rows,
                     so ``lag``/``lead`` windows partition by (key, chunk);
 * ``ordered_index`` dense row numbers from bucket counts plus in-bucket ranks;
@@ -18,34 +18,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-HOT_ROWS = 1_000_000
 INDEX_CHUNK = 4096
 
 
-def attach(rows: DataFrame, facts: DataFrame, key: str | Sequence[str], weight: str, spread: Column,
-           hot_rows: int = HOT_ROWS, keep_unmatched: bool = False) -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, key: str | Sequence[str], keep_unmatched: bool = False) -> DataFrame:
     """Join one-row-per-key ``facts`` onto ``rows`` (inner, or left with ``keep_unmatched``).
 
-    ``weight`` names the facts column that counts the key's rows.  Keys above
-    ``hot_rows`` number at most total/hot_rows, which is the bound that makes
-    broadcasting them safe; their rows are tagged map-side and spread over the
-    later exchange by ``spread``.  All other keys hold at most ``hot_rows``
-    rows, so a plain shuffle join on the key cannot build a large partition.
+    A plain equi-join: the engine broadcasts ``facts`` where its measured size
+    allows, and otherwise splits the row partitions that a hot key makes large
+    (adaptive skew join); each split reads the one fact row again.
     """
     keys = [key] if isinstance(key, str) else list(key)
     carried = [c for c in facts.columns if c not in keys]
-    hot = facts.where(F.col(weight) > hot_rows).select(*keys, F.struct(*carried).alias("_hot"))
-    # Always 0, but not a literal: a literal would be folded out of the join keys
-    # and the spread rows would hash on the key alone.
-    zero = F.floor(F.col(weight) / F.lit(hot_rows + 1)).cast("bigint")
-    cold = facts.where(F.col(weight) <= hot_rows).select(*keys, zero.alias("_salt"), F.struct(*carried).alias("_cold"))
-    tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), F.xxhash64(spread)).otherwise(F.lit(0)).cast("bigint"))
-    joined = tagged.join(cold, [*keys, "_salt"], "left").withColumn("_fact", F.coalesce("_hot", "_cold"))
-    if not keep_unmatched:
-        joined = joined.where(F.col("_fact").isNotNull())
-    return joined.select(
-        *[c for c in rows.columns], *[F.col("_fact")[c].alias(c) for c in carried])
+    return rows.join(facts, keys, "left" if keep_unmatched else "inner").select(*rows.columns, *carried)
 
 
 def attach_dense(rows: DataFrame, facts: DataFrame, key: str, count: str, index: str, chunk: int = INDEX_CHUNK) -> DataFrame:
@@ -101,38 +86,50 @@ def ordered_index(rows: DataFrame, keys: Sequence[str], bucket: Column, order: S
                   .drop("_bucket", "_offset"))
 
 
+NEAR_CELLS, OCTAVE_CELLS, SUB_CELLS = 16384, 64, 4096
+
+
+def magnitude_cell(value: Column, grain: float) -> Column:
+    """Non-decreasing cell of a value: steps of ``grain`` near zero, 64 to an octave beyond; at most about 160,000 cells."""
+    scaled = value.cast("double") / grain
+    far = F.lit(NEAR_CELLS) + F.floor(F.log2(F.greatest(F.abs(scaled), F.lit(float(NEAR_CELLS))) / NEAR_CELLS) * OCTAVE_CELLS)
+    return (F.when(F.abs(scaled) < NEAR_CELLS, F.floor(scaled)).when(scaled > 0, far).otherwise(-far - 1)).cast("int")
+
+
 def order_statistic(rows: DataFrame, keys: Sequence[str], value: str, rank_of: Column, out: str,
-                    extra: dict[str, Column] | None = None, grain: float = 1.0, limit: int = 32768) -> DataFrame:
+                    extra: dict[str, Column] | None = None, grain: float = 1.0) -> DataFrame:
     """The exact value at 0-based rank ``rank_of`` (an expression over ``n``) per key.
 
-    One pass counts distinct values map-side.  Values are bucketed on a fixed
-    grid of ``grain`` clipped to ``limit`` cells either side, so the prefix sum
-    over buckets is bounded; only the bucket that holds the rank is then ordered.
+    One pass counts distinct values map-side.  Values fall into cells whose
+    number is bounded whatever their range; prefix sums over the cells find
+    the one that holds the rank, the same over equal slices of that cell's own
+    range find the slice, and only the slice's values are ordered.
     ``extra`` maps names to ``min`` aggregates computed in the same pass.
     """
     keys = list(keys)
-    cell = F.greatest(F.lit(-limit), F.least(F.lit(limit), F.floor(F.col(value) / grain))).cast("int")
     extra = extra or {}
     names = list(extra)
-    counted = (rows.withColumn("_cell", cell)
+    counted = (rows.withColumn("_cell", magnitude_cell(F.col(value), grain))
                    .groupBy(*keys, "_cell", F.col(value).alias("_value"))
                    .agg(F.count(F.lit(1)).alias("_c"), *[e.alias(n) for n, e in extra.items()]))
-    cells = counted.groupBy(*keys, "_cell").agg(F.sum("_c").alias("_c"), *[F.min(n).alias(n) for n in names])
+
+    def holding(parts: DataFrame, place: str, window: W) -> DataFrame:
+        upto = window.orderBy(place).rowsBetween(W.unboundedPreceding, W.currentRow)
+        found = parts.withColumn("_below", F.sum("_c").over(upto) - F.col("_c") + F.col("_below"))
+        return found.where((F.col("_below") <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_c")))
+
     whole = W.partitionBy(*keys)
-    upto = whole.orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
-    target = (cells.select(*keys, "_cell",
-                           F.sum("_c").over(whole).alias("n"),
-                           (F.sum("_c").over(upto) - F.col("_c")).alias("_below"), "_c",
-                           *[F.min(n).over(whole).alias(n) for n in names])
-                   .withColumn("_rank", rank_of)
-                   .where((F.col("_below") <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_c")))
-                   .drop("_c"))
-    within = W.partitionBy(*keys, "_cell").orderBy("_value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    picked = (counted.select(*keys, "_cell", "_value", "_c")
-                     .join(target, [*keys, "_cell"])
-                     .withColumn("_upto", F.sum("_c").over(within) + F.col("_below"))
-                     .where((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_c") <= F.col("_rank"))))
-    return picked.select(*keys, "n", F.col("_value").alias(out), *names)
+    cells = counted.groupBy(*keys, "_cell").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"), *[F.min(n).alias(n) for n in names])
+    ranked = (cells.withColumn("n", F.sum("_c").over(whole)).withColumns({n: F.min(n).over(whole) for n in names})
+                   .withColumn("_rank", rank_of).withColumn("_below", F.lit(0).cast("bigint")))
+    target = holding(ranked, "_cell", whole).select(*keys, "_cell", "n", "_rank", "_below", "_lo", "_hi", *names)
+    share = (F.col("_value").cast("double") - F.col("_lo").cast("double")) / F.greatest(F.col("_hi").cast("double") - F.col("_lo").cast("double"), F.lit(1e-300))
+    inside = counted.drop(*names).join(target, [*keys, "_cell"]).withColumn("_sub", F.floor(share * SUB_CELLS).cast("int"))
+    told = ["n", "_rank", "_below", *names]
+    subs = inside.groupBy(*keys, "_sub").agg(F.sum("_c").alias("_c"), *[F.min(c).alias(c) for c in told])
+    slice_ = holding(subs, "_sub", whole).select(*keys, "_sub", *told)
+    last = inside.drop(*told).join(slice_, [*keys, "_sub"])
+    return holding(last, "_value", whole).select(*keys, "n", F.col("_value").alias(out), *names)
 
 
 def islands(rows: DataFrame, keys: Sequence[str], place: str, gap: float, name: str = "_island") -> DataFrame:

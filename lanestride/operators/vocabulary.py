@@ -76,15 +76,9 @@ def merge_meta(meta: DataFrame, existing: DataFrame, sequences: DataFrame, unkno
 
 
 def token_ids(rows: DataFrame, vocabulary: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
-    """Vocabulary id per token row, the unknown id where there is none.
-
-    The vocabulary's own counts tell which tokens are hot; those are joined by
-    broadcast and their rows spread, see :func:`spread.attach`.
-    """
+    """Vocabulary id per token row, the unknown id where there is none; hot tokens as in :func:`spread.attach`."""
     fallback = lexicon.base_vocabulary.index(lexicon.unknown)
-    ids = vocabulary.select("token", "token_id", "count")
-    spread = F.struct(*[c for c in rows.columns if c != "token"])
-    return attach(rows, ids, "token", "count", spread, keep_unmatched=True).drop("count").withColumn(
+    return attach(rows, vocabulary.select("token", "token_id"), "token", keep_unmatched=True).withColumn(
         "token_id", F.coalesce("token_id", F.lit(fallback)).cast("bigint"))
 
 

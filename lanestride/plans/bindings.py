@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lanestride.dims import DEFAULT
 from lanestride.functions.columns import sql_text
-from lanestride.sources.readers import balanced
 
 LABELS = ["easy", "Normal", " HARD ", "Insane Demon", "EXTREME_DEMON", "auto", "harder", "easy demon", "???"]
 SOURCES = ["", "recent", "featured", "awarded", "trending"]
@@ -22,7 +21,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return balanced(table(spark, sf, "documents"), "doc_id")
+    return table(spark, sf, "documents")
 
 
 def _micros() -> str:
@@ -31,7 +30,7 @@ def _micros() -> str:
 
 def objects(spark: SparkSession, sf: str) -> DataFrame:
     """Events as placed objects: one level per user."""
-    return balanced(table(spark, sf, "events"), "event_id").select(
+    return table(spark, sf, "events").select(
         F.col("user_id").alias("level_id"), F.col("event_id").alias("seq"),
         F.expr("try_cast(get_json_object(props, '$.k') AS BIGINT)").alias("object_id"),
         F.expr(f"({_micros()} - {EPOCH_US}) / {float(HOUR_US)}D").alias("x"), F.col("value").alias("y"))
@@ -85,7 +84,7 @@ ORDER_LINES = """o_orderkey AS l_orderkey, CAST(o_orderkey % 7 + 1 AS INT) AS l_
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Orders under short names: the unique key and a few small numbers to build raw text from."""
-    return balanced(table(spark, sf, "orders"), "o_orderkey").selectExpr(*[e.strip() for e in _split_top(ORDER_LINES)])
+    return table(spark, sf, "orders").selectExpr(*[e.strip() for e in _split_top(ORDER_LINES)])
 
 
 def _split_top(text: str) -> list[str]:

@@ -15,21 +15,6 @@ from lanestride.operators.decompose import decode_payload
 CORRUPT = "_corrupt_record"
 
 
-SMALL_SPLIT = 32 << 20
-
-
-def balanced(rows: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input that is too small to fill the cluster from its own splits.
-
-    A file is cut no finer than its row groups, so a small table may be read by
-    one task.  Below ``SMALL_SPLIT`` bytes per core the rows are hashed over all
-    cores; a large input already has more splits than cores and is left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return rows.repartition(cores, *keys) if size < cores * SMALL_SPLIT else rows
-
-
 def _parse(text: DataFrame, schema: StructType, keep_rejects: bool) -> DataFrame:
     """JSON objects in ``value``; anything else is a reject with its text under ``_corrupt_record``."""
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])

@@ -49,8 +49,8 @@ def test_islands(spark):
 
 def test_order_statistic_is_exact(spark):
     rng = random.Random(1)
-    rows = [(k, rng.choice([rng.uniform(-9e5, 9e5), float(rng.randrange(5)), 1e-9 * rng.random()])) for k in range(8) for _ in range(50 * k + 1)]
-    got = order_statistic(spark.createDataFrame(rows, "k INT, v DOUBLE"), ["k"], "v", F.bround((F.col("n") - 1) * 0.3, 0), "q", limit=1000).collect()
+    rows = [(k, rng.choice([rng.uniform(-9e5, 9e5), float(rng.randrange(5)), 1e-9 * rng.random(), rng.choice([-1, 1]) * 10.0 ** rng.randrange(3, 22)])) for k in range(8) for _ in range(50 * k + 1)]
+    got = order_statistic(spark.createDataFrame(rows, "k INT, v DOUBLE"), ["k"], "v", F.bround((F.col("n") - 1) * 0.3, 0), "q").collect()
     for r in got:
         values = sorted(v for k, v in rows if k == r.k)
         assert r.q == values[round((len(values) - 1) * 0.3)] and r.n == len(values)
