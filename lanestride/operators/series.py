@@ -165,7 +165,15 @@ def tempo(onsets: DataFrame, energy: DataFrame, spacing: float = 0.1, low: float
         S, fold_octave(F.when(F.col("_g").isNotNull(), 60.0 / F.greatest(F.col("_g"), F.lit(1e-9))).otherwise(F.col("bpm"))).alias("bpm"))
 
 
+def sample_durations(samples: DataFrame, rate: Column, spacing: float = 0.1) -> DataFrame:
+    """Length of each sampled series, samples / rate, and its number of energy points of ``spacing`` seconds."""
+    n = F.count(F.lit(1))
+    window = F.greatest(F.lit(1), F.floor(F.max(rate) * spacing))
+    return samples.groupBy(S).agg((n / F.max(rate)).alias("duration"), F.ceil(n / window).cast("bigint").alias("points"))
+
+
 def durations(energy: DataFrame, spacing: float = 0.1) -> DataFrame:
+    """Length of a series that is known by its energy points only; sampled series have ``sample_durations``."""
     return energy.groupBy(S).agg(((F.max("idx") + 1) * F.lit(spacing)).alias("duration"), F.count(F.lit(1)).alias("points"))
 
 

@@ -1,7 +1,9 @@
 """Sinks."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
+
+from lanestride.session import stage
 
 
 def write_records(rows: DataFrame, path: str, mode: str = "append", fmt: str = "json") -> None:
@@ -14,17 +16,12 @@ def write_document(row: DataFrame, path: str) -> None:
     row.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_routed(stats: DataFrame, gameplay: DataFrame, parsed: DataFrame, root: str, mode: str = "append",
-                 fmt: str = "parquet") -> None:
-    """Fan one tokenised batch out to parsed, gameplay, token (accepted only) and stats tables.
+def write_routed(rows: DataFrame, routes: dict[str, tuple[Column, list[str]]], root: str, mode: str = "append", fmt: str = "parquet") -> None:
+    """Fan one frame out to a table per route (rows that meet its condition, its columns).
 
-    The batch is persisted once; the four writes read it, so nothing upstream runs twice.
+    The frame is staged once in the shared folder; every route reads that, so
+    nothing upstream runs twice, whatever is lost on the way.
     """
-    kept = stats.persist()
-    try:
-        write_records(parsed, f"{root}/parsed_levels", mode, fmt)
-        write_records(gameplay, f"{root}/gameplay_objects", mode, fmt)
-        write_records(kept.where("accepted").select("level_id", "difficulty", "source", "tokens"), f"{root}/mechanics_tokens", mode, fmt)
-        write_records(kept.drop("tokens"), f"{root}/tokenizer_stats", mode, fmt)
-    finally:
-        kept.unpersist()
+    kept = stage(rows)
+    for name, (condition, columns) in routes.items():
+        write_records(kept.where(condition).select(*columns), f"{root}/{name}", mode, fmt)

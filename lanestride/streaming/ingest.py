@@ -1,8 +1,8 @@
 """Continuous ingestion with Structured Streaming.
 
 Files land in a directory, each micro-batch is decoded, tokenised and appended
-to the stage tables, and the vocabulary is merged.  The checkpoint replaces a
-byte offset; the processed-ids table replaces an id file.
+to the stage tables, and the vocabulary is merged in order of arrival.  The
+checkpoint replaces a byte offset; the ids in the stats table replace an id file.
 """
 from __future__ import annotations
 
@@ -10,12 +10,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lanestride.dims import DEFAULT, Lexicon
 from lanestride.operators import decompose as R, emit as E, monitor as M, objects as O, vocabulary as V
 from lanestride.sources.readers import tail_records
 
+VOCABULARY = "token_id BIGINT, token STRING, count BIGINT, batch_id BIGINT"
 LEVEL_SCHEMA = "level_id BIGINT, difficulty STRING, song_id BIGINT, song_type STRING, source STRING, level_data STRING, ingest_order BIGINT"
 STATS = ("level_id BIGINT, difficulty STRING, source STRING, accepted BOOLEAN, reason STRING, object_count_raw BIGINT, object_count_gameplay BIGINT, "
          "gameplay_source_object_count BIGINT, ignored_object_count BIGINT, unknown_object_count BIGINT, unknown_object_ratio DOUBLE, "
@@ -43,46 +44,64 @@ class Stage:
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path(name)))
 
 
+    def keep_from(self, spark: SparkSession, name: str, batch_id: int) -> None:
+        """Drop the partitions of batches before ``batch_id``."""
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for part in files.listStatus(root):
+            number = part.getPath().getName().removeprefix("batch_id=")
+            if number.isdigit() and int(number) < batch_id:
+                files.delete(part.getPath(), True)
+
+
 def new_levels(batch: DataFrame, processed: DataFrame) -> DataFrame:
-    """Positive, unprocessed ids; the first record of an id within the batch wins."""
-    fresh = M.pending_records(batch, processed.select("level_id"), processed.select("level_id"))
+    """Positive, unprocessed ids; the first record of an id within the batch wins.
+
+    The history is read as one column of ids and cut to the batch's ids where it is
+    read; it is never moved, sorted or made distinct as a whole.
+    """
+    positive = batch.where("level_id > 0")
+    known = processed.select("level_id").join(F.broadcast(positive.select("level_id").distinct()), "level_id", "left_semi").distinct()
+    fresh = positive.join(known, "level_id", "left_anti")
     return M.first_by_key(fresh, "level_id", F.struct("ingest_order", F.xxhash64("level_data")))
 
 
-def tokenise_levels(levels: DataFrame, lexicon: Lexicon = DEFAULT, limits: E.Limits = E.Limits()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(stats with tokens, gameplay, objects)`` of raw level records."""
-    decoded = R.decode_payload(levels, "level_data")
-    good = decoded.where("decode_reason IS NULL")
-    objects = R.explode_objects(good)
-    play = O.gameplay_objects(objects, lexicon)
-    emitted = E.emit_tokens(play, good.select("level_id", "difficulty", "source"), lexicon, limits)
-    failures = decoded.where("decode_reason IS NOT NULL").select(
-        "level_id", "difficulty", "source", F.col("decode_reason").alias("reason"))
-    return E.stats_records(objects, play, emitted, lexicon, limits, failures), play, objects
+def decoded_levels(levels: DataFrame) -> DataFrame:
+    """One row per level: its decoded text or the reason why there is none."""
+    return R.decode_payload(levels, "level_data").select("level_id", "difficulty", "source", "ingest_order", "decoded", "decode_reason")
+
+
+def with_batch(rows: DataFrame) -> StructType:
+    return StructType([*rows.schema.fields, StructField("batch_id", LongType())])
 
 
 def process_batch(batch: DataFrame, batch_id: int, stage: Stage, lexicon: Lexicon = DEFAULT, limits: E.Limits = E.Limits()) -> None:
     """One micro-batch, safe to replay: ids of this batch are hidden from the processed set.
 
-    The stats partition is written first and holds tokens, so the later tables
-    are read from it and the decode runs once.
+    Each step is written once and read by the next ones: decoded levels
+    (``parsed``), their gameplay objects, the stats with tokens.  Of the vocabulary the
+    versions of this batch and the one before are kept.
     """
     spark = batch.sparkSession
-    processed = stage.read(spark, "stats", STATS, before=batch_id)
-    levels = new_levels(batch, processed).persist()
-    try:
-        stats, play, _ = tokenise_levels(levels, lexicon, limits)
-        stage.append(stats, "stats", batch_id)
-        stage.append(play, "gameplay", batch_id)
-    finally:
-        levels.unpersist()
-    done = stage.read(spark, "stats", STATS).where(F.col("batch_id") == batch_id)
-    sequences = done.where("accepted").select("level_id", "difficulty", "source", "tokens")
-    stage.append(sequences, "tokens", batch_id)
-    before = stage.read(spark, "vocabulary", "token_id BIGINT, token STRING, count BIGINT, batch_id BIGINT")
-    existing = before.where(F.col("batch_id") < batch_id)
+    own = lambda name, schema: stage.read(spark, name, schema).where(F.col("batch_id") == batch_id).drop("batch_id")
+    levels = decoded_levels(new_levels(batch, stage.read(spark, "stats", STATS, before=batch_id)))
+    stage.append(levels, "parsed", batch_id)
+    parsed = own("parsed", with_batch(levels))
+    good = parsed.where("decode_reason IS NULL")
+    objects = R.explode_objects(good)
+    gameplay = O.gameplay_objects(objects, lexicon)
+    stage.append(gameplay, "gameplay", batch_id)
+    play = own("gameplay", with_batch(gameplay))
+    emitted = E.emit_tokens(play, good.select("level_id", "difficulty", "source"), lexicon, limits)
+    failures = parsed.where("decode_reason IS NOT NULL").select("level_id", "difficulty", "source", F.col("decode_reason").alias("reason"))
+    stage.append(E.stats_records(objects, play, emitted, lexicon, limits, failures), "stats", batch_id)
+    accepted = own("stats", STATS).where("accepted").select("level_id", "difficulty", "source", "tokens")
+    stage.append(accepted, "tokens", batch_id)
+    arrived = accepted.join(parsed.select("level_id", "ingest_order"), "level_id")
+    existing = stage.read(spark, "vocabulary", VOCABULARY, before=batch_id)
     last = existing.join(F.broadcast(existing.agg(F.max("batch_id").alias("batch_id"))), "batch_id").drop("batch_id")
-    stage.append(V.merge_vocabulary(last, sequences, "level_id", lexicon), "vocabulary", batch_id)
+    stage.append(V.merge_vocabulary(last, arrived, "ingest_order", lexicon), "vocabulary", batch_id)
+    stage.keep_from(spark, "vocabulary", batch_id - 1)
 
 
 def start_ingest(spark: SparkSession, source: str, stage: Stage, checkpoint: str, lexicon: Lexicon = DEFAULT,

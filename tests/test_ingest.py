@@ -11,8 +11,8 @@ from lanestride.sources import readers, writers
 from lanestride.streaming.alerts import cooldown_stream, first_seen_stream
 from lanestride.streaming.ingest import LEVEL_SCHEMA, Stage, start_ingest, STATS
 
-SEARCH = "1:123:2:Example:5:1:6:42:8:10:9:50:10:1000:12:0:14:55:15:3:17:0:18:6:25::35:999#42:Player:7#1~|~999~|~2~|~Song Name~|~4~|~Artist#1:0:10#hash"
-LEVEL = "kS1,0;1,1,2,15,3,15;1,1,2,45,3,15;1,1,2,75,3,15;1,8,2,105,3,45,6,90;1,36,2,105,3,105;1,13,2,135,3,75"
+SEARCH = "1:7071:2:Harbor Run:5:3:6:88:8:10:9:30:10:250:12:2:14:31:15:2:17:0:18:4:25::35:4411#88:Mira:19#1~|~4411~|~2~|~Low Tide~|~4~|~Okapi#3:20:10#tail"
+LEVEL = "kA2,1;1,40,2,45,3,15;1,40,2,75,3,15;1,39,2,165,3,75,6,180;1,84,2,165,3,135;1,47,2,255,3,105"
 
 
 def pack(text):
@@ -28,25 +28,25 @@ def test_search_response(spark):
     got = R.candidates(R.explode_search(rows), R.creators(rows)).collect()
     assert len(got) == 1
     c = got[0]
-    assert (c.level_id, c.author, c.account_id, c.difficulty, c.song_id, c.song_type, c.length) == (123, "Player", 7, "INSANE", 999, "custom", "LONG")
+    assert (c.level_id, c.author, c.account_id, c.difficulty, c.song_id, c.song_type, c.length) == (7071, "Mira", 19, "HARD", 4411, "custom", "MEDIUM")
     song = R.songs(rows).first()
-    assert (song.song_id, song.name, song.artist, song.parsed["2"]) == (999, "Song Name", "Artist", "Song Name")
+    assert (song.song_id, song.name, song.artist, song.parsed["2"]) == (4411, "Low Tide", "Okapi", "Low Tide")
 
 
 def test_download_and_audio(spark):
-    rows = raw(spark, f"1:5:2:N:4:{pack(LEVEL)}:12:3:35:999#h1#h2##1~|~999~|~10~|~http://u", "", " -1", "#a", "2:x#a")
+    rows = raw(spark, f"1:62:2:Quay:4:{pack(LEVEL)}:12:1:35:780#d1#d2##1~|~780~|~10~|~http://song", "", " -1", "#a", "2:x#a")
     fields = R.download_fields(rows)
     assert [r.reason for r in fields.orderBy("request_id").collect()] == [
         None, "empty_response", "not_found_response", "missing_level_object", "missing_level_id"]
     a = R.audio_metadata(fields.where("reason IS NULL"), R.songs(rows, 4)).first()
-    assert a.conditioning_ready and a.hash1 == "h1" and a.song.download_url == "http://u"
+    assert a.conditioning_ready and a.hash1 == "d1" and a.song.download_url == "http://song"
 
 
 def test_demon_and_comments(spark):
     rows = raw(spark, "1:9:17:1:43:6").withColumn("p", __import__("lanestride.functions.columns", fromlist=["pairs"]).pairs("raw", ":"))
     assert rows.select(R.difficulty_label()).first()[0] == "EXTREME_DEMON"
-    c = R.comments(raw(spark, "2~Comment~3~42#1:0:10")).first()
-    assert c.comment_count == 1 and tuple(c.page_info) == (1, 0, 10)
+    c = R.comments(raw(spark, "2~well met~3~88#5:10:20")).first()
+    assert c.comment_count == 1 and tuple(c.page_info) == (5, 10, 20)
 
 
 def test_payload_reasons(spark):
@@ -57,20 +57,20 @@ def test_payload_reasons(spark):
     assert check("").reason == "level_data_missing"
     assert check(base64.b64encode(b"plain").decode()).reason == "zlib_decode_failed"
     assert check(base64.b64encode(gzip.compress(b"\xff\xfe")).decode()).reason == "unicode_decode_failed"
-    assert check(pack("kS1,0; ;")).reason == "zero_objects"
-    ok = check(pack("kS1,0;k1,1,2,15;k1,2,2,30"))
+    assert check(pack("kA2,1; ;")).reason == "zero_objects"
+    ok = check(pack("kA2,1;1,40,2,45;1,39,2,75"))
     assert ok.reason is None and ok.object_count == 2
 
 
 def test_object_parse(spark):
-    frame = spark.createDataFrame([(1, "kS1,0;1,8,2,105,3,45,6,90;1,36,2,105,3,105;;1,,2,3;1,9,1,8,2,a")], "level_id BIGINT, decoded STRING")
+    frame = spark.createDataFrame([(1, "kA2,1;1,39,2,165,3,75,6,180;1,84,2,165,3,135;;1,,2,3;1,9,1,39,2,a;1,5,2,nan,3,1")], "level_id BIGINT, decoded STRING")
     got = R.explode_objects(frame).orderBy("seq").collect()
-    assert [(r.object_id, r.x, r.y, r.rotation, r.scale) for r in got] == [(8, 105.0, 45.0, 90.0, 1.0), (36, 105.0, 105.0, 0.0, 1.0), (8, 0.0, 0.0, 0.0, 1.0)]
+    assert [(r.object_id, r.x, r.y, r.rotation, r.scale) for r in got] == [(39, 165.0, 75.0, 180.0, 1.0), (84, 165.0, 135.0, 0.0, 1.0), (39, 0.0, 0.0, 0.0, 1.0)]
 
 
 def test_name_filter(spark):
-    names = spark.createDataFrame([("Clean Layout Preview",), ("LAYOUT challenge",), ("Nine Circles Remake",)], "n STRING")
-    assert names.where(R.name_contains_all(F.col("n"), ["layout"])).count() == 2
+    names = spark.createDataFrame([("Quiet Harbor II",), ("HARBOR lights",), ("Long Pier",)], "n STRING")
+    assert names.where(R.name_contains_all(F.col("n"), ["harbor"])).count() == 2
     assert names.where(R.name_contains_all(F.col("n"), [])).count() == 3
 
 
@@ -90,12 +90,22 @@ def test_readers(spark, tmp_path):
     assert readers.read_records(spark, str(tmp_path / "out"), frame.schema).count() == 2
 
 
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(1, True, "a"), (2, False, "b"), (3, True, "c")], "level_id BIGINT, accepted BOOLEAN, tokens STRING")
+    writers.write_routed(rows, {"kept": (F.col("accepted"), ["level_id", "tokens"]), "all": (F.lit(True), ["level_id", "accepted"])}, str(tmp_path / "r"))
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "r" / "kept")).collect()) == [(1, "a"), (3, "c")]
+    assert spark.read.parquet(str(tmp_path / "r" / "all")).columns == ["level_id", "accepted"]
+    for value in (4, 5):
+        writers.write_document(spark.createDataFrame([(value,)], "a BIGINT"), str(tmp_path / "doc"))
+    assert [r.a for r in spark.read.json(str(tmp_path / "doc")).collect()] == [5]
+
+
 def test_level_files(spark, tmp_path):
     (tmp_path / "one.gmd").write_text(f"<dict><k>k2</k><s>n</s><k>k4</k><s>{pack(LEVEL)}==</s></dict>")
     (tmp_path / "two.gmd").write_text("h;1,8,2,3,3,4;x")
     from lanestride.operators.layout import parse_reference_objects
     got = parse_reference_objects(readers.read_level_files(spark, str(tmp_path))).groupBy("source").count().collect()
-    assert {r["source"]: r["count"] for r in got} == {"one.gmd": 6, "two.gmd": 1}
+    assert {r["source"]: r["count"] for r in got} == {"one.gmd": 5, "two.gmd": 1}
 
 
 # -- streaming -----------------------------------------------------------------
@@ -128,10 +138,23 @@ def test_ingest_batches_agree_and_reruns_add_nothing(spark, tmp_path):
     first = snapshot(spark, one)
     assert first == snapshot(spark, two)
     assert [(s[0], s[1], s[2]) for s in first[0]] == [(1, True, ""), (2, False, "base64_decode_failed")]
-    assert first[1]["BLOCK"] == 1
+    assert first[1]["PLATFORM"] == 1
     assert snapshot(spark, run(spark, tmp_path, {}, "one")) == first
 
 
+def test_vocabulary_grows_in_order_of_arrival(spark, tmp_path):
+    from lanestride.streaming.ingest import VOCABULARY, process_batch
+    stage = Stage(str(tmp_path / "stage"))
+    late, early = "h;1,88,2,45,3,15;1,88,2,165,3,75", "h;1,36,2,45,3,15;1,40,2,75,3,15"
+    batch = spark.createDataFrame([(1, "hard", 0, "", "s", pack(late), 9), (2, "hard", 0, "", "s", pack(early), 3)], LEVEL_SCHEMA)
+    for number in range(3):
+        process_batch(batch, number, stage, limits=E.Limits(min_gameplay_objects=1, min_tokens=1))
+    rows = stage.read(spark, "vocabulary", VOCABULARY).collect()
+    assert {r.batch_id for r in rows} == {1, 2}
+    assert {r.token: r["count"] for r in rows if r.batch_id == 2}["SAW"] == 2
+    assert stage.read(spark, "parsed", "level_id BIGINT, decoded STRING, batch_id BIGINT").count() == 2
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path):
     from lanestride.streaming.ingest import process_batch
     stage = Stage(str(tmp_path / "stage"))

@@ -66,12 +66,9 @@ def test_ordered_index_and_halo(spark):
     assert near.where("_own").count() == 1000 and near.count() > 1000
 
 
-def pulse(rate=8000, seconds=2.0):
-    out = []
-    for n in range(int(rate * seconds)):
-        t = n / rate
-        out.append((1.0 if t % 0.5 < 0.045 else 0.12) * math.sin(2 * math.pi * 440 * t))
-    return out
+def pulse(rate=8000, seconds=2.4, period=0.4):
+    """A loud tick at every period over a quiet hum."""
+    return [(0.9 if t % period < 0.06 else 0.1) * math.sin(2 * math.pi * 300 * t) for t in (n / rate for n in range(int(rate * seconds)))]
 
 
 def write_wave(path, samples, rate=8000, channels=1):
@@ -83,15 +80,17 @@ def write_wave(path, samples, rate=8000, channels=1):
 
 def test_pulse_tempo(spark, tmp_path):
     write_wave(tmp_path / "a.wav", pulse())
-    write_wave(tmp_path / "b.wav", pulse(seconds=3.0), channels=2)
+    write_wave(tmp_path / "b.wav", pulse(seconds=3.23), channels=2)
     (tmp_path / "bad.wav").write_bytes(b"RIFFxxxx")
     raw = read_wave_files(spark, str(tmp_path)).withColumn("series", F.when(F.col("track") == "a.wav", 0).otherwise(1).cast("bigint"))
-    assert {r["series"]: r["n"] for r in raw.groupBy("series").agg(F.count("*").alias("n")).collect()} == {0: 16000, 1: 24000}
+    assert {r["series"]: r["n"] for r in raw.groupBy("series").agg(F.count("*").alias("n")).collect()} == {0: 19200, 1: 25840}
     assert raw.agg(F.max(F.abs("sample"))).first()[0] <= 1.0
     energy = X.smooth3(X.minmax_normalise(X.rms_by_index(raw, F.col("rate"))))
     onsets = X.min_gap(X.onset_candidates(energy), ["series"], "t", 0.16)
     bpm = X.tempo(onsets, energy)
-    beats = X.beat_grid(bpm, onsets, X.durations(energy))
+    lengths = X.sample_durations(raw, F.col("rate"))
+    assert {r.series: r.duration for r in lengths.collect()} == {0: 2.4, 1: 3.23}
+    beats = X.beat_grid(bpm, onsets, lengths)
     for r in bpm.collect():
         assert 80 <= r.bpm <= 210
     assert all(r["n"] > 2 for r in beats.groupBy("series").agg(F.count("*").alias("n")).collect())
