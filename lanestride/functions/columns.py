@@ -59,6 +59,10 @@ def to_float(column: Column | str, default: float | None = 0.0) -> Column:
 
 
 def pairs(column: str, delimiter: str) -> Column:
+    return F.expr(pairs_sql(column, delimiter))
+
+
+def pairs_sql(column: str, delimiter: str) -> str:
     """Alternating ``k<d>v<d>k<d>v`` text as parallel arrays ``(k, v)``, last pair first; an odd tail is dropped.
 
     The text is split once.  Storing the pairs in reverse makes a plain
@@ -69,7 +73,7 @@ def pairs(column: str, delimiter: str) -> Column:
     pattern = delimiter if plain else chr(92) + "Q" + delimiter + chr(92) + "E"
     parts = f"split({column}, {sql_text(pattern)})"
     back = "sequence(size(p) div 2 - 1, 0, -1)"
-    return F.expr(
+    return (
         f"element_at(transform(array({parts}), p -> CASE WHEN size(p) < 2 "
         f"THEN named_struct('k', CAST(array() AS array<string>), 'v', CAST(array() AS array<string>)) "
         f"ELSE named_struct('k', transform({back}, i -> p[2 * i]), 'v', transform({back}, i -> p[2 * i + 1])) END), 1)")
@@ -77,7 +81,11 @@ def pairs(column: str, delimiter: str) -> Column:
 
 def pick(pairs_column: str, key: str) -> Column:
     """Value of the last pair with this key, NULL when absent."""
-    return F.expr(f"get({pairs_column}.v, int(array_position({pairs_column}.k, {sql_text(key)})) - 1)")
+    return F.expr(pick_sql(pairs_column, key))
+
+
+def pick_sql(pairs_column: str, key: str) -> str:
+    return f"get({pairs_column}.v, int(array_position({pairs_column}.k, {sql_text(key)})) - 1)"
 
 
 def pairs_map(pairs_column: str) -> Column:

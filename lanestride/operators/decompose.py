@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from lanestride.functions.columns import finite, pairs, pairs_map, pick, to_float, to_int, unnest
+from lanestride.functions.columns import finite, pairs, pairs_map, pairs_sql, pick, pick_sql, to_float, to_int, unnest
 
 # Field codes of the response format and their labels.
 DIFFICULTY_LABELS = {0: "NA", 10: "EASY", 20: "NORMAL", 30: "HARD", 40: "HARDER", 50: "INSANE"}
@@ -69,38 +69,51 @@ def section(raw: str, index: int) -> Column:
     return F.coalesce(F.get(F.split(raw, "#"), F.lit(index)), F.lit(""))
 
 
+INT = "coalesce(try_cast(trim({}) AS bigint), 0L)"
+
+
+def creator_list(raw: str = "raw", index: int = 1) -> Column:
+    """The creators of a response in order: array of (player_id, username, account_id); bad entries are left out."""
+    entries = f"transform(split(coalesce(get(split({raw}, '#'), {index}), ''), '[|]'), c -> split(c, ':'))"
+    whole = f"filter({entries}, f -> size(f) >= 3 AND NOT startswith(f[0], '~') AND {INT.format('f[0]')} > 0)"
+    return F.expr(f"transform({whole}, f -> named_struct('player_id', {INT.format('f[0]')}, 'username', f[1], 'account_id', {INT.format('f[2]')}))")
+
+
+def song_list(raw: str = "raw", index: int = 2) -> Column:
+    """The songs of a response in order: array of (song_id, name, artist, size, download_url, raw_song, p), ``p`` all pairs.
+
+    ``pos`` is the place among the non-empty entries; entries without a positive id are left out.
+    """
+    text = f"trim(coalesce(get(split({raw}, '#'), {index}), ''))"
+    listed = f"filter(split({text}, ':(?=~?1~[|]~)'), x -> x <> '')"
+    clean = "regexp_replace(regexp_replace(trim(x), '^~', ''), '~$', '')"
+    tagged = f"transform({listed}, (x, n) -> named_struct('pos', n, 'raw_song', x, 'p', {pairs_sql(clean, '~|~')}))"
+    field = lambda k: f"coalesce({pick_sql('s.p', k)}, '')"
+    made = (f"transform({tagged}, s -> named_struct('pos', s.pos, 'song_id', {INT.format(pick_sql('s.p', '1'))}, 'name', {field('2')}, 'artist', {field('4')}, "
+            f"'size', {field('5')}, 'download_url', {field('10')}, 'raw_song', s.raw_song, 'p', s.p))")
+    return F.expr(f"CASE WHEN {text} IN ('', '~') THEN filter({made}, s -> false) ELSE filter({made}, s -> s.song_id > 0) END")
+
+
 # -- search responses ---------------------------------------------------------
 def explode_search(responses: DataFrame) -> DataFrame:
-    """One row per level of a search response: input columns, ``pos``, ``raw_level``, pairs ``p``."""
+    """One row per level of a search response: input columns, ``pos``, ``raw_level``, the page's ``creators``, pairs ``p``."""
     rest = [c for c in responses.columns if c != "raw"]
-    rows = (responses.where(~is_empty()).withColumn("_s", section("raw", 0))
-            .transform(lambda r: unnest(r, *rest, raw_level=F.filter(F.split("_s", r"\|"), lambda x: x != ""))))
+    rows = (responses.where(~is_empty()).withColumn("_s", section("raw", 0)).withColumn("creators", creator_list())
+            .transform(lambda r: unnest(r, *rest, "creators", raw_level=F.filter(F.split("_s", r"\|"), lambda x: x != ""))))
     return rows.withColumn("p", pairs("raw_level", ":"))
 
 
 def creators(responses: DataFrame, index: int = 1) -> DataFrame:
     """``(request_id, player_id, username, account_id)``; the last entry per id wins."""
-    entries = (responses.where(~is_empty()).withColumn("_s", section("raw", index))
-               .transform(lambda r: unnest(r, "request_id", c=F.split("_s", r"\|")))
-               .where((F.col("c") != "") & ~F.col("c").startswith("~")).withColumn("f", F.split("c", ":"))
-               .where(F.size("f") >= 3).select("request_id", "pos", to_int(F.col("f")[0]).alias("player_id"),
-                                               F.col("f")[1].alias("username"), to_int(F.col("f")[2]).alias("account_id"))
-               .where("player_id > 0"))
-    last = lambda c: F.max_by(c, "pos").alias(c)
-    return entries.groupBy("request_id", "player_id").agg(last("username"), last("account_id"))
+    rows = unnest(responses.where(~is_empty()).select("request_id", creator_list("raw", index).alias("_l")), "request_id", c=F.col("_l"))
+    last = lambda c: F.max_by(F.col(f"c.{c}"), "pos").alias(c)
+    return rows.groupBy("request_id", F.col("c.player_id").alias("player_id")).agg(last("username"), last("account_id"))
 
 
 def songs(responses: DataFrame, index: int = 2) -> DataFrame:
     """Song rows of a response: ``(request_id, pos, song_id, name, artist, size, download_url, raw_song, parsed)``."""
-    rows = (responses.where(~is_empty()).withColumn("_s", F.trim(section("raw", index)))
-            .where(~F.col("_s").isin("", "~"))
-            .transform(lambda r: unnest(r, "request_id", raw_song=F.filter(F.split("_s", r":(?=~?1~\|~)"), lambda x: x != "")))
-            .withColumn("_c", F.regexp_replace(F.regexp_replace(F.trim("raw_song"), "^~", ""), "~$", ""))
-            .withColumn("p", pairs("_c", "~|~")).withColumn("song_id", num("p", "1")).where("song_id > 0"))
-    text = lambda k: F.coalesce(pick("p", k), F.lit(""))
-    return rows.select("request_id", "pos", "song_id", text("2").alias("name"), text("4").alias("artist"), text("5").alias("size"),
-                       text("10").alias("download_url"),
-                       "raw_song", pairs_map("p").alias("parsed"))
+    rows = responses.where(~is_empty()).select("request_id", song_list("raw", index).alias("_l"))
+    return (unnest(rows, "request_id", s=F.col("_l")).drop("pos").select("request_id", "s.*").withColumn("parsed", pairs_map("p")).drop("p"))
 
 
 def page_info(text: Column) -> Column:
@@ -110,19 +123,27 @@ def page_info(text: Column) -> Column:
                                            to_int(F.get(f, F.lit(2))).alias("amount")))
 
 
-def candidates(levels: DataFrame, people: DataFrame) -> DataFrame:
-    """Typed candidate rows from exploded search levels and their page's creators."""
-    c = F.col
-    typed = levels.select(
-        "request_id", "source", "page", "pos", "raw_level", num("p", "1").alias("level_id"), num("p", "6").alias("player_id"),
+SEARCH_FIELDS = ["difficulty", "downloads", "likes", "stars", "length", "version", "game_version", "object_count_hint", "song_id", "song_type",
+                 "featured_score", "epic_score"]
+
+
+def candidates(levels: DataFrame) -> DataFrame:
+    """Typed candidate rows from exploded search levels.
+
+    A level's creator stands in the same response, so it is looked up inside
+    the row (the last entry of an id wins) and nothing is exchanged.
+    """
+    found = F.expr("element_at(filter(creators, c -> c.player_id = player_id), -1)")
+    typed = levels.withColumn("player_id", num("p", "6")).select(
+        "request_id", "source", "page", "pos", "raw_level", num("p", "1").alias("level_id"), "player_id",
         F.coalesce(pick("p", "2"), F.lit("")).alias("name"), is_auto().alias("is_auto"),
         difficulty_label().alias("difficulty"), num("p", "10").alias("downloads"), num("p", "14").alias("likes"),
         num("p", "18").alias("stars"), length_label().alias("length"), num("p", "5").alias("version"),
         num("p", "13").alias("game_version"), num("p", "45").alias("object_count_hint"), song_id().alias("song_id"),
-        song_type().alias("song_type"), num("p", "19").alias("featured_score"), num("p", "42").alias("epic_score")).where("level_id > 0")
-    return (typed.join(people, ["request_id", "player_id"], "left")
-            .withColumn("author", F.coalesce("username", F.lit("-"))).withColumn("account_id", F.coalesce("account_id", F.lit(0)))
-            .drop("username"))
+        song_type().alias("song_type"), num("p", "19").alias("featured_score"), num("p", "42").alias("epic_score"),
+        F.when(F.size(F.expr("filter(creators, c -> c.player_id = player_id)")) > 0, found).alias("_who"))
+    return (typed.where("level_id > 0").withColumn("author", F.coalesce("_who.username", F.lit("-")))
+            .withColumn("account_id", F.coalesce("_who.account_id", F.lit(0))).drop("_who"))
 
 
 # -- download responses -------------------------------------------------------
@@ -138,7 +159,8 @@ def download_fields(responses: DataFrame) -> DataFrame:
 
 
 def comments(responses: DataFrame) -> DataFrame:
-    """Comment count, the comments and page info of each page."""
+    """The record of each comment page: all input columns (level_id, source, mode, page, count, ... and ``raw``), the comments,
+    their number and the page info."""
     body = F.substring_index("raw", "#", 1)
     tail = F.when(F.contains("raw", F.lit("#")), F.expr("substring(raw, instr(raw, '#') + 1)")).otherwise(F.lit(""))
     listed = F.filter(F.split(body, r"\|"), lambda x: x != "")
@@ -148,15 +170,28 @@ def comments(responses: DataFrame) -> DataFrame:
         "page_info", F.when(~is_empty(), page_info(tail)))
 
 
-def audio_metadata(downloads: DataFrame, song_rows: DataFrame) -> DataFrame:
-    """Add the referenced song: lookup within the same response by song id."""
-    last = song_rows.groupBy("request_id", "song_id").agg(
-        F.max_by(F.struct("name", "artist", "size", "download_url", "raw_song", "parsed"), "pos").alias("song"))
-    rows = downloads.withColumn("song_id", song_id()).withColumn("song_type", song_type())
-    joined = rows.join(last, ["request_id", "song_id"], "left")
-    has = F.col("song").isNotNull()
-    ready = (F.col("song_type") == "custom") & has & (F.coalesce("song.download_url", F.lit("")) != "")
-    return joined.withColumn("has_custom_song_metadata", has).withColumn("conditioning_ready", ready)
+def audio_metadata(downloads: DataFrame, index: int = 4) -> DataFrame:
+    """Add the referenced song, looked up inside the same response by song id (the last entry of an id wins)."""
+    fields = "named_struct(" + ", ".join(f"'{f}', s.{f}" for f in ("name", "artist", "size", "download_url", "raw_song")) + ", 'p', s.p)"
+    rows = downloads.withColumn("song_id", song_id()).withColumn("song_type", song_type()).withColumn("_l", song_list("raw", index))
+    rows = rows.withColumn("_m", F.expr("filter(_l, s -> s.song_id = song_id)"))
+    rows = rows.withColumn("_one", F.expr(f"CASE WHEN size(_m) > 0 THEN element_at(transform(_m, s -> {fields}), -1) END"))
+    song = F.when(F.col("_one").isNotNull(), F.struct("_one.name", "_one.artist", "_one.size", "_one.download_url", "_one.raw_song", pairs_map("_one.p").alias("parsed")))
+    has = F.col("_one").isNotNull()
+    ready = (F.col("song_type") == "custom") & has & (F.coalesce("_one.download_url", F.lit("")) != "")
+    return (rows.withColumn("song", song).withColumn("has_custom_song_metadata", has).withColumn("conditioning_ready", ready)
+            .drop("_l", "_m", "_one"))
+
+
+AUDIO = ["song_id", "song_type", "has_custom_song_metadata", "conditioning_ready", "song"]
+
+
+def audio_records(downloads: DataFrame, candidate_rows: DataFrame) -> DataFrame:
+    """Audio rows of usable downloads (with audio) and their candidates: ids, source, page and the audio fields."""
+    side = candidate_rows.select("level_id", F.col("source").alias("_source"), F.col("page").alias("_page"))
+    good = downloads.where("reason IS NULL").withColumn("level_id", num("p", "1"))
+    return good.join(side, "level_id").select("level_id", "song_id", "song_type", F.col("_source").alias("source"), F.col("_page").alias("source_page"),
+                                              F.struct(*AUDIO).alias("audio"))
 
 
 def level_records(downloads: DataFrame, candidate_rows: DataFrame, validation: DataFrame | None = None) -> DataFrame:
@@ -169,7 +204,7 @@ def level_records(downloads: DataFrame, candidate_rows: DataFrame, validation: D
     side = candidate_rows.select(
         F.col("level_id"), F.col("name").alias("_name"), F.col("author").alias("_author"), F.col("player_id").alias("_player"),
         F.col("account_id").alias("_account"), F.col("sequence").alias("candidate_sequence"), F.col("source").alias("source"),
-        F.col("page").alias("source_page"), F.struct("difficulty", "downloads", "likes", "stars", "length").alias("search"))
+        F.col("page").alias("source_page"), F.struct(*SEARCH_FIELDS).alias("search"))
     good = downloads.where("reason IS NULL").withColumn("level_id", num("p", "1")).drop("source", "page")
     user = F.when(F.size(F.split("user", ":")) >= 2, F.get(F.split("user", ":"), F.lit(1)))
     joined = good.join(side, "level_id")
@@ -181,7 +216,7 @@ def level_records(downloads: DataFrame, candidate_rows: DataFrame, validation: D
         "level_id", F.coalesce(blank(pick("p", "2")), c("_name")).alias("name"),
         F.coalesce(blank(user), blank(c("_author")), F.lit("-")).alias("author"), difficulty_label().alias("difficulty"),
         num("p", "10").alias("downloads"), num("p", "14").alias("likes"), "song_id", "song_type",
-        F.struct("song_id", "song_type", "has_custom_song_metadata", "conditioning_ready", "song").alias("audio"),
+        F.struct(*AUDIO).alias("audio"),
         "source", "source_page", "object_count", c("hash1").alias("level_hash"), F.coalesce(pick("p", "4"), F.lit("")).alias("level_data"), "raw",
         F.struct(c("hash2").alias("download_hash2"), "candidate_sequence",
                  F.coalesce(F.nullif(num("p", "6"), F.lit(0)), c("_player")).alias("player_id"), c("_account").alias("account_id"),

@@ -37,7 +37,7 @@ CAND = f"""cand AS (SELECT {RID} AS request_id, {RID} AS level_id, l_suppkey AS
   CAST(l_quantity AS BIGINT) AS downloads, CAST(0 AS BIGINT) AS likes, {LENGTH} AS length, {SONG} AS song_id, {STYPE} AS song_type, CAST(l_linenumber AS BIGINT) AS version, l_partkey % 11 = 0 AS is_auto, l_linestatus AS source, l_linenumber AS page FROM ol)"""
 
 search = lambda s, d: R.explode_search(B.search_responses(s, d))
-candidates = lambda s, d: R.candidates(search(s, d), R.creators(B.search_responses(s, d)))
+candidates = lambda s, d: R.candidates(search(s, d))
 register("kv_pairs", """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'a=' || CASE WHEN o_orderkey % 3 = 1 THEN o_custkey ELSE 9 END || ' b=' || o_orderstatus END AS kv FROM orders""")(
     lambda s, d: B.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.expr(
         "CASE o_orderkey % 3 WHEN 0 THEN 'alone' WHEN 1 THEN concat('a~|~', o_custkey, '~|~b~|~', o_orderstatus, '~|~tail') ELSE concat('a~|~', o_custkey, '~|~b~|~', o_orderstatus, '~|~a~|~9') END").alias("raw"))
@@ -62,21 +62,28 @@ DOWN = f"""down AS (SELECT {RID} AS request_id, *, CASE WHEN l_linenumber = 6 TH
   CASE l_suppkey % 7 WHEN 1 THEN 'EASY' WHEN 2 THEN 'NORMAL' WHEN 3 THEN 'HARD' WHEN 4 THEN 'HARDER' WHEN 5 THEN 'INSANE' ELSE 'NA' END AS difficulty, {SONG} AS song_id, {STYPE} AS song_type FROM ol),
  aud AS (SELECT *, song_id = l_partkey AS has, song_type = 'custom' AND song_id = l_partkey AND l_suppkey % 4 <> 0 AS ready FROM down WHERE reason IS NULL)"""
 down = lambda s, d: R.download_fields(B.download_responses(s, d))
-audio = lambda s, d: R.audio_metadata(down(s, d).where("reason IS NULL"), R.songs(B.download_responses(s, d), 4))
+audio = lambda s, d: R.audio_metadata(down(s, d).where("reason IS NULL"))
 register("download_fields", more("ol") + DOWN + " SELECT request_id, reason, CASE WHEN reason IS NULL THEN 'h' || l_orderkey WHEN reason LIKE 'missing%' THEN 'h' ELSE '' END AS hash1 FROM down")(
     lambda s, d: down(s, d).select("request_id", "reason", "hash1"))
-register("audio_record", more("ol") + DOWN + " SELECT request_id AS level_id, song_id, song_type, has AS has_custom_song_metadata, ready AS conditioning_ready FROM aud")(
-    lambda s, d: audio(s, d).select(R.num("p", "1").alias("level_id"), "song_id", "song_type", "has_custom_song_metadata", "conditioning_ready"))
+register("audio_record", more("ol") + CAND + ", " + DOWN + " SELECT aud.request_id AS level_id, aud.song_id, aud.song_type, cand.source, cand.page AS source_page, has AS has_custom_song_metadata, ready AS conditioning_ready, CASE WHEN has THEN CASE WHEN l_suppkey % 4 = 0 THEN '' ELSE 'set' END END AS url FROM aud JOIN cand ON cand.level_id = aud.request_id")(
+    lambda s, d: R.audio_records(audio(s, d), candidates(s, d)).select("level_id", "song_id", "song_type", "source", "source_page", "audio.has_custom_song_metadata", "audio.conditioning_ready",
+                                                                       F.when(F.col("audio.song.download_url") == "", "").when(F.col("audio.song.download_url").isNotNull(), "set").alias("url")))
+counts = lambda s, d: R.validate_payload(R.decode_payload(down(s, d).where("reason IS NULL").withColumn("level_data", F.coalesce(R.pick("p", "4"), F.lit(""))), "level_data"), "level_data")
 register("level_record", more("ol") + CAND + ", " + DOWN + """ SELECT request_id AS level_id, CASE WHEN l_partkey % 2 = 0 THEN 'Name ' || l_partkey ELSE cand.name END AS name, CASE WHEN l_suppkey % 2 = 0 THEN 'User' || l_suppkey ELSE cand.author END AS author,
-  aud.difficulty, CAST(l_quantity AS BIGINT) AS downloads, aud.song_id, aud.song_type, ready AS conditioning_ready, 'h' || l_orderkey AS level_hash, 'g' || l_partkey AS download_hash2, cand.account_id, 'ZGVzYw' AS description_b64, cand.length, cand.difficulty AS search_difficulty FROM aud JOIN cand USING (request_id)""")(
-    lambda s, d: R.level_records(audio(s, d), candidates(s, d).withColumn("sequence", F.lit(0))).select(
+  aud.difficulty, CAST(l_quantity AS BIGINT) AS downloads, aud.song_id, aud.song_type, ready AS conditioning_ready, 'h' || l_orderkey AS level_hash, 'g' || l_partkey AS download_hash2, cand.account_id, 'ZGVzYw' AS description_b64, cand.length, cand.source, cand.page AS source_page,
+  cand.difficulty AS search_difficulty, cand.downloads AS search_downloads, cand.likes AS search_likes, cand.length AS search_length, cand.version AS search_version, cand.song_id AS search_song_id, cand.song_type AS search_song_type FROM aud JOIN cand USING (request_id)""")(
+    lambda s, d: R.level_records(audio(s, d), candidates(s, d).withColumn("sequence", F.lit(0)), counts(s, d)).select(
         "level_id", "name", "author", "difficulty", "downloads", "song_id", "song_type", "audio.conditioning_ready", "level_hash", "metadata.download_hash2", "metadata.account_id",
-        "metadata.description_b64", "metadata.length", F.col("metadata.search.difficulty").alias("search_difficulty")))
+        "metadata.description_b64", "metadata.length", "source", "source_page",
+        *[F.col(f"metadata.search.{f}").alias(f"search_{f}") for f in ("difficulty", "downloads", "likes", "length", "version", "song_id", "song_type")]))
 register("reject_rows", more("ol") + DOWN + " SELECT request_id AS level_id, reason, reason AS detail, CAST(0 AS INT) AS candidate_sequence, l_linestatus AS source, l_linenumber AS source_page, 'validation' AS stage FROM down WHERE reason IS NOT NULL")(
     lambda s, d: M.rejects(candidates(s, d).withColumn("sequence", F.lit(0)), down(s, d).where("reason IS NOT NULL").select(F.col("request_id").alias("level_id"), "reason", F.col("reason").alias("detail"))))
-register("comments", "SELECT doc_id AS request_id, CASE WHEN doc_id % 10 = 3 THEN 0 ELSE len([c for c in string_split(string_split(text, '#')[1], '|') if c <> '']) END AS comment_count, CASE WHEN doc_id % 10 <> 3 THEN n_chars END AS total FROM documents WHERE NOT contains(text, '#')")(
-    lambda s, d: R.comments(B.table(s, d, "documents").where("NOT contains(text, '#')").select(F.col("doc_id").alias("request_id"), F.expr(
-        "CASE WHEN doc_id % 10 = 3 THEN '-1' ELSE concat(text, '#', n_chars, ':0:10') END").alias("raw"))).select("request_id", "comment_count", F.col("page_info.total").alias("total")))
+register("comments", """WITH r AS (SELECT doc_id, n_chars, CASE WHEN doc_id % 10 = 3 THEN '-1' ELSE text || '#' || n_chars || ':0:10' END AS raw FROM documents),
+ f AS (SELECT *, string_split(raw, '#')[1] AS body, CASE WHEN contains(raw, '#') THEN string_split(substr(raw, strpos(raw, '#') + 1), ':') ELSE [] END AS tail FROM r)
+ SELECT doc_id AS request_id, CAST(doc_id % 7 AS BIGINT) AS page, CASE WHEN raw = '-1' THEN 0 ELSE len([c for c in string_split(body, '|') if c <> '']) END AS comment_count,
+  CASE WHEN raw <> '-1' AND len(tail) >= 3 THEN coalesce(TRY_CAST(trim(tail[1]) AS BIGINT), 0) END AS total FROM f""")(
+    lambda s, d: R.comments(B.table(s, d, "documents").select(F.col("doc_id").alias("request_id"), F.expr("doc_id % 7").alias("page"), F.expr(
+        "CASE WHEN doc_id % 10 = 3 THEN '-1' ELSE concat(text, '#', n_chars, ':0:10') END").alias("raw"))).select("request_id", "page", "comment_count", F.col("page_info.total").alias("total")))
 
 # -- payloads -----------------------------------------------------------------
 payload = lambda s, d: B.table(s, d, "documents").select(F.col("doc_id").alias("level_id"), "text").withColumn("level_data", R.deflate_urlsafe("text"))

@@ -25,7 +25,7 @@ def raw(spark, *texts):
 
 def test_search_response(spark):
     rows = raw(spark, SEARCH, "-1", "")
-    got = R.candidates(R.explode_search(rows), R.creators(rows)).collect()
+    got = R.candidates(R.explode_search(rows)).collect()
     assert len(got) == 1
     c = got[0]
     assert (c.level_id, c.author, c.account_id, c.difficulty, c.song_id, c.song_type, c.length) == (7071, "Mira", 19, "HARD", 4411, "custom", "MEDIUM")
@@ -38,7 +38,7 @@ def test_download_and_audio(spark):
     fields = R.download_fields(rows)
     assert [r.reason for r in fields.orderBy("request_id").collect()] == [
         None, "empty_response", "not_found_response", "missing_level_object", "missing_level_id"]
-    a = R.audio_metadata(fields.where("reason IS NULL"), R.songs(rows, 4)).first()
+    a = R.audio_metadata(fields.where("reason IS NULL")).first()
     assert a.conditioning_ready and a.hash1 == "d1" and a.song.download_url == "http://song"
 
 
