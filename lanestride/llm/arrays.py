@@ -2,12 +2,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20  # text held as arrays at once; a longer single text is a slice of its own
+KEPT_POWERS = (4 << 20) + 1
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -35,12 +37,23 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
 
 
 def powers(count: int, base: np.uint64 = STEP) -> np.ndarray:
+    """1, base, base**2, ... modulo 2**64; of this process's kept table where that is long enough."""
+    if count > KEPT_POWERS:
+        return _powers(count, int(base))
+    return _kept_powers(int(base))[:count]
+
+
+def _powers(count: int, base: int) -> np.ndarray:
     out = np.full(count, base, np.uint64)
-    if count:
-        out[0] = 1
+    out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+@lru_cache(maxsize=2)
+def _kept_powers(base: int) -> np.ndarray:
+    return _powers(KEPT_POWERS, base)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

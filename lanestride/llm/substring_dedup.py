@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanestride.llm.arrays import SLICE_BYTES, mixed, slices, span_hash, window_hash
+from lanestride.llm.arrays import mixed, slices, span_hash, window_hash
 from lanestride.session import stage
 
 LENGTH = 50  # bytes of a repeated string
 ANCHOR = 16  # bytes whose hash places a string; every string of LENGTH holds LENGTH - ANCHOR + 1 of them
-BUCKET_BYTES = 8 << 20  # corpus bytes whose segments one index task receives, about
+BLOCK_BYTES = 4 << 20  # whole documents held and sent together
+BUCKET_BYTES = 4 << 20  # corpus bytes whose segments one index task receives, about
 CHUNK = 1 << 21  # starts of one block looked at together
 POSITION_BITS = 22
 SALT = np.uint64(0xA0761D6478BD642F)
@@ -22,15 +23,15 @@ NOBODY = np.iinfo(np.int64).max
 
 
 def packed(values: np.ndarray) -> bytes:
-    return pa.Codec("zstd", compression_level=1).compress(np.ascontiguousarray(values).tobytes(), asbytes=True)
+    return pa.Codec("zstd", compression_level=3).compress(np.ascontiguousarray(values).tobytes(), asbytes=True)
 
 
 def unpacked(data: bytes, size: int) -> np.ndarray:
     return np.frombuffer(pa.Codec("zstd").decompress(data, size, asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
 
 
-def text_blocks(docs: DataFrame, block_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(block, ids, sizes, data): runs of whole documents of about 2 MB of UTF-8, compressed; null texts are empty."""
+def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, ids, sizes, data): runs of whole documents of about 4 MB of UTF-8, compressed; null texts are empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, flat, offsets in slices(batch, "text", block_bytes):
@@ -185,7 +186,7 @@ def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int) -> Data
             for b in np.nonzero(np.diff(c.lead_cuts))[0]:
                 lead = c.lead[c.lead_cuts[b]:c.lead_cuts[b + 1]]
                 size = c.count[lead] + LENGTH - 1
-                at = np.repeat(c.first[lead] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                at = spread(c.first[lead], size)
                 rows["bucket"].append(int(b))
                 rows["block"].append(row["block"])
                 rows["counts"].append(c.count[lead].astype(np.uint8).tobytes())
@@ -198,25 +199,44 @@ def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int) -> Data
             .applyInArrow(run, "bucket long, block long, counts binary, docs binary, data binary"))
 
 
+def sorted_places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places in order of their key, keys in order); the place rides in the low ``bits`` of one sorted word."""
+    word = np.sort((key << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64))
+    return (word & np.uint64((1 << bits) - 1)).astype(np.int64), word >> np.uint64(bits)
+
+
 def bounded_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Positions sorted by the ``depth`` symbols (of 9 bits) that follow, at least; ties in any order."""
+    """Positions sorted by the ``depth`` symbols that follow, at least; ties in any order.
+
+    The span that is known to be sorted doubles from round to round.  While
+    two ranks and a place fit in a word, words are sorted; a text of over two
+    million symbols sorts places by their keys instead, with the same result.
+    """
     size = len(symbols)
-    padded = np.concatenate([symbols, np.zeros(7, symbols.dtype)]).astype(np.uint64)
+    bits = max(1, size.bit_length())
+    present = np.bincount(symbols) > 0
+    dense = np.cumsum(present)[symbols].astype(np.uint64)  # 0 stands for what is beyond the end
+    width = int(dense.max()).bit_length()
+    fits = 3 * bits <= 64
+    span = min(depth, 2 * bits // width if fits else 63 // width) or 1
+    padded = np.concatenate([dense, np.zeros(span, np.uint64)])
     key = np.zeros(size, np.uint64)
-    for i in range(7):
-        key = (key << np.uint64(9)) | padded[i:i + size]
-    span = 7
+    for i in range(span):
+        key = (key << np.uint64(width)) | padded[i:i + size]
     while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        step = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
+        if fits:
+            order, ranked = sorted_places(key, bits)
+        else:
+            order = np.argsort(key)
+            ranked = key[order]
+        step = np.zeros(size, np.uint64)
+        np.cumsum(ranked[1:] != ranked[:-1], out=step[1:])
         if span >= depth or step[-1] == size - 1:
             return order
         rank = np.empty(size, np.uint64)
-        rank[order] = step + 1
-        after = np.zeros(size, np.uint64)
-        after[:max(0, size - span)] = rank[span:]
-        key = rank * np.uint64(size + 2) + after
+        rank[order] = step + np.uint64(1)
+        key = rank << np.uint64(bits)
+        key[:max(0, size - span)] |= rank[span:]
         span *= 2
 
 
@@ -233,9 +253,12 @@ def repeat_bounds(symbols: np.ndarray, order: np.ndarray, length: int) -> np.nda
     """
     size = len(symbols)
     last = symbols[order - 1]
-    by_symbol = np.argsort(last, kind="stable")
-    forward = np.empty(size, np.int64)  # the row that each row's preceding symbol leads to
-    forward[by_symbol] = np.arange(size)
+    source = sorted_places(last.astype(np.uint64), size.bit_length())[0]  # row whose preceding symbol leads to each row
+    lead = last[source]
+    turn = np.concatenate([[True], lead[1:] != lead[:-1]])
+    source = source.astype(np.int32)
+    forward = np.empty(size, np.int32)
+    forward[source] = np.arange(size, dtype=np.int32)
     bound = np.zeros(size + 1, bool)
     bound[0] = bound[size] = True
     low, high = np.array([0]), np.array([size])
@@ -244,59 +267,68 @@ def repeat_bounds(symbols: np.ndarray, order: np.ndarray, length: int) -> np.nda
         total = int(width.sum())
         if not total:
             break
-        rows = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(total)
-        which = np.repeat(np.arange(len(low)), width)
-        to = forward[rows]
         if total * 8 > size:
-            owner = np.full(size, -1, np.int64)
-            owner[to] = which
-            to = np.nonzero(owner >= 0)[0]
-            which, symbol = owner[to], last[by_symbol[to]]
+            gap = np.diff(low, prepend=0) - np.concatenate([[0], width[:-1]])
+            sizes = np.append(np.stack([gap, width], axis=1).ravel(), size - high[-1])
+            labels = np.append(np.stack([np.full(len(low), -1), np.arange(len(low))], axis=1).ravel(), -1).astype(np.int32)
+            owner = np.repeat(labels, sizes)[source]
+            change = turn.copy()
+            change[1:] |= owner[1:] != owner[:-1]
+            begin = np.nonzero(change)[0]
+            end = np.append(begin[1:], size)
+            inside = owner[begin] >= 0
+            begin, end = begin[inside], end[inside]
         else:
-            turn = np.argsort(to)
-            to, which, symbol = to[turn], which[turn], last[rows[turn]]
-        first = np.nonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (symbol[1:] != symbol[:-1])]))[0]
-        begin, end = to[first], to[np.append(first[1:], len(to)) - 1] + 1
+            rows = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(total)
+            which = np.repeat(np.arange(len(low)), width)
+            by, to = sorted_places(forward[rows].astype(np.uint64), total.bit_length())
+            to, which, symbol = to.astype(np.int64), which[by], last[rows[by]]
+            first = np.nonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (symbol[1:] != symbol[:-1])]))[0]
+            begin, end = to[first], to[np.append(first[1:], len(to)) - 1] + 1
         new = ~bound[end]
         bound[end] = True
         low, high = begin[new], end[new]
     return bound[:size]
 
 
+def starts_in_smaller(count: np.ndarray, doc: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """For each start of each segment (``count`` starts, ``flat`` their bytes), whether a segment of a smaller document has its string."""
+    stop = np.cumsum(count + LENGTH - 1)
+    start = stop - count - LENGTH + 1
+    # equal segments of different blocks are one text of the index, with their smallest document
+    _, lead, of = np.unique(span_hash(flat, start, stop), return_index=True, return_inverse=True)
+    holder = np.full(len(lead), NOBODY, np.int64)
+    np.minimum.at(holder, of, doc)
+    n = count[lead]
+    base = np.cumsum(n + LENGTH) - n - LENGTH
+    symbols = np.ones(int((n + LENGTH).sum()) + 1, np.int16)  # 1 separates, 0 ends, a byte is 2 more than its value
+    symbols[-1] = 0
+    symbols[spread(base, n + LENGTH - 1)] = flat[spread(start[lead], n + LENGTH - 1)].astype(np.int16) + 2
+    order = bounded_order(symbols, LENGTH)
+    bound = repeat_bounds(symbols, order, LENGTH)
+    group = np.empty(len(symbols), np.int32)
+    group[order] = np.cumsum(bound) - 1
+    strings = group[spread(base, n)]  # the group of each start that counts; other rows hold no string of their own
+    least = np.full(int(bound.sum()), NOBODY, np.int64)
+    np.minimum.at(least, strings, np.repeat(holder, n))
+    where = np.cumsum(n) - n
+    return least[strings[spread(where[of], count)]] < np.repeat(doc, count)
+
+
+def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... (size[i] of them), one after the other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 def earlier_copies(found: DataFrame) -> DataFrame:
     """(block, kind 1, bucket, bits): for each start of the segments sent, whether its string starts in a smaller document than the segment's."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         counts = [np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in table.column("counts")]
         docs = [np.cumsum(unpacked(x.as_py(), 8 * len(n)).view("<i8")) for x, n in zip(table.column("docs"), counts, strict=True)]
         data = [unpacked(x.as_py(), int((n + LENGTH - 1).sum())) for x, n in zip(table.column("data"), counts, strict=True)]
-        sent = np.array([len(n) for n in counts])
-        count, doc, flat = np.concatenate(counts), np.concatenate(docs), np.concatenate(data)
-        stop = np.cumsum(count + LENGTH - 1)
-        start = stop - count - LENGTH + 1
-        # equal segments of different blocks are one text of the index, with their smallest document
-        _, lead, of = np.unique(span_hash(flat, start, stop), return_index=True, return_inverse=True)
-        holder = np.full(len(lead), NOBODY, np.int64)
-        np.minimum.at(holder, of, doc)
-        size = count[lead] + LENGTH
-        base = np.cumsum(size) - size
-        symbols = np.ones(int(size.sum()) + 1, np.int32)  # 1 separates, 0 ends, a byte is 2 more than its value
-        symbols[-1] = 0
-        inner = size - 1
-        place = np.repeat(base - (np.cumsum(inner) - inner), inner) + np.arange(inner.sum())
-        symbols[place] = flat[np.repeat(start[lead] - (np.cumsum(inner) - inner), inner) + np.arange(inner.sum())].astype(np.int32) + 2
-        owner = np.full(len(symbols), NOBODY, np.int64)
-        n = count[lead]
-        owner[np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())] = np.repeat(holder, n)
-        order = bounded_order(symbols, LENGTH)
-        group = np.nonzero(repeat_bounds(symbols, order, LENGTH))[0]
-        least = np.minimum.reduceat(owner[order], group)
-        smallest = np.empty(len(symbols), np.int64)
-        smallest[order] = np.repeat(least, np.diff(np.append(group, len(order))))
-        at = np.repeat(base[of] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        earlier = smallest[at] < np.repeat(doc, count)
+        earlier = starts_in_smaller(np.concatenate(counts), np.concatenate(docs), np.concatenate(data))
         ends = np.cumsum([int(c.sum()) for c in counts])
         bits = [np.packbits(earlier[e - int(c.sum()):e]).tobytes() for e, c in zip(ends, counts, strict=True)]
-        assert len(sent) == len(bits)
         return reply(table.column("block"), 1, key[0].as_py(), bits)
 
     return found.groupBy("bucket").applyInArrow(run, REPLY)
@@ -321,13 +353,12 @@ def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool =
             edge = np.zeros(len(c.flat) + 1, np.int64)
             if len(c.first):
                 n = c.count
-                inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                starts = np.repeat(c.first, n) + inside
-                hit = flag[np.repeat(ends[c.segment], n) + inside]
+                starts = spread(c.first, n)
+                hit = flag[spread(ends[c.segment], n)]
                 # a larger document of the block repeats the segment's smallest one
                 hit |= np.repeat(c.ids[c.doc] > c.ids[c.doc[c.lead]][c.segment], n)
-                np.add.at(edge, starts[hit], 1)
-                np.add.at(edge, starts[hit] + LENGTH, -1)
+                edge += np.bincount(starts[hit], minlength=len(edge))
+                edge -= np.bincount(starts[hit] + LENGTH, minlength=len(edge))
             gone = np.cumsum(edge[:-1]) > 0
             opens = gone.copy()
             opens[1:] &= ~gone[:-1]
@@ -349,7 +380,7 @@ def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool =
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES, block_bytes: int = SLICE_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every document with what is left after each byte that an earlier document's 50-byte string covers is removed.
 
     Strings are judged on the input, overlaps count, matches stay inside a
