@@ -51,7 +51,8 @@ def discover(candidates: DataFrame, downloaded: DataFrame, rejected: DataFrame |
         usable = usable.where(terms)
     first = first_by_key(unseen(usable, downloaded, rejected), "level_id", order)
     bucket = F.struct("source_order", F.floor(F.col("page") / block).alias("block"))
-    return ordered_index(first, [], bucket, ["page", "pos"], "_i").withColumn(
+    group = F.struct("_bucket.source_order", F.floor(F.col("_bucket.block") / 4096).alias("far"))
+    return ordered_index(first, [], bucket, ["page", "pos"], "_i", group).withColumn(
         "sequence", (F.col("_i") + start).cast("bigint")).drop("_i")
 
 

@@ -77,23 +77,32 @@ def ngram_probabilities(counts: DataFrame, vocab_size: int, alpha: float = 1.0)
 def sequence_loss(counts: DataFrame, windows: DataFrame, n: int, vocab_size: int, alpha: float = 1.0) -> DataFrame:
     """Mean -ln(max(p, 1e-12)) and perplexity of evaluation windows.
 
-    A context that was never seen backs off to the longest seen suffix.
-    Equal examples are merged before any join.
+    A context that was never seen backs off to its longest seen suffix, one
+    token at a time: only the cases that an order does not know go on to the
+    next, merged by what is left of their context.  Equal examples are merged
+    first.  The empty context is one row, its counts are met by target.
     """
-    cases = (windows.groupBy("context", "target").agg(F.count(F.lit(1)).alias("_w"))
-                    .select(F.struct("context", "target").alias("_case"), "_w",
-                            F.explode(F.expr(_suffixes(n))).alias("c"), "target")
-                    .select("_case", "_w", "target", "c.order", "c.context"))
-    totals = counts.groupBy("order", "context").agg(F.max("context_total").alias("context_total"))
-    seen = (cases.join(totals, ["order", "context"])
-                 .join(counts.select("order", "context", "target", "count"), ["order", "context", "target"], "left"))
-    best = seen.groupBy("_case").agg(
-        F.max("_w").alias("_w"),
-        F.max_by(F.struct(F.coalesce("count", F.lit(0)).alias("c"), "context_total"), "order").alias("b"))
-    p = (F.col("b.c") + alpha) / (F.col("b.context_total") + alpha * vocab_size)
+    left = windows.groupBy("context", "target").agg(F.count(F.lit(1)).alias("_w"))
+    told = []
+    for k in range(n, 0, -1):
+        own = counts.where(F.col("order") == k)
+        totals = own.groupBy("context").agg(F.max("context_total").alias("_total"))
+        met = left.join(totals, "context", "left")
+        told.append(met.where("_total IS NOT NULL").join(own.select("context", "target", "count"), ["context", "target"], "left")
+                    .select("_w", "count", "_total"))
+        left = (met.where("_total IS NULL").groupBy(F.expr(f"slice(context, 2, {k - 1})").alias("context"), "target")
+                .agg(F.sum("_w").alias("_w")))
+    bare = counts.where("order = 0")
+    total = bare.agg(F.max("context_total").alias("_total"))
+    told.append(left.join(bare.select("target", "count"), "target", "left").crossJoin(F.broadcast(total)).where("_total IS NOT NULL")
+                .select("_w", "count", "_total"))
+    p = (F.coalesce("count", F.lit(0)) + alpha) / (F.col("_total") + alpha * vocab_size)
+    every = told[0]
+    for more in told[1:]:
+        every = every.unionByName(more)
     loss = F.sum(F.col("_w") * -F.log(F.greatest(p, F.lit(1e-12)))) / F.greatest(F.sum("_w"), F.lit(1))
-    return best.agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("examples"),
-                    F.coalesce(loss, F.lit(0.0)).alias("loss")).withColumn("perplexity", F.exp("loss"))
+    return every.agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("examples"),
+                     F.coalesce(loss, F.lit(0.0)).alias("loss")).withColumn("perplexity", F.exp("loss"))
 
 
 def reweight(probabilities: DataFrame, temperature: float = 1.0, top_k: int = 0, group: tuple[str, ...] = ("order", "context"),

@@ -68,18 +68,29 @@ def halo(rows: DataFrame, index: str, before: int, after: int, chunk: int = INDE
                 .withColumn("_own", F.col("_chunk") == own))
 
 
+GROUP_BUCKETS = 4096
+
+
 def ordered_index(rows: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column | str],
-                  name: str) -> DataFrame:
+                  name: str, group: Column | None = None) -> DataFrame:
     """Dense 0-based position of each row within ``keys``, ordered by (bucket, order).
 
-    ``bucket`` must be non-decreasing in the wanted order.  Only bucket totals
-    meet in one window; rows are ranked inside their bucket.
+    ``bucket`` must not decrease in the wanted order; unless it is an integer,
+    ``group`` (over ``_bucket``) must name a coarser value that does not either.
+    Rows are ranked inside their bucket, bucket totals are summed up inside
+    groups of ``GROUP_BUCKETS`` buckets, and only the groups' totals meet in one
+    window per key: a few thousand rows for a billion buckets' worth of rows.
     """
     keys = list(keys)
     tagged = rows.withColumn("_bucket", bucket)
-    totals = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    totals = (tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+              .withColumn("_group", F.floor(F.col("_bucket") / GROUP_BUCKETS) if group is None else group))
+    before = lambda window: window.rowsBetween(W.unboundedPreceding, -1)
+    groups = totals.groupBy(*keys, "_group").agg(F.sum("_rows").alias("_all"))
+    groups = groups.select(*keys, "_group", F.coalesce(F.sum("_all").over(before(W.partitionBy(*keys).orderBy("_group"))), F.lit(0)).alias("_far"))
+    inside_group = before(W.partitionBy(*keys, "_group").orderBy("_bucket"))
+    near = totals.select(*keys, "_bucket", "_group", F.coalesce(F.sum("_rows").over(inside_group), F.lit(0)).alias("_near"))
+    offsets = near.join(groups, [*keys, "_group"]).select(*keys, "_bucket", (F.col("_near") + F.col("_far")).alias("_offset"))
     placed = tagged.join(offsets, [*keys, "_bucket"])
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
     return (placed.withColumn(name, F.row_number().over(inside) - 1 + F.col("_offset"))
