@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanestride.llm.packing import encoder_of, text_groups, tokenizer_file
-from lanestride.llm.radix_dedup import normalised, radix_groups
+from lanestride.llm.radix_dedup import normalised
 from lanestride.session import stage, stage_path
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -130,17 +130,17 @@ def corpus_history(docs: DataFrame, version: str = VERSION, tokenizer: str | Non
     space changes when each run of it becomes one space.  ``dedup`` deletes every document
     whose revised text equals that of a smaller doc_id.
     """
-    rows = docs.select("doc_id", "source", "lang", "text", normalised(F.col("text")).alias("tidy"))
-    changed = F.when(F.coalesce("text", F.lit("")) != F.col("tidy"), F.col("tidy"))
-    counts = token_counts(rows.select("doc_id", "source", "lang", "text", changed.alias("tidy")), {"text": "tokens", "tidy": "tidy_tokens"}, tokenizer)
+    tidy = normalised(F.col("text"))
+    rows = docs.select("doc_id", "source", "lang", "text", F.when(F.coalesce("text", F.lit("")) != tidy, tidy).alias("tidy"), F.sha2(tidy, 256).alias("digest"))
+    counts = token_counts(rows, {"text": "tokens", "tidy": "tidy_tokens"}, tokenizer)
     loaded = stage(counts.withColumn("tokenizer", F.lit(version)))
     old = [F.col(k).alias(f"old_{k}") for k in KEYS]
     none = [F.lit(None).cast("string").alias(f"old_{k}") for k in KEYS] + [F.lit(None).cast("long").alias("old_tokens")]
-    gone = radix_groups(rows, "doc_id", "tidy").where("doc_id <> keep_id").select("doc_id").distinct()
+    first = loaded.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n")).where("n > 1").select("digest", "keep_id")
     return {
         "load": loaded.select(F.lit("insert").alias("op"), *KEYS, "tokens", *none),
         "respace": loaded.where("tidy_tokens is not null").select(F.lit("revise").alias("op"), *KEYS, F.col("tidy_tokens").alias("tokens"), *old, F.col("tokens").alias("old_tokens")),
-        "dedup": loaded.join(gone, "doc_id").select(F.lit("delete").alias("op"), *[F.lit(None).cast("string").alias(k) for k in KEYS], F.lit(None).cast("long").alias("tokens"),
+        "dedup": loaded.join(first, "digest").where("doc_id > keep_id").select(F.lit("delete").alias("op"), *[F.lit(None).cast("string").alias(k) for k in KEYS], F.lit(None).cast("long").alias("tokens"),
                                                     *old, F.coalesce("tidy_tokens", "tokens").alias("old_tokens")),
     }
 
