@@ -83,14 +83,21 @@ def path_metrics(objects: str, lexicon: Lexicon = DEFAULT, max_gap: int = 6, max
 def lane_path(objects: str, lexicon: Lexicon = DEFAULT) -> Column:
     """The path itself as an array of (step, lane); step 0, lane 1 when there are no objects.
 
-    Lanes are folded per object into an array and the steps are closed
-    afterwards, so the fold only ever appends.
+    Lanes are folded per object and the steps are closed afterwards.  The fold
+    appends to a short array that moves to a list of arrays when it is full, so
+    an object never copies the whole path.
     """
+    full = 64
     entry = "struct<step:bigint,lane:bigint,at:bigint>"
-    nxt = next_lane_sql("coalesce(try_element_at(a, -1).lane, 1)", "o", lexicon)
-    at = "CASE WHEN try_element_at(a, -1).step = o.x_step THEN bigint(bround((try_element_at(a, -1).at + n) / 2.0D, 0)) ELSE bigint(n) END"
-    grown = f"element_at(transform(array({nxt}), n -> concat(a, array(CAST(named_struct('step', o.x_step, 'lane', bigint(n), 'at', {at}) AS {entry})))), 1)"
-    folded = f"aggregate({objects}, CAST(array() AS array<{entry}>), (a, o) -> {grown})"
+    state = f"struct<done:array<array<{entry}>>,now:array<{entry}>>"
+    last = "try_element_at(a.now, -1)"
+    nxt = next_lane_sql(f"coalesce({last}.lane, 1)", "o", lexicon)
+    at = f"CASE WHEN {last}.step = o.x_step THEN bigint(bround(({last}.at + n) / 2.0D, 0)) ELSE bigint(n) END"
+    added = f"array(CAST(named_struct('step', o.x_step, 'lane', bigint(n), 'at', {at}) AS {entry}))"
+    grown = (f"element_at(transform(array({nxt}), n -> CAST(CASE WHEN size(a.now) < {full} THEN named_struct('done', a.done, 'now', concat(a.now, {added})) "
+             f"ELSE named_struct('done', concat(a.done, array(a.now)), 'now', {added}) END AS {state})), 1)")
+    start = f"CAST(named_struct('done', array(), 'now', array()) AS {state})"
+    folded = f"aggregate({objects}, {start}, (a, o) -> {grown}, a -> flatten(concat(a.done, array(a.now))))"
     ends = "filter(p, (e, i) -> get(p, i + 1) IS NULL OR get(p, i + 1).step <> e.step)"
     return F.expr(f"CASE WHEN size({objects}) = 0 THEN array(named_struct('step', 0L, 'lane', 1L)) ELSE "
                   f"element_at(transform(array({folded}), p -> transform({ends}, e -> named_struct('step', e.step, 'lane', e.at))), 1) END")
