@@ -180,19 +180,49 @@ def latest_record(log: DataFrame, order: str) -> DataFrame:
     return log.agg(F.max_by(F.struct(*log.columns), F.struct(F.col(order), F.to_json(F.struct(*log.columns)))).alias("_r")).where("_r IS NOT NULL").select("_r.*")
 
 
-def telemetry(metrics: DataFrame, training: DataFrame, evaluation: DataFrame, steps_per_epoch: int = 10_000) -> DataFrame:
-    """Latest metrics, training and evaluation in one row with their fallbacks."""
+TELEMETRY_METRICS = {
+    "tokens_per_second": 0.0, "training_queue": 0, "levels_scraped": 0, "tokens_generated": 0, "token_entropy": 0.0, "grammar_validity": 0.0,
+}
+
+
+def telemetry(metrics: DataFrame, training: DataFrame, evaluation: DataFrame, events: DataFrame | None = None, sample: DataFrame | None = None,
+              now: Column | None = None, stale_seconds: int = 180, steps_per_epoch: int = 10_000, dataset_rows: int = 0, vocab_size: int = 0) -> DataFrame:
+    """Latest metrics, training, evaluation, event and sample in one row, always, with the fallbacks for what is missing or zero.
+
+    A metrics column that the log does not carry counts as missing.  ``active``
+    tells whether the last heartbeat is at most ``stale_seconds`` before ``now``.
+    """
     c = F.col
-    zero = lambda x: F.nullif(x, F.lit(0))
-    row = (latest_record(metrics, "ts").crossJoin(
-               training.agg(F.max_by(F.struct(*training.columns), "step").alias("tr")))
-           .crossJoin(evaluation.agg(F.max_by(F.struct(*evaluation.columns), "step").alias("ev"))))
-    steps = F.coalesce(zero(c("tr.step")), c("steps"), F.lit(0))
-    train = F.coalesce(zero(c("tr.train_loss")), c("training_loss"), F.lit(0.0))
-    total = F.greatest(c("dataset_size") + c("raw_queue") + c("token_queue"), F.lit(1))
+
+    def newest(log: DataFrame | None, order: str, name: str) -> DataFrame:
+        if log is None:
+            log = metrics.sparkSession.createDataFrame([], f"{order} bigint")
+        return log.agg(F.max_by(F.struct(*log.columns), F.struct(c(order), F.to_json(F.struct(*log.columns)))).alias(name))
+
+    row = newest(metrics, "ts", "m")
+    for log, order, name in ((training, "step", "tr"), (evaluation, "step", "ev"), (events, "ts", "e"), (sample, "ts", "s")):
+        row = row.crossJoin(newest(log, order, name))
+    given = {"m": metrics, "tr": training, "ev": evaluation, "e": events, "s": sample}
+
+    def first(*places: str, default: float | int | str) -> Column:
+        """The first of the fields that is there and not zero."""
+        found = [F.nullif(c(p), F.lit(0)) for p in places if given[p.split(".")[0]] is not None and p.split(".")[1] in given[p.split(".")[0]].columns]
+        return F.coalesce(*found, F.lit(default))
+
+    steps, size = first("tr.step", "m.steps", default=0), first("m.dataset_size", default=dataset_rows)
+    train = first("tr.train_loss", "m.training_loss", default=0.0)
+    validation = first("tr.eval_loss", "m.validation_loss", default=0.0)
+    raw, token = first("m.raw_queue", default=0), first("m.token_queue", default=0)
+    total = F.greatest(size + raw + token, F.lit(1))
+    event = F.lit("orchestrator_idle") if events is None else F.coalesce("e.event", F.lit("orchestrator_idle"))
+    preview = F.lit("") if sample is None else F.coalesce(F.array_join(F.slice("s.tokens", 1, 24), " "), F.lit(""))
     return row.select(
-        c("ts").alias("heartbeat"), steps.cast("bigint").alias("step"),
+        c("m.ts").alias("heartbeat"), steps.cast("bigint").alias("step"),
         F.greatest(F.lit(1), F.floor(steps / steps_per_epoch) + 1).cast("bigint").alias("epoch"),
-        F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), c("dataset_size") / total * 100.0)), 6).alias("progress_pct"),
-        F.round(train, 6).alias("loss"), F.round(F.coalesce(zero(c("tr.eval_loss")), c("validation_loss"), train), 6).alias("val_loss"),
-        F.round(F.coalesce(c("ev.diversity"), F.lit(0.0)), 6).alias("generation_diversity"), "raw_queue", "token_queue", "dataset_size")
+        F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), size / total * 100.0)), 6).alias("progress_pct"),
+        F.round(train, 6).alias("loss"), F.round(F.coalesce(F.nullif(validation, F.lit(0.0)), train), 6).alias("val_loss"),
+        F.round(first("ev.diversity", "m.generation_diversity", default=0.0), 6).alias("generation_diversity"),
+        raw.cast("bigint").alias("raw_queue"), token.cast("bigint").alias("token_queue"), size.cast("bigint").alias("dataset_size"),
+        *[first(f"m.{k}", default=v).alias(k) for k, v in TELEMETRY_METRICS.items()],
+        event.alias("event"), preview.alias("sample_preview"), F.lit(vocab_size).cast("bigint").alias("vocab_size"),
+        (F.lit(False) if now is None else is_recent(c("m.ts"), now, stale_seconds)).alias("active"))

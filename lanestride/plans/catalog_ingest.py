@@ -169,21 +169,30 @@ register("pipeline_metrics", RECENT + " SELECT * FROM met")(metrics)
 register("policy_alerts", RECENT + """ SELECT code FROM met, (SELECT unnest(['TOKENIZER_BACKLOG', 'DATASET_STARVATION', 'UNKNOWN_OBJECTS_INCREASE', 'DATASET_DIVERSITY_LOW', 'TOKEN_COLLAPSE_WARNING']) AS code) WHERE CASE code
   WHEN 'TOKENIZER_BACKLOG' THEN raw_queue >= 100 WHEN 'DATASET_STARVATION' THEN token_queue <= 3 AND raw_queue > 0 WHEN 'UNKNOWN_OBJECTS_INCREASE' THEN unknown_object_rate >= 5e-2 WHEN 'DATASET_DIVERSITY_LOW' THEN levels_tokenized >= 5 AND token_entropy < 2 ELSE true END""")(
     lambda s, d: M.policy_alerts(metrics(s, d).withColumn("collapsed", F.lit(True))).select("code"))
-TEL = """WITH m AS (SELECT event_id AS ts, CAST(event_id % 7 AS BIGINT) AS steps, value AS training_loss, value / 2 AS validation_loss, user_id AS dataset_size, event_id % 50 AS raw_queue, event_id % 3 AS token_queue FROM events WHERE event_type = 'click'),
+TEL = """WITH m AS (SELECT event_id AS ts, CAST(event_id % 7 AS BIGINT) AS steps, value AS training_loss, value / 2 AS validation_loss, user_id AS dataset_size, event_id % 50 AS raw_queue, event_id % 3 AS token_queue, event_id + 1 AS scraped, value / 3 AS entropy FROM events WHERE event_type = 'click'),
  t AS (SELECT event_id AS step, CASE WHEN event_id % 2 = 0 THEN 0 ELSE value END AS train_loss, value AS eval_loss FROM events WHERE event_type = 'view'), e AS (SELECT event_id AS step, value AS diversity FROM events WHERE event_type <> 'view')
  SELECT m.ts AS heartbeat, coalesce(nullif(t.step, 0), m.steps) AS step, CAST(greatest(1, floor(coalesce(nullif(t.step, 0), m.steps) / 10000) + 1) AS BIGINT) AS epoch, round(dataset_size / greatest(dataset_size + raw_queue + token_queue, 1) * 100, 6) AS progress_pct,
-  round(coalesce(nullif(train_loss, 0), training_loss, 0), 6) AS loss, round(coalesce(nullif(eval_loss, 0), validation_loss), 6) AS val_loss, round(diversity, 6) AS generation_diversity, raw_queue, token_queue, dataset_size
+  round(coalesce(nullif(train_loss, 0), training_loss, 0), 6) AS loss, round(coalesce(nullif(eval_loss, 0), validation_loss), 6) AS val_loss, round(diversity, 6) AS generation_diversity, raw_queue, token_queue, dataset_size,
+  CAST(0 AS DOUBLE) AS tokens_per_second, CAST(0 AS INT) AS training_queue, m.scraped AS levels_scraped, CAST(0 AS INT) AS tokens_generated, round(m.entropy, 6) AS token_entropy, CAST(0 AS DOUBLE) AS grammar_validity,
+  (SELECT event_type FROM events ORDER BY event_id DESC LIMIT 1) AS event, '' AS sample_preview, CAST(67 AS BIGINT) AS vocab_size, (SELECT max(event_id) FROM events) - m.ts <= 3 AS active
  FROM (SELECT * FROM m ORDER BY ts DESC LIMIT 1) m, (SELECT * FROM t ORDER BY step DESC LIMIT 1) t, (SELECT * FROM e ORDER BY step DESC LIMIT 1) e"""
 
 
 @register("telemetry", TEL)
 def telemetry(s: SparkSession, d: str) -> DataFrame:
     ev = B.table(s, d, "events")
-    met = ev.where("event_type = 'click'").selectExpr("event_id AS ts", "event_id % 7 AS steps", "value AS training_loss", "value / 2 AS validation_loss", "user_id AS dataset_size", "event_id % 50 AS raw_queue", "event_id % 3 AS token_queue")
+    met = ev.where("event_type = 'click'").selectExpr("event_id AS ts", "event_id % 7 AS steps", "value AS training_loss", "value / 2 AS validation_loss", "user_id AS dataset_size", "event_id % 50 AS raw_queue", "event_id % 3 AS token_queue",
+                                                      "event_id + 1 AS levels_scraped", "value / 3 AS token_entropy")
     train = ev.where("event_type = 'view'").selectExpr("event_id AS step", "CASE WHEN event_id % 2 = 0 THEN 0D ELSE value END AS train_loss", "value AS eval_loss")
-    return M.telemetry(met, train, ev.where("event_type <> 'view'").selectExpr("event_id AS step", "value AS diversity"))
+    now = ev.agg(F.max("event_id").alias("_now"))
+    out = M.telemetry(met, train, ev.where("event_type <> 'view'").selectExpr("event_id AS step", "value AS diversity"), ev.selectExpr("event_id AS ts", "event_type AS event"), vocab_size=67)
+    return out.crossJoin(now).withColumn("active", M.is_recent(F.col("heartbeat"), F.col("_now"), 3)).drop("_now").withColumn("token_entropy", F.round("token_entropy", 6))
 
 
+register("telemetry_idle", """SELECT CAST(NULL AS BIGINT) AS heartbeat, (SELECT max(event_id) FROM events) AS step, CAST(floor((SELECT max(event_id) FROM events) / 10000) + 1 AS BIGINT) AS epoch, (SELECT CASE WHEN count(*) > 0 THEN 1e2 ELSE 0e0 END FROM events) AS progress_pct,
+ 0e0 AS loss, 0e0 AS val_loss, 0e0 AS generation_diversity, (SELECT count(*) FROM events) AS dataset_size, 'orchestrator_idle' AS event, false AS active""")(
+    lambda s, d: (lambda ev: M.telemetry(ev.where("event_id < 0").selectExpr("event_id AS ts"), ev.selectExpr("event_id AS step"), ev.where("event_id < 0").selectExpr("event_id AS step"), dataset_rows=ev.count()))(B.table(s, d, "events"))
+    .select("heartbeat", "step", "epoch", "progress_pct", "loss", "val_loss", "generation_diversity", "dataset_size", "event", "active"))
 register("tokens_to_gameplay", sql("SELECT s.level_id, r.token, r.x_step, r.y_lane, r.level_id IS NULL AS missing FROM seqs s LEFT JOIN (SELECT * FROM runs WHERE level_id % 11 <> 10) r USING (level_id)", "emit"))(
     lambda s, d: (lambda g: B.levels(s, d).select("level_id").join(g.where("level_id % 11 <> 10").select("level_id", "token", "x_step", "y_lane"), "level_id", "left")
                   .withColumn("missing", F.col("token").isNull()))(O.gameplay_objects(B.objects(s, d))))
