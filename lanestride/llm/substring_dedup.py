@@ -16,7 +16,8 @@ LENGTH = 50  # bytes of a repeated string
 ANCHOR = 16  # bytes whose hash places a string; every string of LENGTH holds LENGTH - ANCHOR + 1 of them
 BLOCK_BYTES = 4 << 20  # whole documents held and sent together
 BUCKET_BYTES = 4 << 20  # corpus bytes whose segments one index task receives, about
-CHUNK = 1 << 21  # starts of one block looked at together
+CHUNK = 1 << 16  # starts looked at together; their arrays stay in a core's cache
+PART_BITS = 3  # a bucket is indexed in so many bits' parts, one after the other
 POSITION_BITS = 22
 SALT = np.uint64(0xA0761D6478BD642F)
 NOBODY = np.iinfo(np.int64).max
@@ -136,6 +137,7 @@ class Candidates:
         self.segment = np.zeros(len(order), np.int64)
         self.segment[order] = np.cumsum(new) - 1
         self.lead_cuts = bucket_cuts(value[self.lead], bits)
+        self.part_cuts = bucket_cuts(value[self.lead], bits + PART_BITS)
 
 
 def anchor_lists(blocks: DataFrame, bits: int) -> DataFrame:
@@ -178,9 +180,12 @@ def reply(block: pa.ChunkedArray, kind: int, bucket: int, bits: list[bytes]) ->
 
 
 def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int) -> DataFrame:
-    """(bucket, block, counts, docs, data): each block's distinct candidate segments with the smallest document that holds them."""
+    """(bucket, block, parts, counts, docs, data): each block's distinct candidate segments with the smallest document that holds them.
+
+    ``parts`` tells how many of them fall into each part of the bucket.
+    """
     def run(key: tuple, block: pa.Table, told: pa.Table) -> pa.Table:
-        rows: dict[str, list] = {"bucket": [], "block": [], "counts": [], "docs": [], "data": []}
+        rows: dict[str, list] = {"bucket": [], "block": [], "parts": [], "counts": [], "docs": [], "data": []}
         for row in block.to_pylist():
             c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in told.to_pylist()})
             for b in np.nonzero(np.diff(c.lead_cuts))[0]:
@@ -189,14 +194,15 @@ def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int) -> Data
                 at = spread(c.first[lead], size)
                 rows["bucket"].append(int(b))
                 rows["block"].append(row["block"])
+                rows["parts"].append(np.diff(c.part_cuts[b << PART_BITS:((b + 1) << PART_BITS) + 1]).tolist())
                 rows["counts"].append(c.count[lead].astype(np.uint8).tobytes())
                 rows["docs"].append(packed(np.diff(c.ids[c.doc[lead]], prepend=0).astype("<i8")))
                 rows["data"].append(packed(c.flat[at]))
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(rows.items(), kinds, strict=True)})
 
     return (blocks.groupBy("block").cogroup(replies.groupBy("block"))
-            .applyInArrow(run, "bucket long, block long, counts binary, docs binary, data binary"))
+            .applyInArrow(run, "bucket long, block long, parts array<long>, counts binary, docs binary, data binary"))
 
 
 def sorted_places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -326,9 +332,23 @@ def earlier_copies(found: DataFrame) -> DataFrame:
         counts = [np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in table.column("counts")]
         docs = [np.cumsum(unpacked(x.as_py(), 8 * len(n)).view("<i8")) for x, n in zip(table.column("docs"), counts, strict=True)]
         data = [unpacked(x.as_py(), int((n + LENGTH - 1).sum())) for x, n in zip(table.column("data"), counts, strict=True)]
-        earlier = starts_in_smaller(np.concatenate(counts), np.concatenate(docs), np.concatenate(data))
-        ends = np.cumsum([int(c.sum()) for c in counts])
-        bits = [np.packbits(earlier[e - int(c.sum()):e]).tobytes() for e, c in zip(ends, counts, strict=True)]
+        cuts = [np.concatenate([[0], np.cumsum(x.as_py())]) for x in table.column("parts")]
+        starts = [np.concatenate([[0], np.cumsum(n)]) for n in counts]
+        answers: list[list[np.ndarray]] = [[] for _ in counts]
+        for part in range(1 << PART_BITS):
+            mine = [i for i, c in enumerate(cuts) if c[part + 1] > c[part]]
+            if not mine:
+                continue
+            ranges = [(cuts[i][part], cuts[i][part + 1]) for i in mine]
+            earlier = starts_in_smaller(
+                np.concatenate([counts[i][a:b] for i, (a, b) in zip(mine, ranges, strict=True)]), np.concatenate([docs[i][a:b] for i, (a, b) in zip(mine, ranges, strict=True)]),
+                np.concatenate([data[i][starts[i][a] + a * (LENGTH - 1):starts[i][b] + b * (LENGTH - 1)] for i, (a, b) in zip(mine, ranges, strict=True)]))
+            at = 0
+            for i, (a, b) in zip(mine, ranges, strict=True):
+                size = int(starts[i][b] - starts[i][a])
+                answers[i].append(earlier[at:at + size])
+                at += size
+        bits = [np.packbits(np.concatenate(a)).tobytes() for a in answers]
         return reply(table.column("block"), 1, key[0].as_py(), bits)
 
     return found.groupBy("bucket").applyInArrow(run, REPLY)
