@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # text held as arrays at once; a longer single text is a slice of its own
-KEPT_POWERS = (4 << 20) + 1
+SLICE_BYTES = 1 << 18  # text held as arrays at once, so that they stay in a core's cache; a longer single text is a slice of its own
+KEPT_POWERS = 8 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -37,10 +37,10 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
 
 
 def powers(count: int, base: np.uint64 = STEP) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64; of this process's kept table where that is long enough."""
+    """1, base, base**2, ... modulo 2**64; up to ``KEPT_POWERS`` from a table that this process keeps."""
     if count > KEPT_POWERS:
         return _powers(count, int(base))
-    return _kept_powers(int(base))[:count]
+    return _kept_powers(1 << max(0, count - 1).bit_length(), int(base))[:count]
 
 
 def _powers(count: int, base: int) -> np.ndarray:
@@ -49,9 +49,9 @@ def _powers(count: int, base: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-@lru_cache(maxsize=2)
-def _kept_powers(base: int) -> np.ndarray:
-    return _powers(KEPT_POWERS, base)
+@lru_cache(maxsize=4)
+def _kept_powers(count: int, base: int) -> np.ndarray:
+    return _powers(count, base)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
