@@ -45,9 +45,12 @@ class Encoder:
     unit of a text, which has none, by its characters after a space.  New units are tokenized together,
     many to a string, and told apart by the bytes their tokens stand for.  A full
     cache keeps what it has and changes no result.
+
+    With ``added_tokens``, the tokenizer's own default, the text of an added token
+    is that token: texts are cut there first.  Without, it is text like any other.
     """
 
-    def __init__(self, path: str, cache_units: int = CACHE_UNITS):
+    def __init__(self, path: str, cache_units: int = CACHE_UNITS, added_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
@@ -59,6 +62,12 @@ class Encoder:
             self.sizes[number] = len(token)
         self.units: dict[str, bytes] = {}
         self.most = cache_units
+        added = {t.content: (number, t) for number, t in self.model.get_added_tokens_decoder().items()} if added_tokens else {}
+        self.added = {content: np.array([number], "<u4").tobytes() for content, (number, _) in added.items()}
+        self.marks = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})") if added else None
+        # tokens that take in or look at what stands beside them are left to the tokenizer, with the whole text
+        self.plain_marks = not any(t.lstrip or t.rstrip or t.single_word or (t.normalized and self.model.normalizer) for _, t in added.values())
+        self.whole = Tokenizer.from_file(path) if not self.plain_marks else None
 
     def ids(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each string)."""
@@ -79,6 +88,15 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.whole is not None:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+        if self.marks is None or not any(map(self.marks.search, texts)):
+            return self.encode_plain(texts)
+        parts = [self.marks.split(text) for text in texts]  # every other part is an added token
+        between = iter(self.encode_plain([p for each in parts for p in each[::2]]))
+        return [b"".join([self.added[p] if i % 2 else next(between) for i, p in enumerate(each)]) for each in parts]
+
+    def encode_plain(self, texts: list[str]) -> list[bytes]:
         split = []
         for text in texts:
             first, *more = text.split(" ")
@@ -114,8 +132,8 @@ def cut(keys: list[str], ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[st
 
 @lru_cache(maxsize=4)
 def encoder_of(path: str) -> Encoder:
-    """The encoder of this Python process; later tasks find its units."""
-    return Encoder(path)
+    """The encoder of this Python process, with the tokenizer's default for added tokens; later tasks find its units."""
+    return Encoder(path, added_tokens=True)
 
 
 def text_groups(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
