@@ -16,7 +16,7 @@ SLOTS = 1 << 20  # rows of the filter; each holds one bit for each language
 PROBES = 3
 FIT_DOCS = 4000  # labelled documents of each language that the filter is fitted on (expected number of a hashed sample)
 LEAST_DOCS = 3  # documents of a language that must contain an n-gram before the language owns it
-MAX_LANGUAGES = 63
+WORD = 64  # languages that one word of a slot's mask holds
 UNKNOWN = "und"
 #: Bytes of a text after A-Z are lower-cased and ASCII characters that are no letters become spaces.
 FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
@@ -63,7 +63,7 @@ def probes(hashes: np.ndarray, slots: int) -> list[np.ndarray]:
 @dataclass
 class LanguageFilter:
     languages: list[str]  # bit i of a slot stands for languages[i]
-    slots: np.ndarray  # (SLOTS,) unsigned masks
+    slots: np.ndarray  # unsigned masks: (SLOTS,), or (SLOTS, words) with more languages than a word has bits
     chance: np.ndarray  # probability that an n-gram foreign to a language passes its filter
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
@@ -74,6 +74,11 @@ class LanguageFilter:
             mask &= self.slots[at]
         return mask
 
+    def holds(self, mask: np.ndarray, i: int) -> np.ndarray:
+        """Bit of language i in each mask."""
+        word = mask if mask.ndim == 1 else mask[:, i // WORD]
+        return (word >> word.dtype.type(i % WORD)) & word.dtype.type(1)
+
     def decide(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(index of the best language, its score, share of n-grams that it knows, n-grams) for each text.
 
@@ -85,15 +90,17 @@ class LanguageFilter:
         flat, offsets = padded(flat, offsets)
         counts = np.zeros((len(self.languages), len(offsets) - 1))
         total = np.zeros(len(offsets) - 1)
-        for low in range(0, max(1, len(flat)), SLICE_BYTES):  # a very long text goes in pieces that overlap by an n-gram
-            high = min(len(flat), low + SLICE_BYTES + GRAM - 1)
+        step = max(1 << 10, SLICE_BYTES // (self.slots.shape[1] if self.slots.ndim > 1 else 1))
+        for low in range(0, max(1, len(flat)), step):  # a very long text goes in pieces that overlap by an n-gram
+            high = min(len(flat), low + step + GRAM - 1)
             here = np.clip(offsets, low, high) - low
             hashes, valid = grams(flat[low:high], here)
             ends = np.minimum(here, len(hashes))
-            mask = np.where(valid, self.lookup(hashes), 0)
+            mask = self.lookup(hashes)
+            mask[~valid] = 0
             total += row_sums(valid, ends)
             for i in range(len(self.languages)):
-                counts[i] += row_sums((mask >> i) & 1, ends)
+                counts[i] += row_sums(self.holds(mask, i), ends)
         chance = self.chance[:, None]
         fixed = np.clip((counts - total * chance) / np.maximum(1 - chance, 1e-9), 0, None)
         whole = fixed.sum(axis=0)
@@ -109,15 +116,15 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS, slots: int = SLOTS,
     The sample takes the documents whose hashed id falls below a rate that
     gives about ``fit_docs`` of each language.  Each task reduces its texts to
     distinct n-grams with document counts; sums and the masks of the slots are
-    aggregated by Spark, so that the driver receives at most ``slots`` masks.
+    aggregated by Spark, so that the driver receives at most ``slots`` masks for
+    each 64 languages.
     """
     known = docs.where("lang is not null and text is not null")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"{len(sizes)} languages; a slot has {MAX_LANGUAGES} bits")
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
     dtype = np.uint8 if len(languages) <= 8 else np.uint64
-    table, fill = np.zeros(slots, dtype), np.zeros(len(languages))
+    words = max(1, -(-len(languages) // WORD))
+    table, fill = np.zeros((slots, words), dtype), np.zeros(len(languages))
     if languages:
         place = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
         rate = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, fit_docs / sizes[lang]))])
@@ -149,15 +156,18 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS, slots: int = SLOTS,
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 at = probes(batch.column(1).to_numpy().view(np.uint64), slots)
-                bits = np.int64(1) << batch.column(0).to_numpy().astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(at)), pa.array(np.tile(bits, len(at)))], ["slot", "mask"])
+                word, bit = np.divmod(batch.column(0).to_numpy().astype(np.uint64), np.uint64(WORD))
+                bits = (np.uint64(1) << bit).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(at)), pa.array(np.tile(word.astype(np.int32), len(at))), pa.array(np.tile(bits, len(at)))],
+                                                 ["slot", "word", "mask"])
 
         owned = (sample.mapInArrow(count, "lang int, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
                  .where(F.col("docs") >= least_docs).select("lang", "gram"))
-        rows = owned.mapInArrow(spread, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-        table[rows.column("slot").to_numpy()] = rows.column("mask").to_numpy().astype(dtype)
-        fill = np.array([((table >> i) & 1).mean() for i in range(len(languages))])
-    return LanguageFilter(languages, table, fill ** PROBES)
+        rows = owned.mapInArrow(spread, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        table[rows.column("slot").to_numpy(), rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64).astype(dtype)
+    model = LanguageFilter(languages, table if words > 1 else table.ravel(), fill)
+    model.chance = np.array([model.holds(model.slots, i).mean() for i in range(len(languages))]) ** PROBES
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
@@ -167,7 +177,7 @@ def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     or if no language was learned; otherwise a learned language.  ``known`` is
     the share of the text's n-grams that the language contains.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS masks, whatever the corpus holds
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS masks for each 64 languages, whatever the corpus holds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
