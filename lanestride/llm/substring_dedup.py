@@ -17,6 +17,7 @@ ANCHOR = 16  # bytes whose hash places a string; every string of LENGTH holds LE
 BLOCK_BYTES = 4 << 20  # whole documents held and sent together
 BUCKET_BYTES = 4 << 20  # corpus bytes whose segments one index task receives, about
 CHUNK = 1 << 16  # starts looked at together; their arrays stay in a core's cache
+HOT_SEGMENTS = 1 << 14  # segments of one anchor, distinct inside their blocks, above which its strings are dealt by themselves
 PART_BITS = 3  # a bucket is indexed in so many bits' parts, one after the other
 POSITION_BITS = 22
 SALT = np.uint64(0xA0761D6478BD642F)
@@ -53,13 +54,15 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.asarray(row["ids"], np.int64), offsets, flat
 
 
-def segments(flat: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(flat: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None = None, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first start, number of starts, 48-bit anchor value) of maximal runs of starts with one anchor.
 
     A start is a place where ``length`` bytes of one document follow.  Its
     anchor is the ``anchor``-byte window inside those bytes with the least
     hash, the leftmost of equals; so equal strings have equal anchors at equal
-    places, wherever they stand.
+    places, wherever they stand.  A run whose anchor value is in ``hot`` (sorted) is
+    cut into its single starts, and the value of each is the hash of its whole
+    string: equal strings still meet, others of that anchor do not.
     """
     firsts, counts, values = [], [], []
     width = length - anchor + 1
@@ -92,7 +95,15 @@ def segments(flat: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor
         values.append(mixed(hashes[at[begin]] * SALT) >> np.uint64(16))
     if not firsts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(firsts), np.concatenate(counts), np.concatenate(values)
+    first, count, value = np.concatenate(firsts), np.concatenate(counts), np.concatenate(values)
+    if hot is None or not len(hot):
+        return first, count, value
+    apart = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value
+    if not apart.any():
+        return first, count, value
+    single = spread(first[apart], count[apart])
+    own = mixed(span_hash(flat, single, single + length) * SALT) >> np.uint64(16)
+    return (np.concatenate([first[~apart], single]), np.concatenate([count[~apart], np.ones(len(single), np.int64)]), np.concatenate([value[~apart], own]))
 
 
 def bucket_cuts(values: np.ndarray, bits: int) -> np.ndarray:
@@ -113,13 +124,19 @@ def widen(data: bytes) -> np.ndarray:
 class Candidates:
     """The distinct segments of a block whose anchor occurs elsewhere, in an order that any task repeats."""
 
-    def __init__(self, row: dict, bits: int, shared: dict[int, bytes] | None):
+    def __init__(self, row: dict, bits: int, shared: dict[int, bytes] | None, hot: np.ndarray | None = None):
         self.ids, self.offsets, self.flat = opened(row)
-        first, count, value = segments(self.flat, self.offsets)
+        first, count, value = segments(self.flat, self.offsets, hot)
         self.values, of = np.unique(value, return_inverse=True)
         self.cuts = bucket_cuts(self.values, bits)
         self.repeated = np.bincount(of, minlength=len(self.values)) > 1
         if shared is None:
+            again = np.nonzero(self.repeated[of])[0]  # distinct segments of each repeated anchor
+            content = span_hash(self.flat, first[again], first[again] + count[again] + LENGTH - 1) if len(again) else np.zeros(0, np.uint64)
+            order = np.lexsort((content, of[again]))
+            o, c = of[again][order], content[order]
+            new = np.concatenate([[True], (o[1:] != o[:-1]) | (c[1:] != c[:-1])]) if len(o) else np.zeros(0, bool)
+            self.distinct = np.bincount(o[new], minlength=len(self.values))
             return
         met = np.zeros(len(self.values), bool)
         for bucket, data in shared.items():
@@ -140,33 +157,41 @@ class Candidates:
         self.part_cuts = bucket_cuts(value[self.lead], bits + PART_BITS)
 
 
-def anchor_lists(blocks: DataFrame, bits: int) -> DataFrame:
-    """(bucket, block, anchors, twice): each block's distinct anchors, sorted, and whether the block has them more than once."""
+def anchor_lists(blocks: DataFrame, bits: int, hot: np.ndarray | None = None) -> DataFrame:
+    """(bucket, block, anchors, twice, distinct): each block's distinct anchors, sorted, whether the block has them more than once, and of those that it has, how many distinct segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c = Candidates(row, bits, None)
+                c = Candidates(row, bits, None, hot)
                 full = np.nonzero(np.diff(c.cuts))[0]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full.astype(np.int64)), pa.array(np.full(len(full), row["block"], np.int64)),
                      pa.array([narrow(c.values[c.cuts[b]:c.cuts[b + 1]]) for b in full], pa.binary()),
-                     pa.array([np.packbits(c.repeated[c.cuts[b]:c.cuts[b + 1]]).tobytes() for b in full], pa.binary())],
-                    ["bucket", "block", "anchors", "twice"])
+                     pa.array([np.packbits(c.repeated[c.cuts[b]:c.cuts[b + 1]]).tobytes() for b in full], pa.binary()),
+                     pa.array([c.distinct[c.cuts[b]:c.cuts[b + 1]][c.repeated[c.cuts[b]:c.cuts[b + 1]]].astype("<u4").tobytes() for b in full], pa.binary())],
+                    ["bucket", "block", "anchors", "twice", "distinct"])
 
-    return blocks.mapInArrow(run, "bucket long, block long, anchors binary, twice binary")
+    return blocks.mapInArrow(run, "bucket long, block long, anchors binary, twice binary, distinct binary")
 
 
-def shared_anchors(lists: DataFrame) -> DataFrame:
-    """(block, kind 0, bucket, bits): which of a block's anchors also stand elsewhere, in the order sent."""
+def shared_anchors(lists: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+    """(block, kind 0, bucket, bits): which of a block's anchors also stand elsewhere, in the order sent.
+
+    A row of kind 2 has the anchors of a bucket that have more than ``hot_segments`` segments.
+    """
     def run(key: tuple, table: pa.Table) -> pa.Table:
         sent = [widen(x.as_py()) for x in table.column("anchors")]
         sizes = np.array([len(s) for s in sent])
         twice = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n) for x, n in zip(table.column("twice"), sizes, strict=True)]).astype(bool)
-        _, of, number = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+        values, of, number = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
         met = (number[of] > 1) | twice
+        held = np.ones(len(of), np.int64)
+        held[twice] = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("distinct")])
+        hot = values[np.bincount(of, held) > hot_segments]
         ends = np.cumsum(sizes)
         bits = [np.packbits(met[e - n:e]).tobytes() for e, n in zip(ends, sizes, strict=True)]
-        return reply(table.column("block"), 0, key[0].as_py(), bits)
+        told = reply(table.column("block"), 0, key[0].as_py(), bits)
+        return pa.concat_tables([told, reply(pa.chunked_array([[-1]], pa.int64()), 2, key[0].as_py(), [narrow(hot)])]) if len(hot) else told
 
     return lists.groupBy("bucket").applyInArrow(run, REPLY)
 
@@ -179,7 +204,7 @@ def reply(block: pa.ChunkedArray, kind: int, bucket: int, bits: list[bytes]) ->
     return pa.table({"block": block, "kind": pa.array([kind] * n, pa.int32()), "bucket": pa.array([bucket] * n, pa.int64()), "bits": pa.array(bits, pa.binary())})
 
 
-def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int) -> DataFrame:
+def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int, hot: np.ndarray | None = None) -> DataFrame:
     """(bucket, block, parts, counts, docs, data): each block's distinct candidate segments with the smallest document that holds them.
 
     ``parts`` tells how many of them fall into each part of the bucket.
@@ -187,7 +212,7 @@ def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int) -> Data
     def run(key: tuple, block: pa.Table, told: pa.Table) -> pa.Table:
         rows: dict[str, list] = {"bucket": [], "block": [], "parts": [], "counts": [], "docs": [], "data": []}
         for row in block.to_pylist():
-            c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in told.to_pylist()})
+            c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in told.to_pylist()}, hot)
             for b in np.nonzero(np.diff(c.lead_cuts))[0]:
                 lead = c.lead[c.lead_cuts[b]:c.lead_cuts[b + 1]]
                 size = c.count[lead] + LENGTH - 1
@@ -354,7 +379,7 @@ def earlier_copies(found: DataFrame) -> DataFrame:
     return found.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool = False) -> DataFrame:
+def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool = False, hot: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and the remaining bytes if asked for."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
 
@@ -362,7 +387,7 @@ def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool =
         out: dict[str, list] = {n.split()[0]: [] for n in schema.split(", ")}
         answers = told.to_pylist()
         for row in block.to_pylist():
-            c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in answers if r["kind"] == 0})
+            c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in answers if r["kind"] == 0}, hot)
             number = c.count[c.lead]
             flag = np.zeros(int(number.sum()), bool)
             ends = np.concatenate([[0], np.cumsum(number)])
@@ -400,7 +425,7 @@ def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool =
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES, block_bytes: int = BLOCK_BYTES, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """Every document with what is left after each byte that an earlier document's 50-byte string covers is removed.
 
     Strings are judged on the input, overlaps count, matches stay inside a
@@ -414,10 +439,26 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int =
     all strings of 50 bytes that occur again, and the blocks are told for each start whether a
     smaller document has its string.  A segment that a block or a bucket holds
     many times travels and is indexed once, with its smallest document.
+
+    The segments of one anchor meet in one task.  Anchors of more than ``hot_segments``
+    (a common phrase in ever different surroundings) are known after the first
+    announcement; the blocks then announce again, with each string of those
+    anchors dealt by its own hash.  The driver gets at most one such
+    anchor for each ``hot_segments`` segments of the corpus.
     """
     blocks = text_blocks(docs.where("doc_id is not null"), block_bytes)
     total = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = max(0, (-(-int(total) // bucket_bytes) - 1).bit_length())
-    met = stage(shared_anchors(anchor_lists(blocks, bits)))
-    earlier = earlier_copies(candidate_segments(blocks, met, bits))
-    return covered(blocks, met.unionByName(earlier), bits, with_text)
+    met, hot = announced(blocks, bits, hot_segments)
+    earlier = earlier_copies(candidate_segments(blocks, met, bits, hot))
+    return covered(blocks, met.unionByName(earlier), bits, with_text, hot)
+
+
+def announced(blocks: DataFrame, bits: int, hot_segments: int = HOT_SEGMENTS) -> tuple[DataFrame, np.ndarray]:
+    """(replies on the anchors of all blocks, the hot anchors, sorted)."""
+    met = stage(shared_anchors(anchor_lists(blocks, bits), hot_segments))
+    found = met.where("kind = 2").select("bits").toArrow().column("bits").to_pylist()
+    hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *map(widen, found)]))
+    if len(hot):
+        met = stage(shared_anchors(anchor_lists(blocks, bits, hot), hot_segments))
+    return met.where("kind = 0"), hot
