@@ -5,7 +5,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanestride.llm import decontaminate, language, packing, pii, quality, radix_dedup, simhash, substring_dedup, token_rollup, url_filter
+from lanestride.llm import (
+    collocations,
+    decontaminate,
+    language,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    radix_dedup,
+    simhash,
+    substring_dedup,
+    token_rollup,
+    url_filter,
+    window_dedup,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +66,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_rollup": op1_token_rollup,
     "op2_personal_data": op2_personal_data,
@@ -63,8 +89,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
+    "op12_repeated_windows": op12_repeated_windows,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 CHECK_SQL: dict[str, str] = {
     "op3_radix_dedup": radix_dedup.EXACT_SQL,
     "op4_url_rules": url_filter.URL_SQL,
+    "op11_collocations": collocations.COLLOCATION_SQL,
+    "op12_repeated_windows": window_dedup.WINDOW_SQL,
+    "op13_conversation_trie": prefix_trie.TRIE_SQL,
 }
