@@ -19,7 +19,7 @@ SCALE = 1000
 SUBSUMED = 100  # percent of a phrase's occurrences that lie in one longer phrase
 TOP = 2000
 UNKNOWN = "und"
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 SHARES = 64  # a language's phrases are ranked in so many shares first
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 CUTS = W.byte_table((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))

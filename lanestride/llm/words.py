@@ -43,11 +43,12 @@ class Words:
         start[heads] = inside[heads]
         self.begin = np.nonzero(start)[0]
         self.first = np.searchsorted(self.begin, offsets)
-        number = np.cumsum(start, dtype=np.int32)[inside]
+        number = np.cumsum(start, dtype=np.int32 if len(flat) < 1 << 30 else np.int64)[inside]
         letters = flat[inside]
         begins = np.nonzero(start[inside])[0]
         self.flat = np.full(len(letters) + len(self.begin), 32, np.uint8)
-        self.flat[np.arange(len(letters)) + number - 1] = letters
+        number += np.arange(-1, len(letters) - 1, dtype=number.dtype)
+        self.flat[number] = letters
         self.at = np.concatenate([begins, [len(letters)]]) + np.arange(len(self.begin) + 1)
         text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.begin), [None, pa.py_buffer(np.append(begins, len(letters)).astype(np.int64)), pa.py_buffer(letters)])
         encoded = text.dictionary_encode()
@@ -75,16 +76,25 @@ def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def named(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, int]:
-    """(dense number of each pair, how many): equal pairs and only those have equal numbers, in the pairs' order."""
-    if not len(left):
+    """(dense number of each pair, how many): equal pairs and only those have equal numbers, in the pairs' order.
+
+    While a pair and its place fit in a word, words are sorted; the result is the same otherwise.
+    """
+    size = len(left)
+    if not size:
         return np.zeros(0, np.int64), 0
-    bits = int(right.max()).bit_length()
+    bits, place = int(right.max()).bit_length(), size.bit_length()
     word = (left << bits) | right
-    order = np.argsort(word, kind="stable")
-    ranked = word[order]
-    step = np.zeros(len(word), np.int64)
+    if int(left.max()).bit_length() + bits + place <= 63:
+        ranked = np.sort((word << place) | np.arange(size))
+        order = ranked & ((1 << place) - 1)
+        ranked >>= place
+    else:
+        order = np.argsort(word, kind="stable")
+        ranked = word[order]
+    step = np.zeros(size, np.int64)
     np.cumsum(ranked[1:] != ranked[:-1], out=step[1:])
-    out = np.empty(len(word), np.int64)
+    out = np.empty(size, np.int64)
     out[order] = step
     return out, int(step[-1]) + 1
 
@@ -114,18 +124,25 @@ def bucket_bits(size: int, bucket: int) -> int:
     return max(0, (-(-size // bucket) - 1).bit_length())
 
 
-def cell_rows(levels: list[np.ndarray], bits: int) -> pa.RecordBatch:
-    """(level, cell, n): how many keys (64-bit hashes) of each level fall into each cell."""
-    level, cell, n = [], [], []
-    for i, keys in enumerate(levels):
-        found, count = np.unique(keys >> np.uint64(64 - bits), return_counts=True)
-        level.append(np.full(len(found), i, np.int32))
-        cell.append(found.astype(np.int64))
-        n.append(count.astype(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (level, cell, n)], ["level", "cell", "n"])
+CELLS = "level int, part int, sizes array<int>, data binary"
+PART_CELLS = 16  # bits of the cells whose counts travel in one row
 
 
-CELLS = "level int, cell long, n long"
+def cell_rows(levels: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    """For each level and part of the load table how many keys (64-bit hashes) fall into each cell, packed."""
+    rows: tuple[list, ...] = ([], [], [], [])
+    for level, keys in enumerate(levels):
+        found, count = np.unique(keys >> np.uint64(64 - bits), return_counts=True)
+        if not len(found):
+            continue
+        part = (found >> np.uint64(PART_CELLS)).astype(np.int64)
+        edges = np.nonzero(np.diff(part, prepend=-1))[0]
+        for a, b in zip(edges, np.append(edges[1:], len(part)), strict=True):
+            data, sizes = pack((found[a:b] & np.uint64((1 << PART_CELLS) - 1)).astype("<u2"), count[a:b].astype("<u4"))
+            for column, x in zip(rows, (level, int(part[a]), sizes, data), strict=True):
+                column.append(x)
+    kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["level", "part", "sizes", "data"])
 
 
 def hot_cells(counts: DataFrame, levels: int, bits: int, limit: int) -> list[np.ndarray]:
@@ -134,14 +151,20 @@ def hot_cells(counts: DataFrame, levels: int, bits: int, limit: int) -> list[np.
     The table has a fixed size (8 MB a level at most), whatever the corpus; a key in a
     hot cell is only dealt more finely, so that a cell counts several keys together does no harm.
     """
-    hot = counts.groupBy("level", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > limit)
-    rows = hot.select("level", "cell").toArrow()
-    level, cell = rows.column("level").to_numpy(), rows.column("cell").to_numpy()
-    out = []
-    for i in range(levels):
-        bit = np.zeros(1 << bits, bool)
-        bit[cell[level == i]] = True
-        out.append(np.packbits(bit, bitorder="little"))
+    def over(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << PART_CELLS, np.int64)
+        for batch in batches:
+            for row in batch.select(["sizes", "data"]).to_pylist():
+                cell, n = unpack(row["data"], row["sizes"], "<u2", "<u4")
+                total[cell] += n
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()),
+                                          pa.array([np.packbits(total > limit, bitorder="little").tobytes()], pa.binary())], ["level", "part", "bits"])
+
+    out = [np.zeros(max(1, (1 << bits) >> 3), np.uint8) for _ in range(levels)]
+    for row in counts.groupBy("level", "part").applyInArrow(over, "level int, part int, bits binary").toLocalIterator():
+        low = row["part"] << (PART_CELLS - 3)
+        here = np.frombuffer(row["bits"], np.uint8)[:max(1, (1 << min(bits, PART_CELLS)) >> 3)]
+        out[row["level"]][low:low + len(here)] = here
     return out
 
 
