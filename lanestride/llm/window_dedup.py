@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from lanestride.llm import words as W
 from lanestride.llm.arrays import STEP, mixed, powers, slices
 
 WINDOW = 13  # words of a repeated window
-MINIMISER = 4  # words whose hash places a window
-BUCKET_BYTES = 32 << 20  # packed strings that one bucket receives, about
+MINIMISER = 3  # words whose hash places a window
+BUCKET_BYTES = 16 << 20  # packed strings that one bucket receives, about
 PART_BITS = 3  # a bucket is sorted in so many bits' parts, one after the other
 PLACE_BITS = 20
 CHUNK = 1 << 18  # starts looked at together
@@ -143,8 +144,10 @@ def messages(docs: DataFrame, bits: int, hot: np.ndarray, hot_bits: int, block_b
                     cuts = cut[bucket << PART_BITS:((bucket + 1) << PART_BITS) + 1]
                     if cuts[0] == cuts[-1]:
                         continue
-                    lead, copies = kmers.lead[cuts[0]:cuts[-1]], kmers.copies[cuts[0]:cuts[-1]]
-                    place = slice(lead[0], lead[-1] + copies[-1])
+                    # the strings of a part go in the order of the text, which keeps doc_ids and places close
+                    order = np.lexsort((kmers.first[kmers.lead[cuts[0]:cuts[-1]]], np.repeat(np.arange(1 << PART_BITS), np.diff(cuts)))) + cuts[0]
+                    lead, copies = kmers.lead[order], kmers.copies[order]
+                    place = W.spread(lead, copies)
                     of = doc[place]
                     data, sizes = W.pack(kmers.count[lead].astype("u1"), copies.astype("<i4"), np.diff(ids[of], prepend=0).astype("<i8"), variants[of].astype("<i8"),
                                          (kmers.first[place] - words.first[of]).astype("<i4"), words.strings(kmers.first[lead], kmers.count[lead] + window - 1))
@@ -189,22 +192,21 @@ def repeated_starts(count: np.ndarray, least: np.ndarray, flat: np.ndarray, wind
     return holder[starts]
 
 
-SPANS = "doc_id long, variant long, spans binary"
+SPANS = "doc_id long, variant long, first int, stop int"
 
 
 def removals(sent: DataFrame, window: int) -> DataFrame:
-    """(doc_id, variant, spans): the words, as pairs of first and end, that windows of a bucket remove from a document."""
+    """(doc_id, variant, first, stop): the words that windows of a string remove from a document, a row for each place of a string."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = [(np.concatenate([[0], np.cumsum(r["parts"])]), W.unpack(r["data"], r["sizes"], "u1", "<i4", "<i8", "<i8", "<i4", "u1")) for r in table.to_pylist()]
-        found: list[tuple[np.ndarray, ...]] = []
         ready = []
-        for cuts, (count, copies, ids, variants, at, flat) in rows:
+        for row in table.to_pylist():
+            count, copies, ids, variants, at, flat = W.unpack(row["data"], row["sizes"], "u1", "<i4", "<i8", "<i8", "<i4", "u1")
             count, copies, ids = count.astype(np.int64), copies.astype(np.int64), np.cumsum(ids)
             where = np.concatenate([[0], np.cumsum(copies)])
-            least = np.minimum.reduceat(ids, where[:-1])
             spaces = np.nonzero(flat == 32)[0]
             ends = np.concatenate([[0], spaces[np.cumsum(count + window - 1) - 1] + 1])
-            ready.append((cuts, count, copies, ids, variants, at, flat, where, least, ends))
+            ready.append((np.concatenate([[0], np.cumsum(row["parts"])]), count, copies, ids, variants, at, flat, where, np.minimum.reduceat(ids, where[:-1]), ends))
+        found: list[tuple[np.ndarray, ...]] = []
         for part in range(1 << PART_BITS):
             mine = [(r, int(r[0][part]), int(r[0][part + 1])) for r in ready if r[0][part + 1] > r[0][part]]
             if not mine:
@@ -217,31 +219,21 @@ def removals(sent: DataFrame, window: int) -> DataFrame:
             of_start = W.spread(np.repeat(np.cumsum(count) - count, copies), each)
             holder = np.repeat(np.arange(len(each)), each)
             gone = smallest[of_start] < place[0][holder]
-            inside = np.arange(len(holder)) - np.repeat(np.cumsum(each) - each, each)
+            inside = (np.arange(len(holder)) - np.repeat(np.cumsum(each) - each, each))[gone]
             holder = holder[gone]
-            found.append((place[0][holder], place[1][holder], place[2][holder].astype(np.int64) + inside[gone]))
-        ids, variants, start = (np.concatenate([f[i] for f in found]) for i in range(3))
-        return merged(ids, variants, start, window)
+            new = np.ones(len(holder), bool)
+            new[1:] = (holder[1:] != holder[:-1]) | (inside[1:] != inside[:-1] + 1)
+            begin = np.nonzero(new)[0]
+            last = np.append(begin[1:], len(holder)) - 1 if len(begin) else begin
+            at = place[2][holder[begin]].astype(np.int64)
+            found.append((place[0][holder[begin]], place[1][holder[begin]], at + inside[begin], at + inside[last] + window))
+        columns = [np.concatenate([f[i] for f in found]) for i in range(4)]
+        kinds = {"doc_id": pa.int64(), "variant": pa.int64(), "first": pa.int32(), "stop": pa.int32()}
+        return pa.table({n: pa.array(c.astype(k.to_pandas_dtype()), k) for (n, k), c in zip(kinds.items(), columns, strict=True)})
 
     return sent.groupBy("bucket").applyInArrow(run, SPANS)
 
 
-def merged(ids: np.ndarray, variants: np.ndarray, start: np.ndarray, window: int) -> pa.Table:
-    """One row a document: the spans that windows from these starts cover, those that touch made one."""
-    order = np.lexsort((start, variants, ids))
-    ids, variants, start = ids[order], variants[order], start[order]
-    doc = np.concatenate([[True], (ids[1:] != ids[:-1]) | (variants[1:] != variants[:-1])])[:len(ids)]
-    new = doc.copy()
-    new[1:] |= start[1:] > start[:-1] + window
-    begin = np.nonzero(new)[0]
-    end = np.append(begin[1:], len(start)) - 1 if len(begin) else begin
-    spans = np.stack([start[begin], start[end] + window], axis=1).astype("<i4")
-    heads = np.nonzero(doc[begin])[0]
-    tails = np.append(heads[1:], len(begin))
-    return pa.table({"doc_id": pa.array(ids[begin[heads]], pa.int64()), "variant": pa.array(variants[begin[heads]], pa.int64()),
-                     "spans": pa.array([spans[a:b].tobytes() for a, b in zip(heads, tails, strict=False)], pa.binary())})
-
-
 def remaining(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
     """The result row of each document, from its text and the spans to remove."""
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
@@ -250,11 +242,10 @@ def remaining(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
         for batch in batches:
             for part, words in block_words(batch, BLOCK_SLICE):
                 edge = np.zeros(len(words) + 1, np.int64)
-                for i, lists in enumerate(part.column(part.schema.get_field_index("spans")).to_pylist()):
-                    for spans in lists or ():
-                        pairs = np.frombuffer(spans, "<i4").reshape(-1, 2) + words.first[i]
-                        np.add.at(edge, pairs[:, 0], 1)
-                        np.add.at(edge, pairs[:, 1], -1)
+                spans = part.column(part.schema.get_field_index("spans"))
+                shift = np.repeat(words.first[:-1], pc.fill_null(pc.list_value_length(spans), 0).to_numpy())
+                first, stop = (spans.flatten().field(n).to_numpy() + shift for n in ("first", "stop"))
+                edge[:] += np.bincount(first, minlength=len(edge)) - np.bincount(stop, minlength=len(edge))
                 gone = np.cumsum(edge[:-1]) > 0
                 n = np.diff(words.first)
                 removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.first])
@@ -310,7 +301,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, minimiser: in
     cells = W.cell_bits(size // 36)
     hot_table = W.hot_cells(minimiser_loads(known, cells, block_bytes, window, minimiser), 1, cells, hot)[0]
     sent = messages(known, W.bucket_bits(3 * size, bucket_bytes), hot_table, cells, block_bytes, window, minimiser)
-    spans = removals(sent, window).groupBy("doc_id", "variant").agg(F.collect_list("spans").alias("spans"))
+    spans = removals(sent, window).groupBy("doc_id", "variant").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
     return remaining(rows.join(spans, ["doc_id", "variant"], "left").select("doc_id", "text", "spans"), window, with_text)
 
 
