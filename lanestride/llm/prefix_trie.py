@@ -86,7 +86,8 @@ def prefix_trie(conversations: DataFrame, columns: int = COLUMNS, share: int = S
     n_leaves, saved_tokens.  ``ends`` has (conv_id, depth, member) for every conversation, at the
     node that it ends at.
 
-    Rows with a null conv_id are left out.  Null roles and texts count as
+    Rows with a null conv_id are left out.  The first conversation of a negative
+    id's share is that of SQL's remainder, nearer to zero.  Null roles and texts count as
     empty; repeated rows are turns of their own.  An empty table has no node, not even a root.
 
     All prefixes of a block of ``columns`` turns are aggregated by one ROLLUP;
