@@ -20,6 +20,7 @@ HEADLINE = [
 
 
 def main() -> None:
+    from lanestride.plans.bindings import INPUT_PARTITIONS
     from lanestride.plans.registry import QUERIES
     from lanestride.session import build_session
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -27,7 +28,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     spark = build_session(app="bench", master=f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g"})
+        "spark.driver.memory": "16g", INPUT_PARTITIONS: cpus})  # each table is one row group, which one task would scan
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["token_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

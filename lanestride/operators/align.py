@@ -1,7 +1,6 @@
 """Alignment of object sequences with a series: step profiles, sync and flow scores."""
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import (DEFAULT, DIFFICULTY_DENSITY, STYLE_BIAS, STYLE_DENSITY, STYLE_RATE, Lexicon,
@@ -9,7 +8,7 @@ from lanestride.dims import (DEFAULT, DIFFICULTY_DENSITY, STYLE_BIAS, STYLE_DENS
 from lanestride.functions.columns import half_even, sql_text, unnest
 from lanestride.operators.grammar import KEY, with_objects
 from lanestride.operators.series import S, nearest_value
-from lanestride.operators.spread import count_up, neighbours
+from lanestride.operators.spread import count_up, halo, neighbours, ordered_index
 
 
 def _lookup(table: dict[str, float]) -> Column:
@@ -24,8 +23,29 @@ def _style_sum(table: dict[str, float], styles: Column) -> Column:
     return F.aggregate(given, F.lit(0.0), lambda a, s: a + F.coalesce(F.try_element_at(lookup, F.lower(F.trim(s))), F.lit(0.0)))
 
 
-def step_profile(reports: DataFrame, max_tokens: int = 360) -> DataFrame:
-    """Per series: step length, step count, density and token targets.
+def given_styles(styles: Column) -> Column:
+    """The styles that are not blank, trimmed; ``Flow`` alone if there is none."""
+    named = F.filter(F.transform(F.coalesce(styles, F.array().cast("array<string>")), lambda s: F.trim(s)), lambda s: s != "")
+    return F.when(F.size(named) > 0, named).otherwise(F.array(F.lit("Flow")))
+
+
+def style_bias(styles: Column) -> Column:
+    """Token multipliers of a list of styles; where several name a token the later one counts."""
+    pairs = lambda table: F.create_map(*[x for t, v in table.items() for x in (F.lit(t), F.lit(float(v)))])
+    none = F.expr("CAST(map() AS map<string, double>)")
+    own = lambda style: F.coalesce(F.try_element_at(F.create_map(*[x for name, table in STYLE_BIAS.items() for x in (F.lit(name), pairs(table))]), F.lower(style)), none)
+    return F.aggregate(styles, none, lambda bias, style: F.map_concat(F.map_filter(bias, lambda k, v: ~F.map_contains_key(own(style), k)), own(style)))
+
+
+def prefix_tokens(difficulty: Column, lexicon: Lexicon = DEFAULT) -> Column:
+    """The tokens that a conditioned sequence begins with; an unknown difficulty counts as hard."""
+    named = F.concat(F.lit("DIFF_"), F.upper(F.trim(difficulty)))
+    known = F.lower(F.trim(difficulty)).isin(list(DIFFICULTY_DENSITY)) & named.isin(list(lexicon.difficulties))
+    return F.array(F.lit("START"), F.when(known, named).otherwise(F.lit("DIFF_HARD")), F.lit("ALIGN_UNKNOWN"))
+
+
+def step_profile(reports: DataFrame, max_tokens: int = 360, lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """Per series: step length, step count, density, token targets, prefix tokens and token bias.
 
     ``reports`` holds ``series, duration, bpm, difficulty, styles`` (array).
     """
@@ -40,7 +60,8 @@ def step_profile(reports: DataFrame, max_tokens: int = 360) -> DataFrame:
     return rows.select(S, "duration", "bpm", "styles", "step_seconds", "steps", "target_tokens",
                        F.greatest(F.lit(36).cast("bigint"), F.least(c("target_tokens") - 8,
                                   F.floor(c("target_tokens") * 0.38).cast("bigint"))).alias("min_tokens"),
-                       F.greatest(F.lit(0.35), F.least(F.lit(1.75), c("_density"))).alias("density"))
+                       F.greatest(F.lit(0.35), F.least(F.lit(1.75), c("_density"))).alias("density"),
+                       prefix_tokens(c("difficulty"), lexicon).alias("prefix"), style_bias(given_styles(c("styles"))).alias("bias"))
 
 
 def steps_of(times: DataFrame, profile: DataFrame) -> DataFrame:
@@ -203,40 +224,56 @@ def event_step_priority(beats: DataFrame, onsets: DataFrame, energies: DataFrame
     return scored.unionByName(every4)
 
 
-def _suppress(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Greedy picks of one island: highest rank first, neighbours blocked."""
-    taken: set[int] = set()
-    for step in pdf.sort_values("_order")["step"]:
-        if step - 1 not in taken and step + 1 not in taken:
-            taken.add(step)
-    return pdf[pdf["step"].isin(taken)][["series", "step", "priority", "_order"]]
+SLOPE_CHUNK = 4096
+RANK_CELLS = 64.0
 
 
-def spaced_top_k(priorities: DataFrame, energies: DataFrame, plans: DataFrame, counts: DataFrame, seed: int = 7) -> DataFrame:
+def separated_peaks(ranked: DataFrame, step: str, better: Column, chunk: int = SLOPE_CHUNK) -> DataFrame:
+    """The steps that a walk from the best to the worst takes when each one taken blocks the step before and after it.
+
+    ``better`` orders the steps of a series strictly, smaller first.  A step that
+    beats both neighbours is taken.  Down a slope from such a peak every second
+    step is; so a step is taken when its distance to the peak it descends from
+    is even, on each side on which a neighbour beats it.  The distance is that to the last place where a
+    slope begins, found inside chunks of steps and carried over the table of
+    chunks, forwards and backwards.
+    """
+    at = F.col(step)
+    w = W.partitionBy(S, "_chunk").orderBy(step)
+    near = halo(ranked.withColumn("_key", better), step, 1, 1, chunk)
+    beaten = lambda side, gap: F.coalesce((side("_step").over(w) == at + gap) & (side("_key").over(w) < F.col("_key")), F.lit(False))
+    slopes = (near.withColumn("_step", at).withColumn("_left", beaten(F.lag, -1)).withColumn("_right", beaten(F.lead, 1)).where("_own")
+                  .withColumn("_from", F.when(~F.col("_left"), at)).withColumn("_to", F.when(~F.col("_right"), at)))
+    chunks = slopes.groupBy(S, "_chunk").agg(F.max("_from").alias("_last"), F.min("_to").alias("_first"))
+    before = lambda order: W.partitionBy(S).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    carried = chunks.select(S, "_chunk", F.max("_last").over(before(F.asc("_chunk"))).alias("_lo"), F.min("_first").over(before(F.desc("_chunk"))).alias("_hi"))
+    running = lambda order: W.partitionBy(S, "_chunk").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = (slopes.withColumn("_from", F.max("_from").over(running(F.asc(step)))).withColumn("_to", F.min("_to").over(running(F.desc(step))))
+                    .join(carried, [S, "_chunk"]))
+    down, up = at - F.coalesce("_from", "_lo"), F.coalesce("_to", "_hi") - at
+    return placed.where((down % 2 == 0) & (up % 2 == 0)).select(*ranked.columns)
+
+
+def spaced_top_k(priorities: DataFrame, energies: DataFrame, plans: DataFrame, counts: DataFrame, seed: int = 7, tie: Column | None = None) -> DataFrame:
     """The steps to use: best priorities at least two apart, then any best free step, up to the count.
 
-    Walking by priority and blocking neighbours only couples adjacent steps, so
-    each run of consecutive steps is solved alone and the count is applied to
-    the merged picks.  Steps per series are at most the planning cap.  Ties are
-    broken by a hash, so the result does not depend on partitioning.
+    Walking by priority and blocking neighbours couples adjacent steps only, so
+    the picks follow from slopes (``separated_peaks``) and no series is walked.
+    Picks and free steps are ranked by dense indices, and the count is applied to the
+    ranks.  Equal priorities are ordered by ``tie``, a hash of the seed, series
+    and step unless given, so the result does not depend on partitioning.
     """
     c = F.col
-    tie = F.xxhash64(F.lit(seed), c(S), c("step"))
-    ranked = priorities.withColumn("_order", F.row_number().over(W.partitionBy(S).orderBy(F.desc("priority"), tie)))
-    w = W.partitionBy(S).orderBy("step")
-    runs = ranked.withColumn("_run", c("step") - F.row_number().over(w))
-    picks = runs.groupBy(S, "_run").applyInPandas(
-        _suppress, "series bigint, step bigint, priority double, _order int")
-    by_order = W.partitionBy(S).orderBy("_order")
-    chosen = (picks.join(counts.select(S, "object_count"), S)
-                   .withColumn("_r", F.row_number().over(by_order)).where(c("_r") <= c("object_count"))
-                   .select(S, "step", F.lit("spaced").alias("stage")))
+    tie = F.xxhash64(F.lit(seed), c(S), c("step")) if tie is None else tie
+    tied = lambda rows: rows.withColumn("_tie", tie)
+    nth = lambda rows, value: ordered_index(rows, [S], F.floor(-c(value) * RANK_CELLS).cast("bigint"), [F.desc(value), "_tie"], "_r")
+    limits = counts.select(S, "object_count")
+    picks = separated_peaks(tied(priorities), "step", F.struct((-c("priority")).alias("p"), c("_tie")))
+    chosen = (nth(picks, "priority").join(limits, S).where(c("_r") < c("object_count")).select(S, "step", F.lit("spaced").alias("stage")))
     had = chosen.groupBy(S).agg(F.count(F.lit(1)).alias("_had"))
-    free = (plans.select(S, "planned").withColumn("step", F.explode(F.expr(
-                "CASE WHEN planned >= 5 THEN sequence(2L, planned - 3) ELSE CAST(array() AS array<bigint>) END")))
-            .join(chosen.select(S, "step"), [S, "step"], "left_anti").join(energies, [S, "step"], "left"))
-    by_energy = W.partitionBy(S).orderBy(F.desc(F.coalesce("energy", F.lit(0.35))), tie)
-    fill = (free.withColumn("_r", F.row_number().over(by_energy)).join(counts.select(S, "object_count"), S)
-                .join(had, S, "left").where(c("_r") <= c("object_count") - F.coalesce("_had", F.lit(0)))
-                .select(S, "step", F.lit("fill").alias("stage")))
+    inside = count_up(plans.select(S, "planned"), c("planned") - 5, "_k").select(S, (c("_k") + 2).alias("step"))
+    free = (inside.join(chosen.select(S, "step"), [S, "step"], "left_anti").join(energies.select(S, "step", "energy"), [S, "step"], "left")
+                  .withColumn("energy", F.coalesce("energy", F.lit(0.35))))
+    fill = (nth(tied(free), "energy").join(limits, S).join(had, S, "left")
+            .where(c("_r") < c("object_count") - F.coalesce("_had", F.lit(0))).select(S, "step", F.lit("fill").alias("stage")))
     return chosen.unionByName(fill)

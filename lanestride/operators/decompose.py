@@ -5,12 +5,11 @@ into an array of (k, v); fields are picked from it.
 """
 from __future__ import annotations
 
-import gzip
 import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType
 
 from lanestride.functions.columns import finite, pairs, pairs_map, pairs_sql, pick, pick_sql, to_float, to_int, unnest
 
@@ -94,13 +93,17 @@ def song_list(raw: str = "raw", index: int = 2) -> Column:
     return F.expr(f"CASE WHEN {text} IN ('', '~') THEN filter({made}, s -> false) ELSE filter({made}, s -> s.song_id > 0) END")
 
 
+#: Levels are parsed inside the array, so that filters on their fields, which the engine moves down, do not parse them again.
+LEVEL_LIST = f"transform(filter(split(_s, '[|]'), x -> x <> ''), x -> named_struct('raw_level', x, 'p', {pairs_sql('x', ':')}))"
+
+
 # -- search responses ---------------------------------------------------------
 def explode_search(responses: DataFrame) -> DataFrame:
     """One row per level of a search response: input columns, ``pos``, ``raw_level``, the page's ``creators``, pairs ``p``."""
     rest = [c for c in responses.columns if c != "raw"]
     rows = (responses.where(~is_empty()).withColumn("_s", section("raw", 0)).withColumn("creators", creator_list())
-            .transform(lambda r: unnest(r, *rest, "creators", raw_level=F.filter(F.split("_s", r"\|"), lambda x: x != ""))))
-    return rows.withColumn("p", pairs("raw_level", ":"))
+            .transform(lambda r: unnest(r, *rest, "creators", _level=F.expr(LEVEL_LIST))))
+    return rows.select(*rest, "creators", "pos", "_level.raw_level", "_level.p")
 
 
 def creators(responses: DataFrame, index: int = 1) -> DataFrame:
@@ -133,7 +136,7 @@ def candidates(levels: DataFrame) -> DataFrame:
     A level's creator stands in the same response, so it is looked up inside
     the row (the last entry of an id wins) and nothing is exchanged.
     """
-    found = F.expr("element_at(filter(creators, c -> c.player_id = player_id), -1)")
+    found = F.expr("element_at(transform(array(filter(creators, c -> c.player_id = player_id)), f -> get(f, size(f) - 1)), 1)")
     typed = levels.withColumn("player_id", num("p", "6")).select(
         "request_id", "source", "page", "pos", "raw_level", num("p", "1").alias("level_id"), "player_id",
         F.coalesce(pick("p", "2"), F.lit("")).alias("name"), is_auto().alias("is_auto"),
@@ -141,7 +144,7 @@ def candidates(levels: DataFrame) -> DataFrame:
         num("p", "18").alias("stars"), length_label().alias("length"), num("p", "5").alias("version"),
         num("p", "13").alias("game_version"), num("p", "45").alias("object_count_hint"), song_id().alias("song_id"),
         song_type().alias("song_type"), num("p", "19").alias("featured_score"), num("p", "42").alias("epic_score"),
-        F.when(F.size(F.expr("filter(creators, c -> c.player_id = player_id)")) > 0, found).alias("_who"))
+        found.alias("_who"))
     return (typed.where("level_id > 0").withColumn("author", F.coalesce("_who.username", F.lit("-")))
             .withColumn("account_id", F.coalesce("_who.account_id", F.lit(0))).drop("_who"))
 
@@ -150,7 +153,9 @@ def candidates(levels: DataFrame) -> DataFrame:
 def download_fields(responses: DataFrame) -> DataFrame:
     """Split downloads into pairs ``p``, hashes, user and ``reason`` (NULL when usable)."""
     raw = F.coalesce("raw", F.lit(""))
-    rows = responses.withColumn("_s", section("raw", 0)).withColumn("p", pairs("_s", ":"))
+    rows = responses.withColumn("_s", section("raw", 0))
+    # parsed once, as a generated column: a filter on the reason does not parse again
+    rows = rows.withColumn("p", F.explode(F.array(pairs("_s", ":"))))
     reason = (F.when(raw == "", "empty_response").when(F.trim(raw) == "-1", "not_found_response")
                .when(F.col("_s") == "", "missing_level_object")
                .when(F.coalesce(pick("p", "1"), F.lit("")) == "", "missing_level_id"))
@@ -240,14 +245,6 @@ def inflate(column: pd.Series) -> pd.Series:
     return column.map(_inflate)
 
 
-@F.pandas_udf(StringType())
-def deflate_urlsafe(column: pd.Series) -> pd.Series:
-    """Text to gzip + URL-safe base64 without padding: the inverse used to build payloads."""
-    import base64
-    pack = lambda s: None if s is None else base64.urlsafe_b64encode(gzip.compress(s.encode(), mtime=0)).decode().rstrip("=")
-    return column.map(pack)
-
-
 def decode_payload(rows: DataFrame, column: str) -> DataFrame:
     """Add ``decoded`` text and ``decode_reason``.  Only the payload crosses into Python."""
     clean = F.translate(column, "-_", "+/")

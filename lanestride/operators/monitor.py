@@ -1,12 +1,11 @@
 """Ingestion bookkeeping and pipeline monitoring."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, Lexicon
-from lanestride.functions.columns import sql_text
 from lanestride.operators.analytics import step_share, token_counts, entropy, grammar_validity
-from lanestride.operators.series import min_gap
+from lanestride.operators.greedy import min_gap
 from lanestride.operators.spread import ordered_index
 
 
@@ -89,16 +88,44 @@ def queue_sizes(scraped: DataFrame, processed: DataFrame, tokenized: DataFrame,
     return row.select(diff("a", "b").alias("raw_queue"), diff("c", "d").alias("token_queue"))
 
 
-def run_stats(log: DataFrame, success: str = "saved") -> DataFrame:
-    """Requests, counts by outcome, mean response time and rates per minute over a request log."""
-    per = log.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("seconds").alias("s"),
+# The counters of a run.
+COUNTERS = ("already_downloaded", "queued_from_checkpoint", "discovered", "saved", "rejected", "failed", "skipped",
+            "duplicates_skipped", "auto_skipped", "songs_saved", "comments_saved")
+
+
+def run_stats(log: DataFrame, outcomes: dict[str, str] | None = None) -> DataFrame:
+    """One row on a run: a count for each of ``COUNTERS``, requests, mean response time and rates per minute.
+
+    ``log`` has ``outcome``, ``seconds`` (null where no request was made) and
+    ``ts``; ``outcomes`` says which counter an outcome adds to, and without it
+    outcomes are named as the counters.  Outcomes outside all counters add to
+    ``other``.  An empty log gives zeros.
+    """
+    named = outcomes or {c: c for c in COUNTERS}
+    per = log.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.count("seconds").alias("r"), F.sum("seconds").alias("s"),
                                      F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    minutes = F.greatest(F.max("hi") - F.min("lo"), F.lit(1e-9)) / 60.0
-    n = F.sum("n")
-    saved = F.coalesce(F.sum(F.when(F.col("outcome") == success, F.col("n"))), F.lit(0))
-    return per.agg(n.alias("requests"), saved.alias("saved"), (n - saved).alias("other"),
-                   F.round(F.sum("s") / F.greatest(n, F.lit(1)), 6).alias("avg_response_time"),
-                   F.round(n / minutes, 6).alias("requests_per_minute"), F.round(saved / minutes, 6).alias("levels_per_minute"))
+    zero = F.lit(0).cast("bigint")
+    total = lambda names: F.coalesce(F.sum(F.when(F.col("outcome").isin(names), F.col("n"))), zero) if names else zero
+    counts = {c: total([o for o, name in named.items() if name == c]) for c in COUNTERS}
+    other = F.coalesce(F.sum(F.when(F.col("outcome").isNull() | ~F.col("outcome").isin(list(named)), F.col("n"))), zero)
+    minutes = F.greatest(F.coalesce(F.max("hi") - F.min("lo"), F.lit(0.0)), F.lit(1e-9)) / 60.0
+    requests = F.coalesce(F.sum("r"), zero)
+    return per.agg(requests.alias("requests"), *[n.alias(c) for c, n in counts.items()], other.alias("other"),
+                   F.round(F.coalesce(F.sum("s"), F.lit(0.0)) / F.greatest(requests, F.lit(1)), 6).alias("avg_response_time"),
+                   F.round(requests / minutes, 6).alias("requests_per_minute"), F.round(counts["saved"] / minutes, 6).alias("levels_per_minute"))
+
+
+def failures(**stages: DataFrame) -> DataFrame:
+    """One table of what failed, by stage: level_id, source, reason, error, endpoint, status, response_text.
+
+    A stage's frame has a ``level_id`` and those of the other columns that it knows.
+    """
+    columns = {"level_id": "bigint", "source": "string", "reason": "string", "error": "string", "endpoint": "string", "status": "int", "response_text": "string"}
+    out = None
+    for name, rows in stages.items():
+        given = rows.select(F.lit(name).alias("stage"), *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
+        out = given if out is None else out.unionByName(given)
+    return out
 
 
 def recent_metrics(recent: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
@@ -108,32 +135,99 @@ def recent_metrics(recent: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
     return (entropy(counts, "token_entropy").crossJoin(grammar_validity(recent, lexicon)).crossJoin(dens))
 
 
-def pipeline_metrics(queues: DataFrame, recent: DataFrame, recent_unknown: DataFrame, vocabulary: DataFrame, stats: DataFrame,
-                     eval_loss: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
-    """One monitoring row.  Each part is a one-row aggregate, so the cross joins move one row each."""
-    quality = eval_loss.select("eval_loss", F.coalesce(F.round(F.lit(1.0) / (F.lit(1.0) + F.col("eval_loss")), 6), F.lit(0.0)).alias("validation_quality"))
-    totals = stats.agg(F.count(F.lit(1)).alias("levels_processed"), F.count_if("accepted").alias("levels_tokenized"),
-                       F.count_distinct(F.nullif(F.col("source"), F.lit(""))).alias("source_diversity"))
-    return (queues.crossJoin(recent_metrics(recent, lexicon)).crossJoin(recent_unknown.select("unknown_object_rate"))
-            .crossJoin(vocabulary.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens_generated")))
-            .crossJoin(totals).crossJoin(quality))
+TOTALS = ("levels_processed", "levels_tokenized", "tokens_tokenized", "object_count_raw", "unknown_object_count")
 
 
-# Default alert thresholds.
-RAW_BACKLOG, TOKEN_STARVATION, UNKNOWN_RATE, MIN_ENTROPY, MIN_RECORDS = 100, 3, 0.05, 2.0, 5
+def observed_totals(stats: DataFrame, name: str = "totals") -> tuple[DataFrame, Observation]:
+    """Stats rows that are counted while they are written: ``TOTALS`` are known after the write, without another pass."""
+    seen, zero = Observation(name), F.lit(0).cast("bigint")
+    total = lambda column: F.coalesce(F.sum(F.col(column).cast("bigint")), zero)
+    return stats.observe(seen, F.count(F.lit(1)).alias("levels_processed"), F.count_if("accepted").alias("levels_tokenized"),
+                         F.coalesce(F.sum(F.when(F.col("accepted"), F.col("token_count"))), zero).alias("tokens_tokenized"),
+                         total("object_count_raw").alias("object_count_raw"), total("unknown_object_count").alias("unknown_object_count")), seen
+
 
+def totals_row(spark: SparkSession, seen: Observation) -> DataFrame:
+    """What was counted during the write, as a row; waits for the write."""
+    found = seen.get
+    return spark.range(1).select(*[F.lit(int(found[name])).cast("bigint").alias(name) for name in TOTALS])
 
-def policy_alerts(metrics: DataFrame) -> DataFrame:
-    """One row per fired rule of each metric row.  ``metrics`` keeps its other columns."""
-    rules = {
-        "TOKENIZER_BACKLOG": f"raw_queue >= {RAW_BACKLOG}",
-        "DATASET_STARVATION": f"token_queue <= {TOKEN_STARVATION} AND raw_queue > 0",
-        "UNKNOWN_OBJECTS_INCREASE": f"unknown_object_rate >= {UNKNOWN_RATE}",
-        "DATASET_DIVERSITY_LOW": f"levels_tokenized >= {MIN_RECORDS} AND token_entropy < {MIN_ENTROPY}",
-        "TOKEN_COLLAPSE_WARNING": "collapsed",
-    }
-    fired = F.expr("array_compact(array(" + ", ".join(f"CASE WHEN {cond} THEN {sql_text(code)} END" for code, cond in rules.items()) + "))")
-    return metrics.withColumn("code", F.explode(fired))
+
+def level_mix(levels: DataFrame) -> DataFrame:
+    """One row: how many levels have each difficulty, and the number of named sources.  Two small aggregates over one grouping."""
+    label = F.coalesce(F.col("difficulty").cast("string"), F.lit("NA"))
+    pairs = levels.groupBy(label.alias("difficulty"), "source").agg(F.count(F.lit(1)).alias("n"))
+    by = pairs.groupBy("difficulty").agg(F.sum("n").alias("n"))
+    mix = by.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("difficulty", "n")))).alias("difficulty_distribution"))
+    return mix.crossJoin(pairs.agg(F.count_distinct(F.nullif(F.col("source"), F.lit(""))).alias("source_diversity")))
+
+
+def pipeline_metrics(queues: DataFrame, recent: DataFrame, recent_unknown: DataFrame, vocabulary: DataFrame, levels: DataFrame, totals: DataFrame,
+                     runs: DataFrame, training: DataFrame, evaluation: DataFrame, seconds: Column, lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """One monitoring row.  Each part is a one-row aggregate, so the cross joins move one row each.
+
+    ``totals`` are those of ``observed_totals``, ``runs`` a row of ``run_stats``,
+    ``training`` the log (step, train_loss, eval_loss, examples) and
+    ``evaluation`` (step, diversity, collapsed, grammar_valid), of which the last rows
+    count; ``seconds`` is the time that the totals took.  What a log lacks is
+    null, but the queue is then 0, the steps 0, the quality 0 and the collapse false.
+    """
+    c, zero = F.col, F.lit(0).cast("bigint")
+    last = lambda log, name: log.agg(F.max_by(F.struct(*log.columns), F.struct("step", F.to_json(F.struct(*log.columns)))).alias(name))
+    row = (queues.crossJoin(recent_metrics(recent, lexicon)).crossJoin(recent_unknown.select("unknown_object_rate"))
+           .crossJoin(vocabulary.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens_generated")))
+           .crossJoin(level_mix(levels)).crossJoin(totals).crossJoin(runs.select("levels_per_minute", c("failed").alias("request_failures"), "duplicates_skipped"))
+           .crossJoin(last(training, "_t")).crossJoin(last(evaluation, "_e")))
+    speed = F.round(c("tokens_tokenized") / F.greatest(seconds, F.lit(1e-9)), 6)
+    return row.select(
+        *queues.columns, "token_entropy", "grammar_validity", "avg_step_density", "unknown_object_rate", "tokens_generated", "levels_processed", "levels_tokenized",
+        c("levels_tokenized").alias("dataset_size"), speed.alias("tokens_per_second"), "source_diversity", "difficulty_distribution",
+        "levels_per_minute", "request_failures", "duplicates_skipped",
+        c("_t.train_loss").alias("training_loss"), c("_t.eval_loss").alias("eval_loss"), F.coalesce(F.round(F.lit(1.0) / (F.lit(1.0) + c("_t.eval_loss")), 6), F.lit(0.0)).alias("validation_quality"),
+        F.coalesce(c("_t.examples").cast("bigint"), zero).alias("training_queue"), F.coalesce(c("_t.step").cast("bigint"), zero).alias("steps"),
+        c("_e.diversity").alias("generation_diversity"), F.coalesce("_e.collapsed", F.lit(False)).alias("collapse_indicator"), c("_e.grammar_valid").alias("grammar_legal"))
+
+
+# The alert rules, their thresholds, what they report and what they advise.
+RAW_BACKLOG, TOKEN_STARVATION, UNKNOWN_RATE, MIN_ENTROPY, MIN_RECORDS = 100, 3, 0.05, 2.0, 5
+RULES = [
+    ("TOKENIZER_BACKLOG", [("raw_queue", ">=", RAW_BACKLOG)], ["raw_queue"], "increase tokenizer allocation"),
+    ("DATASET_STARVATION", [("raw_queue", ">", 0), ("token_queue", "<=", TOKEN_STARVATION)], ["raw_queue", "token_queue"],
+     "increase tokenizer allocation and scraper throughput"),
+    ("UNKNOWN_OBJECTS_INCREASE", [("unknown_object_rate", ">=", UNKNOWN_RATE)], ["unknown_object_rate"], "trigger mapping review warning"),
+    ("DATASET_DIVERSITY_LOW", [("levels_tokenized", ">=", MIN_RECORDS), ("token_entropy", "<", MIN_ENTROPY)], ["token_entropy"],
+     "increase scrape diversity and emphasize underrepresented difficulties"),
+    ("TOKEN_COLLAPSE_WARNING", [("collapse_indicator", ">", 0)], [], "pause aggressive training and increase dataset diversity"),
+]
+RULE_SCHEMA = "code string, conditions array<struct<metric:string,op:string,bound:double>>, details array<string>, recommendation string"
+
+
+def rule_table(spark: SparkSession) -> DataFrame:
+    """The standard rules as rows; a table of the same columns with other rows replaces them."""
+    condition = lambda m, op, v: F.struct(F.lit(m).alias("metric"), F.lit(op).alias("op"), F.lit(float(v)).alias("bound"))
+    rows = F.array(*[F.struct(F.lit(code).alias("code"), F.array(*[condition(*x) for x in conditions]).alias("conditions"),
+                              F.array(*map(F.lit, details)).cast("array<string>").alias("details"), F.lit(advice).alias("recommendation")) for code, conditions, details, advice in RULES])
+    return spark.range(1).select(F.inline(rows))
+
+
+def policy_alerts(metrics: DataFrame, rules: DataFrame | None = None, mode: str = "assisted") -> DataFrame:
+    """One row per fired rule of each metric row, with the metric row's columns.
+
+    A rule fires when all of its conditions hold; a condition on a missing or
+    null metric does not.  Adds ``code``, ``recommendation``, ``details`` (the rule's
+    metrics and their values), ``mode`` and ``action_applied`` (true unless ``assisted``).
+    The rules are joined as data on the metric of their first condition.
+    """
+    numeric = [n for n, t in metrics.dtypes if t in ("int", "bigint", "double", "float", "boolean", "smallint", "tinyint") or t.startswith("decimal")]
+    values = F.create_map(*[x for n in numeric for x in (F.lit(n), F.col(n).cast("double"))])
+    rules = rule_table(metrics.sparkSession) if rules is None else rules.select("code", "conditions", "details", "recommendation")
+    led = rules.where(F.size("conditions") > 0).withColumn("_lead", F.expr("conditions[0].metric"))
+    rows = metrics.withColumn("_values", values).withColumn("_lead", F.explode(F.array(*map(F.lit, numeric))))
+    holds = ("forall(conditions, x -> coalesce(CASE x.op WHEN '>=' THEN _values[x.metric] >= x.bound WHEN '>' THEN _values[x.metric] > x.bound"
+             " WHEN '<=' THEN _values[x.metric] <= x.bound WHEN '<' THEN _values[x.metric] < x.bound WHEN '=' THEN _values[x.metric] = x.bound END, false))")
+    fired = rows.join(led, "_lead").where(F.expr(holds))
+    told = F.expr("map_from_entries(transform(filter(array_distinct(details), d -> _values[d] IS NOT NULL), d -> struct(d, _values[d])))")
+    return fired.select(*metrics.columns, "code", "recommendation", told.alias("details"), F.lit(mode).alias("mode"), F.lit(mode != "assisted").alias("action_applied"))
 
 
 def alert_cooldown(alerts: DataFrame, seconds: float = 300.0, code: str = "code", ts: str = "ts") -> DataFrame:

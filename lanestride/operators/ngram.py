@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.dims import DEFAULT, STYLE_BONUS, Lexicon, relation, style_values
+from lanestride.session import stage
 from lanestride.functions.columns import sql_text, unnest
 from lanestride.operators.spread import order_statistic
 
@@ -80,14 +81,16 @@ def sequence_loss(counts: DataFrame, windows: DataFrame, n: int, vocab_size: int
     A context that was never seen backs off to its longest seen suffix, one
     token at a time: only the cases that an order does not know go on to the
     next, merged by what is left of their context.  Equal examples are merged
-    first.  The empty context is one row, its counts are met by target.
+    first.  The empty context is one row, its counts are met by target.  The
+    counts and the cases of each order are staged, as they are read more than once.
     """
+    counts = stage(counts.select("order", "context", "target", "count", "context_total"))
     left = windows.groupBy("context", "target").agg(F.count(F.lit(1)).alias("_w"))
     told = []
     for k in range(n, 0, -1):
         own = counts.where(F.col("order") == k)
         totals = own.groupBy("context").agg(F.max("context_total").alias("_total"))
-        met = left.join(totals, "context", "left")
+        met = stage(left.join(totals, "context", "left"))
         told.append(met.where("_total IS NOT NULL").join(own.select("context", "target", "count"), ["context", "target"], "left")
                     .select("_w", "count", "_total"))
         left = (met.where("_total IS NULL").groupBy(F.expr(f"slice(context, 2, {k - 1})").alias("context"), "target")

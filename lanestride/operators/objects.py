@@ -126,14 +126,29 @@ def width_token(width: Column, lexicon: Lexicon = DEFAULT) -> Column:
 
 # -- per-level summaries ------------------------------------------------------
 def level_extent(objects: DataFrame, levels: DataFrame | None = None) -> DataFrame:
-    """Coordinate extent and raw count per level, zeros for a level without objects."""
+    """Coordinate extent and raw count per level, zeros for a level without objects.
+
+    Where ``levels`` carry their ``decoded`` text, so do the results: its length and its header, the first section.
+    """
     bounds = objects.groupBy(LEVEL).agg(
         F.count(F.lit(1)).alias("object_count_raw"),
         *[F.round(fn(c), 6).alias(f"{c}_{name}") for c in ("x", "y") for name, fn in (("min", F.min), ("max", F.max))])
     if levels is None:
         return bounds
     zero = {c: 0 for c in bounds.columns if c != LEVEL}
-    return levels.select(LEVEL).join(bounds, LEVEL, "left").fillna(zero)
+    told = []
+    if "decoded" in levels.columns:
+        told = [F.coalesce(F.length("decoded"), F.lit(0)).cast("bigint").alias("decoded_length"), F.coalesce(F.substring_index("decoded", ";", 1), F.lit("")).alias("header")]
+    return levels.select(LEVEL, *told).join(bounds, LEVEL, "left").fillna(zero)
+
+
+def tokens_to_gameplay(tokens: DataFrame, gameplay: DataFrame) -> DataFrame:
+    """Token records beside their gameplay objects, a row for each object; a record without any is one row with ``missing`` true.
+
+    Columns of the gameplay side that the record has too are left to the record.
+    """
+    side = gameplay.select(LEVEL, *[c for c in gameplay.columns if c not in tokens.columns]).withColumn("_there", F.lit(True))
+    return tokens.join(side, LEVEL, "left").withColumn("missing", F.col("_there").isNull()).drop("_there")
 
 
 def ranked_list(counts: DataFrame, key: str, value: str, count: str, out: str, top: int | None = None) -> DataFrame:

@@ -5,14 +5,14 @@ rules run in index chunks with a halo, so a series of any length is spread.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lanestride.functions.columns import half_even
-from lanestride.operators.spread import attach_dense, count_up, halo, islands, neighbours, ordered_index
+from lanestride.operators.greedy import min_gap
+from lanestride.operators.spread import attach_dense, count_up, halo, neighbours, ordered_index
+from lanestride.session import stage
 
 S = "series"
 
@@ -67,53 +67,6 @@ def onset_candidates(energy: DataFrame, floor: float = 0.08, factor: float = 1.1
             .where((F.col("_n") >= min_points) & (F.col("delta") >= threshold)).select(S, "idx", "t", "delta"))
 
 
-def _walk_gap(gap: float, keys: list[str], place: str):
-    """Keep-first walk over rows sorted by (keys, island, place).
-
-    Constant state carried across Arrow batches: the current group and its last
-    kept position, so an island of any size streams through.
-    """
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, last = None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            marks = pdf[[*keys, "_island"]]
-            change = np.flatnonzero((marks != marks.shift()).any(axis=1).to_numpy())
-            bounds = np.append(change, len(pdf))
-            if bounds[0] != 0:
-                bounds = np.insert(bounds, 0, 0)
-            at = pdf[place].to_numpy()
-            kept: list[int] = []
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                here = tuple(marks.iloc[lo])
-                if here != group:
-                    group, last = here, None
-                i = lo if last is None else lo + int(np.searchsorted(at[lo:hi] - last, gap))
-                while i < hi:
-                    kept.append(i)
-                    last = at[i]
-                    i = lo + int(np.searchsorted(at[lo:hi] - last, gap))
-            yield pdf.iloc[kept][[*keys, place]]
-    return walk
-
-
-def min_gap(rows: DataFrame, keys: Sequence[str], place: str, gap: float) -> DataFrame:
-    """Greedy keep-first positions: drop those closer than ``gap`` to the last *kept* one.
-
-    The rule restarts at every island (a pause of at least ``gap``), so islands
-    are independent units of work; equal positions are merged first.  An island
-    shorter than ``gap`` keeps its first position and never reaches Python.
-    """
-    keys = list(keys)
-    tagged = islands(rows.select(*keys, place).distinct(), keys, place, gap)
-    short = F.col("_island_end") - F.col("_island") < gap
-    first = tagged.where(short & (F.col(place) == F.col("_island"))).select(*keys, place)
-    long = (tagged.where(~short).select(*keys, "_island", place)
-                  .repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", place))
-    return first.unionByName(long.mapInPandas(_walk_gap(gap, keys, place), first.schema))
-
-
 def gaps(positions: DataFrame, keys: Sequence[str], place: str, block: float) -> DataFrame:
     """Distance to the previous position of the same key (``gap``), first rows omitted."""
     keys = list(keys)
@@ -197,37 +150,74 @@ def section_label(energy: Column) -> Column:
 
 
 def sections(energy: DataFrame, lengths: DataFrame, count: int = 12) -> DataFrame:
-    """Equal time slices with mean energy and label; an empty slice has mean 0."""
-    facts = lengths.select(S, "duration", "points", F.greatest(F.lit(1), F.least(F.lit(count), F.col("points"))).alias("_c")).withColumn(
+    """Equal time slices with mean energy and label; an empty slice has mean 0.
+
+    ``lengths`` has (series, duration, points).  A series without energy points
+    is one steady section of at least a second.
+    """
+    none = F.coalesce(F.col("points"), F.lit(0)) == 0
+    facts = lengths.select(S, "duration", "points", none.alias("_none"), F.greatest(F.lit(1), F.least(F.lit(count), F.coalesce("points", F.lit(0)))).alias("_c")).withColumn(
         "_w", F.greatest(F.col("duration") / F.col("_c"), F.lit(0.1)))
     guess = F.floor(F.col("t") / F.col("_w"))
     index = (F.when(F.col("t") < guess * F.col("_w"), guess - 1)
               .when(F.col("t") >= (guess + 1) * F.col("_w"), guess + 1).otherwise(guess))
-    placed = (attach_dense(energy, facts, S, "points", "idx")
+    placed = (attach_dense(energy, facts.where("not _none"), S, "points", "idx")
               .withColumn("section", F.least(index, F.col("_c") - 1)).where(F.col("t") < F.col("duration")))
     means = placed.groupBy(S, "section").agg(F.avg("value").alias("_e"))
     grid = facts.withColumn("section", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_c").cast("bigint") - 1)))
-    e = F.coalesce(F.col("_e"), F.lit(0.0))
+    e = F.when(F.col("_none"), F.lit(0.35)).otherwise(F.coalesce(F.col("_e"), F.lit(0.0)))
+    last = F.when(F.col("_none"), F.greatest(F.coalesce("duration", F.lit(0.0)), F.lit(1.0))).otherwise(F.col("duration"))
     return grid.join(means, [S, "section"], "left").select(
-        S, "section", (F.col("section") * F.col("_w")).alias("start"),
-        F.when(F.col("section") == F.col("_c") - 1, F.col("duration")).otherwise((F.col("section") + 1) * F.col("_w")).alias("end"),
+        S, "section", F.coalesce(F.col("section") * F.col("_w"), F.lit(0.0)).alias("start"),
+        F.when(F.col("section") == F.col("_c") - 1, last).otherwise((F.col("section") + 1) * F.col("_w")).alias("end"),
         e.alias("energy"), section_label(e).alias("label"))
 
 
-def series_report(energy: DataFrame, spacing: float = 0.1, onset_gap: float = 0.16) -> DataFrame:
-    """One row per series: duration, bpm, beat and onset counts, sections.
+PAGE = 4096
+
+
+def paged(rows: DataFrame, kind: str, order: str, page: int = PAGE, **fields: Column) -> DataFrame:
+    """(series, kind, page, values): the rows of each series in order of their dense index, ``page`` of them in one array."""
+    packed = F.struct(F.col(order).alias("n"), *[value.alias(name) for name, value in fields.items()])
+    told = ", ".join(f"'{name}', v.{name}" for name in fields)
+    return (rows.groupBy(S, F.floor(F.col(order) / page).cast("bigint").alias("page")).agg(F.array_sort(F.collect_list(packed)).alias("_v"))
+            .select(S, F.lit(kind).alias("kind"), "page", F.expr(f"transform(_v, v -> named_struct({told}))").alias("values")))
+
+
+def series_analysis(energy: DataFrame, lengths: DataFrame | None = None, spacing: float = 0.1, onset_gap: float = 0.16, page: int = PAGE) -> tuple[DataFrame, DataFrame]:
+    """(reports, pages) of all series.
+
+    A report is a row: duration, bpm, the numbers of beats, onsets and energy
+    points, and the (at most twelve) sections with their start, end, energy and
+    label.  ``pages`` holds the beats, onsets and energies themselves, as arrays of (t, value) of up to
+    ``page`` entries, value being null but for energies; so a series of any
+    length is rows of bounded size, and a short one a single array of each kind.
 
-    Beats and onsets stay long tables; only the (at most ``count``) sections are packed.
+    ``lengths`` (``sample_durations``) are the true lengths, and may name series
+    without energy; without it a length follows from the number of points.
     """
-    onsets = min_gap(onset_candidates(energy), [S], "t", onset_gap)
-    lengths, bpm = durations(energy, spacing), tempo(onsets, energy, spacing)
-    beats = beat_grid(bpm, onsets, lengths).groupBy(S).agg(F.count(F.lit(1)).alias("beats"))
+    energy = stage(energy.select(S, "idx", "t", "value"))
+    lengths = durations(energy, spacing) if lengths is None else stage(lengths.select(S, "duration", "points"))
+    onsets = stage(min_gap(onset_candidates(energy), [S], "t", onset_gap))
+    known = lengths.select(S).join(energy.select(S).distinct(), S, "left_anti").select(S, fold_octave(F.lit(120.0)).alias("bpm"))
+    bpm = stage(tempo(onsets, energy, spacing).unionByName(known))
+    beats = stage(beat_grid(bpm, onsets, lengths))
+    count = lambda rows, name: rows.groupBy(S).agg(F.count(F.lit(1)).alias(name))
     packed = sections(energy, lengths).groupBy(S).agg(F.array_sort(F.collect_list(
-        F.struct("section", "label", F.round("energy", 4).alias("energy")))).alias("sections"))
-    found = onsets.groupBy(S).agg(F.count(F.lit(1)).alias("onsets"))
-    return (lengths.join(bpm, S).join(beats, S, "left").join(found, S, "left").join(packed, S, "left")
-            .select(S, F.round("duration", 3).alias("duration"), "bpm", F.coalesce("beats", F.lit(0)).alias("beats"),
-                    F.coalesce("onsets", F.lit(0)).alias("onsets"), "points", "sections"))
+        F.struct("section", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), F.round("energy", 4).alias("energy"), "label"))).alias("sections"))
+    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+    reports = (lengths.join(bpm, S).join(count(beats, "beats"), S, "left").join(count(onsets, "onsets"), S, "left").join(packed, S, "left")
+               .select(S, F.round("duration", 3).alias("duration"), "bpm", zero("beats"), zero("onsets"), zero("points"), "sections"))
+    numbered = ordered_index(onsets, [S], F.floor(F.col("t") / 256.0).cast("bigint"), ["t"], "idx")
+    at, nothing = F.round("t", 3), F.lit(None).cast("double")
+    pages = (paged(beats, "beats", "beat", page, t=at, value=nothing).unionByName(paged(numbered, "onsets", "idx", page, t=at, value=nothing))
+             .unionByName(paged(energy, "energy", "idx", page, t=at, value=F.round("value", 4))))
+    return reports, pages
+
+
+def series_report(energy: DataFrame, spacing: float = 0.1, onset_gap: float = 0.16, lengths: DataFrame | None = None) -> DataFrame:
+    """The reports of ``series_analysis``."""
+    return series_analysis(energy, lengths, spacing, onset_gap)[0]
 
 
 # -- nearest lookups ----------------------------------------------------------

@@ -72,9 +72,11 @@ GROUP_BUCKETS = 4096
 
 
 def ordered_index(rows: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column | str],
-                  name: str, group: Column | None = None) -> DataFrame:
+                  name: str, group: Column | None = None, weight: str | None = None) -> DataFrame:
     """Dense 0-based position of each row within ``keys``, ordered by (bucket, order).
 
+    With ``weight``, the sum of that column over the rows before, instead of their number.
+
     ``bucket`` must not decrease in the wanted order; unless it is an integer,
     ``group`` (over ``_bucket``) must name a coarser value that does not either.
     Rows are ranked inside their bucket, bucket totals are summed up inside
@@ -83,7 +85,7 @@ def ordered_index(rows: DataFrame, keys: Sequence[str], bucket: Column, order: S
     """
     keys = list(keys)
     tagged = rows.withColumn("_bucket", bucket)
-    totals = (tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    totals = (tagged.groupBy(*keys, "_bucket").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_rows"))
               .withColumn("_group", F.floor(F.col("_bucket") / GROUP_BUCKETS) if group is None else group))
     before = lambda window: window.rowsBetween(W.unboundedPreceding, -1)
     groups = totals.groupBy(*keys, "_group").agg(F.sum("_rows").alias("_all"))
@@ -93,7 +95,8 @@ def ordered_index(rows: DataFrame, keys: Sequence[str], bucket: Column, order: S
     offsets = near.join(groups, [*keys, "_group"]).select(*keys, "_bucket", (F.col("_near") + F.col("_far")).alias("_offset"))
     placed = tagged.join(offsets, [*keys, "_bucket"])
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
-    return (placed.withColumn(name, F.row_number().over(inside) - 1 + F.col("_offset"))
+    local = F.coalesce(F.sum(weight).over(before(inside)), F.lit(0)) if weight else F.row_number().over(inside) - 1
+    return (placed.withColumn(name, local + F.col("_offset"))
                   .drop("_bucket", "_offset"))
 
 
@@ -171,7 +174,8 @@ def neighbours(points: DataFrame, probes: DataFrame, keys: Sequence[str], place:
     Both inputs hold ``keys`` and ``place``; ``points`` may carry ``value``.
     Adds ``prev_at``/``next_at`` (and ``prev_value``/``next_value``).  Points and
     probes meet inside grid cells of ``width``; the last point before a cell and
-    the first after it are carried over the table of cells.
+    the first after it are carried over the cells of its group of
+    ``GROUP_BUCKETS``, and from group to group.
     """
     keys = list(keys)
     carried = F.struct(F.col(place).alias("at"), (F.col(value) if value else F.lit(None).cast("double")).alias("value"))
@@ -183,9 +187,16 @@ def neighbours(points: DataFrame, probes: DataFrame, keys: Sequence[str], place:
             F.lit(1).alias("_probe")))
     cells = both.groupBy(*keys, "_cell").agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
     # Both directions are running frames; one that reaches to the end would be quadratic.
-    earlier = lambda order: W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    edges = cells.select(*keys, "_cell", F.last("_hi", True).over(earlier(F.asc("_cell"))).alias("_before"),
-                         F.last("_lo", True).over(earlier(F.desc("_cell"))).alias("_after"))
+    cells = cells.withColumn("_group", F.floor(F.col("_cell") / GROUP_BUCKETS).cast("bigint"))
+    groups = cells.groupBy(*keys, "_group").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+
+    def carried_over(table: DataFrame, within: Sequence[str], order: str, before: str, after: str) -> DataFrame:
+        earlier = lambda by: W.partitionBy(*within).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        return table.withColumn(before, F.last("_hi", True).over(earlier(F.asc(order)))).withColumn(after, F.last("_lo", True).over(earlier(F.desc(order))))
+
+    near = carried_over(cells, [*keys, "_group"], "_cell", "_before", "_after").select(*keys, "_group", "_cell", "_before", "_after")
+    far = carried_over(groups, keys, "_group", "_long_before", "_long_after").select(*keys, "_group", "_long_before", "_long_after")
+    edges = near.join(far, [*keys, "_group"]).select(*keys, "_cell", F.coalesce("_before", "_long_before").alias("_before"), F.coalesce("_after", "_long_after").alias("_after"))
     inside = W.partitionBy(*keys, "_cell")
     running = lambda order: inside.orderBy(order, "_probe").rowsBetween(W.unboundedPreceding, W.currentRow)
     found = (both.withColumn("_l", F.last("_p", True).over(running(F.asc(place))))

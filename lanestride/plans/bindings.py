@@ -5,7 +5,12 @@ only what its operator needs.
 """
 from __future__ import annotations
 
+import base64
+import gzip
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from lanestride.dims import DEFAULT
 from lanestride.functions.columns import sql_text
@@ -16,8 +21,14 @@ HOUR_US = 3_600_000_000
 EPOCH_US = 1_704_067_200_000_000
 
 
+#: Session setting: deal every table that is read to so many partitions.  For tables of fewer row groups than cores; unset, a table is read as it lies.
+INPUT_PARTITIONS = "lanestride.input.partitions"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    dealt = spark.conf.get(INPUT_PARTITIONS, None)
+    return rows.repartition(int(dealt)) if dealt else rows
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,5 +156,21 @@ def level_texts(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Reference objects: five levels, x in units, the raw string kept for rewriting."""
     raw = "concat('1,', object_id, ',2,', x, ',3,', y, ',21,1004')"
-    return (objects(spark, sf).selectExpr("level_id % 5 AS level_id", "object_id", "x * 30 AS x", "y", "seq")
-            .where("object_id > 0").withColumn("raw", F.expr(raw)))
+    return (objects(spark, sf).selectExpr("level_id % 5 AS level_id", "object_id", "x * 30 AS x", "y", "seq").withColumn("raw", F.expr(raw)))
+
+
+@F.pandas_udf(StringType())
+def deflate_urlsafe(column: pd.Series) -> pd.Series:
+    """Text to gzip and URL-safe base64 without padding: level payloads for the queries."""
+    pack = lambda s: None if s is None else base64.urlsafe_b64encode(gzip.compress(s.encode(), mtime=0)).decode().rstrip("=")
+    return column.map(pack)
+
+
+def level_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Levels as raw records: the objects of ``objects`` that have an id, encoded; one record a level."""
+    text = F.concat_ws(",", F.lit("1"), "object_id", F.lit("2"), "x", F.lit("3"), "y")
+    lines = objects(spark, sf).where("object_id > 0").withColumn("text", text).groupBy("level_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda o: o.text), ";").alias("body"))
+    return levels(spark, sf).join(lines, "level_id").select(
+        "level_id", "difficulty", F.lit(0).cast("bigint").alias("song_id"), F.lit("").alias("song_type"), "source",
+        deflate_urlsafe(F.concat(F.lit("kS1,0;"), "body")).alias("level_data"), F.col("level_id").alias("ingest_order"))

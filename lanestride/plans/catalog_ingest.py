@@ -51,8 +51,8 @@ register("songs", sql(f"SELECT {RID} AS request_id, CAST(0 AS BIGINT) AS pos, l_
     lambda s, d: R.songs(B.search_responses(s, d)).drop("raw_song", "parsed").withColumn("pos", F.col("pos").cast("bigint")))
 register("page_info", sql(f"SELECT {RID} AS request_id, CAST(l_quantity AS BIGINT) AS total, CAST(l_linenumber AS BIGINT) AS \"offset\", CAST(10 AS BIGINT) AS amount FROM ol", "ol"))(
     lambda s, d: B.search_responses(s, d).select("request_id", R.page_info(R.section("raw", 3)).alias("i")).select("request_id", "i.*"))
-register("level_labels", sql(f"SELECT {RID} AS level_id, {DIFF} AS difficulty, {LENGTH} AS length, {SONG} AS song_id, {STYPE} AS song_type, l_partkey % 11 = 0 AS is_auto FROM ol", "ol"))(
-    lambda s, d: search(s, d).where("pos = 0").select(R.num("p", "1").alias("level_id"), R.difficulty_label().alias("difficulty"), R.length_label().alias("length"),
+register("level_labels", sql(f"SELECT {RID} AS level_id, {DIFF} AS difficulty, {LENGTH} AS length, {SONG} AS song_id, {STYPE} AS song_type, l_partkey % 11 = 0 AS is_auto FROM ol UNION ALL SELECT CAST(0 AS BIGINT), 'NA', 'TINY', CAST(1 AS BIGINT), 'official', false FROM ol", "ol"))(
+    lambda s, d: search(s, d).select(R.num("p", "1").alias("level_id"), R.difficulty_label().alias("difficulty"), R.length_label().alias("length"),
                                                      R.song_id().alias("song_id"), R.song_type().alias("song_type"), R.is_auto().alias("is_auto")))
 CC = ["level_id", "player_id", "name", "author", "account_id", "difficulty", "downloads", "likes", "length", "song_id", "song_type", "version"]
 register("candidates", more("ol") + CAND + f" SELECT {', '.join(CC)} FROM cand")(lambda s, d: candidates(s, d).select(*CC))
@@ -86,7 +86,7 @@ register("comments", """WITH r AS (SELECT doc_id, n_chars, CASE WHEN doc_id % 10
         "CASE WHEN doc_id % 10 = 3 THEN '-1' ELSE concat(text, '#', n_chars, ':0:10') END").alias("raw"))).select("request_id", "page", "comment_count", F.col("page_info.total").alias("total")))
 
 # -- payloads -----------------------------------------------------------------
-payload = lambda s, d: B.table(s, d, "documents").select(F.col("doc_id").alias("level_id"), "text").withColumn("level_data", R.deflate_urlsafe("text"))
+payload = lambda s, d: B.table(s, d, "documents").select(F.col("doc_id").alias("level_id"), "text").withColumn("level_data", B.deflate_urlsafe("text"))
 register("decode", "SELECT doc_id AS level_id, md5(text) AS digest, length(text) AS decoded_length, CAST(NULL AS VARCHAR) AS decode_reason FROM documents")(
     lambda s, d: R.decode_payload(payload(s, d), "level_data").select("level_id", F.md5("decoded").alias("digest"), F.length("decoded").cast("bigint").alias("decoded_length"), "decode_reason"))
 register("validate_payload", """SELECT doc_id AS level_id, CASE WHEN doc_id % 5 IN (0, 1, 2) THEN 0 ELSE len([x for x in string_split(text, ';')[2:] if trim(x) <> '']) END AS object_count,
@@ -127,8 +127,14 @@ register("first_seen_songs", "SELECT l_partkey AS song_id, l_orderkey AS first_o
     lambda s, d: M.first_seen_songs(B.table(s, d, "lineitem").selectExpr("l_partkey AS song_id", "l_orderkey AS first_order", "l_linenumber"), F.struct("first_order", "l_linenumber")).select("song_id", "first_order"))
 LOGT = "SELECT event_type AS outcome, value / 1e2 AS seconds, epoch_us(ts) / 1e6 AS ts FROM events"
 log = lambda s, d: B.table(s, d, "events").select(F.col("event_type").alias("outcome"), (F.col("value") / 100).alias("seconds"), F.expr(f"{B._micros()} / 1e6D").alias("ts"))
-register("run_stats", f"WITH l AS ({LOGT}) SELECT count(*) AS requests, count(*) FILTER (outcome = 'click') AS saved, count(*) FILTER (outcome <> 'click') AS other, round(avg(seconds), 6) AS avg_response_time, round(count(*) / ((max(ts) - min(ts)) / 60), 6) AS requests_per_minute, round(count(*) FILTER (outcome = 'click') / ((max(ts) - min(ts)) / 60), 6) AS levels_per_minute FROM l")(
-    lambda s, d: M.run_stats(log(s, d), "click"))
+OUTCOMES = {"click": "saved", "view": "discovered", "error": "failed", "purchase": "songs_saved"}
+RUN = f"""(SELECT count(*) AS requests, {', '.join(f"count(*) FILTER (outcome = '{dict((c, o) for o, c in OUTCOMES.items()).get(c, '')}') AS {c}" for c in M.COUNTERS)},
+  count(*) FILTER (outcome = 'signup') AS other, round(avg(seconds), 6) AS avg_response_time, round(count(*) / ((max(ts) - min(ts)) / 60), 6) AS requests_per_minute,
+  round(count(*) FILTER (outcome = 'click') / ((max(ts) - min(ts)) / 60), 6) AS levels_per_minute FROM ({LOGT}))"""
+register("run_stats", "SELECT * FROM " + RUN)(lambda s, d: M.run_stats(log(s, d), OUTCOMES))
+register("failures", more("ol") + DOWN + """ SELECT CASE WHEN reason IN ('empty_response', 'not_found_response') THEN 'download' ELSE 'validation' END AS stage, request_id AS level_id, l_linestatus AS source, reason, reason AS error, CAST(NULL AS INTEGER) AS status FROM down WHERE reason IS NOT NULL""")(
+    lambda s, d: (lambda bad: M.failures(download=bad.where("reason IN ('empty_response', 'not_found_response')"), validation=bad.where("reason NOT IN ('empty_response', 'not_found_response')")))(
+        down(s, d).where("reason IS NOT NULL").select(F.col("request_id").alias("level_id"), "source", "reason", F.col("reason").alias("error"))).select("stage", "level_id", "source", "reason", "error", "status"))
 register("alert_cooldown", "WITH " + gap_sql("(SELECT event_type AS code, epoch_us(ts) // 1000000 AS ts FROM events)", "code", "ts", "3600", "kept") + " SELECT code, ts FROM kept")(
     lambda s, d: M.alert_cooldown(B.alerts(s, d), 3600))
 PLT = "lg AS (SELECT user_id % 5 AS run, row_number() OVER (PARTITION BY user_id % 5 ORDER BY event_id) - 1 AS step, value AS train_loss, (value * 37) % 101 AS eval_loss FROM events)"
@@ -151,24 +157,40 @@ register("latest_record", "SELECT event_id, user_id FROM events ORDER BY ts DESC
     lambda s, d: M.latest_record(B.table(s, d, "events").select("event_id", "user_id", "ts"), "ts").drop("ts"))
 RECENT = sql("", "sgram", "stats").rstrip() + """, acc AS (SELECT * FROM stats WHERE reason = '' ORDER BY level_id DESC LIMIT 200), lastst AS (SELECT * FROM stats ORDER BY level_id DESC LIMIT 200),
  tc AS (SELECT t AS token, count(*) AS count FROM (SELECT unnest(tokens) AS t FROM acc) GROUP BY 1),
+ trn AS (SELECT event_id AS step, value AS train_loss, value / 2e2 AS eval_loss, user_id AS examples FROM events WHERE event_type = 'click' ORDER BY event_id DESC LIMIT 1),
+ evl AS (SELECT value / 1e3 AS diversity, value < 1e2 AS collapsed, event_id % 2 = 0 AS grammar_valid FROM events WHERE event_type = 'view' ORDER BY event_id DESC LIMIT 1),
+ run AS """ + RUN + """,
  met AS (SELECT greatest((SELECT count(*) FROM orders) - (SELECT count(*) FROM stats), 0) AS raw_queue, CAST(0 AS BIGINT) AS token_queue, (SELECT round(-sum(count / t * log2(count / t)), 6) FROM tc, (SELECT sum(count) AS t FROM tc)) AS token_entropy,
   (SELECT round(avg(CASE WHEN level_id IN (SELECT level_id FROM serr) THEN 0 ELSE 1 END), 6) FROM acc) AS grammar_validity, (SELECT round(avg(len(list_filter(tokens, lambda t: t = 'STEP')) / len(tokens)), 6) FROM acc) AS avg_step_density,
   (SELECT round(sum(unknown_object_count) / sum(object_count_raw), 6) FROM lastst) AS unknown_object_rate, (SELECT CAST(sum(token_count) AS BIGINT) FROM stats WHERE reason = '') AS tokens_generated,
-  (SELECT count(*) FROM stats) AS levels_processed, (SELECT count(*) FROM stats WHERE reason = '') AS levels_tokenized, (SELECT count(DISTINCT nullif(source, '')) FROM stats) AS source_diversity, 15e-1 AS eval_loss, 4e-1 AS validation_quality)"""
+  (SELECT count(*) FROM stats) AS levels_processed, (SELECT count(*) FROM stats WHERE reason = '') AS levels_tokenized, (SELECT count(*) FROM stats WHERE reason = '') AS dataset_size,
+  (SELECT round(sum(token_count) / (SELECT max(ts) - min(ts) FROM (""" + LOGT + """)), 6) FROM stats WHERE reason = '') AS tokens_per_second, (SELECT count(DISTINCT nullif(source, '')) FROM stats) AS source_diversity,
+  (SELECT string_agg(difficulty || '=' || n, ',' ORDER BY difficulty) FROM (SELECT difficulty, count(*) AS n FROM stats GROUP BY 1)) AS difficulty_distribution,
+  run.levels_per_minute, run.failed AS request_failures, run.duplicates_skipped, trn.train_loss AS training_loss, trn.eval_loss, round(1 / (1 + trn.eval_loss), 6) AS validation_quality, trn.examples AS training_queue, trn.step AS steps,
+  evl.diversity AS generation_diversity, evl.collapsed AS collapse_indicator, evl.grammar_valid AS grammar_legal FROM run, trn, evl)"""
 
 
 def metrics(s: SparkSession, d: str) -> DataFrame:
-    st = stage(stats(s, d))
-    good = st.where("accepted")
+    counted, seen = M.observed_totals(stats(s, d))
+    st = stage(counted)
+    good, events = st.where("accepted"), B.table(s, d, "events")
     queues = M.queue_sizes(B.table(s, d, "orders"), st, good, good)
-    return M.pipeline_metrics(queues, stage(N.recent_records(good, 200, "level_id")), A.unknown_rate(N.recent_records(st, 200, "level_id")),
-                              A.token_counts(good), st, s.range(1).select(F.lit(1.5).alias("eval_loss")))
-
-
-register("pipeline_metrics", RECENT + " SELECT * FROM met")(metrics)
-register("policy_alerts", RECENT + """ SELECT code FROM met, (SELECT unnest(['TOKENIZER_BACKLOG', 'DATASET_STARVATION', 'UNKNOWN_OBJECTS_INCREASE', 'DATASET_DIVERSITY_LOW', 'TOKEN_COLLAPSE_WARNING']) AS code) WHERE CASE code
-  WHEN 'TOKENIZER_BACKLOG' THEN raw_queue >= 100 WHEN 'DATASET_STARVATION' THEN token_queue <= 3 AND raw_queue > 0 WHEN 'UNKNOWN_OBJECTS_INCREASE' THEN unknown_object_rate >= 5e-2 WHEN 'DATASET_DIVERSITY_LOW' THEN levels_tokenized >= 5 AND token_entropy < 2 ELSE true END""")(
-    lambda s, d: M.policy_alerts(metrics(s, d).withColumn("collapsed", F.lit(True))).select("code"))
+    training = events.where("event_type = 'click'").selectExpr("event_id AS step", "value AS train_loss", "value / 200 AS eval_loss", "user_id AS examples")
+    evaluation = events.where("event_type = 'view'").selectExpr("event_id AS step", "value / 1000 AS diversity", "value < 100 AS collapsed", "event_id % 2 = 0 AS grammar_valid")
+    span = log(s, d).agg((F.max("ts") - F.min("ts")).alias("_span"))
+    return M.pipeline_metrics(queues.crossJoin(span), stage(N.recent_records(good, 200, "level_id")), A.unknown_rate(N.recent_records(st, 200, "level_id")),
+                              A.token_counts(good), st, M.totals_row(s, seen), M.run_stats(log(s, d), OUTCOMES), training, evaluation, F.col("_span")).drop("_span")
+
+
+MIX = "array_join(transform(array_sort(map_entries(difficulty_distribution)), e -> concat(e.key, '=', e.value)), ',')"
+register("pipeline_metrics", RECENT + " SELECT * FROM met")(lambda s, d: metrics(s, d).withColumn("difficulty_distribution", F.expr(MIX)))
+register("policy_alerts", RECENT + """, r(code, advice) AS (VALUES """ + ", ".join(f"('{code}', '{advice}')" for code, _, _, advice in M.RULES) + """)
+ SELECT code, advice AS recommendation, CASE code WHEN 'TOKENIZER_BACKLOG' THEN 'raw_queue=' || CAST(raw_queue AS BIGINT) WHEN 'DATASET_STARVATION' THEN 'raw_queue=' || CAST(raw_queue AS BIGINT) || ',token_queue=' || token_queue
+   WHEN 'UNKNOWN_OBJECTS_INCREASE' THEN 'unknown_object_rate=' || CAST(round(unknown_object_rate * 1e6, 0) AS BIGINT) WHEN 'DATASET_DIVERSITY_LOW' THEN 'token_entropy=' || CAST(round(token_entropy * 1e6, 0) AS BIGINT) ELSE '' END AS details, false AS action_applied
+ FROM met, r WHERE CASE code WHEN 'TOKENIZER_BACKLOG' THEN raw_queue >= 100 WHEN 'DATASET_STARVATION' THEN token_queue <= 3 AND raw_queue > 0 WHEN 'UNKNOWN_OBJECTS_INCREASE' THEN unknown_object_rate >= 5e-2
+   WHEN 'DATASET_DIVERSITY_LOW' THEN levels_tokenized >= 5 AND token_entropy < 2 ELSE collapse_indicator END""")(
+    lambda s, d: M.policy_alerts(metrics(s, d)).select("code", "recommendation", F.expr(
+        "array_join(transform(map_entries(details), e -> concat(e.key, '=', cast(round(CASE WHEN e.key IN ('raw_queue', 'token_queue') THEN e.value ELSE e.value * 1e6 END, 0) AS bigint))), ',')").alias("details"), "action_applied"))
 TEL = """WITH m AS (SELECT event_id AS ts, CAST(event_id % 7 AS BIGINT) AS steps, value AS training_loss, value / 2 AS validation_loss, user_id AS dataset_size, event_id % 50 AS raw_queue, event_id % 3 AS token_queue, event_id + 1 AS scraped, value / 3 AS entropy FROM events WHERE event_type = 'click'),
  t AS (SELECT event_id AS step, CASE WHEN event_id % 2 = 0 THEN 0 ELSE value END AS train_loss, value AS eval_loss FROM events WHERE event_type = 'view'), e AS (SELECT event_id AS step, value AS diversity FROM events WHERE event_type <> 'view')
  SELECT m.ts AS heartbeat, coalesce(nullif(t.step, 0), m.steps) AS step, CAST(greatest(1, floor(coalesce(nullif(t.step, 0), m.steps) / 10000) + 1) AS BIGINT) AS epoch, round(dataset_size / greatest(dataset_size + raw_queue + token_queue, 1) * 100, 6) AS progress_pct,
@@ -194,5 +216,8 @@ register("telemetry_idle", """SELECT CAST(NULL AS BIGINT) AS heartbeat, (SELECT
     lambda s, d: (lambda ev: M.telemetry(ev.where("event_id < 0").selectExpr("event_id AS ts"), ev.selectExpr("event_id AS step"), ev.where("event_id < 0").selectExpr("event_id AS step"), dataset_rows=ev.count()))(B.table(s, d, "events"))
     .select("heartbeat", "step", "epoch", "progress_pct", "loss", "val_loss", "generation_diversity", "dataset_size", "event", "active"))
 register("tokens_to_gameplay", sql("SELECT s.level_id, r.token, r.x_step, r.y_lane, r.level_id IS NULL AS missing FROM seqs s LEFT JOIN (SELECT * FROM runs WHERE level_id % 11 <> 10) r USING (level_id)", "emit"))(
-    lambda s, d: (lambda g: B.levels(s, d).select("level_id").join(g.where("level_id % 11 <> 10").select("level_id", "token", "x_step", "y_lane"), "level_id", "left")
-                  .withColumn("missing", F.col("token").isNull()))(O.gameplay_objects(B.objects(s, d))))
+    lambda s, d: O.tokens_to_gameplay(B.levels(s, d).select("level_id"), O.gameplay_objects(B.objects(s, d)).where("level_id % 11 <> 10").select("level_id", "token", "x_step", "y_lane")))
+register("decoded_extent", more("ol") + """ t AS (SELECT l_orderkey * 8 + l_linenumber AS level_id, l_partkey % 100 AS a, l_suppkey AS b, l_quantity AS q, l_discount AS dd, l_linenumber AS n, l_tax AS tax FROM ol),
+ o AS (SELECT level_id, q AS x, CAST(n AS DOUBLE) AS y FROM t WHERE a > 0 UNION ALL SELECT level_id, 0, tax FROM t WHERE b > 0 UNION ALL SELECT level_id, dd, 0 FROM t)
+ SELECT level_id, 'kS1,0' AS header, count(*) AS object_count_raw, round(min(x), 6) AS x_min, round(max(x), 6) AS x_max, round(min(y), 6) AS y_min, round(max(y), 6) AS y_max FROM o GROUP BY 1""")(
+    lambda s, d: (lambda t: O.level_extent(R.explode_objects(t), t).drop("decoded_length"))(B.level_texts(s, d)))

@@ -64,11 +64,11 @@ def sequence_loss(s: SparkSession, d: str) -> DataFrame:
     return N.sequence_loss(counts, rows.where("level_id % 5 = 0"), 3, len(LEX.base_vocabulary)).select("examples", *r6("loss", "perplexity"))
 
 
-register("reweight_topk", more("dirty") + NG + """, w AS (SELECT "order" AS o, context, target, power(greatest((count + 1) / (context_total + 67), 1e-12), 1 / 9e-1) AS w FROM ngp WHERE "order" = 2),
+register("reweight_topk", more("dirty") + NG + """, w AS (SELECT "order" AS o, context, target, power(greatest((count + 1) / (context_total + 67), 1e-12), 1 / 9e-1) AS w FROM ngp),
  k AS (SELECT *, row_number() OVER (PARTITION BY o, context ORDER BY w DESC, target) AS r FROM w)
- SELECT array_to_string(context, ' ') AS context, target, round(w / sum(w) OVER (PARTITION BY o, context), 6) AS weight FROM k WHERE r <= 5""")(
-    lambda s, d: N.reweight(N.ngram_probabilities(N.ngram_counts(windows(s, d), 3).where("order = 2"), len(LEX.base_vocabulary)), 0.9, 5).select(
-        F.expr("array_join(transform(context, c -> string(c)), ' ')").alias("context"), "target", *r6("weight")))
+ SELECT CAST(o AS INTEGER) AS "order", array_to_string(context, ' ') AS context, target, round(w / sum(w) OVER (PARTITION BY o, context), 6) AS weight FROM k WHERE r <= 5""")(
+    lambda s, d: N.reweight(N.ngram_probabilities(N.ngram_counts(windows(s, d), 3), len(LEX.base_vocabulary)), 0.9, 5).select(
+        F.col("order").cast("int").alias("order"), F.expr("array_join(transform(context, c -> string(c)), ' ')").alias("context"), "target", *r6("weight")))
 register("style_weights", more("dirty") + TC.format("dirty") + f""", bonus(style, token, b) AS (VALUES {style_values(STYLE_BONUS, 'BIGINT')}),
  mechs AS (SELECT unnest([{q(LEX.mechanics)}]) AS token) SELECT token, CAST(1 + least(5, floor(sqrt(coalesce(count, 0)))) + coalesce((SELECT sum(b) FROM bonus WHERE bonus.token = mechs.token AND style IN ('flow', 'technical')), 0) AS BIGINT) AS weight
  FROM mechs LEFT JOIN tc USING (token)""")(
@@ -120,17 +120,22 @@ SEC = """sec AS (SELECT d.series, k AS section, k * w AS start, CASE WHEN k = c
  secl AS (SELECT *, CASE WHEN energy >= 72e-2 THEN 'drop' WHEN energy >= 48e-2 THEN 'build' WHEN energy <= 22e-2 THEN 'quiet' ELSE 'steady' END AS label FROM secm)"""
 register("sections", more("smooth", "dur") + SEC + ' SELECT series, section, round(start, 6) AS start, round(fin, 6) AS "end", round(energy, 6) AS energy, label FROM secl')(
     lambda s, d: (lambda e: X.sections(e, X.durations(e)).select("series", "section", *r6("start", "end", "energy"), "label"))(stage(smooth(s, d))))
-register("series_report", more("beat", "smooth") + SEC + """ SELECT series, round(duration, 3) AS duration, bpm, (SELECT count(*) FROM beat b WHERE b.series = dur.series) AS beats, (SELECT count(*) FROM onset o WHERE o.series = dur.series) AS onsets, points,
-  (SELECT string_agg(label, ' ' ORDER BY section) FROM secl l WHERE l.series = dur.series) AS sections FROM dur JOIN tempo USING (series)""")(
-    lambda s, d: X.series_report(stage(smooth(s, d))).withColumn("sections", F.expr("array_join(transform(sections, e -> e.label), ' ')")))
+REPORTED = "'[' || string_agg(label || '@' || CAST(round(start * 1e3, 0) AS BIGINT) || '-' || CAST(round(fin * 1e3, 0) AS BIGINT) || '=' || CAST(round(energy * 1e4, 0) AS BIGINT), ' ' ORDER BY section) || ']'"
+register("series_report", more("beat", "smooth") + SEC + f""" SELECT series, round(duration, 3) AS duration, bpm, (SELECT count(*) FROM beat b WHERE b.series = dur.series) AS beats, (SELECT count(*) FROM onset o WHERE o.series = dur.series) AS onsets, points,
+  (SELECT {REPORTED} FROM (SELECT section, start, fin, label, round(energy, 4) AS energy FROM secl l WHERE l.series = dur.series)) AS sections FROM dur JOIN tempo USING (series)""")(
+    lambda s, d: X.series_report(smooth(s, d)).withColumn("sections", F.expr(
+        "concat('[', array_join(transform(sections, e -> concat(e.label, '@', cast(round(e.start * 1e3, 0) as bigint), '-', cast(round(e.`end` * 1e3, 0) as bigint), '=', cast(round(e.energy * 1e4, 0) as bigint))), ' '), ']')")))
+register("series_pages", more("beat", "smooth") + """ a AS (SELECT series, 'beats' AS kind, beat AS n, round(t, 3) AS t, NULL AS value FROM beat UNION ALL SELECT series, 'onsets', row_number() OVER (PARTITION BY series ORDER BY t) - 1, round(t, 3), NULL FROM onset
+  UNION ALL SELECT series, 'energy', idx, round(t, 3), round(value, 4) FROM smooth) SELECT series, kind, CAST(n // 50 AS BIGINT) AS page, CAST(n % 50 AS BIGINT) AS place, t, value FROM a""")(
+    lambda s, d: X.series_analysis(smooth(s, d), page=50)[1].select("series", "kind", "page", F.posexplode("values").alias("place", "v")).select("series", "kind", "page", F.col("place").cast("bigint").alias("place"), "v.t", "v.value"))
 PROBES = "probes AS (SELECT DISTINCT user_id % 5 AS series, CAST((user_id * 37) % 800 AS DOUBLE) / 1e1 AS t FROM events)"
 probes = lambda s, d: B.table(s, d, "events").selectExpr("user_id % 5 AS series", "CAST((user_id * 37) % 800 AS DOUBLE) / 10.0D AS t").distinct()
 register("nearest_value", more("smooth") + PROBES + """ SELECT p.series, round(p.t, 6) AS t, round((SELECT value FROM smooth s WHERE s.series = p.series ORDER BY abs(round(s.t - p.t, 9)), s.t LIMIT 1), 6) AS value FROM probes p""")(
     lambda s, d: X.nearest_value(smooth(s, d).withColumn("t", F.round("t", 1)), probes(s, d).withColumn("t", F.round("t", 1)), ["series"], "t", "value", 6.4).select("series", *r6("t", "value")))
-register("nearest_distance", """WITH ev AS (SELECT DISTINCT event_type AS series, epoch_us(ts) // 1000000 AS step FROM events WHERE value > 100), pr AS (SELECT DISTINCT event_type AS series, epoch_us(ts) // 1000000 AS step FROM events WHERE value < 5)
+register("nearest_distance", """WITH ev AS (SELECT DISTINCT event_type AS series, epoch_us(ts) // 1000000 AS step FROM events WHERE event_id % 2 = 0), pr AS (SELECT DISTINCT event_type AS series, epoch_us(ts) // 1000000 AS step FROM events WHERE event_id % 2 = 1)
  SELECT pr.series, pr.step, coalesce((SELECT min(abs(ev.step - pr.step)) FROM ev WHERE ev.series = pr.series), 999) AS distance FROM pr""")(
-    lambda s, d: (lambda e: X.nearest_distance(e.where("value > 100"), e.where("value < 5"), ["series"], "step", 86_400.0))(
-        B.table(s, d, "events").select(F.col("event_type").alias("series"), F.expr(f"{B._micros()} div 1000000").alias("step"), "value")))
+    lambda s, d: (lambda e: X.nearest_distance(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"), ["series"], "step", 86_400.0))(
+        B.table(s, d, "events").select(F.col("event_type").alias("series"), F.expr(f"{B._micros()} div 1000000").alias("step"), "event_id")))
 register("proximity", """WITH st AS (SELECT DISTINCT l_orderkey AS series, CAST(l_quantity AS BIGINT) AS step FROM lineitem), tg AS (SELECT DISTINCT l_orderkey AS series, CAST(l_quantity AS BIGINT) AS step FROM lineitem WHERE l_linenumber = 1)
  SELECT st.series, st.step, CASE WHEN bool_or(tg.step = st.step) THEN 1e0 WHEN bool_or(abs(tg.step - st.step) = 1) THEN 45e-2 ELSE 0e0 END AS proximity FROM st LEFT JOIN tg ON tg.series = st.series GROUP BY 1, 2""")(
     lambda s, d: (lambda e: X.proximity(e, e.where("l_linenumber = 1"), ["series"], "step", 0.45))(
@@ -166,8 +171,11 @@ PROF = """prof0 AS (SELECT series, duration, bpm, greatest(8e-2, 60 / bpm / 2) A
  eng AS (SELECT series, step, (SELECT value FROM smooth s WHERE s.series = g.series ORDER BY abs(s.t - g.t), s.t LIMIT 1) AS energy FROM (SELECT far.series, step, step * step_seconds AS t FROM far JOIN prof USING (series), range(0, 5000) r(step) WHERE step <= last) g),
  grid AS (SELECT series, min(step) AS first, CASE WHEN count(*) > 1 THEN greatest(1, CAST(round_even((max(step) - min(step)) / (count(*) - 1), 0) AS BIGINT)) ELSE 2 END AS iv FROM bst GROUP BY 1)"""
 prof = lambda final: more("beat", "smooth") + PROF + " " + final
-register("step_profile", prof("SELECT series, round(duration, 6) AS duration, bpm, round(step_seconds, 6) AS step_seconds, steps, target_tokens, min_tokens, round(density, 6) AS density FROM prof"))(
-    lambda s, d: profile_inputs(s, d)[1].select("series", F.round("duration", 6).alias("duration"), "bpm", *r6("step_seconds"), "steps", "target_tokens", "min_tokens", *r6("density")))
+register("step_profile", prof("""SELECT series, round(duration, 6) AS duration, bpm, round(step_seconds, 6) AS step_seconds, steps, target_tokens, min_tokens, round(density, 6) AS density,
+ 'START ' || ['DIFF_EASY', 'DIFF_MEDIUM', 'DIFF_HARD', 'DIFF_INSANE', 'DIFF_HARD'][CAST(series AS INT) + 1] || ' ALIGN_UNKNOWN' AS prefix, ['BLOCK=108 ORB_BLUE=122 ORB_YELLOW=128 PLATFORM=108 SAW=85 SPEED_FAST=118 SPIKE=115', 'BLOCK=112 ORB_YELLOW=112 SPIKE=118',
+  'BLOCK=112 GRAVITY_DOWN=118 GRAVITY_UP=118 ORB_BLACK=125 ORB_BLUE=130 ORB_YELLOW=112 PLATFORM=108 SAW=85 SPIKE=118', 'BLOCK=108 PLATFORM=108 SAW=85', 'BLOCK=85 PLATFORM=90 PORTAL_WAVE=220 SPIKE=120'][CAST(series AS INT) + 1] AS bias FROM prof"""))(
+    lambda s, d: profile_inputs(s, d)[1].select("series", F.round("duration", 6).alias("duration"), "bpm", *r6("step_seconds"), "steps", "target_tokens", "min_tokens", *r6("density"), F.array_join("prefix", " ").alias("prefix"),
+        F.expr("array_join(transform(array_sort(map_entries(bias)), e -> concat(e.key, '=', cast(round(e.value * 100, 0) as bigint))), ' ')").alias("bias")))
 register("beat_steps", prof("SELECT series, step FROM bst"))(lambda s, d: profile_inputs(s, d)[2])
 register("onset_steps", prof("SELECT series, step FROM ost"))(lambda s, d: profile_inputs(s, d)[3])
 register("energy_by_step", prof("SELECT series, step, round(energy, 6) AS energy FROM eng"))(
@@ -236,10 +244,25 @@ register("target_object_count", prof("").rstrip() + PLAN + COUNT + " SELECT seri
     lambda s, d: (lambda i: L.target_object_count(i[2], F.col("planned")))(event_inputs(s, d)))
 
 
-@register("spaced_top_k")
+#: The walk itself, step by step in order of priority; ties by a digest that both engines have.
+SPACED = """, ord AS (SELECT series, step, row_number() OVER (PARTITION BY series ORDER BY round(priority, 6) DESC, md5(series || ':' || step)) AS r FROM pri),
+ walk AS (WITH RECURSIVE w AS (SELECT DISTINCT series, CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS taken FROM ord UNION ALL
+   SELECT w.series, o.r, CASE WHEN list_contains(taken, o.step - 1) OR list_contains(taken, o.step + 1) THEN taken ELSE list_append(taken, CAST(o.step AS BIGINT)) END FROM w JOIN ord o ON o.series = w.series AND o.r = w.r + 1)
+   SELECT series, arg_max(taken, r) AS taken FROM w GROUP BY series),
+ spaced AS (SELECT series, unnest(taken[1:object_count]) AS step, 'spaced' AS stage FROM walk JOIN cnt USING (series)),
+ room AS (SELECT series, CAST(unnest(range(2, CAST(planned AS BIGINT) - 2)) AS BIGINT) AS step FROM plan),
+ fill AS (SELECT f.series, f.step, 'fill' AS stage, row_number() OVER (PARTITION BY f.series ORDER BY coalesce(round(e.energy, 6), 35e-2) DESC, md5(f.series || ':' || f.step)) AS r FROM room f
+   LEFT JOIN spaced s ON s.series = f.series AND s.step = f.step LEFT JOIN eng e ON e.series = f.series AND e.step = f.step WHERE s.step IS NULL)
+ SELECT series, step, stage FROM spaced UNION ALL SELECT series, step, stage FROM fill JOIN cnt USING (series)
+   WHERE r <= object_count - (SELECT count(*) FROM spaced s WHERE s.series = fill.series)"""
+
+
+@register("spaced_top_k", prof("").rstrip() + PLAN + COUNT + SPACED)
 def spaced_top_k(s: SparkSession, d: str) -> DataFrame:
     priorities, energies, plans = event_inputs(s, d)
-    return L.spaced_top_k(priorities, energies, plans, L.target_object_count(plans, F.col("planned")))
+    six = lambda rows, name: rows.withColumn(name, F.round(name, 6))
+    tie = F.md5(F.concat_ws(":", F.col("series").cast("string"), F.col("step").cast("string")).cast("binary"))
+    return L.spaced_top_k(six(priorities, "priority"), six(energies, "energy"), plans, L.target_object_count(plans, F.col("planned")), tie=tie)
 
 
 # -- layouts ------------------------------------------------------------------
@@ -262,7 +285,21 @@ register("export_level_strings", lay("SELECT level_id, 'kS38,;' || string_agg(ob
     lambda s, d: P.export_level_strings(P.object_strings(clamped(s, d)), "kS38,"))
 register("layout_checks", lay("SELECT s.level_id, CASE WHEN NOT EXISTS (SELECT 1 FROM clamped c WHERE c.level_id = s.level_id) THEN 'no_gameplay_objects' END AS failure FROM seqs s"))(
     lambda s, d: (lambda c: P.layout_checks(B.levels(s, d), c, P.object_strings(c)))(stage(clamped(s, d))))
-register("admit_objects")(lambda s, d: P.admit_objects(clamped(s, d)))
+#: The rule object by object, with every occupied cell (step * 64 + lane) in a list.
+ADMIT = f""", ao AS (SELECT *, row_number() OVER (PARTITION BY level_id ORDER BY x_step, sequence) AS r, token IN ({SOLID}) AS solid, x_step * 64 + y_lane AS cell, token || ':' || x_step || ':' || y_lane AS spot,
+   CASE WHEN token IN ({q(LEX.portals)}) THEN 1 WHEN token IN ({q(LEX.gravity)}) THEN 2 WHEN token IN ({q(LEX.control)}) THEN 3 ELSE 0 END AS mark FROM clamped),
+ adm AS (WITH RECURSIVE w AS (SELECT level_id, CAST(0 AS BIGINT) AS r, CAST(NULL AS BIGINT) AS sequence, CAST(-1 AS BIGINT) AS step, false AS column_taken, CAST(0 AS BIGINT) AS others, CAST([] AS BIGINT[]) AS occ,
+     CAST([-999, -999, -999] AS BIGINT[]) AS last, CAST([] AS VARCHAR[]) AS seen, CAST(NULL AS BIGINT) AS got FROM (SELECT DISTINCT level_id FROM clamped)
+   UNION ALL SELECT level_id, r, sequence, x_step, (same AND column_taken) OR (solid AND ok), CASE WHEN same THEN others ELSE 0 END + CASE WHEN ok AND NOT solid THEN 1 ELSE 0 END,
+     CASE WHEN ok AND solid THEN list_concat(occ, list_transform(range(0, least(width, room)), lambda k: cell + 64 * k)) WHEN ok AND mark = 0 THEN list_append(occ, cell) ELSE occ END,
+     CASE WHEN ok AND mark > 0 THEN [CASE WHEN mark = 1 THEN x_step ELSE last[1] END, CASE WHEN mark = 2 THEN x_step ELSE last[2] END, CASE WHEN mark = 3 THEN x_step ELSE last[3] END] ELSE last END,
+     CASE WHEN ok AND NOT solid THEN list_append(seen, spot) ELSE seen END, CASE WHEN ok THEN CASE WHEN solid THEN least(width, room) ELSE width END END
+   FROM (SELECT *, CASE WHEN solid THEN NOT (same AND column_taken) AND room > 0 ELSE NOT (same AND others >= 2) AND (mark = 0 OR x_step - last[mark] >= 8) AND (mark > 0 OR NOT list_contains(occ, cell)) AND NOT list_contains(seen, spot) END AS ok
+     FROM (SELECT o.level_id, o.r, o.sequence, CAST(o.x_step AS BIGINT) AS x_step, CAST(o.cell AS BIGINT) AS cell, o.spot, o.solid, o.mark, CAST(o.width AS BIGINT) AS width, o.x_step = w.step AS same, w.column_taken, w.others, w.occ, w.last, w.seen,
+       CAST(len(list_filter(range(0, CAST(greatest(1, o.width) AS BIGINT)), lambda k: NOT list_contains(w.occ, CAST(o.cell + 64 * k AS BIGINT)))) AS BIGINT) AS room FROM w JOIN ao o ON o.level_id = w.level_id AND o.r = w.r + 1)))
+   SELECT level_id, sequence, got FROM w WHERE r > 0 AND got IS NOT NULL)"""
+register("admit_objects", lay("X").removesuffix(" X") + ADMIT + " SELECT c.level_id, c.sequence, token, CAST(x_step AS BIGINT) AS x_step, y_lane, CAST(got AS BIGINT) AS width, object_id, x, y FROM clamped c JOIN adm USING (level_id, sequence)")(
+    lambda s, d: P.admit_objects(clamped(s, d)).select(*names).withColumn("width", F.col("width").cast("bigint")))
 register("control_spacing", sql("", "sgram").rstrip() + PLACED + f""", ctl AS (SELECT level_id, CASE WHEN token IN ({q(LEX.portals)}) THEN 'portal' WHEN token IN ({q(LEX.gravity)}) THEN 'gravity' ELSE 'speed' END AS category, x_step, sequence, token FROM sobj WHERE token IN ({q(LEX.control)})),
  """ + gap_sql("ctl", "level_id, category", "x_step", "8", "kept") + " SELECT level_id, category, CAST(x_step AS BIGINT) AS x_step, arg_min(token, sequence) AS token, min(sequence) AS sequence FROM kept JOIN ctl USING (level_id, category, x_step) GROUP BY 1, 2, 3")(
     lambda s, d: P.control_spacing(G.reconstruct(emitted(s, d))))
@@ -285,7 +322,7 @@ register("rewrite_property", more("ol") + TXT + """, v AS (SELECT *, q + dd * 1e
  f AS (SELECT *, CASE WHEN abs(v - round_even(v, 0)) < 1e-3 THEN CAST(CAST(round_even(v, 0) AS BIGINT) AS VARCHAR) ELSE rtrim(rtrim(printf('%.3f', v), '0'), '.') END AS s FROM v)
  SELECT id, CASE n WHEN 1 THEN '1,' || pk || ',2,' || s || ',3,4' WHEN 2 THEN '1,0,2,' || s || ',3,4' WHEN 3 THEN '1,5,2,' || s WHEN 4 THEN '1,5,2,' || s || ',3,4,9' WHEN 5 THEN '1,5,2,' || s || ',3,4' WHEN 6 THEN '1,7,2,' || s || ',3,2.25,1,0' ELSE '2,' || s || ',3,4,1,9.7' END AS raw FROM f""")(
     lambda s, d: lines(s, d).select("id", P.rewrite_property("raw", "2", F.col("l_quantity") + F.col("l_discount") * 0.01).alias("raw")))
-CHUNK = f"""corpus AS (SELECT level_id % 5 AS level_id, object_id, x * 3e1 AS x, y, seq FROM obj WHERE object_id > 0),
+CHUNK = f"""corpus AS (SELECT level_id % 5 AS level_id, object_id, x * 3e1 AS x, y, seq FROM obj),
  chunked AS (SELECT *, CAST(floor((x - min(x) OVER (PARTITION BY level_id)) / 96e1) AS BIGINT) AS chunk FROM corpus),
  sc0 AS (SELECT level_id, chunk, count(*) AS n_objects, count(DISTINCT object_id) AS distinct_ids, count(*) FILTER (object_id IN ({q(LEX.interactive_ids)})) AS interactive,
    count(*) FILTER (object_id IN (SELECT object_id FROM omap)) AS known, min(x) AS min_x, min(y) AS lo, max(y) AS hi FROM chunked GROUP BY 1, 2),
@@ -301,3 +338,8 @@ register("select_chunks", chunk_sql("SELECT level_id, chunk, score, ordinal FROM
     lambda s, d: P.select_chunks(P.score_chunks(P.chunk_objects(B.chunk_corpus(s, d))), 200, tie()).select("level_id", "chunk", "score", "ordinal"))
 register("stitch", chunk_sql("SELECT sequence, ordinal, level_id, object_id, token, CAST(greatest(0, round_even(x / 3e1, 0)) AS BIGINT) AS x_step, CAST(round_even(y / 3e1, 0) AS BIGINT) AS y_lane, round(x, 6) AS x, y FROM st"))(
     lambda s, d: (lambda c: P.stitch(c, P.select_chunks(P.score_chunks(c), 200, tie())))(P.chunk_objects(B.chunk_corpus(s, d)).drop("raw", "seq")).withColumn("x", F.round("x", 6)))
+register("stitch_layout", chunk_sql("""SELECT (SELECT 'kS38,;' || coalesce(string_agg(s, ';' ORDER BY first) || ';', '') FROM one) AS level_string, (SELECT count(*) FROM one) AS n_strings,
+ (SELECT CAST(coalesce(max(greatest(0, round_even(x / 3e1, 0))), 0) + 1 AS BIGINT) FROM st) AS width_steps, (SELECT CAST(coalesce(max(round_even(y / 3e1, 0)), 0) + 1 AS BIGINT) FROM st) AS height_lanes""").replace(
+    " SELECT (SELECT 'kS38", """, one AS (SELECT s, min(sequence) AS first FROM (SELECT sequence, '1,' || object_id || ',2,' || CASE WHEN abs(x - round_even(x, 0)) < 1e-3 THEN CAST(CAST(round_even(x, 0) AS BIGINT) AS VARCHAR)
+   ELSE rtrim(rtrim(printf('%.3f', x), '0'), '.') END || ',3,' || y || ',21,1004' AS s FROM st) GROUP BY 1) SELECT (SELECT 'kS38""", 1))(
+    lambda s, d: (lambda c: P.stitched_layout(stage(P.stitch(c, P.select_chunks(P.score_chunks(c), 200, tie()))), "kS38,"))(P.chunk_objects(B.chunk_corpus(s, d)).drop("seq")))

@@ -116,8 +116,8 @@ register("roundtrip_summary", sql("", "sgram").rstrip() + ", " + ROUND + " SELEC
     lambda s, d: G.roundtrip_summary(roundtrip(s, d)).withColumn("invalid_reasons", F.expr("array_join(transform(map_entries(invalid_reasons), e -> concat(e.key, '=', e.value)), ' ')")))
 
 REP = "SELECT level_id, CAST(max(c) AS BIGINT) AS max_repetition FROM (SELECT level_id, t, pos - r AS g, count(*) AS c FROM (SELECT *, row_number() OVER (PARTITION BY level_id, t ORDER BY pos) AS r FROM {0}k) GROUP BY ALL) GROUP BY 1"
-register("max_repetition", sql(REP.format("d"), "dgram"))(
-    lambda s, d: B.dirty(s, d).where("size(tokens) > 0").select("level_id", G.max_repetition("tokens").alias("max_repetition")))
+register("max_repetition", sql("SELECT level_id, coalesce(max_repetition, 0) AS max_repetition FROM dirty LEFT JOIN (" + REP.format("d") + ") USING (level_id)", "dgram"))(
+    lambda s, d: B.dirty(s, d).select("level_id", G.max_repetition("tokens").alias("max_repetition")))
 register("transitions", sql("SELECT token, next_token, count(*) AS count FROM (SELECT t AS token, lead(t) OVER (PARTITION BY level_id ORDER BY pos) AS next_token FROM dk) WHERE next_token IS NOT NULL GROUP BY 1, 2", "dgram"))(
     lambda s, d: G.transition_counts(B.dirty(s, d)))
 LEGAL = " OR ".join(f"(a, b) = ({q(p)})" for p in LEX.transitions())
@@ -130,9 +130,9 @@ register("illegal_transitions", sql("", "dgram").rstrip() + f""", heldk AS (SELE
     lambda s, d: G.illegal_transitions(B.dirty(s, d), min_generated=40, max_consecutive_steps=2))
 register("close_sequences", sql("", "dgram").rstrip() + """, tails AS (SELECT level_id, n, arg_max(t, pos) AS lastt, arg_max(k, pos) AS lastk FROM da GROUP BY 1, 2),
  prevm AS (SELECT level_id, arg_max(k, pos) AS pk FROM da WHERE pos < n - 1 AND k IN ('S', 'M', '+', 'B', 'A', 'D') GROUP BY 1)
- SELECT level_id, array_to_string(tokens || CASE WHEN lastk = 'S' THEN ['Y0', 'WIDTH_1'] WHEN lastk = 'M' THEN ['Y0'] WHEN lastk = 'Y' AND pk = 'S' THEN ['WIDTH_1'] WHEN lastk = 'D' THEN ['ALIGN_UNKNOWN'] ELSE [] END
-   || CASE WHEN lastt = 'STEP' THEN [] ELSE ['STEP'] END || ['END'], ' ') AS tokens FROM dirty JOIN tails USING (level_id) LEFT JOIN prevm USING (level_id)""")(
-    lambda s, d: B.dirty(s, d).where("size(tokens) > 0").select("level_id", text(G.close_sequence("tokens")).alias("tokens")))
+ SELECT level_id, CASE WHEN lastt IS NULL THEN 'START DIFF_NA ALIGN_UNKNOWN STEP END' ELSE array_to_string(tokens || CASE WHEN lastk = 'S' THEN ['Y0', 'WIDTH_1'] WHEN lastk = 'M' THEN ['Y0'] WHEN lastk = 'Y' AND pk = 'S' THEN ['WIDTH_1'] WHEN lastk = 'D' THEN ['ALIGN_UNKNOWN'] ELSE [] END
+   || CASE WHEN lastt = 'STEP' THEN [] ELSE ['STEP'] END || ['END'], ' ') END AS tokens FROM dirty LEFT JOIN tails USING (level_id) LEFT JOIN prevm USING (level_id)""")(
+    lambda s, d: B.dirty(s, d).select("level_id", text(G.close_sequence("tokens")).alias("tokens")))
 KNOWN = [t for i, t in enumerate(LEX.base_vocabulary) if i % 9 != 8]
 register("generation_validity", sql("", "dgram").rstrip() + f""", strange AS (SELECT level_id, t FROM dk WHERE t NOT IN ({q(KNOWN)})),
  allerr AS (SELECT level_id, pos, err FROM derr UNION ALL SELECT level_id, 2000000000, 'unknown_token:' || t FROM (SELECT DISTINCT level_id, t FROM strange))

@@ -1,16 +1,12 @@
 """Readers.  Every reader returns a DataFrame with an explicit schema."""
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lanestride.functions.columns import to_int
 from lanestride.operators.decompose import decode_payload
+from lanestride.sources.wave import read_wave_files  # noqa: F401  one place to look for readers
 
 CORRUPT = "_corrupt_record"
 
@@ -71,45 +67,3 @@ def read_level_files(spark: SparkSession, path: str, pattern: str = "*.gmd") ->
     decoded = decode_payload(files.withColumn("_k4", F.regexp_replace(body, r"[\s=]+", "")), "_k4")
     level = F.when((F.col("_k4") != "") & F.col("decode_reason").isNull(), F.col("decoded")).otherwise(F.col("_text"))
     return decoded.withColumn("_level", level).select("source", F.posexplode(F.split("_level", ";")).alias("seq", "raw"))
-
-
-def _wave_blocks(batches: Iterator[pd.DataFrame], block: int = 65_536) -> Iterator[pd.DataFrame]:
-    """PCM WAV bytes to mono samples, emitted in bounded blocks."""
-    for pdf in batches:
-        for path, data in zip(pdf["path"], pdf["content"]):
-            found = _wave_layout(data)
-            if found is None:
-                continue
-            channels, rate, width, start, size = found
-            frame = channels * width
-            frames = size // frame
-            for low in range(0, frames, block):
-                n = min(block, frames - low)
-                raw = np.frombuffer(data, dtype={1: "u1", 2: "<i2", 4: "<i4"}[width], count=n * channels, offset=start + low * frame)
-                values = (raw.astype("f8") - 128.0) / 128.0 if width == 1 else raw / float(1 << (8 * width - 1))
-                mono = np.clip(values, -1.0, 1.0).reshape(n, channels).mean(axis=1)
-                yield pd.DataFrame({"track": path.rsplit("/", 1)[-1], "rate": rate, "idx": np.arange(low, low + n), "sample": mono})
-
-
-def _wave_layout(data: bytes) -> tuple[int, int, int, int, int] | None:
-    """(channels, rate, bytes per sample, data offset, data size) of a PCM file, None when unusable."""
-    if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
-        return None
-    at, fmt = 12, None
-    while at + 8 <= len(data):
-        name, size = data[at:at + 4], struct.unpack("<I", data[at + 4:at + 8])[0]
-        if name == b"fmt ":
-            _, channels, rate, _, _, bits = struct.unpack("<HHIIHH", data[at + 8:at + 24])
-            fmt = (channels, rate, bits // 8)
-        elif name == b"data" and fmt is not None:
-            channels, rate, width = fmt
-            ok = channels > 0 and rate > 0 and width in (1, 2, 4)
-            return (channels, rate, width, at + 8, min(size, len(data) - at - 8)) if ok else None
-        at += 8 + size + (size & 1)
-    return None
-
-
-def read_wave_files(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFrame:
-    """``(track, rate, idx, sample)`` with samples in [-1, 1], mean over channels."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
-    return files.mapInPandas(_wave_blocks, "track string, rate bigint, idx bigint, sample double")

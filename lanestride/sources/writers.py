@@ -1,7 +1,10 @@
 """Sinks."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lanestride.session import stage
 
@@ -11,9 +14,39 @@ def write_records(rows: DataFrame, path: str, mode: str = "append", fmt: str = "
     rows.write.mode(mode).format(fmt).save(path)
 
 
-def write_document(row: DataFrame, path: str) -> None:
-    """A one-row document.  The commit protocol makes the replacement all-or-nothing for readers of ``_SUCCESS``."""
-    row.coalesce(1).write.mode("overwrite").json(path)
+def write_document(row: DataFrame, path: str, indent: int | None = None) -> None:
+    """A one-row document as one JSON file with sorted keys, replaced in one step.
+
+    The text goes to a file of its own beside the target, which then takes the
+    target's name by an atomic rename of the file system; a reader sees the old
+    document or the new one, and a failed write leaves the old one.  More than one row
+    is an error, and so is none.
+    """
+    rows = row.select(F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"}).alias("text")).take(2)
+    if len(rows) != 1:
+        raise ValueError("a document is exactly one row")
+    text = json.dumps(json.loads(rows[0].text), sort_keys=True, indent=indent, ensure_ascii=False)
+    replace_file(row.sparkSession, path, text.encode())
+
+
+def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file whole and give it its name only then."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = target.getFileSystem(conf)
+    part = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    try:
+        out = files.create(part, False)
+        try:
+            out.write(bytearray(content))
+        finally:
+            out.close()
+        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf).rename(part, target, overwrite)
+    finally:
+        files.delete(part, False)
 
 
 def write_routed(rows: DataFrame, routes: dict[str, tuple[Column, list[str]]], root: str, mode: str = "append", fmt: str = "parquet") -> None:

@@ -9,7 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from lanestride.operators import decompose as R, emit as E, monitor as M
 from lanestride.sources import readers, writers
 from lanestride.streaming.alerts import cooldown_stream, first_seen_stream
-from lanestride.streaming.ingest import LEVEL_SCHEMA, Stage, start_ingest, STATS
+from lanestride.streaming.ingest import LEVEL_SCHEMA, STATS, TOTALS, Stage, start_ingest
 
 SEARCH = "1:7071:2:Harbor Run:5:3:6:88:8:10:9:30:10:250:12:2:14:31:15:2:17:0:18:4:25::35:4411#88:Mira:19#1~|~4411~|~2~|~Low Tide~|~4~|~Okapi#3:20:10#tail"
 LEVEL = "kA2,1;1,40,2,45,3,15;1,40,2,75,3,15;1,39,2,165,3,75,6,180;1,84,2,165,3,135;1,47,2,255,3,105"
@@ -182,6 +182,123 @@ def test_alert_cooldown_stream(spark, tmp_path):
     assert got == batch == [("A", 200), ("A", 600), ("A", 1000), ("A", 1400), ("A", 1800), ("B", 5)]
 
 
+def cooldown_by_force(batches, seconds, delay):
+    """Rows that are more than ``delay`` behind what earlier batches showed are late; the others take part in order."""
+    newest, late, good = {}, [], {}
+    for rows in batches:
+        for code, ts in rows:
+            (late.append((code, ts)) if ts < newest.get(code, -10 ** 9) - delay else good.setdefault(code, []).append(ts))
+        for code, ts in rows:
+            newest[code] = max(newest.get(code, -10 ** 9), ts)
+    kept = []
+    for code, times in good.items():
+        last = None
+        for ts in sorted(set(times)):
+            if last is None or ts - last >= seconds:
+                kept.append((code, ts))
+                last = ts
+    return kept, late, newest
+
+
+def test_cooldown_takes_rows_out_of_order_and_sets_late_ones_aside(spark, tmp_path):
+    import random
+    from lanestride.streaming.alerts import start_cooldown
+    rng = random.Random(4)
+    for delay in (0, 120):
+        batches = [[("A", t * 100 + rng.randrange(-300, 300)) for t in range(5 * b, 5 * b + 5) for _ in range(2)] + [("B", 50 * b)] * 2 for b in range(6)]
+        batches.append([("A", 50), ("B", 0), ("A", 100_000), ("B", 100_000), (None, 3), ("C", None)])
+        kept, late, newest = cooldown_by_force([[r for r in b if None not in r] for b in batches], 300, delay)
+        src, root = tmp_path / f"in{delay}", tmp_path / f"out{delay}"
+        for rows in batches:
+            spark.createDataFrame(rows, "code STRING, ts BIGINT").coalesce(1).write.json(str(src), mode="append")
+            stream = spark.readStream.schema("code STRING, ts BIGINT").json(str(src))
+            start_cooldown(stream, str(root), str(tmp_path / f"c{delay}"), 300, delay).awaitTermination()
+        got = [(r.code, r.ts) for r in spark.read.parquet(str(root / "alerts")).collect()]
+        waits = {(c, t) for c, t in kept if t > newest[c] - delay}
+        assert sorted(got) == sorted(set(kept) - waits) and len(late) > 3 and len(kept) > 8
+        assert sorted((r.code, r.ts) for r in spark.read.parquet(str(root / "late_alerts")).collect()) == sorted(late)
+
+
+def test_cooldown_needs_memory_for_its_length(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        cooldown_stream(None, 300, idle_seconds=10)
+
+
+# -- growing files ----------------------------------------------------------------
+def tailed(spark, src, root, name, rows, **options):
+    """Drain what a growing source has into a table, once."""
+    stream = rows(spark, str(src), **options)
+    stream.writeStream.format("parquet").option("path", str(root / name)).option("checkpointLocation", str(root / f"{name}-c")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(str(root / name))
+
+
+def test_tail_of_a_growing_and_a_truncated_file(spark, tmp_path):
+    from lanestride.sources.tail import tail_lines
+    src = tmp_path / "logs"
+    src.mkdir()
+    log, lines = src / "a.log", lambda rows: sorted((r.file.rsplit("/", 1)[-1], r.position, r.value) for r in rows.collect())
+    log.write_bytes(b"one\n\ntwo\nunfini")
+    want = [("a.log", 0, "one"), ("a.log", 4, ""), ("a.log", 5, "two")]
+    assert lines(tailed(spark, src, tmp_path, "t", tail_lines)) == want
+    assert lines(tailed(spark, src, tmp_path, "t", tail_lines)) == want
+    with log.open("ab") as f:
+        f.write("shed é\n".encode() + b"z" * 3000 + b"\nopen")
+    (src / "b.log").write_bytes(b"other\n")
+    (src / "_hidden").write_bytes(b"not read\n")
+    want = sorted([*want, ("a.log", 9, "unfinished é"), ("a.log", 23, "z" * 3000), ("b.log", 0, "other")])
+    assert lines(tailed(spark, src, tmp_path, "t", tail_lines)) == want
+    log.write_bytes(b"new\nstart\nrest")
+    want = sorted([*want, ("a.log", 0, "new"), ("a.log", 4, "start")])
+    assert lines(tailed(spark, src, tmp_path, "t", tail_lines)) == want
+    log.write_bytes(b"")
+    assert lines(tailed(spark, src, tmp_path, "t", tail_lines)) == want
+    assert lines(tailed(spark, log, tmp_path, "single", tail_lines)) == []
+
+
+def test_byte_ranges_meet_at_lines():
+    """Every line belongs to exactly one range, wherever the cuts fall."""
+    import random
+    import pyarrow as pa
+    from lanestride.sources.tail import line_ranges, read_lines
+    rng = random.Random(1)
+    data = b"".join(b"x" * rng.randrange(9) + b"\n" for _ in range(60))
+    begins = [0, *(i + 1 for i, c in enumerate(data) if c == 10)]
+    for start in (0, begins[7]):
+        for split in (1, 2, 5, 64, 10_000):
+            found = []
+            for part in line_ranges({"f": start}, {"f": len(data)}, split):
+                for batch in read_lines(pa.BufferReader(data), part, 7):
+                    found += zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            assert [f[0] for f in found] == [b for b in begins[:-1] if b >= start]
+            assert b"".join(v.encode() + b"\n" for _, v in found) == data[start:]
+    assert [(r.start, r.low, r.high) for r in line_ranges({"f": 90}, {"f": 8}, 5)] == [(0, 0, 5), (0, 5, 8)]
+
+
+def test_ingest_of_a_growing_file_over_restarts(spark, tmp_path):
+    """Ids are taken once, over batches and restarts, the first record of a batch first; the history is not read for it."""
+    src = tmp_path / "levels.jsonl"
+    stage = Stage(str(tmp_path / "stage"))
+
+    def drain():
+        start_ingest(spark, str(src), stage, str(tmp_path / "ckpt"), limits=E.Limits(min_gameplay_objects=1, min_tokens=1), appended=True).awaitTermination()
+        return sorted((r.level_id, r.batch_id, r.reason) for r in stage.read(spark, "stats", STATS).collect())
+
+    src.write_text(level_json(1, "not-valid", 7) + level_json(1, pack(LEVEL), 2) + level_json(2, pack(LEVEL), 3) + level_json(3, pack(LEVEL), 4)[:20])
+    first = drain()
+    assert [r[0] for r in first] == [1, 2] and not first[0][2]
+    assert drain() == first
+    with src.open("a") as f:
+        f.write(level_json(3, pack(LEVEL), 4)[20:] + level_json(1, pack(LEVEL), 5) + "{broken\n\n" + level_json(-4, pack(LEVEL), 6))
+    second = drain()
+    assert [r[0] for r in second] == [1, 2, 3] and second[:2] == first
+    src.write_text(level_json(2, pack(LEVEL), 1) + level_json(9, pack(LEVEL), 2))
+    assert [r[0] for r in drain()] == [1, 2, 3, 9]
+    totals = stage.read(spark, "totals", TOTALS).collect()
+    assert sum(r.levels_processed for r in totals) == 4 == sum(r.levels_tokenized for r in totals) and all(r.seconds > 0 for r in totals)
+    assert sum(r.tokens_tokenized for r in totals) == sum(r.token_count for r in stage.read(spark, "stats", STATS).collect())
+
+
 def test_first_seen_stream(spark, tmp_path):
     src = tmp_path / "songs"
     spark.createDataFrame([(1,), (1,), (2,)], "song_id BIGINT").write.json(str(src))

@@ -29,16 +29,23 @@ def test_min_gap_matches_walk(spark, gap, density):
     assert {k: sorted(v) for k, v in got.items()} == {s: greedy([t for k, t in rows if k == s], gap) for s in range(6)}
 
 
-def test_min_gap_small_arrow_batches(spark):
-    """The walk's state crosses Arrow batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        rows = [(s, t * 0.1) for s in range(3) for t in range(200)]
-        got = X.min_gap(spark.createDataFrame(rows, "series BIGINT, t DOUBLE"), ["series"], "t", 0.75).collect()
-        for s in range(3):
-            assert sorted(r.t for r in got if r.series == s) == greedy([t for k, t in rows if k == s], 0.75)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+@pytest.mark.parametrize("chunk", [1, 3, 16])
+def test_min_gap_of_one_key_over_many_chunks(spark, chunk):
+    """No pause, equal positions, steps that only floating-point differences decide, and a gap wider than a chunk."""
+    rng = random.Random(chunk)
+    rows = [(s, round(t * 0.1, 1)) for s in range(2) for t in range(120)] + [(2, rng.random() * 9) for _ in range(150)] + [(3, 5.0), (3, None), (3, float("nan")), (None, 1.0)]
+    for gap in (0.16, 0.3, 2.5):
+        got = {}
+        for r in X.min_gap(spark.createDataFrame(rows, "series BIGINT, t DOUBLE").repartition(3), ["series"], "t", gap, chunk).collect():
+            got.setdefault(r.series, []).append(r.t)
+        assert {k: sorted(v) for k, v in got.items()} == {s: greedy([t for k, t in rows if k == s and t is not None and t == t], gap) for s in range(4)}
+
+
+def test_min_gap_without_a_gap_or_rows(spark):
+    rows = spark.createDataFrame([(1, 2), (1, 2), (1, 3)], "k INT, t INT")
+    assert sorted(r.t for r in X.min_gap(rows, ["k"], "t", 0).collect()) == [2, 3]
+    none = X.min_gap(rows.limit(0), ["k"], "t", 5)
+    assert none.count() == 0 and none.dtypes == rows.dtypes
 
 
 def test_islands(spark):
@@ -123,6 +130,22 @@ def test_spaced_top_k_matches_walk(spark):
         assert sorted(r.step for r in got if r.series == s and r.stage == "fill") == sorted(rest)
 
 
+@pytest.mark.parametrize("chunk", [2, 7, 4096])
+def test_separated_peaks_match_walk(spark, chunk):
+    """Long slopes, plateaus split by the tie, single steps and gaps."""
+    rng = random.Random(chunk)
+    rows = [(0, st, float(st)) for st in range(40)] + [(1, st, float(-st)) for st in range(40)] + [(2, st, float(rng.randrange(3))) for st in range(80) if rng.random() < 0.9]
+    rows += [(3, st, float(abs(st - 20))) for st in range(41)] + [(4, 7, 1.0)]
+    frame = spark.createDataFrame(rows, "series BIGINT, step BIGINT, priority DOUBLE").repartition(3)
+    got = L.separated_peaks(frame, "step", F.struct(-F.col("priority"), "step"), chunk).collect()
+    for s in range(5):
+        taken = set()
+        for _, st in sorted((-p, st) for x, st, p in rows if x == s):
+            if not taken & {st - 1, st + 1}:
+                taken.add(st)
+        assert {r.step for r in got if r.series == s} == taken
+
+
 def test_vocabulary_merge_is_append_only(spark):
     base = spark.createDataFrame([(0, "START", 1), (1, "STEP", 2)], "token_id BIGINT, token STRING, count BIGINT")
     batch = spark.createDataFrame([(1, ["START", "NEW_MECHANIC", "STEP"])], "level_id BIGINT, tokens ARRAY<STRING>")
@@ -137,3 +160,43 @@ def test_split_keeps_one_record_in_train(spark):
     for n, want in ((1, 1), (2, 1), (10, 8), (33, 26)):
         got = N.train_eval_split(spark.range(n).withColumnRenamed("id", "level_id")).where("split = 'train'").count()
         assert got == want
+
+
+def test_sections_and_report_of_a_series_without_energy(spark):
+    rows = [(1, i, i * 0.1, float(i % 5)) for i in range(40)]
+    energy = X.smooth3(X.minmax_normalise(spark.createDataFrame(rows, "series BIGINT, idx BIGINT, t DOUBLE, value DOUBLE")))
+    lengths = spark.createDataFrame([(1, 4.05, 40), (2, 0.4, 0), (3, 9.0, None)], "series BIGINT, duration DOUBLE, points BIGINT")
+    got = {}
+    for r in X.sections(energy, lengths).orderBy("series", "section").collect():
+        got.setdefault(r.series, []).append((r.start, r.end, r.energy, r.label))
+    assert got[2] == [(0.0, 1.0, 0.35, "steady")] and got[3] == [(0.0, 9.0, 0.35, "steady")]
+    assert len(got[1]) == 12 and got[1][-1][1] == 4.05
+    reports, pages = X.series_analysis(energy, lengths, page=16)
+    rep = {r.series: r for r in reports.collect()}
+    assert set(rep) == {1, 2, 3} and rep[1].duration == 4.05 and rep[2].bpm == rep[3].bpm == 120 and rep[3].onsets == 0 and rep[3].beats > 10
+    assert [s.label for s in rep[3].sections] == ["steady"] and rep[3].sections[0].end == 9.0
+    held = {}
+    for r in pages.orderBy("series", "kind", "page").collect():
+        assert 0 < len(r["values"]) <= 16
+        held.setdefault((r.series, r.kind), []).extend(r["values"])
+    assert {k: len(v) for k, v in held.items()} == {(s, k): n for s, r in rep.items() for k, n in (("beats", r.beats), ("onsets", r.onsets), ("energy", r.points)) if n}
+    assert [v.t for v in held[1, "energy"]] == [round(i * 0.1, 3) for i in range(40)] and all(v.value is not None for v in held[1, "energy"])
+
+
+def test_profile_prefix_and_bias(spark):
+    rows = [(1, 10.0, 120, " Easy ", ["Dense", " flow"]), (2, 10.0, 120, "unheard", None), (3, 10.0, 120, "extreme", ["flow", "DENSE", "odd", " "])]
+    got = {r.series: r for r in L.step_profile(spark.createDataFrame(rows, "series BIGINT, duration DOUBLE, bpm BIGINT, difficulty STRING, styles ARRAY<STRING>")).collect()}
+    assert [got[s].prefix[1] for s in (1, 2, 3)] == ["DIFF_EASY", "DIFF_HARD", "DIFF_EXTREME"] and got[1].prefix[0] == "START" and got[1].prefix[2] == "ALIGN_UNKNOWN"
+    assert got[1].bias == {"BLOCK": 1.08, "SPIKE": 1.18, "ORB_YELLOW": 1.12, "PLATFORM": 1.08, "SAW": 0.85}
+    assert got[2].bias == {"BLOCK": 1.08, "PLATFORM": 1.08, "SAW": 0.85} and got[3].bias["BLOCK"] == 1.12
+
+
+def test_extent_of_decoded_levels_and_gameplay_of_records(spark):
+    from lanestride.operators import decompose as R, objects as O
+    levels = spark.createDataFrame([(1, "head,x;1,8,2,3.5,3,4;1,9,2,-1,3,2"), (2, ""), (3, None)], "level_id BIGINT, decoded STRING")
+    got = {r.level_id: r for r in O.level_extent(R.explode_objects(levels), levels).collect()}
+    assert (got[1].header, got[1].decoded_length, got[1].x_min, got[1].x_max) == ("head,x", 33, -1.0, 3.5)
+    assert [(got[i].header, got[i].decoded_length, got[i].object_count_raw, got[i].y_max) for i in (2, 3)] == [("", 0, 0, 0.0)] * 2
+    play = spark.createDataFrame([(1, "BLOCK", 3, "no"), (1, "SPIKE", 4, "no")], "level_id BIGINT, token STRING, x_step BIGINT, source STRING")
+    both = O.tokens_to_gameplay(spark.createDataFrame([(1, "s"), (5, "t")], "level_id BIGINT, source STRING"), play).collect()
+    assert sorted((r.level_id, r.source, r.token or "", r.missing) for r in both) == [(1, "s", "BLOCK", False), (1, "s", "SPIKE", False), (5, "t", "", True)]
