@@ -13,7 +13,8 @@ from lanestride.llm.arrays import mixed, slices, span_hash, window_hash
 from lanestride.session import stage
 
 LENGTH = 50  # bytes of a repeated string
-ANCHOR = 16  # bytes whose hash places a string; every string of LENGTH holds LENGTH - ANCHOR + 1 of them
+ANCHORS = (16, 32, 50)  # bytes whose hash places a string: at first, for strings of a hot anchor, and for those of a hot anchor even then
+KINDS = (0, 3, 4)  # of replies on the anchors of each level
 BLOCK_BYTES = 4 << 20  # whole documents held and sent together
 BUCKET_BYTES = 4 << 20  # corpus bytes whose segments one index task receives, about
 CHUNK = 1 << 16  # starts looked at together; their arrays stay in a core's cache
@@ -54,56 +55,65 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.asarray(row["ids"], np.int64), offsets, flat
 
 
-def segments(flat: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None = None, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, number of starts, 48-bit anchor value) of maximal runs of starts with one anchor.
+def anchored(flat: np.ndarray, starts: np.ndarray, level: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first start, number of starts, 48-bit anchor value) of maximal runs of sorted starts with one anchor.
 
-    A start is a place where ``length`` bytes of one document follow.  Its
-    anchor is the ``anchor``-byte window inside those bytes with the least
-    hash, the leftmost of equals; so equal strings have equal anchors at equal
-    places, wherever they stand.  A run whose anchor value is in ``hot`` (sorted) is
-    cut into its single starts, and the value of each is the hash of its whole
-    string: equal strings still meet, others of that anchor do not.
+    The anchor of a start is the window of ``ANCHORS[level]`` bytes inside the
+    ``length`` bytes from there with the least hash, the leftmost of equals; so
+    equal strings have equal anchors at equal places, wherever they stand.
+    Values of different levels differ in their last two bits.
     """
-    firsts, counts, values = [], [], []
+    anchor = ANCHORS[level]
+    low_bits = np.uint64((1 << POSITION_BITS) - 1)
+    hashes = window_hash(flat, anchor)
     width = length - anchor + 1
-    valid = np.zeros(len(flat), bool)
+    least = (hashes & ~low_bits) | np.arange(len(hashes), dtype=np.uint64)
+    span = 1
+    while span * 2 <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < width:
+        rest = width - span
+        least = np.minimum(least[:-rest], least[rest:])
+    at = (least[starts] & low_bits).astype(np.int64)
+    begin = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(starts) > 1)]))[0]
+    return starts[begin], np.diff(np.append(begin, len(starts))), (mixed(hashes[at[begin]] * SALT) >> np.uint64(16)) & ~np.uint64(3) | np.uint64(level)
+
+
+def among(values: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted array ``hot``."""
+    if not len(hot):
+        return np.zeros(len(values), bool)
+    return hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values
+
+
+def segments(flat: np.ndarray, offsets: np.ndarray, hot: np.ndarray, length: int = LENGTH) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(first start, number of starts, anchor value) of the runs of each level.
+
+    A start is a place where ``length`` bytes of one document follow.  The first
+    level has all starts, in runs by their ``ANCHORS[0]``-byte anchors; a further
+    level those of the runs before whose value is in ``hot`` (sorted), in runs by
+    longer anchors, and the last one each start by itself, valued by the whole string.  Equal
+    strings take the same way.
+    """
+    found: list[list[tuple[np.ndarray, ...]]] = [[] for _ in ANCHORS]
     edge = np.zeros(len(flat) + 1, np.int64)
     long = np.diff(offsets) >= length
     np.add.at(edge, offsets[:-1][long], 1)
     np.add.at(edge, offsets[1:][long] - length + 1, -1)
     valid = np.cumsum(edge[:-1]) > 0
-    low_bits = np.uint64((1 << POSITION_BITS) - 1)
     for low in range(0, len(flat), CHUNK):
-        high = min(len(flat), low + CHUNK + length - 1)
+        here = flat[low:min(len(flat), low + CHUNK + length - 1)]
         starts = np.nonzero(valid[low:min(low + CHUNK, len(flat))])[0]
-        if not len(starts):
-            continue
-        hashes = window_hash(flat[low:high], anchor)
-        least = (hashes & ~low_bits) | np.arange(len(hashes), dtype=np.uint64)
-        span = 1
-        while span * 2 <= width:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if span < width:
-            rest = width - span
-            least = np.minimum(least[:-rest], least[rest:])
-        at = (least[starts] & low_bits).astype(np.int64)
-        new = np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(starts) > 1)])
-        begin = np.nonzero(new)[0]
-        firsts.append(starts[begin] + low)
-        counts.append(np.diff(np.append(begin, len(starts))))
-        values.append(mixed(hashes[at[begin]] * SALT) >> np.uint64(16))
-    if not firsts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    first, count, value = np.concatenate(firsts), np.concatenate(counts), np.concatenate(values)
-    if hot is None or not len(hot):
-        return first, count, value
-    apart = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value
-    if not apart.any():
-        return first, count, value
-    single = spread(first[apart], count[apart])
-    own = mixed(span_hash(flat, single, single + length) * SALT) >> np.uint64(16)
-    return (np.concatenate([first[~apart], single]), np.concatenate([count[~apart], np.ones(len(single), np.int64)]), np.concatenate([value[~apart], own]))
+        for level in range(len(ANCHORS)):
+            if not len(starts):
+                break
+            first, count, value = anchored(here, starts, level, length)
+            found[level].append((first + low, count, value))
+            apart = among(value, hot)
+            starts = spread(first[apart], count[apart])
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    return [tuple(np.concatenate(c) for c in zip(*runs, strict=True)) if runs else none for runs in found]
 
 
 def bucket_cuts(values: np.ndarray, bits: int) -> np.ndarray:
@@ -121,29 +131,40 @@ def widen(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-class Candidates:
-    """The distinct segments of a block whose anchor occurs elsewhere, in an order that any task repeats."""
+class Announced:
+    """A block's distinct anchors of one level, sorted, in the way any task repeats."""
 
-    def __init__(self, row: dict, bits: int, shared: dict[int, bytes] | None, hot: np.ndarray | None = None):
-        self.ids, self.offsets, self.flat = opened(row)
-        first, count, value = segments(self.flat, self.offsets, hot)
+    def __init__(self, row: dict, bits: int, level: int, hot: np.ndarray):
+        _, offsets, flat = opened(row)
+        first, count, value = segments(flat, offsets, hot)[level]
         self.values, of = np.unique(value, return_inverse=True)
         self.cuts = bucket_cuts(self.values, bits)
         self.repeated = np.bincount(of, minlength=len(self.values)) > 1
-        if shared is None:
-            again = np.nonzero(self.repeated[of])[0]  # distinct segments of each repeated anchor
-            content = span_hash(self.flat, first[again], first[again] + count[again] + LENGTH - 1) if len(again) else np.zeros(0, np.uint64)
-            order = np.lexsort((content, of[again]))
-            o, c = of[again][order], content[order]
-            new = np.concatenate([[True], (o[1:] != o[:-1]) | (c[1:] != c[:-1])]) if len(o) else np.zeros(0, bool)
-            self.distinct = np.bincount(o[new], minlength=len(self.values))
-            return
-        met = np.zeros(len(self.values), bool)
-        for bucket, data in shared.items():
-            a, b = self.cuts[bucket], self.cuts[bucket + 1]
-            met[a:b] = np.unpackbits(np.frombuffer(data, np.uint8), count=int(b - a)).astype(bool)
-        take = met[of]
-        self.first, self.count, value = first[take], count[take], value[take]
+        again = np.nonzero(self.repeated[of])[0]  # distinct segments of each repeated anchor
+        content = span_hash(flat, first[again], first[again] + count[again] + LENGTH - 1) if len(again) else np.zeros(0, np.uint64)
+        order = np.lexsort((content, of[again]))
+        o, c = of[again][order], content[order]
+        new = np.concatenate([[True], (o[1:] != o[:-1]) | (c[1:] != c[:-1])]) if len(o) else np.zeros(0, bool)
+        self.distinct = np.bincount(o[new], minlength=len(self.values))
+
+
+class Candidates:
+    """The distinct segments of a block whose anchor occurs elsewhere, in an order that any task repeats."""
+
+    def __init__(self, row: dict, bits: int, told: list[dict], hot: np.ndarray):
+        self.ids, self.offsets, self.flat = opened(row)
+        taken = []
+        for level, (first, count, value) in enumerate(segments(self.flat, self.offsets, hot)):
+            values, of = np.unique(value, return_inverse=True)
+            cuts, met = bucket_cuts(values, bits), np.zeros(len(values), bool)
+            for r in told:
+                if r["kind"] == KINDS[level]:
+                    a, b = cuts[r["bucket"]], cuts[r["bucket"] + 1]
+                    met[a:b] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=int(b - a)).astype(bool)
+            # what a hot anchor holds comes again on the next level
+            take = (met & ~among(values, hot))[of] if level < len(ANCHORS) - 1 else met[of]
+            taken.append((first[take], count[take], value[take]))
+        self.first, self.count, value = (np.concatenate(c) for c in zip(*taken, strict=True))
         self.doc = np.searchsorted(self.offsets, self.first, "right") - 1
         own = self.ids[self.doc]
         content = span_hash(self.flat, self.first, self.first + self.count + LENGTH - 1) if len(self.first) else np.zeros(0, np.uint64)
@@ -157,12 +178,15 @@ class Candidates:
         self.part_cuts = bucket_cuts(value[self.lead], bits + PART_BITS)
 
 
-def anchor_lists(blocks: DataFrame, bits: int, hot: np.ndarray | None = None) -> DataFrame:
-    """(bucket, block, anchors, twice, distinct): each block's distinct anchors, sorted, whether the block has them more than once, and of those that it has, how many distinct segments."""
+NOT_HOT = np.zeros(0, np.uint64)
+
+
+def anchor_lists(blocks: DataFrame, bits: int, level: int = 0, hot: np.ndarray = NOT_HOT) -> DataFrame:
+    """(bucket, block, anchors, twice, distinct): each block's distinct anchors of a level, sorted, whether the block has them more than once, and of those that it has, how many distinct segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c = Candidates(row, bits, None, hot)
+                c = Announced(row, bits, level, hot)
                 full = np.nonzero(np.diff(c.cuts))[0]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full.astype(np.int64)), pa.array(np.full(len(full), row["block"], np.int64)),
@@ -174,8 +198,8 @@ def anchor_lists(blocks: DataFrame, bits: int, hot: np.ndarray | None = None) ->
     return blocks.mapInArrow(run, "bucket long, block long, anchors binary, twice binary, distinct binary")
 
 
-def shared_anchors(lists: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """(block, kind 0, bucket, bits): which of a block's anchors also stand elsewhere, in the order sent.
+def shared_anchors(lists: DataFrame, hot_segments: int = HOT_SEGMENTS, level: int = 0) -> DataFrame:
+    """(block, kind of the level, bucket, bits): which of a block's anchors also stand elsewhere, in the order sent.
 
     A row of kind 2 has the anchors of a bucket that have more than ``hot_segments`` segments.
     """
@@ -190,7 +214,7 @@ def shared_anchors(lists: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFr
         hot = values[np.bincount(of, held) > hot_segments]
         ends = np.cumsum(sizes)
         bits = [np.packbits(met[e - n:e]).tobytes() for e, n in zip(ends, sizes, strict=True)]
-        told = reply(table.column("block"), 0, key[0].as_py(), bits)
+        told = reply(table.column("block"), KINDS[level], key[0].as_py(), bits)
         return pa.concat_tables([told, reply(pa.chunked_array([[-1]], pa.int64()), 2, key[0].as_py(), [narrow(hot)])]) if len(hot) else told
 
     return lists.groupBy("bucket").applyInArrow(run, REPLY)
@@ -204,7 +228,7 @@ def reply(block: pa.ChunkedArray, kind: int, bucket: int, bits: list[bytes]) ->
     return pa.table({"block": block, "kind": pa.array([kind] * n, pa.int32()), "bucket": pa.array([bucket] * n, pa.int64()), "bits": pa.array(bits, pa.binary())})
 
 
-def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int, hot: np.ndarray | None = None) -> DataFrame:
+def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int, hot: np.ndarray = NOT_HOT) -> DataFrame:
     """(bucket, block, parts, counts, docs, data): each block's distinct candidate segments with the smallest document that holds them.
 
     ``parts`` tells how many of them fall into each part of the bucket.
@@ -212,7 +236,7 @@ def candidate_segments(blocks: DataFrame, replies: DataFrame, bits: int, hot: np
     def run(key: tuple, block: pa.Table, told: pa.Table) -> pa.Table:
         rows: dict[str, list] = {"bucket": [], "block": [], "parts": [], "counts": [], "docs": [], "data": []}
         for row in block.to_pylist():
-            c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in told.to_pylist()}, hot)
+            c = Candidates(row, bits, told.to_pylist(), hot)
             for b in np.nonzero(np.diff(c.lead_cuts))[0]:
                 lead = c.lead[c.lead_cuts[b]:c.lead_cuts[b + 1]]
                 size = c.count[lead] + LENGTH - 1
@@ -379,7 +403,7 @@ def earlier_copies(found: DataFrame) -> DataFrame:
     return found.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool = False, hot: np.ndarray | None = None) -> DataFrame:
+def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool = False, hot: np.ndarray = NOT_HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and the remaining bytes if asked for."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
 
@@ -387,7 +411,7 @@ def covered(blocks: DataFrame, replies: DataFrame, bits: int, with_text: bool =
         out: dict[str, list] = {n.split()[0]: [] for n in schema.split(", ")}
         answers = told.to_pylist()
         for row in block.to_pylist():
-            c = Candidates(row, bits, {r["bucket"]: r["bits"] for r in answers if r["kind"] == 0}, hot)
+            c = Candidates(row, bits, answers, hot)
             number = c.count[c.lead]
             flag = np.zeros(int(number.sum()), bool)
             ends = np.concatenate([[0], np.cumsum(number)])
@@ -431,7 +455,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int =
     Strings are judged on the input, overlaps count, matches stay inside a
     document, and "earlier" is a smaller doc_id (rows that repeat a doc_id do not
     remove from each other).  Null and empty texts have 0 bytes.
-    The result has a row for each input row; doc_id must not be null.
+    The result has a row for each input row.  A row with a null doc_id has no
+    place in the order: it keeps all of its bytes and removes none.
 
     Documents travel in compressed blocks.  Blocks announce their anchors, learn
     which ones stand elsewhere, and send only the segments around those to the
@@ -441,24 +466,33 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, bucket_bytes: int =
     many times travels and is indexed once, with its smallest document.
 
     The segments of one anchor meet in one task.  Anchors of more than ``hot_segments``
-    (a common phrase in ever different surroundings) are known after the first
-    announcement; the blocks then announce again, with each string of those
-    anchors dealt by its own hash.  The driver gets at most one such
-    anchor for each ``hot_segments`` segments of the corpus.
+    (a common phrase in ever different surroundings) are known after the
+    announcement; their strings alone are announced again by longer anchors, in
+    runs as before, and those of anchors that are hot even then string by string.  The driver gets at
+    most one such anchor for each ``hot_segments`` segments of the corpus.
+
+    Distinct segments and anchors are told apart by 64-bit and 48-bit hashes; strings in a bucket by their bytes.
     """
     blocks = text_blocks(docs.where("doc_id is not null"), block_bytes)
     total = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = max(0, (-(-int(total) // bucket_bytes) - 1).bit_length())
     met, hot = announced(blocks, bits, hot_segments)
     earlier = earlier_copies(candidate_segments(blocks, met, bits, hot))
-    return covered(blocks, met.unionByName(earlier), bits, with_text, hot)
+    content = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    zero = F.lit(0).cast("long")
+    apart = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.length(content).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
+                                                F.sha2(content, 256).alias("kept_sha256"), *([content.alias("kept")] if with_text else []))
+    return covered(blocks, met.unionByName(earlier), bits, with_text, hot).unionByName(apart)
 
 
 def announced(blocks: DataFrame, bits: int, hot_segments: int = HOT_SEGMENTS) -> tuple[DataFrame, np.ndarray]:
-    """(replies on the anchors of all blocks, the hot anchors, sorted)."""
-    met = stage(shared_anchors(anchor_lists(blocks, bits), hot_segments))
-    found = met.where("kind = 2").select("bits").toArrow().column("bits").to_pylist()
-    hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *map(widen, found)]))
-    if len(hot):
-        met = stage(shared_anchors(anchor_lists(blocks, bits, hot), hot_segments))
-    return met.where("kind = 0"), hot
+    """(replies on the anchors of all blocks and levels, the hot anchors, sorted)."""
+    hot, replies = NOT_HOT, None
+    for level in range(len(ANCHORS)):
+        met = stage(shared_anchors(anchor_lists(blocks, bits, level, hot), hot_segments, level))
+        mine = met.where(F.col("kind") == KINDS[level])
+        replies = mine if replies is None else replies.unionByName(mine)
+        found = met.where("kind = 2").select("bits").toArrow().column("bits").to_pylist()
+        if not found or level == len(ANCHORS) - 1:
+            return replies, hot
+        hot = np.unique(np.concatenate([hot, *map(widen, found)]))
