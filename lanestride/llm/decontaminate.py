@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, islice
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanestride.llm.radix_dedup import numbered
 from lanestride.llm.arrays import slices, span_hash
 from lanestride.llm.quality import pieces
 
@@ -284,15 +286,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     passages to remove as code points, half-open and merged.  Null and empty
     texts have no words; items without words (null texts too) have no window
     and never occur; with an empty benchmark nothing is hit.  The benchmark is searched in blocks
-    of bounded size, whose spans are merged by document (rows that repeat a
-    doc_id are then merged too).
+    of bounded size; rows are numbered before the first of several blocks, whose
+    spans are merged by row.
     """
-    frames = [passages(docs, block) for block in phrase_blocks(benchmark, window, block_words)]
-    found = frames[0]
-    if len(frames) > 1:
-        for other in frames[1:]:
-            found = found.unionByName(other)
-        found = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("runs", "spans", "items")])
+    blocks = phrase_blocks(benchmark, window, block_words)
+    head = list(islice(blocks, 2))
+    if len(head) == 1:
+        found = passages(docs, head[0])
+    else:
+        rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+        found = None
+        for block in chain(head, blocks):
+            one = passages(rows.select(F.col("__row").alias("doc_id"), "text"), block)
+            found = one if found is None else found.unionByName(one)
+        found = found.groupBy(F.col("doc_id").alias("__row")).agg(F.max("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("runs", "spans", "items")])
+        found = found.join(rows.select("__row", "doc_id"), "__row").select("doc_id", "n_words", "runs", "spans", "items")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_hit": pa.int64(), "n_items": pa.int64(), "items_sha256": pa.string(), "contaminated": pa.bool_(),
