@@ -405,3 +405,27 @@ def test_token_rollup(spark, odd, none, tmp_path):
     assert sum(r.docs for r in rows) == len(left)
     assert sum(r.tokens for r in rows) == sum(len(b) // 4 for b in encoder.encode(list(left)))
     assert token_rollup.corpus_totals(none).count() == 0
+
+
+def test_repeated_and_unnumbered_rows_stay_apart(spark):
+    """Rows that repeat or lack a doc_id: classes, what is left of them, and the same result for any size of a block."""
+    rows = [(7, "q"), (7, "q"), (None, "q"), (1, "other"), (1, "q  q"), (None, "alone"), (None, "alone"), (2, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in radix_dedup.exact_duplicates(docs).collect())
+    want = [("7", "7", 3, True), ("7", "7", 3, True), ("None", "7", 3, False), ("1", "1", 1, True), ("1", "1", 1, True), ("None", "None", 2, True),
+            ("None", "None", 2, False), ("2", "2", 2, True), ("None", "2", 2, False)]
+    assert got == sorted(want)
+    kept = radix_dedup.drop_exact_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept if r.text) == [("1", "other"), ("1", "q  q"), ("7", "q"), ("None", "alone")] and len(kept) == 5
+    phrase = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, phrase), (1, "clean"), (None, phrase), (None, "clean"), (None, "clean")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a", phrase), ("b", "another item with words of its own, more than ten of them here"), ("c", "short one")], "item_id string, text string")
+    found = [sorted(map(str, decontaminate.contamination(docs, benchmark, block_words=size).collect())) for size in (4, 12, 1 << 20)]
+    assert len(found[0]) == 5 and found[0] == found[1] == found[2] and sum("contaminated=True" in r for r in found[0]) == 2
+
+
+def test_rows_without_a_doc_id_keep_their_bytes(spark):
+    text = "x" * 30 + "yz" * 30
+    docs = spark.createDataFrame([(1, text), (None, text), (2, text), (None, None)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in substring_dedup.remove_repeats(docs).collect())
+    assert got == [("1", 90, 0), ("2", 90, 90), ("None", 0, 0), ("None", 90, 0)]
