@@ -130,10 +130,10 @@ def cut(keys: list[str], ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[st
         at = end
 
 
-@lru_cache(maxsize=4)
-def encoder_of(path: str) -> Encoder:
+@lru_cache(maxsize=1)
+def encoder_of(path: str, cache_units: int = CACHE_UNITS) -> Encoder:
     """The encoder of this Python process, with the tokenizer's default for added tokens; later tasks find its units."""
-    return Encoder(path, added_tokens=True)
+    return Encoder(path, cache_units, added_tokens=True)
 
 
 def text_groups(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
@@ -149,7 +149,7 @@ def text_groups(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, l
         yield low, texts
 
 
-def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, cache_units: int = CACHE_UNITS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document's ids followed by ``end_id``.
 
     A document of more than ``capacity`` ids is cut into pieces of
@@ -159,7 +159,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        encoder = encoder_of(path, cache_units)
         for batch in batches:
             for low, texts in text_groups(batch.column(1)):
                 rows: list[tuple] = []
@@ -354,15 +354,16 @@ def islands(items: DataFrame, shards: int, capacity: int, epochs: int = EPOCHS,
         place, "doc_id long, piece int, length long, shard int, bin long, offset long, fill long")
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, shard_items: int = SHARD_ITEMS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, shard_items: int = SHARD_ITEMS, cache_units: int = CACHE_UNITS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every piece of every document in a sequence.
 
     Pieces of the full capacity are sequences by themselves.  The others are
     packed in shards of about ``shard_items``; sequences that a shard leaves
     rather open are packed again, across shards.  An empty table gives none.
-    Rows that repeat a doc_id are packed like others.
+    Rows that repeat a doc_id are packed like others.  A Python worker keeps
+    ``cache_units`` recurring units, about 200 bytes each; the result does not depend on it.
     """
-    pieces = stage(token_pieces(docs, tokenizer, capacity, end_id).withColumn("copy", F.monotonically_increasing_id()))
+    pieces = stage(token_pieces(docs, tokenizer, capacity, end_id, cache_units).withColumn("copy", F.monotonically_increasing_id()))
     whole = pieces.where(F.col("length") == capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("copy")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     short = pieces.where(F.col("length") < capacity)
