@@ -162,6 +162,18 @@ def test_split_keeps_one_record_in_train(spark):
         assert got == want
 
 
+def test_split_takes_records_of_one_hash_in_key_order(spark):
+    records = spark.range(1000).selectExpr("id AS level_id")
+    for score, first in (("level_id % 3", lambda i: (i % 3, i)), ("7", lambda i: (7, i)), ("-level_id", lambda i: (-i, i))):
+        got = N.train_eval_split(records, score=F.expr(score)).where("split = 'train'").collect()
+        assert sorted(r.level_id for r in got) == sorted(sorted(range(1000), key=first)[:800])
+    repeated = spark.range(100).selectExpr("id % 2 AS level_id", "id AS n")
+    got = N.train_eval_split(repeated, score=F.lit(1))
+    assert got.count() == 100 and sorted(r.level_id for r in got.where("split = 'train'").collect()) == [0] * 50 + [1] * 30
+    named = records.selectExpr("string(level_id) AS level_id")
+    assert N.train_eval_split(named, score=F.lit(1)).where("split = 'train'").count() == 800
+
+
 def test_sections_and_report_of_a_series_without_energy(spark):
     rows = [(1, i, i * 0.1, float(i % 5)) for i in range(40)]
     energy = X.smooth3(X.minmax_normalise(spark.createDataFrame(rows, "series BIGINT, idx BIGINT, t DOUBLE, value DOUBLE")))
