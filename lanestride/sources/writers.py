@@ -3,10 +3,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lanestride.session import stage
+from lanestride.sources.stores import store_of
 
 
 def write_records(rows: DataFrame, path: str, mode: str = "append", fmt: str = "json") -> None:
@@ -49,6 +52,29 @@ def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
         files.delete(part, False)
 
 
+def write_files(files: DataFrame, path: str) -> DataFrame:
+    """A file for each row of (name, content), all in one folder; returns (name, bytes) and writes when it is computed.
+
+    Rows are dealt to as many tasks as there are cores, whatever their size, as
+    it is the number of files that takes the time.  A file is written beside its name
+    and then moved there, so a repeated task replaces it.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = store_of(path)
+        store.create_dir(folder, recursive=True)
+        for batch in batches:
+            contents = [(c.as_py() or "").encode() for c in batch.column(1)]
+            for name, content in zip(batch.column(0).to_pylist(), contents, strict=True):
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
+                    out.write(content)
+                store.move(part, f"{folder}/{name}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c) for c in contents], pa.int64())], ["name", "bytes"])
+
+    rows = files.select(F.col("name").cast("string").alias("name"), F.col("content").cast("string").alias("content"))
+    return rows.repartition(files.sparkSession.sparkContext.defaultParallelism, "name").mapInArrow(write, "name string, bytes bigint")
+
+
 def write_routed(rows: DataFrame, routes: dict[str, tuple[Column, list[str]]], root: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Fan one frame out to a table per route (rows that meet its condition, its columns).
 

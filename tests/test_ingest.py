@@ -307,3 +307,26 @@ def test_first_seen_stream(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r[0] for r in spark.table("songs").collect()) == [1, 2]
+
+
+def test_files_are_written_by_many_tasks_into_one_folder(spark, tmp_path):
+    from lanestride.sources.writers import write_files
+    files = spark.range(0, 50, 1, 1).selectExpr("concat(id, '.txt') AS name", "CASE WHEN id = 3 THEN NULL ELSE concat('h,0;1,8,2,', id, ',3,4;') END AS content")
+    for _ in range(2):
+        told = {r.name: r.bytes for r in write_files(files, str(tmp_path / "in")).collect()}
+    assert sorted(p.name for p in (tmp_path / "in").iterdir()) == sorted(told) == sorted(f"{i}.txt" for i in range(50))
+    assert told["3.txt"] == 0 and (tmp_path / "in" / "12.txt").read_text() == "h,0;1,8,2,12,3,4;"
+    assert write_files(files, str(tmp_path / "in")).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    from lanestride.operators.layout import parse_reference_objects
+    got = parse_reference_objects(readers.read_level_files(spark, str(tmp_path / "in"), "*.txt")).collect()
+    assert sorted(r.x for r in got) == [float(i) for i in range(50) if i != 3]
+
+
+def test_level_files_of_the_query_lie_in_one_folder(spark):
+    import os
+    from lanestride import session
+    from lanestride.plans.registry import QUERIES
+    found = QUERIES["read_level_files"](spark, "/root/testdata/sf0.001")
+    path = session._STAGED[spark.sparkContext.applicationId][-1]
+    names = os.listdir(path)
+    assert found.count() == 2 * len(names) and all(n.endswith(".txt") and os.path.isfile(f"{path}/{n}") for n in names)
