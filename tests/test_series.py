@@ -212,3 +212,17 @@ def test_extent_of_decoded_levels_and_gameplay_of_records(spark):
     play = spark.createDataFrame([(1, "BLOCK", 3, "no"), (1, "SPIKE", 4, "no")], "level_id BIGINT, token STRING, x_step BIGINT, source STRING")
     both = O.tokens_to_gameplay(spark.createDataFrame([(1, "s"), (5, "t")], "level_id BIGINT, source STRING"), play).collect()
     assert sorted((r.level_id, r.source, r.token or "", r.missing) for r in both) == [(1, "s", "BLOCK", False), (1, "s", "SPIKE", False), (5, "t", "", True)]
+
+
+def test_bias_table_takes_the_later_style_without_grouping_by_token(spark):
+    from lanestride.dims import STYLE_BIAS
+    rng = random.Random(4)
+    rows = [(k, o, rng.choice([*STYLE_BIAS, "Flow", "none"])) for k in range(40) for o in range(rng.randrange(6))]
+    want = {}
+    for k, _, style in sorted(rows):
+        for token, multiplier in STYLE_BIAS.get(style.lower(), {}).items():
+            want[k, token] = float(multiplier)
+    table = L.bias_table(spark.createDataFrame(rows, "level_id BIGINT, ordinal INT, style STRING"), ["level_id"])
+    assert {(r.level_id, r.token): r.multiplier for r in table.collect()} == want
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and not any("Aggregate(keys" in line and "token" in line for line in plan.splitlines())
