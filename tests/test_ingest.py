@@ -330,3 +330,20 @@ def test_level_files_of_the_query_lie_in_one_folder(spark):
     path = session._STAGED[spark.sparkContext.applicationId][-1]
     names = os.listdir(path)
     assert found.count() == 2 * len(names) and all(n.endswith(".txt") and os.path.isfile(f"{path}/{n}") for n in names)
+
+
+def test_level_records_meet_their_candidates_in_the_only_join(spark):
+    from lanestride.plans.registry import QUERIES
+    plan = QUERIES["level_record"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "inflate" not in plan
+    side = plan[plan.index("Join "):].splitlines()[1]  # what the downloads send: fields of the record, not their pairs
+    assert side.lstrip(" :+-").startswith("Project") and " p#" not in side and "raw#" not in side.split(" AS ")[-1]
+
+
+def test_payload_counts_keep_the_reason_of_the_download(spark):
+    from lanestride.operators import decompose as R
+    import base64, gzip
+    packed = base64.urlsafe_b64encode(gzip.compress(b"h;1,8;1,9")).decode().rstrip("=")
+    raw = spark.createDataFrame([(1, f"1:7:4:{packed}#a#b"), (2, "1:8#a#b"), (3, "-1")], "request_id BIGINT, raw STRING")
+    got = {r.request_id: (r.reason, r.object_count, r.decoded_length) for r in R.payload_counts(R.download_fields(raw)).collect()}
+    assert got == {1: (None, 2, 9), 2: (None, 0, 0), 3: ("not_found_response", 0, 0)}
