@@ -269,3 +269,23 @@ def test_facts_reach_every_row(spark):
     assert attach(rows, facts, "level_id", keep_unmatched=True).count() == 5000
 
 
+
+
+def test_vocab_total_counts_tokens_once_and_numbers_none(spark):
+    from lanestride.plans.registry import QUERIES
+    plan = QUERIES["vocab_total"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan and "Join" not in plan
+
+
+def test_vocabulary_reads_its_sequences_once(spark):
+    from pyspark.sql import functions as F
+    from lanestride.operators import vocabulary as V
+    told = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def tokens(i):
+        told.add(1)
+        return ["START", f"t{i % 7}"]
+    rows = spark.range(30).select(F.col("id").alias("level_id"), tokens("id").alias("tokens"))
+    found = V.build_vocabulary(rows, "level_id").collect()
+    assert told.value == 30 and {r.token: r["count"] for r in found}["START"] == 30 and sum(r["count"] for r in found) == 60
