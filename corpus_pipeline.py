@@ -28,7 +28,10 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (5-word shingles, similarity 0.8 or more)."""
+    """One document of each component of near copies (5-word shingles, similarity 0.8 or more).
+
+    Fingerprints are compared as in operator 5; bands add the pairs beyond its radius, and an exact check follows.
+    """
     return near_copies.drop_near_copies(docs).select(*COLUMNS)
 
 

@@ -1,4 +1,4 @@
-"""Near copies by the exact similarity of their shingle sets; candidates meet in bands of minimum hashes."""
+"""Near copies: bit-sliced comparison of fingerprints, bands of minimum hashes for what lies beyond its radius, exact similarity of shingle sets."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lanestride.llm.arrays import mixed, slices
 from lanestride.llm.graph import components
-from lanestride.llm.simhash import shingle_hashes
+from lanestride.llm.simhash import RADIUS, fingerprint_of, node_links, shingle_hashes
 from lanestride.session import stage
 
 SHINGLE = 5  # words
@@ -25,8 +25,11 @@ _FOLD = np.random.default_rng(8).integers(0, 1 << 63, ROWS, np.uint64) * np.uint
 
 def shingle_set(text: bytes) -> np.ndarray:
     """Distinct shingle hashes, sorted; a text without a word has one of its own, so that such texts are equal."""
-    hashes = np.unique(shingle_hashes(text, SHINGLE))
-    return hashes if len(hashes) else np.zeros(1, np.uint64)
+    return set_of(shingle_hashes(text, SHINGLE))
+
+
+def set_of(hashes: np.ndarray) -> np.ndarray:
+    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
@@ -38,18 +41,27 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """(doc_id, shingles, keys) of every document."""
+    """(doc_id, fp, shingles, keys) of every document: its fingerprint, the number of its shingles and its band keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, flat, offsets in slices(batch, "text"):
                 raw = flat.tobytes()
-                sets = [shingle_set(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                hashes = [shingle_hashes(raw[a:b], SHINGLE) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                prints = np.array([fingerprint_of(h) for h in hashes], np.uint64).view(np.int64)
+                sets = [set_of(h) for h in hashes]
                 keys = np.concatenate([band_keys(s) for s in sets]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, pa.array(keys))], ["doc_id", "shingles", "keys"])
+                    [part.column(0), pa.array(prints), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, pa.array(keys))], ["doc_id", "fp", "shingles", "keys"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long, shingles long, keys array<long>")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, shingles long, keys array<long>")
+def fingerprint_candidates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, least): links that connect documents whose fingerprints differ in at most ``radius`` bits, by operator 5's bit-sliced comparison."""
+    nodes, links = node_links(prints.select("doc_id", "fp"), radius)
+    same = prints.select("doc_id", "fp").join(nodes, "fp").where("doc_id <> node").select("doc_id", F.col("node").alias("least"))
+    return same.unionByName(links.select(F.col("x").alias("doc_id"), F.col("y").alias("least"))).distinct()
 
 
 def similar_links(sets: list[np.ndarray], left: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -91,14 +103,17 @@ def near_copies(docs: DataFrame, tile_docs: int = TILE_DOCS, tile_shingles: int
     """(node, component) of documents with a near copy: component is the smallest doc_id reachable.
 
     Documents are linked when the sets of their 5-word shingles have a Jaccard
-    similarity of 0.8 or more.  Documents that share a band are connected
-    first; each class found so is then compared exactly, in tiles of bounded size,
-    each pair of tiles in a task of its own.
+    similarity of 0.8 or more.  Documents are connected first where operator 5's
+    bit-sliced comparison finds their fingerprints of the same shingles close; a pair of 0.8
+    differs in some 10 of 64 bits, beyond any radius with selective blocks, so documents
+    that share a band of minimum hashes are connected as well.  Each class found so is then
+    compared exactly, in tiles of bounded size, each pair of tiles in a task of its own.
     """
     keys = stage(banded(docs))
     rows = keys.select("doc_id", F.explode("keys").alias("key"))
     met = rows.groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
     maybe = rows.join(met, F.col("key") == F.col("_key")).where("doc_id <> least").select("doc_id", "least").distinct()
+    maybe = fingerprint_candidates(keys).unionByName(maybe)
     class_of = stage(components(maybe, "doc_id", "least")
                      .join(keys.select(F.col("doc_id").alias("node"), "shingles").distinct(), "node"))
     parts = class_of.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / F.lit(tile_docs)), F.ceil(F.sum("shingles") / F.lit(tile_shingles))).cast("int").alias("parts"))

@@ -46,7 +46,10 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: bytes, size: int = SHINGLE, seed: int = SEED) -> int:
-    hashes = shingle_hashes(text, size, seed)
+    return fingerprint_of(shingle_hashes(text, size, seed))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     if not len(hashes):
         return 0
     chosen = bit_counts(hashes) * 2 > len(hashes)
@@ -244,6 +247,15 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE)
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def node_links(prints: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """(fp, node) with the smallest doc_id of each fingerprint, staged, and links (x, y) between such nodes, enough to
+    connect all whose fingerprints differ in at most ``radius`` bits; from (doc_id, fp) of every document."""
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    links = fingerprint_links(nodes.select("fp"), radius)
+    return nodes, (links.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a")
+                   .join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b").select("x", "y"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """Every document with its fingerprint (16 hex digits), its component (smallest doc_id reachable) and its number of links.
 
@@ -253,10 +265,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE,
     doc_id give a result row each.
     """
     prints = stage(fingerprints(docs, size, seed))
-    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    links = fingerprint_links(nodes.select("fp"), radius)
-    by_node = (links.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a")
-               .join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b").select("x", "y"))
+    nodes, by_node = node_links(prints, radius)
     class_of = components(by_node, "x", "y")
     classes = (nodes.join(class_of, "node", "left")
                .select("fp", F.coalesce("component", "node").alias("component_id")))

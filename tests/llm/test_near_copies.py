@@ -6,7 +6,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from lanestride.llm import near_copies
+from lanestride.llm import near_copies, simhash
 
 
 def shingles(text: str) -> set:
@@ -45,3 +45,26 @@ def test_stage_keeps_one_of_each_component_of_similar_texts(spark, tile):
     docs = spark.createDataFrame([(d, t, "aa", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = near_copies.drop_near_copies(docs, tile_docs=tile) if tile < 4096 else corpus_pipeline.distinct_contents(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted({find(d) for d in sets})
+
+
+def test_stage_compares_fingerprints_as_operator_5_does(spark, monkeypatch):
+    rows = planted()
+    docs = spark.createDataFrame([(d, t, "aa", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    seen = []
+    real = simhash.fingerprint_links
+    monkeypatch.setattr(simhash, "fingerprint_links", lambda prints, radius: seen.append(radius) or real(prints, radius))
+    corpus_pipeline.distinct_contents(spark, docs, "").collect()
+    assert seen == [simhash.RADIUS]
+    prints = {d: simhash.fingerprint(t.encode(), near_copies.SHINGLE) for d, t in rows}
+    keys = near_copies.banded(docs)
+    assert {r.doc_id: r.fp % 2 ** 64 for r in keys.collect()} == prints
+    links = {(r.doc_id, r.least) for r in near_copies.fingerprint_candidates(keys).collect()}
+    close = {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= simhash.RADIUS}
+    assert close
+
+    def classes(pairs):
+        root = {d: d for d in prints}
+        for a, b in [*pairs] * len(prints):
+            root[a] = root[b] = min(root[a], root[b])
+        return root
+    assert classes(links) == classes(close)
