@@ -279,28 +279,34 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, n_words, runs, spans, items) of every document against the whole benchmark.
+
+    The benchmark is searched in blocks of bounded size; rows are numbered before the first of several
+    blocks, whose runs, spans and items are put together by row and may overlap.
+    """
+    blocks = phrase_blocks(benchmark, window, block_words)
+    head = list(islice(blocks, 2))
+    if len(head) == 1:
+        return passages(docs, head[0])
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = None
+    for block in chain(head, blocks):
+        one = passages(rows.select(F.col("__row").alias("doc_id"), "text"), block)
+        found = one if found is None else found.unionByName(one)
+    found = found.groupBy(F.col("doc_id").alias("__row")).agg(F.max("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("runs", "spans", "items")])
+    return found.join(rows.select("__row", "doc_id"), "__row").select("doc_id", "n_words", "runs", "spans", "items")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans for every document.
 
     A word is hit if it lies in an occurrence of any window.  ``spans`` are the
     passages to remove as code points, half-open and merged.  Null and empty
     texts have no words; items without words (null texts too) have no window
-    and never occur; with an empty benchmark nothing is hit.  The benchmark is searched in blocks
-    of bounded size; rows are numbered before the first of several blocks, whose
-    spans are merged by row.
+    and never occur; with an empty benchmark nothing is hit.
     """
-    blocks = phrase_blocks(benchmark, window, block_words)
-    head = list(islice(blocks, 2))
-    if len(head) == 1:
-        found = passages(docs, head[0])
-    else:
-        rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-        found = None
-        for block in chain(head, blocks):
-            one = passages(rows.select(F.col("__row").alias("doc_id"), "text"), block)
-            found = one if found is None else found.unionByName(one)
-        found = found.groupBy(F.col("doc_id").alias("__row")).agg(F.max("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("runs", "spans", "items")])
-        found = found.join(rows.select("__row", "doc_id"), "__row").select("doc_id", "n_words", "runs", "spans", "items")
+    found = occurrences(docs, benchmark, window, block_words)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_hit": pa.int64(), "n_items": pa.int64(), "items_sha256": pa.string(), "contaminated": pa.bool_(),
@@ -318,9 +324,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     return found.mapInArrow(finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:long,stop:long>>")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents that hold no benchmark window; the columns of the input."""
-    hit = contamination(docs, benchmark, window).where("contaminated").select("doc_id").distinct()
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Documents that hold no benchmark window; the columns of the input.
+
+    A document with a run of hit words goes.  What ``contamination`` tells of the hits is not needed, and would
+    be a second Python worker beside each task's first.
+    """
+    hit = occurrences(docs, benchmark, window, block_words).where(F.size("runs") > 0).select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti")
 
 
