@@ -61,25 +61,6 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def window_hash(flat: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each ``width``-byte window, by doubling: about log2(width) array passes."""
-    size = len(flat) - width + 1
-    if size <= 0:
-        return np.zeros(0, np.uint64)
-    level, span, out, done = flat.astype(np.uint64) + np.uint64(1), 1, None, 0
-    while True:
-        if width & span:
-            part = level[done:]
-            out = part.copy() if out is None else out[:len(part)] * np.uint64(pow(int(STEP), span, 1 << 64)) + part[:len(out)]
-            done += span
-        span <<= 1
-        if span > width:
-            break
-        half = span >> 1
-        level = level[:len(level) - half] * np.uint64(pow(int(STEP), half, 1 << 64)) + level[half:]
-    return mixed(out[:size])
-
-
 def span_hash(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each span [start, end) of one flat array; equal bytes give equal hashes wherever they stand."""
     power = powers(len(flat) + 1)

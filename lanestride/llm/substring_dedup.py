@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanestride.llm.arrays import mixed, slices, span_hash, window_hash
+from lanestride.llm.arrays import STEP, mixed, slices, span_hash
 from lanestride.session import stage
 
 LENGTH = 50  # bytes of a repeated string
@@ -17,10 +17,10 @@ ANCHORS = (16, 32, 50)  # bytes whose hash places a string: at first, for string
 KINDS = (0, 3, 4)  # of replies on the anchors of each level
 BLOCK_BYTES = 4 << 20  # whole documents held and sent together
 BUCKET_BYTES = 4 << 20  # corpus bytes whose segments one index task receives, about
-CHUNK = 1 << 16  # starts looked at together; their arrays stay in a core's cache
+CHUNK = (1 << 16) - 64  # starts looked at together; their arrays stay in a core's cache
 HOT_SEGMENTS = 1 << 14  # segments of one anchor, distinct inside their blocks, above which its strings are dealt by themselves
-PART_BITS = 3  # a bucket is indexed in so many bits' parts, one after the other
-POSITION_BITS = 22
+PART_BITS = 4  # a bucket is indexed in so many bits' parts, one after the other
+POSITION_BITS = 16  # a place among the bytes that are looked at together
 SALT = np.uint64(0xA0761D6478BD642F)
 NOBODY = np.iinfo(np.int64).max
 
@@ -55,29 +55,54 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.asarray(row["ids"], np.int64), offsets, flat
 
 
+def rolled(flat: np.ndarray, width: int) -> np.ndarray:
+    """A 32-bit value of each window of ``width`` (a power of two) bytes, good in its upper half; only tells which window of several is the anchor."""
+    level, span = flat.astype(np.uint32), 1
+    level += np.uint32(1)
+    while span < width:
+        level = level[:-span] * np.uint32(pow(int(STEP), span, 1 << 32)) + level[span:]
+        span *= 2
+    level ^= level >> np.uint32(15)
+    level *= np.uint32(0x2C1B3C6D)
+    return level
+
+
+def window_values(flat: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hash of the ``width`` bytes (8 at least) from each place."""
+    words = np.ndarray(len(flat) - 7, "<u8", np.ascontiguousarray(flat), strides=(1,))
+    value = np.full(len(at), width, np.uint64)
+    for i in [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]:
+        value = mixed(value * STEP + words[at + i])
+    return mixed(value * SALT)
+
+
 def anchored(flat: np.ndarray, starts: np.ndarray, level: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, number of starts, 48-bit anchor value) of maximal runs of sorted starts with one anchor.
+    """(index of the first start, number of starts, 48-bit anchor value) of maximal runs of sorted starts with one anchor.
 
     The anchor of a start is the window of ``ANCHORS[level]`` bytes inside the
     ``length`` bytes from there with the least hash, the leftmost of equals; so
     equal strings have equal anchors at equal places, wherever they stand.
-    Values of different levels differ in their last two bits.
+    Values of different levels differ in their last two bits.  ``flat`` has
+    at most ``1 << POSITION_BITS`` bytes.
     """
     anchor = ANCHORS[level]
-    low_bits = np.uint64((1 << POSITION_BITS) - 1)
-    hashes = window_hash(flat, anchor)
     width = length - anchor + 1
-    least = (hashes & ~low_bits) | np.arange(len(hashes), dtype=np.uint64)
-    span = 1
-    while span * 2 <= width:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < width:
-        rest = width - span
-        least = np.minimum(least[:-rest], least[rest:])
-    at = (least[starts] & low_bits).astype(np.int64)
-    begin = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(starts) > 1)]))[0]
-    return starts[begin], np.diff(np.append(begin, len(starts))), (mixed(hashes[at[begin]] * SALT) >> np.uint64(16)) & ~np.uint64(3) | np.uint64(level)
+    at = starts
+    if width > 1:
+        low_bits = np.uint32((1 << POSITION_BITS) - 1)
+        least = rolled(flat, anchor)
+        least &= ~low_bits
+        least |= np.arange(len(least), dtype=np.uint32)
+        span = 1
+        while span * 2 <= width:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        if span < width:
+            rest = width - span
+            least = np.minimum(least[:-rest], least[rest:])
+        at = least[starts] & low_bits
+    begin = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] - starts[:-1] > 1)]))[0]
+    return begin, np.diff(np.append(begin, len(starts))), (window_values(flat, at[begin].astype(np.int64), anchor) >> np.uint64(16)) & ~np.uint64(3) | np.uint64(level)
 
 
 def among(values: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -105,13 +130,22 @@ def segments(flat: np.ndarray, offsets: np.ndarray, hot: np.ndarray, length: int
     for low in range(0, len(flat), CHUNK):
         here = flat[low:min(len(flat), low + CHUNK + length - 1)]
         starts = np.nonzero(valid[low:min(low + CHUNK, len(flat))])[0]
+        place = starts
         for level in range(len(ANCHORS)):
             if not len(starts):
                 break
-            first, count, value = anchored(here, starts, level, length)
-            found[level].append((first + low, count, value))
+            begin, count, value = anchored(here, place, level, length)
+            found[level].append((starts[begin] + low, count, value))
             apart = among(value, hot)
-            starts = spread(first[apart], count[apart])
+            if not apart.any():
+                break
+            # further levels look at the bytes of their strings only
+            of = spread(begin[apart], count[apart])
+            starts, place = starts[of], place[of]
+            opens = np.nonzero(np.concatenate([[True], place[1:] - place[:-1] >= length]))[0]
+            size = place[np.append(opens[1:], len(place)) - 1] + length - place[opens]
+            here = here[spread(place[opens], size)]
+            place = place + np.repeat(np.cumsum(size) - size - place[opens], np.diff(np.append(opens, len(place))))
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
     return [tuple(np.concatenate(c) for c in zip(*runs, strict=True)) if runs else none for runs in found]
 
@@ -260,38 +294,52 @@ def sorted_places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (word & np.uint64((1 << bits) - 1)).astype(np.int64), word >> np.uint64(bits)
 
 
+def leading(symbols: np.ndarray, most: int, bits: int) -> tuple[np.ndarray, int, int]:
+    """(the first symbols from each place as one word of at most ``bits`` bits, how many they are, bits of each); at most ``most``."""
+    dense = np.cumsum(np.bincount(symbols) > 0)[symbols].astype(np.uint64)  # 0 stands for what is beyond the end
+    width = int(dense.max()).bit_length()
+    span = min(most, bits // width)
+    padded = np.concatenate([dense, np.zeros(span, np.uint64)])
+    key = np.zeros(len(symbols), np.uint64)
+    for i in range(span):
+        key <<= np.uint64(width)
+        key |= padded[i:i + len(symbols)]
+    return key, span, width
+
+
 def bounded_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by the ``depth`` symbols that follow, at least; ties in any order.
 
-    The span that is known to be sorted doubles from round to round.  While
+    The span that is known to be sorted doubles from round to round, and a
+    round sorts only the places that share the span with others.  While
     two ranks and a place fit in a word, words are sorted; a text of over two
     million symbols sorts places by their keys instead, with the same result.
     """
     size = len(symbols)
     bits = max(1, size.bit_length())
-    present = np.bincount(symbols) > 0
-    dense = np.cumsum(present)[symbols].astype(np.uint64)  # 0 stands for what is beyond the end
-    width = int(dense.max()).bit_length()
     fits = 3 * bits <= 64
-    span = min(depth, 2 * bits // width if fits else 63 // width) or 1
-    padded = np.concatenate([dense, np.zeros(span, np.uint64)])
-    key = np.zeros(size, np.uint64)
-    for i in range(span):
-        key = (key << np.uint64(width)) | padded[i:i + size]
+    key, span, _ = leading(symbols, depth, 64 - bits if fits else 63)
+    slots, order = np.arange(size), np.empty(size, np.int64)
+    rank = np.zeros(size + depth, np.uint32)  # 1 more than the first slot of a place's group; 0 beyond the end
+    place = slots
     while True:
         if fits:
-            order, ranked = sorted_places(key, bits)
+            by, ranked = sorted_places(key, bits)
         else:
-            order = np.argsort(key)
-            ranked = key[order]
-        step = np.zeros(size, np.uint64)
-        np.cumsum(ranked[1:] != ranked[:-1], out=step[1:])
-        if span >= depth or step[-1] == size - 1:
+            by = np.argsort(key)
+            ranked = key[by]
+        place = place[by]
+        order[slots] = place
+        head = np.ones(len(slots) + 1, bool)
+        head[1:-1] = ranked[1:] != ranked[:-1]
+        if span >= depth:
+            return order
+        rank[place] = np.repeat(slots[head[:-1]], np.diff(np.nonzero(head)[0])) + 1
+        shared = ~(head[:-1] & head[1:])
+        slots, place = slots[shared], place[shared]
+        if not len(slots):
             return order
-        rank = np.empty(size, np.uint64)
-        rank[order] = step + np.uint64(1)
-        key = rank << np.uint64(bits)
-        key[:max(0, size - span)] |= rank[span:]
+        key = (rank[place].astype(np.uint64) << np.uint64(bits)) | rank[place + span]
         span *= 2
 
 
@@ -304,7 +352,9 @@ def repeat_bounds(symbols: np.ndarray, order: np.ndarray, length: int) -> np.nda
     transform) gives new intervals; the row after an interval's end that has no
     value yet gets the string's length, and that interval joins the next
     round.  The rounds stop at ``length``.  Only interval ends are used, so an
-    order of ``length`` symbols' depth is enough.
+    order of ``length`` symbols' depth is enough.  The first quarter of the rounds, in which nearly all
+    intervals are new, is not walked: as many symbols as a word takes are compared at once,
+    which leaves the same queue.
     """
     size = len(symbols)
     last = symbols[order - 1]
@@ -314,10 +364,16 @@ def repeat_bounds(symbols: np.ndarray, order: np.ndarray, length: int) -> np.nda
     source = source.astype(np.int32)
     forward = np.empty(size, np.int32)
     forward[source] = np.arange(size, dtype=np.int32)
-    bound = np.zeros(size + 1, bool)
-    bound[0] = bound[size] = True
+    word, known, symbol_bits = leading(symbols, length // 4, 63)
+    differ = word[order[1:]] ^ word[order[:-1]]
+    bound = np.ones(size + 1, bool)
+    bound[1:-1] = differ > 0
     low, high = np.array([0]), np.array([size])
-    for _ in range(length):
+    if known:
+        ends = np.nonzero(bound)[0]
+        fresh = np.nonzero((differ[ends[1:-1] - 1] >> np.uint64(symbol_bits)) == 0)[0]  # only the last of the symbols is another
+        low, high = ends[fresh], ends[fresh + 1]
+    for _ in range(known, length):
         width = high - low
         total = int(width.sum())
         if not total:
